@@ -123,7 +123,7 @@ def supplement_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     Player names carry NBSPs and double spaces, some scores are not numbers."""
     ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
     pid = F.lpad((F.col("user_id") * SUPPLEMENT_PLAYER_STRIDE).cast("string"), 9, "0")
-    name = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("Customer# "), pid)) \
+    name = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("\u00a0Customer#"), pid, F.lit(" \t "))) \
         .otherwise(F.concat(F.lit("Customer#"), pid))
     score = F.floor("value").cast("string")
     k = F.regexp_extract("props", r'"k":\s*(\d+)', 1)
@@ -150,3 +150,12 @@ def coerced_props(spark: SparkSession, sf_dir: str) -> DataFrame:
         coerce_number(F.col("value").cast("string")).alias("value_num"),
         coerce_number(F.concat(F.col("event_type"), F.lit(" "), k)).alias("junk_num"),
     )
+
+
+def supplement_frames(spark: SparkSession, sf_dir: str):
+    """(results, supplement rows, supplement events) of the bound data."""
+    from podium.plans.supplement import supplement_events, supplement_rows
+    res = results(spark, sf_dir)
+    rows = supplement_rows(supplement_raw(spark, sf_dir), res, SUPPLEMENT_EVENT, WINDOWS["championship"],
+                           SUPPLEMENT_DISTRICT, SUPPLEMENT_DISTRICT_LABEL)
+    return res, rows, supplement_events(spark, [SUPPLEMENT_EVENT])

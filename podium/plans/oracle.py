@@ -218,6 +218,122 @@ SELECT results_url, date_text,
 FROM events_b"""
 
 
+_WS_CLASS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def clean(expr: str) -> str:
+    return f"trim(regexp_replace({expr}, '{_WS_CLASS}', ' ', 'g'))"
+
+
+def coerce(expr: str) -> str:
+    pat = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+    return (f"(CASE WHEN regexp_matches({expr}, '{pat}') AND isfinite(TRY_CAST(trim({expr}) AS DOUBLE)) "
+            f"THEN TRY_CAST(trim({expr}) AS DOUBLE) END)")
+
+
+SE = B.SUPPLEMENT_EVENT
+SUPP_CTES = rf"""
+sraw AS (
+  SELECT event_id AS row_seq,
+         CASE WHEN event_id % 3 = 0
+              THEN chr(160) || 'Customer#' || lpad(CAST(user_id * {B.SUPPLEMENT_PLAYER_STRIDE} AS VARCHAR), 9, '0') || ' ' || chr(9) || ' '
+              ELSE 'Customer#' || lpad(CAST(user_id * {B.SUPPLEMENT_PLAYER_STRIDE} AS VARCHAR), 9, '0') END AS player_raw,
+         'P' AS klass,
+         regexp_extract(props, '"k":\s*(\d+)', 1) AS m_skeet_raw,
+         CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || CASE WHEN event_id % 10 = 0 THEN 'd' ELSE '' END AS score_raw
+  FROM events WHERE event_type = 'purchase'),
+known AS (SELECT DISTINCT {clean('player')} AS player FROM results
+          WHERE lower(trim(district)) = {_q(B.SUPPLEMENT_DISTRICT)}),
+supp AS (
+  SELECT CAST(row_seq + {1 << 48} AS BIGINT) AS row_seq, p AS player, klass,
+         {coerce('m_skeet_raw')} AS m_skeet, CAST(NULL AS DOUBLE) AS m_trap, CAST(NULL AS DOUBLE) AS m_lane,
+         CAST(NULL AS DOUBLE) AS m_buck, CAST(NULL AS DOUBLE) AS m_boar, {coerce('score_raw')} AS score,
+         {_q(B.SUPPLEMENT_DISTRICT_LABEL)} AS district, CAST(2 AS INTEGER) AS table_no, {_q(SE['season'])} AS season,
+         {_q(SE['event_name'])} AS event_name, {_q(SE['date_text'])} AS date_text, {_q(SE['venue'])} AS venue,
+         {_q(SE['results_url'])} AS results_url
+  FROM (SELECT *, {clean('player_raw')} AS p FROM sraw) WHERE p IN (SELECT player FROM known)),
+un AS (
+  SELECT row_seq, table_no, player, klass, district, lp, m_skeet, m_lane, m_trap, m_boar, m_buck, sub_shot, sub_rifle,
+         score, season, event_name, date_text, venue, results_url FROM results
+  UNION ALL BY NAME SELECT * FROM supp)"""
+
+SUPPLEMENT_KNOWN_PLAYERS = _with(SUPP_CTES) + "SELECT * FROM supp"
+SUPPLEMENT_UNION = _with(SUPP_CTES) + "SELECT * FROM un"
+
+EVENTS_WITH_STARTS = _with(SUPP_CTES, f"""
+ev_all AS (
+  SELECT season, schedule_table_no, schedule_lp, event_name, organizer, venue, date_text, results_url,
+         CASE WHEN d2 IS NULL THEN strftime(d1, '%Y-%m-%d')
+              ELSE strftime(d1, '%Y-%m-%d') || ', ' || strftime(d2, '%Y-%m-%d') END AS dates_iso
+  FROM events_b WHERE {_in(_lo, _hi)}
+  UNION ALL
+  SELECT {_q(SE['season'])}, CAST(NULL AS INTEGER), {_q(SE['schedule_lp'])}, {_q(SE['event_name'])},
+         {_q(SE['organizer'])}, {_q(SE['venue'])}, {_q(SE['date_text'])}, {_q(SE['results_url'])}, {_q(SE['date_text'])}),
+dst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player, district, event_name ORDER BY score DESC, row_seq) AS rn0
+                       FROM un WHERE score IS NOT NULL AND lower(trim(district)) = {_q(B.SUPPLEMENT_DISTRICT)}) WHERE rn0 = 1)""") + """
+SELECT * FROM ev_all WHERE results_url IN (SELECT results_url FROM dst WHERE results_url IS NOT NULL)"""
+
+_CODES = [d[0] for d in K.DISCIPLINES]
+_LABEL = "CASE code " + " ".join(f"WHEN '{c}' THEN {_q(lbl)}" for c, lbl, _ in K.DISCIPLINES) + " END"
+_MAX = "CASE code " + " ".join(f"WHEN '{c}' THEN CAST({mx} AS DOUBLE)" for c, _, mx in K.DISCIPLINES) + " END"
+_ORD = "CASE code " + " ".join(f"WHEN '{c}' THEN {i + 1}" for i, c in enumerate(_CODES)) + " END"
+
+PROFILE_CTES = STARTS_CTES + f""",
+st AS (SELECT bs.player, bs.district, bs.event_name, bs.score, eb.event_best,
+              {half_even('bs.score / eb.event_best * 100', 1)} AS pct_of_best, bs.date_text,
+              bs.m_skeet, bs.m_lane, bs.m_trap, bs.m_boar, bs.m_buck
+       FROM bs LEFT JOIN eb ON bs.event_name = eb.event_name),
+ps AS (SELECT *, row_number() OVER (PARTITION BY trim(player) ORDER BY score DESC NULLS LAST, district, event_name) AS pos
+       FROM (SELECT * REPLACE (trim(player) AS player) FROM st WHERE trim(coalesce(player, '')) <> '')),
+lng AS ({" UNION ALL ".join(f"SELECT player, pos, '{c}' AS code, CAST({c} AS DOUBLE) AS value FROM ps" for c in _CODES)}),
+dl AS (SELECT player, pos, code, {_LABEL} AS label, value, {_MAX} AS max_score, {_ORD} AS disc_ord
+       FROM lng WHERE value > 0),
+dr AS (SELECT *, row_number() OVER (PARTITION BY player, code ORDER BY pos DESC) AS rn_desc FROM dl),
+dp AS (SELECT player, code, label, disc_ord, count(value) AS starts, avg(value) AS mean, max(value) AS best,
+              max(CASE WHEN rn_desc = 1 THEN value END) AS last,
+              avg(value) / max_score * 100 AS mean_pct, max_score - avg(value) AS gap_to_max,
+              greatest(CAST(0 AS DOUBLE), max(value) - avg(value)) AS reserve_to_best,
+              avg(CASE WHEN rn_desc <= 3 THEN value END) - avg(CASE WHEN rn_desc > 3 THEN value END) AS trend
+       FROM dr GROUP BY player, code, label, disc_ord, max_score),
+refs AS (SELECT player, pos, coalesce(event_name, '') AS event, coalesce(date_text, '') AS date,
+                CASE WHEN score > 0 THEN score END AS score, CASE WHEN event_best > 0 THEN event_best END AS event_best,
+                coalesce(pct_of_best, (CASE WHEN score > 0 THEN score END) / (CASE WHEN event_best > 0 THEN event_best END) * 100) AS pct
+         FROM ps),
+refs2 AS (SELECT * FROM refs WHERE score IS NOT NULL AND event_best IS NOT NULL AND pct IS NOT NULL)"""
+
+
+def _fmt1(x: str) -> str:
+    r = f"(round_even(({x}) * 10.0, 0) / 10.0)"
+    return (f"(CASE WHEN {r} = floor({r}) THEN CAST(CAST(floor({r}) AS BIGINT) AS VARCHAR) "
+            f"ELSE replace(CAST({r} AS VARCHAR), '.', ',') END)")
+
+
+DISCIPLINE_LONG = _with(PROFILE_CTES) + "SELECT * FROM dl"
+DISCIPLINE_PROFILE = _with(PROFILE_CTES) + "SELECT * FROM dp"
+EVENT_REFS = _with(PROFILE_CTES) + """
+SELECT *, row_number() OVER (PARTITION BY player ORDER BY pct, pos) AS ref_ord FROM refs2"""
+WEAKEST_DISCIPLINE = _with(PROFILE_CTES, f"""
+wk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player ORDER BY mean_pct, -gap_to_max, disc_ord) AS r
+                      FROM dp) WHERE r = 1),
+agg AS (SELECT player, sum(gap_to_max ORDER BY mean_pct, -gap_to_max, disc_ord) AS overall_gap,
+               sum(mean_pct ORDER BY mean_pct, -gap_to_max, disc_ord) / count(*) AS mean_pct
+        FROM dp GROUP BY player),
+cnt AS (SELECT player, count(*) AS starts FROM ps GROUP BY player),
+ep AS (SELECT player, CAST(sum(CAST(round_even(pct * 10, 0) AS BIGINT)) AS DOUBLE) / count(pct) / 10 AS mean_event_pct
+       FROM refs2 GROUP BY player),
+ws AS (SELECT wk.player, cnt.starts, wk.code AS weakest_code, wk.label AS weakest_label, wk.mean AS weakest_mean,
+              wk.mean_pct AS weakest_mean_pct, wk.gap_to_max AS weakest_gap, wk.reserve_to_best AS weakest_reserve,
+              wk.trend AS weakest_trend,
+              CASE WHEN wk.trend IS NULL THEN {_q(K.TREND_TOO_FEW)}
+                   WHEN wk.trend > 0 THEN {_q(K.TREND_PREFIX + '+')} || {_fmt1('wk.trend')} || {_q(K.TREND_UNIT)}
+                   WHEN wk.trend < 0 THEN {_q(K.TREND_PREFIX)} || {_fmt1('wk.trend')} || {_q(K.TREND_UNIT)}
+                   ELSE {_q(K.TREND_FLAT)} END AS trend_text,
+              agg.overall_gap, agg.mean_pct, ep.mean_event_pct
+       FROM wk JOIN agg ON wk.player = agg.player LEFT JOIN cnt ON wk.player = cnt.player
+       LEFT JOIN ep ON wk.player = ep.player)""") + """
+SELECT row_number() OVER (ORDER BY weakest_mean_pct, -overall_gap, player) AS report_rank, * FROM ws"""
+
+
 def queries() -> dict[str, str]:
     return {
         "award_board": AWARD_BOARD,
@@ -232,4 +348,11 @@ def queries() -> dict[str, str]:
         "window_membership": WINDOW_MEMBERSHIP,
         "events_in_period": EVENTS_IN_PERIOD,
         "parsed_dates": PARSED_DATES,
+        "supplement_known_players": SUPPLEMENT_KNOWN_PLAYERS,
+        "supplement_union": SUPPLEMENT_UNION,
+        "events_with_starts": EVENTS_WITH_STARTS,
+        "discipline_long": DISCIPLINE_LONG,
+        "discipline_profile": DISCIPLINE_PROFILE,
+        "event_refs": EVENT_REFS,
+        "weakest_discipline": WEAKEST_DISCIPLINE,
     }

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from podium.functions.dates import dates_to_iso, parse_event_dates
 from podium.operators.windows import events_in_period, window_hull, window_membership, windows_frame
 from podium.plans import bindings as B
-from podium.plans import boards, oracle, qualification as Q
+from podium.plans import boards, oracle, profile as P, qualification as Q
+from podium.plans.supplement import with_supplement
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +72,48 @@ def q_parsed_dates(spark, d):
         "results_url", "date_text", dates_to_iso(parse_event_dates("date_text")).alias("dates_iso"), "season")
 
 
+def q_supplement_known_players(spark, d):
+    _, rows, _ = B.supplement_frames(spark, d)
+    return rows
+
+
+def q_supplement_union(spark, d):
+    res, rows, _ = B.supplement_frames(spark, d)
+    return with_supplement(res, rows)
+
+
+def q_events_with_starts(spark, d):
+    res, rows, sev = B.supplement_frames(spark, d)
+    lo, hi = window_hull(B.WINDOWS)
+    ev = events_in_period(B.events(spark, d), lo, hi).unionByName(sev)
+    starts = Q.best_starts(with_supplement(res, rows), B.SUPPLEMENT_DISTRICT)
+    return Q.events_with_starts(ev, starts)
+
+
+def _starts(spark, d):
+    return Q.starts_table(_results(spark, d))
+
+
+def q_discipline_long(spark, d):
+    return P.discipline_long(_starts(spark, d))
+
+
+def q_discipline_profile(spark, d):
+    return P.discipline_profile(_starts(spark, d))
+
+
+def q_event_refs(spark, d):
+    return P.event_refs_ordered(_starts(spark, d))
+
+
+def q_weakest_discipline(spark, d):
+    return P.weakness_summary(_starts(spark, d))
+
+
+def q_weakness_nested(spark, d):
+    return P.weakness_nested(_starts(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "award_board": q_award_board,
     "average_board": q_average_board,
@@ -84,6 +127,14 @@ QUERIES: dict[str, Query] = {
     "window_membership": q_window_membership,
     "events_in_period": q_events_in_period,
     "parsed_dates": q_parsed_dates,
+    "supplement_known_players": q_supplement_known_players,
+    "supplement_union": q_supplement_union,
+    "events_with_starts": q_events_with_starts,
+    "discipline_long": q_discipline_long,
+    "discipline_profile": q_discipline_profile,
+    "event_refs": q_event_refs,
+    "weakest_discipline": q_weakest_discipline,
+    "weakness_nested": q_weakness_nested,
 }
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.queries().items() if k in QUERIES}
