@@ -183,7 +183,7 @@ r2 AS (SELECT player, district,
 q2 AS (SELECT row_number() OVER (ORDER BY champ_sum_top5 DESC, cbest DESC, champ_counted DESC, player, district)
               AS champ_place, *, {half_even('champ_sum_top5 / champ_counted', 2)} AS champ_mean_top5 FROM r2)"""
 
-QUALIFICATION_BOARD = _with(QUAL_CTES) + """
+QB_SELECT = """
 SELECT q1.place, coalesce(q1.player, q2.player) AS player, coalesce(q1.district, q2.district) AS district,
        q1.sum_top3, q1.mean_top3, q1.mean_top5_first, q1.counted, q1.starts,
        q1.best_1, q1.best_2, q1.best_3, q1.best_4, q1.best_5,
@@ -192,6 +192,8 @@ SELECT q1.place, coalesce(q1.player, q2.player) AS player, coalesce(q1.district,
        q1.events_top3, q2.champ_events, q1.all_starts
 FROM q1 FULL OUTER JOIN q2 ON q1.player = q2.player AND q1.district = q2.district"""
 
+QUALIFICATION_BOARD = _with(QUAL_CTES) + QB_SELECT
+
 CHAMPIONSHIP_BOARD = _with(QUAL_CTES) + """
 SELECT champ_place AS place, player, district, champ_sum_top5 AS sum_top, champ_counted AS counted,
        cbest AS best_score, champ_best_1 AS best_1, champ_best_2 AS best_2, champ_best_3 AS best_3,
@@ -334,6 +336,73 @@ ws AS (SELECT wk.player, cnt.starts, wk.code AS weakest_code, wk.label AS weakes
 SELECT row_number() OVER (ORDER BY weakest_mean_pct, -overall_gap, player) AS report_rank, * FROM ws"""
 
 
+BOARD_CTES = QUAL_CTES + ",\nqb AS (" + QB_SELECT + ")"
+_BOARD_POS = "row_number() OVER (ORDER BY place NULLS LAST, champ_place NULLS LAST)"
+
+REPORT_TOTALS = _with(BOARD_CTES) + f"""
+SELECT 'players' AS metric, count(*) AS value FROM qb
+UNION ALL SELECT 'starts', CAST(coalesce(sum(coalesce(starts, 0)), 0) AS BIGINT) FROM qb
+UNION ALL SELECT 'events', count(*) FROM events_b WHERE {_in(_lo, _hi)}"""
+
+TOP_SIX = _with(BOARD_CTES) + f"""
+SELECT * FROM (SELECT {_BOARD_POS} AS position, player, place, champ_place, mean_top3 FROM qb) WHERE position <= 6"""
+
+QUALIFICATION_FLAGS = _with(BOARD_CTES) + """
+SELECT player, district, place, champ_place, coalesce(place <= 6, false) AS is_final,
+       coalesce(champ_place <= 3, false) AS is_championship FROM qb"""
+
+SORTED_BOARD = _with(BOARD_CTES) + f"""
+SELECT row_number() OVER (ORDER BY (mean_top3 IS NULL), mean_top3 DESC, pos) AS position, * EXCLUDE (pos)
+FROM (SELECT *, {_BOARD_POS} AS pos FROM qb)"""
+
+SEARCH_QUERY = " 1-URGENT 1997 "
+SEARCH_BOARD = _with(BOARD_CTES) + f"""
+SELECT * FROM qb WHERE """ + " OR ".join(
+    f"contains(lower(coalesce(CAST({k} AS VARCHAR), '')), {_q(SEARCH_QUERY.strip().lower())})"
+    for k in ("player", "events_top3", "champ_events", "all_starts"))
+
+
+def _json_val(col: str, kind: str) -> str:
+    if kind == "double":
+        v = (f"CASE WHEN isnan({col}) THEN 'NaN' WHEN abs({col}) < 9.0e18 AND {col} = floor({col}) "
+             f"THEN CAST(CAST(floor({col}) AS BIGINT) AS VARCHAR) ELSE CAST({col} AS VARCHAR) END")
+    elif kind == "int":
+        v = f"CAST({col} AS VARCHAR)"
+    else:
+        v = f"CAST(to_json(CAST({col} AS VARCHAR)) AS VARCHAR)"
+    return f"CASE WHEN {col} IS NULL THEN '\"\"' ELSE {v} END"
+
+
+_QB_KINDS = [("place", "int"), ("player", "str"), ("district", "str"), ("sum_top3", "double"),
+             ("mean_top3", "double"), ("mean_top5_first", "double"), ("counted", "int"), ("starts", "int"),
+             *[(f"best_{k}", "double") for k in range(1, 6)],
+             ("champ_place", "int"), ("champ_sum_top5", "double"), ("champ_mean_top5", "double"),
+             ("champ_counted", "int"), *[(f"champ_best_{k}", "double") for k in range(1, 6)],
+             ("events_top3", "str"), ("champ_events", "str"), ("all_starts", "str")]
+
+
+def _json_record(kinds) -> str:
+    parts = []
+    for i, (c, k) in enumerate(kinds):
+        parts.append(_q(("{" if i == 0 else ", ") + '"' + c + '": '))
+        parts.append("(" + _json_val(c, k) + ")")
+    parts.append("'}'")
+    text = " || ".join(parts)
+    return f"replace(replace(replace({text}, '<', '\\u003c'), '>', '\\u003e'), '&', '\\u0026')"
+
+
+JSON_RECORDS = _with(BOARD_CTES) + f"SELECT {_json_record(_QB_KINDS)} AS json FROM qb"
+
+CLEAN_TEXT_DOCS = f"""
+SELECT doc_id, {clean('text')} AS clean_text, length({clean('text')}) AS clean_chars FROM documents"""
+
+DOC_QUERY = " The "
+SEARCH_DOCS = f"""
+SELECT doc_id, lang, source FROM documents
+WHERE contains(lower(coalesce(text, '')), {_q(DOC_QUERY.strip().lower())})
+   OR contains(lower(coalesce(source, '')), {_q(DOC_QUERY.strip().lower())})"""
+
+
 def queries() -> dict[str, str]:
     return {
         "award_board": AWARD_BOARD,
@@ -355,4 +424,12 @@ def queries() -> dict[str, str]:
         "discipline_profile": DISCIPLINE_PROFILE,
         "event_refs": EVENT_REFS,
         "weakest_discipline": WEAKEST_DISCIPLINE,
+        "report_totals": REPORT_TOTALS,
+        "top_six": TOP_SIX,
+        "qualification_flags": QUALIFICATION_FLAGS,
+        "sorted_board": SORTED_BOARD,
+        "search_board": SEARCH_BOARD,
+        "json_records": JSON_RECORDS,
+        "clean_text_docs": CLEAN_TEXT_DOCS,
+        "search_docs": SEARCH_DOCS,
     }

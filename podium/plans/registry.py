@@ -11,7 +11,9 @@ from podium.functions.dates import dates_to_iso, parse_event_dates
 from podium.operators.windows import events_in_period, window_hull, window_membership, windows_frame
 from podium.plans import bindings as B
 from podium.plans import boards, oracle, profile as P, qualification as Q
+from podium.plans import report as R
 from podium.plans.supplement import with_supplement
+from podium.functions.text import clean_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +116,46 @@ def q_weakness_nested(spark, d):
     return P.weakness_nested(_starts(spark, d))
 
 
+def _board(spark, d):
+    return Q.qualification_board(_results(spark, d), B.WINDOWS)
+
+
+def q_report_totals(spark, d):
+    lo, hi = window_hull(B.WINDOWS)
+    return R.totals(_board(spark, d), events_in_period(B.events(spark, d), lo, hi))
+
+
+def q_top_six(spark, d):
+    return R.top_six(_board(spark, d))
+
+
+def q_qualification_flags(spark, d):
+    return R.qualification_flags(_board(spark, d))
+
+
+def q_sorted_board(spark, d):
+    return R.sort_rows(_board(spark, d), "mean_top3", "desc", input_order=R.board_order())
+
+
+def q_search_board(spark, d):
+    return R.search_rows(_board(spark, d), R.RANKING_SEARCH_KEYS, oracle.SEARCH_QUERY)
+
+
+def q_json_records(spark, d):
+    return R.json_records(_board(spark, d))
+
+
+def q_clean_text_docs(spark, d):
+    docs = B.table(spark, d, "documents")
+    c = clean_text("text")
+    return docs.select("doc_id", c.alias("clean_text"), F.length(c).cast("bigint").alias("clean_chars"))
+
+
+def q_search_docs(spark, d):
+    docs = B.table(spark, d, "documents")
+    return R.search_rows(docs, ["text", "source"], oracle.DOC_QUERY).select("doc_id", "lang", "source")
+
+
 QUERIES: dict[str, Query] = {
     "award_board": q_award_board,
     "average_board": q_average_board,
@@ -135,6 +177,14 @@ QUERIES: dict[str, Query] = {
     "event_refs": q_event_refs,
     "weakest_discipline": q_weakest_discipline,
     "weakness_nested": q_weakness_nested,
+    "report_totals": q_report_totals,
+    "top_six": q_top_six,
+    "qualification_flags": q_qualification_flags,
+    "sorted_board": q_sorted_board,
+    "search_board": q_search_board,
+    "json_records": q_json_records,
+    "clean_text_docs": q_clean_text_docs,
+    "search_docs": q_search_docs,
 }
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.queries().items() if k in QUERIES}
