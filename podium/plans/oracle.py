@@ -403,6 +403,53 @@ WHERE contains(lower(coalesce(text, '')), {_q(DOC_QUERY.strip().lower())})
    OR contains(lower(coalesce(source, '')), {_q(DOC_QUERY.strip().lower())})"""
 
 
+TABLE_ROUND_TRIP = _with() + """
+SELECT results_url, table_no, lp, player, klass, district, m_skeet, m_lane, m_trap, m_boar, m_buck, sub_shot,
+       sub_rifle, score, season, event_name, date_text, venue FROM results"""
+
+INGEST_ISSUES = _with() + """
+SELECT results_url AS url, CAST(CASE WHEN table_no = 1 THEN 2 ELSE 1 END AS INTEGER) AS table_no,
+       'missing_headers' AS issue, 'player,district,score' AS detail FROM results"""
+
+SCHEDULE_SCAN = _with() + """
+SELECT season, CAST(2 + o_orderkey % 2 AS INTEGER) AS schedule_table_no, schedule_lp, event_name, organizer, venue,
+       date_text, 'https://results.example/u/' || CAST(o_orderkey AS VARCHAR) AS results_url FROM events_b"""
+
+_HREF = r"""(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']"""
+
+
+def _decode(x: str) -> str:
+    for ent, ch in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+                    ("&#039;", "'"), ("&apos;", "'"), ("&amp;", "&")):
+        x = f"replace({x}, {_q(ent)}, {_q(ch)})"
+    return x
+
+
+def _resolve(h: str, b: str) -> str:
+    origin = f"regexp_extract({b}, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1)"
+    scheme = f"regexp_extract({b}, '^([a-zA-Z][a-zA-Z0-9+.-]*):', 1)"
+    no_frag = f"regexp_extract({b}, '^([^#]*)', 1)"
+    no_query = f"regexp_extract({b}, '^([^?#]*)', 1)"
+    base_dir = (f"(CASE WHEN regexp_extract({no_query}, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*(/.*)?$', 1) = '' "
+                f"THEN {no_query} || '/' ELSE regexp_replace({no_query}, '[^/]*$', '') END)")
+    return (f"(CASE WHEN {h} = '' THEN {b} "
+            f"WHEN regexp_matches({h}, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN {h} "
+            f"WHEN starts_with({h}, '//') THEN {scheme} || ':' || {h} "
+            f"WHEN starts_with({h}, '/') THEN {origin} || {h} "
+            f"WHEN starts_with({h}, '?') THEN {no_query} || {h} "
+            f"WHEN starts_with({h}, '#') THEN {no_frag} || {h} "
+            f"ELSE {base_dir} || {h} END)")
+
+
+_href = _decode(f"regexp_extract(html, '{_HREF}', 1)")
+_text = clean(_decode("regexp_replace(html, '(?s)<[^>]*>', ' ', 'g')"))
+PAGE_LINKS = rf"""
+SELECT page_id, url,
+       CASE WHEN regexp_matches(html, '{_HREF}') THEN {_resolve(_href, 'url')}
+            ELSE regexp_extract({_text}, 'https?://\S+', 0) END AS link
+FROM pages"""
+
+
 def queries() -> dict[str, str]:
     return {
         "award_board": AWARD_BOARD,
@@ -432,4 +479,8 @@ def queries() -> dict[str, str]:
         "json_records": JSON_RECORDS,
         "clean_text_docs": CLEAN_TEXT_DOCS,
         "search_docs": SEARCH_DOCS,
+        "table_round_trip": TABLE_ROUND_TRIP,
+        "ingest_issues": INGEST_ISSUES,
+        "schedule_scan": SCHEDULE_SCAN,
+        "page_links": PAGE_LINKS,
     }

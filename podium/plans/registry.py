@@ -13,7 +13,9 @@ from podium.plans import bindings as B
 from podium.plans import boards, oracle, profile as P, qualification as Q
 from podium.plans import report as R
 from podium.plans.supplement import with_supplement
-from podium.functions.text import clean_text
+from podium.functions.text import clean_text, first_link
+from podium.plans import rendering
+from podium.sources import html_tables as H
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,6 +158,28 @@ def q_search_docs(spark, d):
     return R.search_rows(docs, ["text", "source"], oracle.DOC_QUERY).select("doc_id", "lang", "source")
 
 
+def q_table_round_trip(spark, d):
+    res = _results(spark, d)
+    rows = H.extract_results(rendering.result_pages(res))
+    out = H.with_lineage(rows, B.events(spark, d))
+    return out.select("results_url", "table_no", "lp", "player", "klass", "district", "m_skeet", "m_lane",
+                      "m_trap", "m_boar", "m_buck", "sub_shot", "sub_rifle", "score", "season", "event_name",
+                      "date_text", "venue")
+
+
+def q_ingest_issues(spark, d):
+    return H.ingest_issues(rendering.result_pages(_results(spark, d)))
+
+
+def q_schedule_scan(spark, d):
+    return H.schedule_events(rendering.schedule_pages(B.events(spark, d)), rendering.BASE_URL)
+
+
+def q_page_links(spark, d):
+    pages = B.table(spark, d, "pages")
+    return pages.select("page_id", "url", first_link(F.col("html"), F.col("url")).alias("link"))
+
+
 QUERIES: dict[str, Query] = {
     "award_board": q_award_board,
     "average_board": q_average_board,
@@ -185,6 +209,10 @@ QUERIES: dict[str, Query] = {
     "json_records": q_json_records,
     "clean_text_docs": q_clean_text_docs,
     "search_docs": q_search_docs,
+    "table_round_trip": q_table_round_trip,
+    "ingest_issues": q_ingest_issues,
+    "schedule_scan": q_schedule_scan,
+    "page_links": q_page_links,
 }
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.queries().items() if k in QUERIES}
