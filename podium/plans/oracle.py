@@ -450,6 +450,58 @@ SELECT page_id, url,
 FROM pages"""
 
 
+_TOP3 = """
+t3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player, district ORDER BY score DESC, row_seq) AS rn
+                      FROM results WHERE score IS NOT NULL) WHERE rn <= 3)"""
+NTH_LARGEST = _with(_TOP3) + """
+SELECT player, district, max(CASE WHEN rn = 1 THEN score END) AS largest_1,
+       max(CASE WHEN rn = 2 THEN score END) AS largest_2, max(CASE WHEN rn = 3 THEN score END) AS largest_3
+FROM t3 GROUP BY player, district"""
+ORDERED_CONCAT = _with(_TOP3) + """
+SELECT player, district, string_agg(event_name, ' | ' ORDER BY rn) AS top_events FROM t3 GROUP BY player, district"""
+FIRST_PER_EVENT = _with() + """
+SELECT event_name, row_seq, player, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_name ORDER BY row_seq) AS rn FROM results) WHERE rn = 1"""
+
+_K = "regexp_extract(props, '\"k\":\\s*(\\d+)', 1)"
+COERCE_SCORES = f"""
+SELECT event_id, {coerce(_K)} AS k_num, {coerce('CAST(value AS VARCHAR)')} AS value_num,
+       {coerce("event_type || ' ' || " + _K)} AS junk_num FROM events"""
+
+RUN_METRICS = _with() + f"""
+SELECT 'results' AS metric, count(*) AS value FROM results
+UNION ALL SELECT 'players', count(*) FROM (SELECT DISTINCT player, district FROM results)
+UNION ALL SELECT 'events', count(*) FROM events_b
+UNION ALL SELECT 'events_in_period', count(*) FROM events_b WHERE {_in(_lo, _hi)}"""
+
+SCALABLE_PLACE = _with() + """
+SELECT row_number() OVER (ORDER BY score DESC NULLS LAST, row_seq) AS place, row_seq, player, score FROM results"""
+
+
+def _fmt(x: str, digits: int) -> str:
+    scale = float(10 ** digits)
+    r = f"(round_even(({x}) * {scale}, 0) / {scale})"
+    return (f"(CASE WHEN {x} IS NULL THEN '-' WHEN {r} = floor({r}) THEN CAST(CAST(floor({r}) AS BIGINT) AS VARCHAR) "
+            f"ELSE replace(CAST({r} AS VARCHAR), '.', ',') END)")
+
+
+DISPLAY_BOARD = _with(BOARD_CTES) + f"""
+SELECT player, district, coalesce(CAST(place AS VARCHAR), '') AS place_text,
+       coalesce(CAST(champ_place AS VARCHAR), '') AS champ_place_text,
+       {_fmt('mean_top3', 1)} AS mean_top3_text, {_fmt('champ_mean_top5', 2)} AS champ_mean_text,
+       CAST(len(list_filter(string_split(coalesce(all_starts, ''), ' | '), lambda x: x <> '')) AS BIGINT) AS listed_starts
+FROM qb"""
+
+SORTED_STARTS = _with(STARTS_CTES) + f"""
+SELECT row_number() OVER (ORDER BY bs.player, bs.score DESC, bs.district, bs.event_name) AS position,
+       bs.player, bs.district, bs.event_name, bs.score, eb.event_best,
+       {half_even('bs.score / eb.event_best * 100', 1)} AS pct_of_best, bs.klass, bs.date_text, bs.venue,
+       bs.results_url, bs.m_skeet, bs.m_lane, bs.m_trap, bs.m_boar, bs.m_buck
+FROM bs LEFT JOIN eb ON bs.event_name = eb.event_name"""
+
+CSV_SUPPLEMENT = _with(SUPP_CTES) + "SELECT * EXCLUDE (row_seq) FROM supp"
+
+
 def queries() -> dict[str, str]:
     return {
         "award_board": AWARD_BOARD,
@@ -483,4 +535,14 @@ def queries() -> dict[str, str]:
         "ingest_issues": INGEST_ISSUES,
         "schedule_scan": SCHEDULE_SCAN,
         "page_links": PAGE_LINKS,
+        "nth_largest": NTH_LARGEST,
+        "ordered_concat": ORDERED_CONCAT,
+        "first_per_event": FIRST_PER_EVENT,
+        "coerce_scores": COERCE_SCORES,
+        "run_metrics": RUN_METRICS,
+        "scalable_place": SCALABLE_PLACE,
+        "display_board": DISPLAY_BOARD,
+        "sorted_starts": SORTED_STARTS,
+        "csv_supplement": CSV_SUPPLEMENT,
+        "table_sink_round_trip": AWARD_BOARD,
     }

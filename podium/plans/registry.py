@@ -13,7 +13,11 @@ from podium.plans import bindings as B
 from podium.plans import boards, oracle, profile as P, qualification as Q
 from podium.plans import report as R
 from podium.plans.supplement import with_supplement
-from podium.functions.text import clean_text, first_link
+from podium.functions.text import clean_text, first_link, format_number, null_to_text, split_names
+from podium.operators.groupwise import first_per_key, leaderboard, nth_largest, ordered_concat, top_n_per_group
+from podium.session import scratch_path
+from podium.sources.tables import read_csv_text, read_tables, run_metrics, write_tables
+from podium.plans.supplement import CSV_HEADER, supplement_rows
 from podium.plans import rendering
 from podium.sources import html_tables as H
 
@@ -180,6 +184,82 @@ def q_page_links(spark, d):
     return pages.select("page_id", "url", first_link(F.col("html"), F.col("url")).alias("link"))
 
 
+def q_nth_largest(spark, d):
+    top = top_n_per_group(boards.scored(_results(spark, d)), ["player", "district"],
+                          [F.col("score").desc(), F.col("row_seq").asc()], 3)
+    return top.groupBy("player", "district").agg(
+        *[nth_largest("score", "rn", k).alias(f"largest_{k}") for k in (1, 2, 3)])
+
+
+def q_ordered_concat(spark, d):
+    top = top_n_per_group(boards.scored(_results(spark, d)), ["player", "district"],
+                          [F.col("score").desc(), F.col("row_seq").asc()], 3)
+    return top.groupBy("player", "district").agg(ordered_concat("event_name", "rn").alias("top_events"))
+
+
+def q_first_per_event(spark, d):
+    return first_per_key(_results(spark, d), "event_name", "row_seq").select(
+        "event_name", "row_seq", "player", "score")
+
+
+def q_coerce_scores(spark, d):
+    return B.coerced_props(spark, d)
+
+
+def q_run_metrics(spark, d):
+    res = _results(spark, d)
+    lo, hi = window_hull(B.WINDOWS)
+    return run_metrics(results=res, players=res.select("player", "district").distinct(),
+                       events=B.events(spark, d),
+                       events_in_period=events_in_period(B.events(spark, d), lo, hi))
+
+
+def q_scalable_place(spark, d):
+    res = _results(spark, d).select("row_seq", "player", "score")
+    return leaderboard(res, [F.col("score").desc_nulls_last(), F.col("row_seq").asc()])
+
+
+def q_display_board(spark, d):
+    b = _board(spark, d)
+    return b.select(
+        "player", "district",
+        null_to_text("place").alias("place_text"),
+        null_to_text("champ_place").alias("champ_place_text"),
+        format_number("mean_top3", 1).alias("mean_top3_text"),
+        format_number("champ_mean_top5", 2).alias("champ_mean_text"),
+        F.size(split_names("all_starts")).cast("bigint").alias("listed_starts"))
+
+
+def q_sorted_starts(spark, d):
+    st = _starts(spark, d)
+    return R.sort_rows(st, "player", "asc", missing_last=False,
+                       input_order=[F.col("player").asc(), F.col("score").desc(), F.col("district").asc(),
+                                    F.col("event_name").asc()])
+
+
+def q_csv_supplement(spark, d):
+    """A4: the supplement written as a CSV file with its own header, read back by
+    header name, then typed and filtered like any manual results file."""
+    raw = B.supplement_raw(spark, d)
+    inv = {v: k for k, v in CSV_HEADER.items()}
+    path = scratch_path(spark, "manual-csv")
+    raw.select(*[F.col(v).alias(k) for k, v in CSV_HEADER.items()]).write.mode("overwrite") \
+        .option("header", True).csv(path)
+    back = read_csv_text(spark, path, {inv[v]: v for v in CSV_HEADER.values()})
+    rows = supplement_rows(back, _results(spark, d), B.SUPPLEMENT_EVENT, B.WINDOWS["championship"],
+                           B.SUPPLEMENT_DISTRICT, B.SUPPLEMENT_DISTRICT_LABEL)
+    return rows.drop("row_seq")
+
+
+def q_table_sink_round_trip(spark, d):
+    """A6/A7: the three boards written as a table set and the award board read back."""
+    res = _results(spark, d)
+    path = scratch_path(spark, "boards")
+    write_tables(path, {"average": boards.average_board(res), "award": boards.award_board(res),
+                        "team": boards.team_board(res)})
+    return read_tables(spark, path, ["average", "award", "team"])["award"]
+
+
 QUERIES: dict[str, Query] = {
     "award_board": q_award_board,
     "average_board": q_average_board,
@@ -213,6 +293,16 @@ QUERIES: dict[str, Query] = {
     "ingest_issues": q_ingest_issues,
     "schedule_scan": q_schedule_scan,
     "page_links": q_page_links,
+    "nth_largest": q_nth_largest,
+    "ordered_concat": q_ordered_concat,
+    "first_per_event": q_first_per_event,
+    "coerce_scores": q_coerce_scores,
+    "run_metrics": q_run_metrics,
+    "scalable_place": q_scalable_place,
+    "display_board": q_display_board,
+    "sorted_starts": q_sorted_starts,
+    "csv_supplement": q_csv_supplement,
+    "table_sink_round_trip": q_table_sink_round_trip,
 }
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.queries().items() if k in QUERIES}
