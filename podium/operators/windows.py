@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from podium.functions.dates import any_date_between, dates_to_iso, parse_event_dates
+from podium.operators.partitioning import evaluate_once
 
 WINDOWS_SCHEMA = T.StructType([
     T.StructField("window_id", T.StringType(), False),
@@ -57,7 +58,7 @@ def window_membership(df: DataFrame, windows: DataFrame, date_text: str = "date_
 
     The window table is broadcast only below ``MAX_BROADCAST_WINDOWS`` rows
     (counted); above that the parsed dates are exploded and range-joined."""
-    with_dates = df.withColumn("__dates", parse_event_dates(date_text))
+    with_dates = evaluate_once(df.withColumn("__dates", parse_event_dates(date_text)))
     n = windows.count()
     if n <= MAX_BROADCAST_WINDOWS:
         cond = F.exists(F.col("__dates"), lambda x: (x >= F.col("lo")) & (x <= F.col("hi")))
@@ -69,6 +70,6 @@ def window_membership(df: DataFrame, windows: DataFrame, date_text: str = "date_
 
 def events_in_period(events: DataFrame, lo, hi, date_text: str = "date_text") -> DataFrame:
     """Events having a parsed date in [lo, hi], with the ISO date list added."""
-    dates = parse_event_dates(date_text)
-    return (events.withColumn("dates_iso", dates_to_iso(dates))
-            .filter(any_date_between(dates, _d(lo), _d(hi))))
+    parsed = evaluate_once(events.withColumn("__dates", parse_event_dates(date_text)))
+    return (parsed.withColumn("dates_iso", dates_to_iso("__dates"))
+            .filter(any_date_between("__dates", _d(lo), _d(hi))).drop("__dates"))

@@ -22,8 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.functions.text import coerce_number, season_of
+from podium.operators.partitioning import ensure_parallelism
 from podium.sources.tables import broadcast_if_small
 
+# Row bound under which a dimension side is broadcast (checked by counting).
+DIMENSION_BROADCAST_ROWS = 2_000_000
+
 # Windows of the qualification board over the bound data (inclusive, overlapping).
 WINDOWS = {"final": ("1996-01-01", "1998-12-31"), "championship": ("1998-06-01", "1999-06-30")}
 SUPPLEMENT_DISTRICT = "nation_3"
@@ -45,6 +49,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """A fact-table scan spread over the cluster's cores before per-row work."""
+    df = table(spark, sf_dir, name)
+    return ensure_parallelism(df.select(*cols) if cols else df)
+
+
 def _date_text(d: Column, key: Column) -> Column:
     style = key % 4
     nxt = F.date_add(d, 1)
@@ -68,11 +78,13 @@ def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = fact_table(spark, sf_dir, "orders",
+                   "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = broadcast_if_small(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), 100_000)
-    cn = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
+    # customer x nation is the dimension: broadcast while its row count is under the bound,
+    # otherwise a shuffle join on the customer key
+    cn = broadcast_if_small(c.join(n, c.c_nationkey == n.n_nationkey, "inner"), DIMENSION_BROADCAST_ROWS)
     d = F.to_date("o_orderdate")
     return (o.join(cn, o.o_custkey == cn.c_custkey, "inner")
             .withColumn("d", d)
@@ -121,7 +133,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def supplement_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manual results as a CSV would give them: every column text.
     Player names carry NBSPs and double spaces, some scores are not numbers."""
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    ev = fact_table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
     pid = F.lpad((F.col("user_id") * SUPPLEMENT_PLAYER_STRIDE).cast("string"), 9, "0")
     name = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("\u00a0Customer#"), pid, F.lit(" \t "))) \
         .otherwise(F.concat(F.lit("Customer#"), pid))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from podium.functions.dates import parse_event_dates
 from podium.functions.text import half_even
 from podium.operators.groupwise import best_per_group, leaderboard, nth_largest, ordered_concat, running_number
+from podium.operators.partitioning import evaluate_once
 from podium.operators.windows import window_flags
 from podium.plans.boards import asc, desc, scored
 
@@ -59,8 +60,9 @@ def qualification_board(results: DataFrame, windows: Mapping[str, tuple], distri
     only one window keep NULLs on the other side (full-outer semantics)."""
     s = best_starts(results, district, event_key).select(
         "player", "district", event_key, "score", "date_text")
-    s = window_flags(s.withColumn("dates", parse_event_dates("date_text")),
+    s = window_flags(evaluate_once(s.withColumn("dates", parse_event_dates("date_text"))),
                      {first: windows[first], second: windows[second]})
+    s = evaluate_once(s.drop("dates"))
     f1, f2 = "in_" + first, "in_" + second
     s = s.filter(F.col(f1) | F.col(f2))
     order = [desc("score"), asc("date_text"), asc(event_key)]
@@ -119,7 +121,8 @@ def window_board(results: DataFrame, window: tuple, district: str | None = None,
     """Single-window best-``top`` board (the championship board on its own):
     sum, count, best, best 1..top, events, mean (2 dec.); place by sum, best, count."""
     s = best_starts(results, district, event_key).select("player", "district", event_key, "score", "date_text")
-    s = window_flags(s.withColumn("dates", parse_event_dates("date_text")), {"w": window}).filter(F.col("in_w"))
+    s = window_flags(evaluate_once(s.withColumn("dates", parse_event_dates("date_text"))), {"w": window})
+    s = evaluate_once(s.drop("dates")).filter(F.col("in_w"))
     s = s.withColumn("rn", running_number(["player", "district"], [desc("score"), asc("date_text"), asc(event_key)])) \
         .filter(F.col("rn") <= top)
     g = s.groupBy("player", "district").agg(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from podium import constants as K
 from podium.functions.text import clean_text, coerce_number, decode_entities, first_link, season_of
 from podium.operators.groupwise import first_per_key
+from podium.operators.partitioning import evaluate_once
 
 TABLE_OPEN = r"(?i)<table\b[^>]*>"
 TABLE_CLOSE = r"(?i)</table\s*>"
@@ -27,16 +28,6 @@ TH_OPEN = r"(?i)<th\b"
 SPAN_RE = r"(?is)<t[hd]\b[^>]*\b(rowspan|colspan)\s*="
 
 
-def evaluate_once(df: DataFrame) -> DataFrame:
-    """Evaluate every column once.
-
-    The extraction columns are regex-built nested arrays; without a barrier the
-    optimizer substitutes them into each later filter and projection that uses
-    them, repeating the regex work per use.  A one-element ``inline`` (a
-    Generate node) fixes them as attributes."""
-    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
-
-
 def cell_text(html: Column, sep: str = " ") -> Column:
     """Visible text of a cell: tags removed (replaced by ``sep``), entities decoded, whitespace cleaned."""
     return clean_text(decode_entities(F.regexp_replace(html, r"(?s)<[^>]*>", sep)))

@@ -31,7 +31,7 @@ def test_leaderboard_matches_naive_with_heavy_ties(spark):
     rows = [(i, i % 7, f"p{i % 101:03d}") for i in range(3000)]
     df = spark.createDataFrame(rows, "id int, s int, name string")
     order = [F.col("s").desc(), F.col("name").asc(), F.col("id").asc()]
-    got = leaderboard(df, order, partitions=5)
+    got = leaderboard(df, order, partitions=5, single_task_rows=0)
     naive = df.withColumn("naive", F.row_number().over(Window.orderBy(*order)))
     joined = got.join(naive.select("id", "naive"), "id")
     assert joined.filter(F.col("place") != F.col("naive")).count() == 0
@@ -41,7 +41,9 @@ def test_leaderboard_matches_naive_with_heavy_ties(spark):
 
 def test_leaderboard_rank_if_and_empty(spark):
     df = spark.createDataFrame([(1, True, 5.0), (2, False, 9.0), (3, True, 7.0)], "id int, ok boolean, s double")
-    out = leaderboard(df, [F.col("ok").desc(), F.col("s").desc(), F.col("id")], rank_if=F.col("ok"))
+    out = leaderboard(df, [F.col("ok").desc(), F.col("s").desc(), F.col("id")], rank_if=F.col("ok"), single_task_rows=0)
+    small = leaderboard(df, [F.col("ok").desc(), F.col("s").desc(), F.col("id")], rank_if=F.col("ok"))
+    assert {r["id"]: r["place"] for r in small.collect()} == {3: 1, 1: 2, 2: None}
     assert {r["id"]: r["place"] for r in out.collect()} == {3: 1, 1: 2, 2: None}
     empty = leaderboard(df.limit(0), [F.col("s").desc(), F.col("id")])
     assert empty.count() == 0 and empty.columns == ["place", "id", "ok", "s"]
