@@ -24,6 +24,18 @@ def test_no_python_udfs_in_plans(spark):
 def test_award_board_plan_shape(spark):
     df = registry.QUERIES["award_board"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    # places: the big side is joined to a broadcast of per-partition offsets,
-    # never collected into a single partition
-    assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+    # the board is numbered from its materialised copy (row count checked), never
+    # from the raw tables in a single partition
+    assert "orders.parquet" not in plan and "leaderboard-input" in plan
+
+
+def test_range_place_plan_has_no_single_partition_over_rows(spark):
+    from pyspark.sql import functions as F
+    from podium.operators import leaderboard
+    df = spark.range(5000).withColumn("s", F.col("id") % 13)
+    out = leaderboard(df, [F.col("s").desc(), F.col("id")], single_task_rows=0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # only the per-partition counts (one row per partition) pass a single partition
+    single = [line for line in plan.split("\n") if "SinglePartition" in line]
+    assert len(single) <= 1
+    assert "BroadcastExchange" in plan
