@@ -1,7 +1,7 @@
 """Generic relational operators over DataFrames."""
 
 from podium.operators.groupwise import (  # noqa: F401
-    best_per_group, first_per_key, top_n_per_group, nth_largest, ordered_concat, leaderboard,
+    best_per_group, first_per_key, top_n_per_group, nth_largest, ordered_concat, leaderboard, leaderboards,
     running_number,
 )
 from podium.operators.windows import (  # noqa: F401

@@ -66,6 +66,29 @@ def ordered_concat(value: str, rn: str, upto: int | None = None, sep: str = K.NA
 SINGLE_TASK_PLACE_ROWS = 1_000_000
 
 
+def leaderboards(df: DataFrame, specs: Sequence[tuple], partitions: int | None = None,
+                 single_task_rows: int = SINGLE_TASK_PLACE_ROWS) -> DataFrame:
+    """Several independent places over one frame: ``specs`` = [(place, order, rank_if)].
+
+    The input is materialised and counted once; under the bound all places are
+    window columns of the same single-task pass, otherwise each is computed by
+    the range-partitioned ``leaderboard`` in turn."""
+    spark = df.sparkSession
+    src_path = scratch_path(spark, "leaderboard-input")
+    df.write.mode("overwrite").parquet(src_path)
+    base = spark.read.parquet(src_path)
+    if base.count() <= single_task_rows:
+        out = base
+        for place, order, rank_if in specs:
+            pos = F.row_number().over(Window.orderBy(*_order(order))).cast("bigint")
+            out = out.withColumn(place, pos if rank_if is None else F.when(rank_if, pos))
+        return out.select(*[p for p, _, _ in reversed(specs)], *[F.col(f"`{c}`") for c in df.columns])
+    out = base
+    for place, order, rank_if in specs:
+        out = leaderboard(out, order, place=place, partitions=partitions, rank_if=rank_if, single_task_rows=0)
+    return out.select(*[p for p, _, _ in reversed(specs)], *[F.col(f"`{c}`") for c in df.columns])
+
+
 def leaderboard(df: DataFrame, order: Sequence, place: str = "place", partitions: int | None = None,
                 rank_if: Column | None = None, single_task_rows: int = SINGLE_TASK_PLACE_ROWS) -> DataFrame:
     """Places 1..n after a global sort; ties get distinct places (``order`` must be total).

@@ -65,26 +65,78 @@ def discipline_long(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataF
         _discipline_attr(F.col("code"), -1).cast("int").alias("disc_ord"))
 
 
-def discipline_profile(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
-    """Per player x discipline: starts, mean, best, last, mean % of max, gap to
-    max, reserve to own best, trend (mean of the last three minus mean of the
-    earlier ones; NULL with three values or fewer)."""
-    long = discipline_long(starts, order)
-    long = long.withColumn("rn_desc", F.row_number().over(
-        Window.partitionBy("player", "code").orderBy(F.col("pos").desc())))
-    g = long.groupBy("player", "code", "label", "max_score", "disc_ord").agg(
-        F.count("value").alias("starts"),
-        F.avg("value").alias("mean"),
-        F.max("value").alias("best"),
-        F.max(F.when(F.col("rn_desc") == 1, F.col("value"))).alias("last"),
-        F.avg(F.when(F.col("rn_desc") <= 3, F.col("value"))).alias("__recent"),
-        F.avg(F.when(F.col("rn_desc") > 3, F.col("value"))).alias("__earlier"))
+def _entries(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
+    """One pass over the positioned starts: a start row (code '') carrying the
+    event reference, plus one row per discipline; completed discipline values
+    are numbered from the end of the player's order (``rn_desc``).
+
+    Every later aggregate groups by (player, code) or player, so the single
+    shuffle on player of ``positioned`` serves the whole profile."""
+    codes = [d[0] for d in K.DISCIPLINES if d[0] in starts.columns]
+    df = positioned(starts, order)
+    score = F.when(F.col("score") > 0, F.col("score").cast("double"))
+    best = F.when(F.col("event_best") > 0, F.col("event_best").cast("double"))
+    pct = F.coalesce(F.col("pct_of_best").cast("double"), score / best * 100)
+    entries = F.array(
+        F.struct(F.lit("").alias("code"), F.lit(None).cast("double").alias("value")),
+        *[F.struct(F.lit(c).alias("code"), F.col(c).cast("double").alias("value")) for c in codes])
+    long = df.select(
+        "player", "pos",
+        F.coalesce(F.col("event_name").cast("string"), F.lit("")).alias("event"),
+        F.coalesce(F.col("date_text").cast("string"), F.lit("")).alias("date"),
+        score.alias("ref_score"), best.alias("ref_best"), pct.alias("ref_pct"),
+        F.explode(entries).alias("e"))
+    long = long.select("*", F.col("e.code").alias("code"), F.col("e.value").alias("value")).drop("e")
+    done = (F.col("code") != "") & (F.col("value") > 0)
+    long = long.withColumn("completed", done).withColumn("ref_ok", (F.col("code") == "") & F.col(
+        "ref_score").isNotNull() & F.col("ref_best").isNotNull() & F.col("ref_pct").isNotNull())
+    return long.withColumn("rn_desc", F.row_number().over(
+        Window.partitionBy("player", "code").orderBy(F.col("completed").desc(), F.col("pos").desc())))
+
+
+def _by_code(long: DataFrame, with_refs: bool = False) -> DataFrame:
+    """Aggregates per (player, code): discipline figures for codes, start count
+    and event-reference figures for the start rows."""
+    v = lambda cond=None: F.when(F.col("completed") if cond is None else (F.col("completed") & cond),
+                                 F.col("value"))
+    aggs = [
+        F.count(v()).alias("starts"),
+        F.avg(v()).alias("mean"),
+        F.max(v()).alias("best"),
+        F.max(v(F.col("rn_desc") == 1)).alias("last"),
+        F.avg(v(F.col("rn_desc") <= 3)).alias("__recent"),
+        F.avg(v(F.col("rn_desc") > 3)).alias("__earlier"),
+        F.count(F.lit(1)).alias("__rows"),
+        F.sum(F.when(F.col("ref_ok"), F.rint(F.col("ref_pct") * 10))).alias("__tenths"),
+        F.count(F.when(F.col("ref_ok"), F.lit(1))).alias("__refs"),
+    ]
+    if with_refs:
+        aggs.append(F.collect_list(F.when(F.col("ref_ok"), F.struct(
+            F.col("ref_pct").alias("pct"), F.col("pos"), F.col("event"), F.col("date"),
+            F.col("ref_score").alias("score"), F.col("ref_best").alias("event_best")))).alias("__r"))
+    g = long.groupBy("player", "code").agg(*aggs)
     return g.select(
+        "*",
+        _discipline_attr(F.col("code"), 1).alias("label"),
+        _discipline_attr(F.col("code"), 2).cast("double").alias("max_score"),
+        _discipline_attr(F.col("code"), -1).cast("int").alias("disc_ord"))
+
+
+def _profile_cols() -> list[Column]:
+    return [
         "player", "code", "label", "disc_ord", "starts", "mean", "best", "last",
         (F.col("mean") / F.col("max_score") * 100).alias("mean_pct"),
         (F.col("max_score") - F.col("mean")).alias("gap_to_max"),
         F.greatest(F.lit(0.0), F.col("best") - F.col("mean")).alias("reserve_to_best"),
-        (F.col("__recent") - F.col("__earlier")).alias("trend"))
+        (F.col("__recent") - F.col("__earlier")).alias("trend")]
+
+
+def discipline_profile(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
+    """Per player x discipline: starts, mean, best, last, mean % of max, gap to
+    max, reserve to own best, trend (mean of the last three minus mean of the
+    earlier ones; NULL with three values or fewer)."""
+    g = _by_code(_entries(starts, order))
+    return g.filter((F.col("code") != "") & (F.col("starts") > 0)).select(*_profile_cols())
 
 
 def event_refs(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
@@ -109,11 +161,26 @@ def event_refs_ordered(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> Da
         Window.partitionBy("player").orderBy(F.col("pct").asc(), F.col("pos").asc())).cast("bigint"))
 
 
-def _disc_struct(prefix: str = "") -> Column:
-    return F.struct(
-        F.col("mean_pct"), (-F.col("gap_to_max")).alias("neg_gap"), F.col("disc_ord"), F.col("code"),
-        F.col("label"), F.col("starts"), F.col("mean"), F.col("best"), F.col("last"),
-        F.col("gap_to_max"), F.col("reserve_to_best"), F.col("trend"))
+def _per_player(starts: DataFrame, order: Sequence, with_refs: bool) -> DataFrame:
+    g = _by_code(_entries(starts, order), with_refs)
+    disc = F.when((F.col("code") != "") & (F.col("starts") > 0), F.struct(
+        (F.col("mean") / F.col("max_score") * 100).alias("mean_pct"),
+        (F.col("mean") - F.col("max_score")).alias("neg_gap"),
+        F.col("disc_ord"), F.col("code"), F.col("label"), F.col("starts"), F.col("mean"), F.col("best"),
+        F.col("last"), (F.col("max_score") - F.col("mean")).alias("gap_to_max"),
+        F.greatest(F.lit(0.0), F.col("best") - F.col("mean")).alias("reserve_to_best"),
+        (F.col("__recent") - F.col("__earlier")).alias("trend")))
+    start_row = F.col("code") == ""
+    aggs = [
+        F.array_sort(F.collect_list(disc)).alias("disciplines"),
+        F.max(F.when(start_row, F.col("__rows"))).alias("starts"),
+        F.max(F.when(start_row & (F.col("__refs") > 0), F.col("__tenths") / F.col("__refs") / 10))
+        .alias("mean_event_pct"),
+    ]
+    if with_refs:
+        aggs.append(F.max(F.when(start_row, F.col("__r"))).alias("__r"))
+    # same partitioning as the (player, code) aggregate: no further shuffle
+    return g.groupBy("player").agg(*aggs).filter(F.size("disciplines") > 0)
 
 
 def weakness_summary(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
@@ -121,29 +188,23 @@ def weakness_summary(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> Data
     discipline, its figures and trend text, total gap, mean %, mean event pct,
     all-starts count, and the report rank (weakest mean % ascending, total gap
     descending, player)."""
-    prof = discipline_profile(starts, order)
-    per_player = prof.groupBy("player").agg(
-        F.array_sort(F.collect_list(_disc_struct())).alias("disciplines"))
+    p = _per_player(starts, order, with_refs=False)
     # sums over at most five disciplines, folded in the report's order
-    per_player = per_player.select(
-        "player", "disciplines",
+    out = p.select(
+        "player", "starts",
         F.col("disciplines")[0].alias("w"),
-        (F.aggregate("disciplines", F.lit(0.0), lambda acc, x: acc + x["gap_to_max"])).alias("overall_gap"),
+        F.aggregate("disciplines", F.lit(0.0), lambda acc, x: acc + x["gap_to_max"]).alias("overall_gap"),
         (F.aggregate("disciplines", F.lit(0.0), lambda acc, x: acc + x["mean_pct"])
-         / F.size("disciplines")).alias("mean_pct"))
-    pos = positioned(starts, order)
-    counts = pos.groupBy("player").agg(F.count(F.lit(1)).alias("starts"))
-    refs = event_refs(starts, order).groupBy("player").agg(
-        (F.sum(F.rint(F.col("pct") * 10)) / F.count("pct") / 10).alias("mean_event_pct"))
-    out = per_player.join(counts, "player", "left").join(refs, "player", "left")
+         / F.size("disciplines")).alias("mean_pct"),
+        "mean_event_pct")
     out = out.select(
         "player", "starts",
         F.col("w.code").alias("weakest_code"), F.col("w.label").alias("weakest_label"),
         F.col("w.mean").alias("weakest_mean"), F.col("w.mean_pct").alias("weakest_mean_pct"),
         F.col("w.gap_to_max").alias("weakest_gap"), F.col("w.reserve_to_best").alias("weakest_reserve"),
         F.col("w.trend").alias("weakest_trend"), trend_label(F.col("w.trend")).alias("trend_text"),
-        "overall_gap", "mean_pct", "mean_event_pct", "disciplines")
-    ranked = leaderboard(out.drop("disciplines").withColumn("__neg_gap", -F.col("overall_gap")),
+        "overall_gap", "mean_pct", "mean_event_pct")
+    ranked = leaderboard(out.withColumn("__neg_gap", -F.col("overall_gap")),
                          [F.col("weakest_mean_pct").asc(), F.col("__neg_gap").asc(), F.col("player").asc()],
                          place="report_rank")
     return ranked.drop("__neg_gap")
@@ -152,28 +213,26 @@ def weakness_summary(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> Data
 def weakness_nested(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
     """The nested report: player, starts, weakest (struct), disciplines (array of
     structs, weakest first), event_refs (array, by pct), mean event pct, total gap, mean %."""
-    prof = discipline_profile(starts, order)
-    per_player = prof.groupBy("player").agg(F.array_sort(F.collect_list(_disc_struct())).alias("__d"))
-    disc = F.transform("__d", lambda x: F.struct(
+    p = _per_player(starts, order, with_refs=True)
+    disc = F.transform("disciplines", lambda x: F.struct(
         x["code"].alias("code"), x["label"].alias("label"), x["starts"].alias("starts"), x["mean"].alias("avg"),
         x["best"].alias("best"), x["last"].alias("last"), x["mean_pct"].alias("avg_pct"),
         x["gap_to_max"].alias("improvement_to_max"), x["reserve_to_best"].alias("reserve_to_best"),
         x["trend"].alias("trend")))
-    refs = event_refs(starts, order).groupBy("player").agg(
-        F.array_sort(F.collect_list(F.struct("pct", "pos", "event", "date", "score", "event_best"))).alias("__r"))
-    counts = positioned(starts, order).groupBy("player").agg(F.count(F.lit(1)).alias("starts"))
-    out = per_player.join(counts, "player", "left").join(refs, "player", "left")
-    refs_arr = F.transform(F.coalesce(F.col("__r"), F.array()), lambda x: F.struct(
+    refs = F.coalesce(F.col("__r"), F.array())
+    refs_sorted = F.array_sort(refs)
+    refs_arr = F.transform(refs_sorted, lambda x: F.struct(
         x["event"].alias("event"), x["date"].alias("date"), x["score"].alias("score"),
         x["event_best"].alias("event_best"), x["pct"].alias("pct")))
-    return out.select(
+    # the mean event percentage sums in input order, as a plain loop would
+    in_order = F.array_sort(F.transform(refs, lambda x: F.struct(x["pos"].alias("p"), x["pct"].alias("v"))))
+    return p.select(
         "player", "starts",
         disc[0].alias("weakest"),
         disc.alias("disciplines"),
         refs_arr.alias("event_refs"),
-        F.when(F.size(F.coalesce("__r", F.array())) > 0,
-               F.aggregate(F.array_sort(F.transform(F.coalesce("__r", F.array()), lambda x: F.struct(
-                   x["pos"].alias("p"), x["pct"].alias("v")))),
-                   F.lit(0.0), lambda a, x: a + x["v"]) / F.size("__r")).alias("avg_event_pct"),
-        F.aggregate("__d", F.lit(0.0), lambda a, x: a + x["gap_to_max"]).alias("overall_gap"),
-        (F.aggregate("__d", F.lit(0.0), lambda a, x: a + x["mean_pct"]) / F.size("__d")).alias("avg_pct"))
+        F.when(F.size(refs) > 0, F.aggregate(in_order, F.lit(0.0), lambda a, x: a + x["v"]) / F.size(refs))
+        .alias("avg_event_pct"),
+        F.aggregate("disciplines", F.lit(0.0), lambda a, x: a + x["gap_to_max"]).alias("overall_gap"),
+        (F.aggregate("disciplines", F.lit(0.0), lambda a, x: a + x["mean_pct"]) / F.size("disciplines"))
+        .alias("avg_pct"))

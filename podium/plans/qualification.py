@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from podium.functions.dates import parse_event_dates
 from podium.functions.text import half_even
-from podium.operators.groupwise import best_per_group, leaderboard, nth_largest, ordered_concat, running_number
+from podium.operators.groupwise import (best_per_group, leaderboard, leaderboards, nth_largest, ordered_concat,
+                                       running_number)
 from podium.operators.partitioning import evaluate_once
 from podium.operators.windows import window_flags
 from podium.plans.boards import asc, desc, scored
@@ -104,10 +105,11 @@ def qualification_board(results: DataFrame, windows: Mapping[str, tuple], distri
         F.when(has2, F.col("champ_events")).alias("champ_events"),
         F.when(has1, F.col("all_starts")).alias("all_starts"),
         has1.alias("__has1"), has2.alias("__has2"))
-    g = leaderboard(g, [F.col("__has2").desc(), desc("champ_sum_top5"), desc("__champ_best"), desc("champ_counted"),
-                        asc("player"), asc("district")], place="champ_place", rank_if=F.col("__has2"))
-    g = leaderboard(g, [F.col("__has1").desc(), desc("sum_top3"), desc("best_1"), desc("starts"),
-                        asc("player"), asc("district")], place="place", rank_if=F.col("__has1"))
+    g = leaderboards(g, [
+        ("champ_place", [F.col("__has2").desc(), desc("champ_sum_top5"), desc("__champ_best"), desc("champ_counted"),
+                         asc("player"), asc("district")], F.col("__has2")),
+        ("place", [F.col("__has1").desc(), desc("sum_top3"), desc("best_1"), desc("starts"),
+                   asc("player"), asc("district")], F.col("__has1"))])
     return g.select(
         "place", "player", "district", "sum_top3", "mean_top3", "mean_top5_first", "counted", "starts",
         *[f"best_{k}" for k in range(1, 6)],

@@ -2,7 +2,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import results_frame
-from podium.operators import best_per_group, first_per_key, leaderboard, top_n_per_group, union_by_name
+from podium.operators import best_per_group, first_per_key, leaderboard, leaderboards, top_n_per_group, union_by_name
 from podium.operators.windows import window_membership, windows_frame
 
 
@@ -62,3 +62,11 @@ def test_window_membership_overlapping(spark):
     w = windows_frame(spark, {"a": ("2026-05-16", "2026-08-16"), "b": ("2026-08-01", "2026-09-09")})
     got = sorted((r["url"], r["window_id"]) for r in window_membership(df, w).collect())
     assert got == [("u1", "a"), ("u2", "a"), ("u2", "b")]
+
+
+def test_leaderboards_small_and_range_agree(spark):
+    df = spark.createDataFrame([(i, i % 5, (i * 7) % 11) for i in range(200)], "id int, a int, b int")
+    specs = [("pa", [F.col("a").desc(), F.col("id")], None), ("pb", [F.col("b").asc(), F.col("id").desc()], None)]
+    small = {r["id"]: (r["pa"], r["pb"]) for r in leaderboards(df, specs).collect()}
+    big = {r["id"]: (r["pa"], r["pb"]) for r in leaderboards(df, specs, partitions=3, single_task_rows=0).collect()}
+    assert small == big and len(small) == 200
