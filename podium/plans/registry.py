@@ -8,18 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.functions.dates import dates_to_iso, parse_event_dates
+from podium.functions.text import clean_text, first_link, format_number, null_to_text, split_names
+from podium.operators.groupwise import first_per_key, leaderboard, nth_largest, ordered_concat, top_n_per_group
 from podium.operators.windows import events_in_period, window_hull, window_membership, windows_frame
 from podium.plans import bindings as B
-from podium.plans import boards, oracle, profile as P, qualification as Q
+from podium.plans import boards, oracle, rendering
+from podium.plans import profile as P
+from podium.plans import qualification as Q
 from podium.plans import report as R
-from podium.plans.supplement import with_supplement
-from podium.functions.text import clean_text, first_link, format_number, null_to_text, split_names
-from podium.operators.groupwise import first_per_key, leaderboard, nth_largest, ordered_concat, top_n_per_group
+from podium.plans.supplement import CSV_HEADER, supplement_rows, with_supplement
 from podium.session import scratch_path
-from podium.sources.tables import read_csv_text, read_tables, run_metrics, write_tables
-from podium.plans.supplement import CSV_HEADER, supplement_rows
-from podium.plans import rendering
 from podium.sources import html_tables as H
+from podium.sources.tables import read_csv_text, read_tables, run_metrics, write_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 

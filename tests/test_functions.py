@@ -124,3 +124,9 @@ def test_threshold_band(spark, points, cat, label):
 def test_first_link(spark, cell, base, expected):
     df = spark.createDataFrame([(cell, base)], "c string, b string")
     assert df.select(first_link(F.col("c"), F.col("b")).alias("l")).first()["l"] == expected
+
+
+def test_format_day(spark):
+    from podium.functions import format_day
+    df = spark.createDataFrame([(D(2026, 8, 1),)], "d date")
+    assert df.select(format_day("d").alias("t")).first()["t"] == "01.08.2026"

@@ -70,3 +70,15 @@ def test_leaderboards_small_and_range_agree(spark):
     small = {r["id"]: (r["pa"], r["pb"]) for r in leaderboards(df, specs).collect()}
     big = {r["id"]: (r["pa"], r["pb"]) for r in leaderboards(df, specs, partitions=3, single_task_rows=0).collect()}
     assert small == big and len(small) == 200
+
+
+def test_pivot_unpivot_nest(spark):
+    from podium.operators import nest_rows, pivot_ordinals, unpivot_measures
+    df = spark.createDataFrame([("T", 1, "a"), ("T", 2, "b"), ("U", 1, "c")], "d string, n int, p string")
+    wide = {r["d"]: r for r in df.groupBy("d").agg(*pivot_ordinals("n", "p", 3, "player_")).collect()}
+    assert (wide["T"]["player_1"], wide["T"]["player_2"], wide["T"]["player_3"]) == ("a", "b", None)
+    m = spark.createDataFrame([("x", 1.0, None)], "id string, m_skeet double, m_lane double")
+    long = unpivot_measures(m, ["id"], ["m_skeet", "m_lane", "m_trap"])
+    assert sorted((r["code"], r["value"]) for r in long.collect() if r["value"] is not None) == [("m_skeet", 1.0)]
+    nested = nest_rows(df, ["d"], ["n", "p"], "items", sort_key=["n"]).filter("d = 'T'").first()["items"]
+    assert [x["p"] for x in nested] == ["a", "b"]
