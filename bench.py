@@ -27,7 +27,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from podium.session import get_session
     from podium.plans import registry
-    spark = get_session("podium-bench", f"local[{cpus}]", shuffle_partitions=2 * cpus)
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cpus)))
+    spark = get_session("podium-bench", f"local[{cpus}]", shuffle_partitions=shuffle)
     names = sys.argv[1:] or HEADLINE
     # untimed warm-up on the smallest data set: JVM start, class loading, JIT
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")

@@ -14,7 +14,7 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     no-op; only an under-partitioned input pays one round-robin shuffle."""
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    current = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    current = df.rdd.getNumPartitions()
     return df.repartition(target) if current < target else df
 
 

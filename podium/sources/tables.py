@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,11 +45,12 @@ def read_csv_text(spark: SparkSession, path: str, rename: Mapping[str, str]) ->
     A missing file yields zero rows, not an error."""
     targets = list(dict.fromkeys(rename.values()))
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in targets])
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    try:
+        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     cols = []
     for t in targets:
         src = [h for h, v in rename.items() if v == t and h in raw.columns]
