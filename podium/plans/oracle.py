@@ -262,7 +262,7 @@ un AS (
 SUPPLEMENT_KNOWN_PLAYERS = _with(SUPP_CTES) + "SELECT * FROM supp"
 SUPPLEMENT_UNION = _with(SUPP_CTES) + "SELECT * FROM un"
 
-EVENTS_WITH_STARTS = _with(SUPP_CTES, f"""
+EWS_CTES = f"""
 ev_all AS (
   SELECT season, schedule_table_no, schedule_lp, event_name, organizer, venue, date_text, results_url,
          CASE WHEN d2 IS NULL THEN strftime(d1, '%Y-%m-%d')
@@ -272,7 +272,9 @@ ev_all AS (
   SELECT {_q(SE['season'])}, CAST(NULL AS INTEGER), {_q(SE['schedule_lp'])}, {_q(SE['event_name'])},
          {_q(SE['organizer'])}, {_q(SE['venue'])}, {_q(SE['date_text'])}, {_q(SE['results_url'])}, {_q(SE['date_text'])}),
 dst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player, district, event_name ORDER BY score DESC, row_seq) AS rn0
-                       FROM un WHERE score IS NOT NULL AND lower(trim(district)) = {_q(B.SUPPLEMENT_DISTRICT)}) WHERE rn0 = 1)""") + """
+                       FROM un WHERE score IS NOT NULL AND lower(trim(district)) = {_q(B.SUPPLEMENT_DISTRICT)}) WHERE rn0 = 1)"""
+
+EVENTS_WITH_STARTS = _with(SUPP_CTES, EWS_CTES) + """
 SELECT * FROM ev_all WHERE results_url IN (SELECT results_url FROM dst WHERE results_url IS NOT NULL)"""
 
 _CODES = [d[0] for d in K.DISCIPLINES]
@@ -468,11 +470,14 @@ COERCE_SCORES = f"""
 SELECT event_id, {coerce(_K)} AS k_num, {coerce('CAST(value AS VARCHAR)')} AS value_num,
        {coerce("event_type || ' ' || " + _K)} AS junk_num FROM events"""
 
-RUN_METRICS = _with() + f"""
+RUN_METRICS = _with(SUPP_CTES, EWS_CTES) + f"""
 SELECT 'results' AS metric, count(*) AS value FROM results
 UNION ALL SELECT 'players', count(*) FROM (SELECT DISTINCT player, district FROM results)
 UNION ALL SELECT 'events', count(*) FROM events_b
-UNION ALL SELECT 'events_in_period', count(*) FROM events_b WHERE {_in(_lo, _hi)}"""
+UNION ALL SELECT 'events_in_period', count(*) FROM events_b WHERE {_in(_lo, _hi)}
+UNION ALL SELECT 'schedule_tables', 3 * count(DISTINCT o_orderkey // {50}) FROM events_b
+UNION ALL SELECT 'district_events', count(*) FROM ev_all
+          WHERE results_url IN (SELECT results_url FROM dst WHERE results_url IS NOT NULL)"""
 
 SCALABLE_PLACE = _with() + """
 SELECT row_number() OVER (ORDER BY score DESC NULLS LAST, row_seq) AS place, row_seq, player, score FROM results"""

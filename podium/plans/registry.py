@@ -209,9 +209,11 @@ def q_coerce_scores(spark, d):
 def q_run_metrics(spark, d):
     res = _results(spark, d)
     lo, hi = window_hull(B.WINDOWS)
-    return run_metrics(results=res, players=res.select("player", "district").distinct(),
-                       events=B.events(spark, d),
-                       events_in_period=events_in_period(B.events(spark, d), lo, hi))
+    ev = B.events(spark, d)
+    return run_metrics(results=res, players=res.select("player", "district").distinct(), events=ev,
+                       events_in_period=events_in_period(ev, lo, hi),
+                       schedule_tables=H.page_tables(rendering.schedule_pages(ev)),
+                       district_events=q_events_with_starts(spark, d))
 
 
 def q_scalable_place(spark, d):
