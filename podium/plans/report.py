@@ -73,7 +73,7 @@ def text_sort_key(c: Column) -> Column:
 
 
 def sort_rows(df: DataFrame, key: str, direction: str = "asc", input_order: Sequence[Column] | None = None,
-              missing_last: bool = True, position: str = "position") -> DataFrame:
+              missing_last: bool = True, position: str = "position", **place_options) -> DataFrame:
     """The interactive sort as a ``position`` column (1..n).
 
     Numeric columns sort numerically; text columns by ``text_sort_key``.  With
@@ -95,7 +95,7 @@ def sort_rows(df: DataFrame, key: str, direction: str = "asc", input_order: Sequ
     ordered = [F.col("__missing").asc(),
                F.col("__sk").desc_nulls_last() if direction == "desc" else F.col("__sk").asc_nulls_last(),
                *input_order]
-    out = leaderboard(keyed, ordered, place=position)
+    out = leaderboard(keyed, ordered, place=position, **place_options)
     return out.drop("__missing", "__sk")
 
 

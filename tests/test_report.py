@@ -45,3 +45,12 @@ def test_flags_and_top_six(spark):
     assert flags["P6"]["is_final"] and not flags["P7"]["is_final"] and flags["P3"]["is_championship"]
     assert not flags["P8"]["is_final"] and not flags["P8"]["is_championship"]
     assert [r["player"] for r in R.top_six(board).orderBy("position").collect()] == [f"P{i}" for i in range(1, 7)]
+
+
+def test_sort_rows_range_path_with_collated_key(spark):
+    names = ["Zyta", "Łoś", "ala", "Las", "Ąb", "10.x", "2.x"] * 30
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, i int")
+    small = {r["i"]: r["position"] for r in R.sort_rows(df, "name", "desc", input_order=[F.col("i")]).collect()}
+    big = {r["i"]: r["position"] for r in R.sort_rows(df, "name", "desc", input_order=[F.col("i")],
+                                                      partitions=4, single_task_rows=0).collect()}
+    assert small == big
