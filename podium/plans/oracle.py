@@ -364,6 +364,26 @@ SELECT * FROM qb WHERE """ + " OR ".join(
     for k in ("player", "events_top3", "champ_events", "all_starts"))
 
 
+STARTS_QUERY = " .03.1997 "
+SEARCH_STARTS = _with(STARTS_CTES) + f"""
+SELECT * FROM (
+  SELECT bs.player, bs.district, bs.event_name, bs.score, eb.event_best,
+         {half_even('bs.score / eb.event_best * 100', 1)} AS pct_of_best, bs.klass, bs.date_text, bs.venue,
+         bs.results_url, bs.m_skeet, bs.m_lane, bs.m_trap, bs.m_boar, bs.m_buck
+  FROM bs LEFT JOIN eb ON bs.event_name = eb.event_name)
+WHERE """ + " OR ".join(f"contains(lower(coalesce({k}, '')), {_q(STARTS_QUERY.strip().lower())})"
+                        for k in ("player", "event_name", "date_text"))
+
+EVENTS_QUERY = "Nation_1"
+SEARCH_EVENTS = _with() + f"""
+SELECT season, schedule_table_no, schedule_lp, event_name, organizer, venue, date_text, results_url,
+       CASE WHEN d2 IS NULL THEN strftime(d1, '%Y-%m-%d')
+            ELSE strftime(d1, '%Y-%m-%d') || ', ' || strftime(d2, '%Y-%m-%d') END AS dates_iso
+FROM events_b WHERE {_in(_lo, _hi)} AND (""" + " OR ".join(
+    f"contains(lower(coalesce({k}, '')), {_q(EVENTS_QUERY.strip().lower())})"
+    for k in ("event_name", "organizer", "date_text")) + ")"
+
+
 def _json_val(col: str, kind: str) -> str:
     if kind == "double":
         v = (f"CASE WHEN isnan({col}) THEN 'NaN' WHEN abs({col}) < 9.0e18 AND {col} = floor({col}) "
@@ -533,6 +553,8 @@ def queries() -> dict[str, str]:
         "qualification_flags": QUALIFICATION_FLAGS,
         "sorted_board": SORTED_BOARD,
         "search_board": SEARCH_BOARD,
+        "search_starts": SEARCH_STARTS,
+        "search_events": SEARCH_EVENTS,
         "json_records": JSON_RECORDS,
         "clean_text_docs": CLEAN_TEXT_DOCS,
         "search_docs": SEARCH_DOCS,

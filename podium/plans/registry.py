@@ -147,6 +147,15 @@ def q_search_board(spark, d):
     return R.search_rows(_board(spark, d), R.RANKING_SEARCH_KEYS, oracle.SEARCH_QUERY)
 
 
+def q_search_starts(spark, d):
+    return R.search_rows(_starts(spark, d), R.STARTS_SEARCH_KEYS, oracle.STARTS_QUERY)
+
+
+def q_search_events(spark, d):
+    lo, hi = window_hull(B.WINDOWS)
+    return R.search_rows(events_in_period(B.events(spark, d), lo, hi), R.EVENTS_SEARCH_KEYS, oracle.EVENTS_QUERY)
+
+
 def q_json_records(spark, d):
     return R.json_records(_board(spark, d))
 
@@ -289,6 +298,8 @@ QUERIES: dict[str, Query] = {
     "qualification_flags": q_qualification_flags,
     "sorted_board": q_sorted_board,
     "search_board": q_search_board,
+    "search_starts": q_search_starts,
+    "search_events": q_search_events,
     "json_records": q_json_records,
     "clean_text_docs": q_clean_text_docs,
     "search_docs": q_search_docs,

@@ -19,6 +19,21 @@ STARTS_SEARCH_KEYS = ("player", "event_name", "date_text")
 EVENTS_SEARCH_KEYS = ("event_name", "organizer", "date_text")
 
 
+# First-click sort direction per table: ranking keys place / player / championship
+# place start ascending, its other keys descending; starts sort by score descending,
+# everything else ascending; events always start ascending.
+_ASCENDING_RANKING_KEYS = ("place", "player", "champ_place")
+
+
+def default_direction(table: str, key: str) -> str:
+    """Direction of the first sort on ``key`` in ``table`` ('ranking' | 'starts' | 'events')."""
+    if table == "ranking":
+        return "asc" if key in _ASCENDING_RANKING_KEYS else "desc"
+    if table == "starts":
+        return "desc" if key == "score" else "asc"
+    return "asc"
+
+
 def board_order() -> list[Column]:
     return [F.col("place").asc_nulls_last(), F.col("champ_place").asc_nulls_last()]
 
