@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from podium import constants as K
 from podium.functions.text import clean_text, coerce_number, decode_entities, first_link, season_of
-from podium.operators.groupwise import first_per_key
+from podium.operators.groupwise import first_per_key, leaderboard
 from podium.operators.partitioning import evaluate_once
 
 TABLE_OPEN = r"(?i)<table\b[^>]*>"
@@ -139,6 +139,16 @@ def extract_results(pages: DataFrame, aliases: Mapping[str, str] | None = None,
     return out.filter(F.col("score").isNotNull())
 
 
+def crawl_order(events: DataFrame) -> DataFrame:
+    """Events with their crawl order as ``event_seq``: season descending, date text,
+    name, then URL (the schedule order, made total)."""
+    if "event_seq" in events.columns:
+        return events
+    order = [F.col("season").desc_nulls_last(), F.col("date_text").asc_nulls_last(),
+             F.col("event_name").asc_nulls_last(), F.col("results_url").asc_nulls_last()]
+    return leaderboard(events, order, place="event_seq")
+
+
 def with_lineage(rows: DataFrame, events: DataFrame) -> DataFrame:
     """Stamp each result row with its event (season, name, date text, venue,
     URL): the per-event loop of a crawler becomes one equi join on the URL."""

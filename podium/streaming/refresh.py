@@ -11,32 +11,21 @@ exactly-once), then recomputes the boards over all results.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from podium.operators.groupwise import leaderboard
 from podium.plans import boards
-from podium.sources.html_tables import extract_results, with_lineage
+from podium.sources.html_tables import crawl_order, extract_results, with_lineage
 from podium.sources.tables import write_tables
 
 PAGES_SCHEMA = "url string, html string"
 
 
-def _sequenced(events: DataFrame) -> DataFrame:
-    """Events with their crawl order (season desc, date text, name, URL) as ``event_seq``."""
-    if "event_seq" in events.columns:
-        return events
-    order = [F.col("season").desc_nulls_last(), F.col("date_text").asc_nulls_last(),
-             F.col("event_name").asc_nulls_last(), F.col("results_url").asc_nulls_last()]
-    return leaderboard(events, order, place="event_seq")
-
-
 def refresh_boards(spark: SparkSession, pages_dir: str, events: DataFrame, out_dir: str,
                    checkpoint_dir: str | None = None) -> StreamingQuery:
     """Start one ``availableNow`` refresh; returns the query (``awaitTermination()`` to wait)."""
     base = out_dir.rstrip("/")
     ckpt = checkpoint_dir or f"{base}/_checkpoint"
-    seq_events = _sequenced(events)
+    seq_events = crawl_order(events)
     results_path = f"{base}/results"
 
     def batch(pages: DataFrame, epoch_id: int) -> None:
