@@ -50,43 +50,37 @@ def row_texts(row_html: Column, sep: str = "") -> Column:
     return _after_first(F.split(text, _CELL_MARK))
 
 
-def page_tables(pages: DataFrame, url: str = "url", html: str = "html", sep: str = "") -> DataFrame:
-    """(url, table_no, table_html, rows): every table of every page, 1-based in
-    page order; ``rows`` is ARRAY<STRUCT<html, header: BOOLEAN, texts: ARRAY<STRING>>>
-    where ``header`` marks a row of <th> cells only and ``texts`` holds the
-    cleaned cell texts (tags replaced by ``sep``).
+def page_tables(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(url, table_no, table_html, rows_html, n_header): every table of every page,
+    1-based in page order; ``rows_html`` holds the rows that have cells and
+    ``n_header`` counts the leading rows made of <th> cells only.
 
     Tables and rows are cut with ``split`` on their opening tags (one linear pass
-    per level); a cell runs to the next cell, a row to the next row."""
+    per level); a cell runs to the next cell, a row to the next row.  Only cheap
+    tests run inside the array lambdas; cell texts are taken later, per row, as
+    top-level (code-generated) expressions."""
     pieces = _after_first(F.split(F.col(html), TABLE_OPEN))
     tables = F.transform(pieces, lambda p: F.split(p, TABLE_CLOSE, 2)[0])
     t = pages.select(F.col(url).alias("url"), F.posexplode(tables).alias("pos", "table_html"))
-    rows = F.transform(_after_first(F.split("table_html", ROW_OPEN)), lambda r: F.struct(
-        r.alias("html"), (~r.rlike(r"(?i)<td\b")).alias("header"), row_texts(r, sep).alias("texts")))
-    rows = F.filter(rows, lambda r: F.size(r["texts"]) > 0)
-    return evaluate_once(
-        t.select("url", (F.col("pos") + 1).cast("int").alias("table_no"), "table_html", rows.alias("rows")))
-
-
-def _header_count(rows: Column) -> Column:
-    """Number of leading rows made only of <th> cells."""
-    flags = F.transform(rows, lambda r: r["header"])
-    first_body = F.array_position(flags, F.lit(False))
-    return F.when(first_body == 0, F.size(rows)).otherwise(first_body - 1).cast("int")
+    rows = F.filter(_after_first(F.split("table_html", ROW_OPEN)), lambda r: r.rlike(r"(?i)<t[hd]\b"))
+    body_flags = F.transform(rows, lambda r: r.rlike(r"(?i)<td\b"))
+    first_body = F.array_position(body_flags, F.lit(True))
+    nh = F.when(first_body == 0, F.size(rows)).otherwise(first_body - 1).cast("int")
+    return evaluate_once(t.select("url", (F.col("pos") + 1).cast("int").alias("table_no"), "table_html",
+                                  rows.alias("rows_html"), nh.alias("n_header")))
 
 
 def result_tables(pages: DataFrame, aliases: Mapping[str, str] | None = None,
                   required: Sequence[str] = K.REQUIRED_RESULT_COLUMNS) -> DataFrame:
     """Tables of result pages with their canonical header labels:
-    (url, table_no, labels, canonical, n_header, rows, accepted, missing)."""
+    (url, table_no, table_html, rows_html, n_header, labels, canonical, missing, accepted)."""
     aliases = aliases or K.HEADER_ALIASES
     t = page_tables(pages)
-    nh = _header_count(F.col("rows"))
     alias_map = F.create_map(*[x for kv in aliases.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     # multi-level headers: the last header row gives the label of each column
-    labels = F.when(nh > 0, F.try_element_at("rows", nh)["texts"]) \
+    labels = F.when(F.col("n_header") > 0, row_texts(F.try_element_at("rows_html", F.col("n_header")), "")) \
         .otherwise(F.array().cast("array<string>"))
-    t = t.withColumn("n_header", nh).withColumn("labels", labels)
+    t = t.withColumn("labels", labels)
     t = t.withColumn("canonical", F.transform("labels", lambda x: F.coalesce(F.element_at(alias_map, x), x)))
     req = F.array(*[F.lit(r) for r in required])
     t = evaluate_once(t.withColumn("missing", F.array_except(req, F.col("canonical"))))
@@ -114,14 +108,14 @@ def extract_results(pages: DataFrame, aliases: Mapping[str, str] | None = None,
     a missing class or district column gives ''."""
     names = ["player", "klass", "district", *K.NUMERIC_RESULT_COLUMNS]
     t = result_tables(pages, aliases).filter("accepted")
-    body = F.slice(F.col("rows"), (F.col("n_header") + 1).cast("int"),
-                   F.greatest(F.size("rows") - F.col("n_header"), F.lit(0)).cast("int"))
+    body = F.slice(F.col("rows_html"), (F.col("n_header") + 1).cast("int"),
+                   F.greatest(F.size("rows_html") - F.col("n_header"), F.lit(0)).cast("int"))
     # column positions are looked up once per table, cell texts once per row
     t = t.select("url", "table_no", body.alias("body"),
                  *[F.array_position(F.col("canonical"), F.lit(n)).cast("int").alias(f"__i_{n}") for n in names])
     r = t.select("url", "table_no", *[f"__i_{n}" for n in names], F.posexplode("body").alias("pos", "row"))
-    r = r.select("url", "table_no", (F.col("pos") + 1).cast("int").alias("row_no"),
-                 *[f"__i_{n}" for n in names], F.col("row.texts").alias("__t"))
+    r = evaluate_once(r.select("url", "table_no", (F.col("pos") + 1).cast("int").alias("row_no"),
+                               *[f"__i_{n}" for n in names], row_texts(F.col("row"), "").alias("__t")))
 
     def cell(name: str) -> Column:
         i = F.col(f"__i_{name}")
@@ -171,16 +165,16 @@ def extract_schedule(pages: DataFrame, base_url: str, headers: Mapping[str, str]
     column, rows without a link and links starting with 'brak' are dropped;
     the results link is made absolute against ``base_url``."""
     headers = headers or K.SCHEDULE_HEADERS
-    t = page_tables(pages, sep=" ")
-    first = F.try_element_at("rows", F.lit(1))["texts"]
+    t = page_tables(pages)
+    first = row_texts(F.try_element_at("rows_html", F.lit(1)), " ")
     t = evaluate_once(t.withColumn("labels", first))
     ok = F.forall(F.array(*[F.lit(h) for h in headers]), lambda h: F.array_contains(F.col("labels"), h))
-    t = t.filter(F.size("rows") > 0).filter(ok)
-    body = F.slice(F.col("rows"), 2, F.greatest(F.size("rows") - 1, F.lit(0)))
+    t = t.filter(F.size("rows_html") > 0).filter(ok)
+    body = F.slice(F.col("rows_html"), 2, F.greatest(F.size("rows_html") - 1, F.lit(0)))
     r = t.select("url", F.col("table_no").alias("schedule_table_no"), "labels",
                  F.posexplode(body).alias("pos", "row"))
     # <td> cells only (a <th> inside a body row ends the preceding cell)
-    tds = F.transform(_after_first(F.split(F.col("row.html"), TD_OPEN)), lambda c: F.split(c, TH_OPEN, 2)[0])
+    tds = F.transform(_after_first(F.split(F.col("row"), TD_OPEN)), lambda c: F.split(c, TH_OPEN, 2)[0])
     r = evaluate_once(r.withColumn("tds", tds).withColumn("row_no", (F.col("pos") + 1).cast("int")))
 
     def idx(label: str) -> Column:
