@@ -52,8 +52,13 @@ def season_run(spark: SparkSession, pages: DataFrame, events: DataFrame, out_dir
 def qualification_run(spark: SparkSession, pages: DataFrame, events: DataFrame, windows: Mapping[str, tuple],
                       out_dir: str, district: str | None = None, supplement: DataFrame | None = None,
                       supplement_event: Mapping | None = None, district_label: str | None = None,
-                      first: str = "final", second: str = "championship") -> dict[str, str]:
-    """Window qualification for one district; returns the written table paths."""
+                      first: str = "final", second: str = "championship",
+                      export_tables: bool = True) -> dict[str, str]:
+    """Window qualification for one district; returns the written table paths.
+
+    The report (JSON records of ranking, starts and events, the weakness report
+    and the run counters) is always written; ``export_tables`` gates the plain
+    three-table export, as the original's export switch does."""
     lo, hi = window_hull({first: windows[first], second: windows[second]})
     period = events_in_period(events, lo, hi)              # push the hull down before reading pages
     results = ingest(spark, pages, period.drop("dates_iso"))
@@ -67,13 +72,16 @@ def qualification_run(spark: SparkSession, pages: DataFrame, events: DataFrame,
     starts = Q.starts_table(results, district)
     district_events = Q.events_with_starts(all_events, starts)
     weakness = profile.weakness_nested(starts)
-    paths = write_tables(out_dir, {"ranking": ranking, "starts": starts, "events": district_events,
-                                   "weakness": weakness})
+    tables_dir = out_dir if export_tables else scratch_path(spark, "qualification")
+    paths = write_tables(tables_dir, {"ranking": ranking, "starts": starts, "events": district_events})
+    paths.update(write_tables(out_dir, {"weakness": weakness}))
     for name in ("ranking", "starts", "events"):
         report.json_records(spark.read.parquet(paths[name])).write.mode("overwrite").text(f"{out_dir}/{name}_json")
+    if not export_tables:
+        paths = {k: v for k, v in paths.items() if k not in ("ranking", "starts", "events")}
     metrics = run_metrics(events=events, events_in_period=period, results=results,
-                          district_starts=spark.read.parquet(paths["starts"]),
-                          players=spark.read.parquet(paths["ranking"]),
-                          district_events=spark.read.parquet(paths["events"]))
+                          district_starts=spark.read.parquet(f"{tables_dir}/starts"),
+                          players=spark.read.parquet(f"{tables_dir}/ranking"),
+                          district_events=spark.read.parquet(f"{tables_dir}/events"))
     paths.update(write_tables(out_dir, {"run_metrics": metrics}))
     return paths

@@ -26,3 +26,12 @@ def test_qualification_run(spark, tmpdir_path):
     metrics = {r["metric"]: r["value"] for r in spark.read.parquet(paths["run_metrics"]).collect()}
     assert metrics["events_in_period"] <= metrics["events"]
     assert spark.read.text(os.path.join(out, "ranking_json")).count() == ranking.count()
+
+
+def test_qualification_run_without_table_export(spark, tmpdir_path):
+    res = B.results(spark, SF)
+    out = os.path.join(tmpdir_path, "q2")
+    paths = qualification_run(spark, rendering.result_pages(res), B.events(spark, SF), B.WINDOWS, out,
+                              district="nation_3", export_tables=False)
+    assert "ranking" not in paths and not os.path.exists(os.path.join(out, "ranking"))
+    assert os.path.exists(os.path.join(out, "ranking_json")) and "run_metrics" in paths
