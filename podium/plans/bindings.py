@@ -85,7 +85,8 @@ def _orders_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     # customer x nation grows with the data: broadcast only while its counted row
     # count is under the bound, otherwise a shuffle join on the customer key
-    cn = broadcast_if_small(c.join(n, c.c_nationkey == n.n_nationkey, "inner"), DIMENSION_BROADCAST_ROWS)
+    cn = broadcast_if_small(c.join(n, c.c_nationkey == n.n_nationkey, "inner"), DIMENSION_BROADCAST_ROWS,
+                            bound=table(spark, sf_dir, "customer"))
     d = F.to_date("o_orderdate")
     return (o.join(cn, o.o_custkey == cn.c_custkey, "inner")
             .withColumn("d", d)
