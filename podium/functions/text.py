@@ -92,9 +92,34 @@ def strip_tags(c) -> Column:
     return F.regexp_replace(_col(c), r"(?s)<[^>]*>", " ")
 
 
+_NUMREF = r"&#([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+
+
+def _numref_char(code: Column) -> Column:
+    """Character of a numeric reference code ('321' or 'x141'), via its UTF-16 units."""
+    cp = F.when(F.lower(code).startswith("x"), F.conv(F.substring(code, 2, 10), 16, 10)).otherwise(code) \
+        .cast("long")
+    bmp = F.lpad(F.hex(cp), 4, "0")
+    off = cp - 0x10000
+    pair = F.concat(F.hex(F.lit(0xD800) + F.shiftright(off, 10)), F.hex(F.lit(0xDC00) + off.bitwiseAND(F.lit(0x3FF))))
+    units = F.when(cp < 0x10000, bmp).when(cp <= 0x10FFFF, pair)
+    return F.coalesce(F.decode(F.unhex(units), "UTF-16BE"), F.lit("\ufffd"))
+
+
+def decode_numeric_entities(c) -> Column:
+    """Decode ``&#NNN;`` / ``&#xHHHH;`` references (pieces between references are
+    re-joined with the decoded characters; text without references is untouched)."""
+    col = _col(c)
+    pieces = F.split(col, _NUMREF)
+    chars = F.transform(F.regexp_extract_all(col, F.lit(_NUMREF), 1), _numref_char)
+    joined = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(chars, i), F.lit("")))), "")
+    return F.when(col.contains("&#"), joined).otherwise(col)
+
+
 def decode_entities(c) -> Column:
-    """Decode the common named entities (``&amp;`` last so it is not re-decoded)."""
-    out = _col(c)
+    """Decode numeric references and the common named entities (``&amp;`` last,
+    so an escaped reference is decoded only once)."""
+    out = decode_numeric_entities(c)
     for ent, ch in _ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out

@@ -130,3 +130,11 @@ def test_format_day(spark):
     from podium.functions import format_day
     df = spark.createDataFrame([(D(2026, 8, 1),)], "d date")
     assert df.select(format_day("d").alias("t")).first()["t"] == "01.08.2026"
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("&#321;o&#347; &amp; &#x141;&#X105;", "Łoś & Łą"), ("a&amp;#39;b", "a&#39;b"), ("&#128512;", "\U0001F600"),
+    ("no refs", "no refs"), (None, None)])
+def test_decode_entities(spark, text, expected):
+    from podium.functions import decode_entities
+    assert one(spark, decode_entities, text) == expected
