@@ -56,3 +56,22 @@ def _count():
 
 
 _counter = _count()
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of parquet on ``total_cores`` cores.
+
+    Shuffle partitions are sized so each holds about ``target_partition_bytes``
+    (and at least two waves of tasks), so sorts and aggregations fit executor
+    memory and spill only at the margins; AQE then coalesces small ones and
+    splits skewed join partitions.  File splits stay at 256 MB."""
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

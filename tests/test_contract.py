@@ -39,3 +39,17 @@ def test_range_place_plan_has_no_single_partition_over_rows(spark):
     single = [line for line in plan.split("\n") if "SinglePartition" in line]
     assert len(single) <= 1
     assert "BroadcastExchange" in plan
+
+
+def test_scale_settings():
+    from podium.session import scale_settings
+    s = scale_settings(100 << 40, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_settings(1 << 20, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_shared_dir_uses_session_setting(spark):
+    from podium.session import scratch_path, shared_dir
+    d = shared_dir(spark)
+    assert d == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(d.rstrip("/"))
