@@ -386,7 +386,7 @@ FROM events_b WHERE {_in(_lo, _hi)} AND (""" + " OR ".join(
 
 def _json_val(col: str, kind: str) -> str:
     if kind == "double":
-        v = (f"CASE WHEN isnan({col}) THEN 'NaN' WHEN abs({col}) < 9.0e18 AND {col} = floor({col}) "
+        v = (f"CASE WHEN isnan({col}) THEN '\"\"' WHEN abs({col}) < 9.0e18 AND {col} = floor({col}) "
              f"THEN CAST(CAST(floor({col}) AS BIGINT) AS VARCHAR) ELSE CAST({col} AS VARCHAR) END")
     elif kind == "int":
         v = f"CAST({col} AS VARCHAR)"

@@ -118,9 +118,9 @@ def _json_value(c: str, dtype: T.DataType) -> Column:
     col = F.col(f"`{c}`")
     if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
         d = col.cast("double")
-        integral = (~F.isnan(d)) & (F.abs(d) < F.lit(9.0e18)) & (d == F.floor(d))
-        body = F.when(integral, F.floor(d).cast("bigint").cast("string")) \
-            .when(F.isnan(d), F.lit("NaN")).otherwise(d.cast("string"))
+        integral = (F.abs(d) < F.lit(9.0e18)) & (d == F.floor(d))
+        body = F.when(F.isnan(d), F.lit('""')) \
+            .when(integral, F.floor(d).cast("bigint").cast("string")).otherwise(d.cast("string"))
     elif isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         body = col.cast("string")
     elif isinstance(dtype, T.BooleanType):
@@ -131,7 +131,7 @@ def _json_value(c: str, dtype: T.DataType) -> Column:
 
 
 def json_records(df: DataFrame, column: str = "json") -> DataFrame:
-    """One JSON object per row (``{"a": 1, "b": ""}``): NULL -> "", integral
+    """One JSON object per row (``{"a": 1, "b": ""}``): NULL and NaN -> "", integral
     floats -> integers, non-ASCII kept, ``<`` ``>`` ``&`` written as \\u003c,
     \\u003e, \\u0026 so the text is safe inside a script element."""
     import json

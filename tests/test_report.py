@@ -62,3 +62,8 @@ def test_default_directions():
     assert R.default_direction("starts", "score") == "desc"
     assert R.default_direction("starts", "player") == "asc"
     assert R.default_direction("events", "date_text") == "asc"
+
+
+def test_json_records_nan_is_missing(spark):
+    df = spark.createDataFrame([(float("nan"), -0.0)], "x double, y double")
+    assert R.json_records(df).first()["json"] == '{"x": "", "y": 0}'
