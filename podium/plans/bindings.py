@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from podium.functions.text import coerce_number, season_of
 from podium.operators.partitioning import ensure_parallelism
-from podium.session import scratch_path
+from podium.session import written_once
 from podium.sources.tables import broadcast_if_small
 
 # Row bound under which a dimension side is broadcast (checked by counting).
@@ -97,34 +97,17 @@ def _orders_full(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("results_url", F.concat(F.lit("u/"), F.col("o_orderkey").cast("string"))))
 
 
-# Bound tables already written in this application: (app id, table, folder) -> path.
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-
-
-def _materialised(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
-    """The bound table written once per application and input folder to the
-    shared checkpoint folder and read back: every board reuses it instead of
-    re-joining the source tables (the inputs are immutable during a run)."""
-    key = (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"))
-    path = _WRITTEN.get(key)
-    if path is None:
-        path = scratch_path(spark, f"bound-{name}")
-        build().write.mode("overwrite").parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(path)
-
-
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """results(row_seq, table_no, player, klass, district, lp, m_*, sub_shot,
     sub_rifle, score, season, event_name, date_text, venue, results_url),
     materialised once per application (see ``results_plan`` for the plan)."""
-    return _materialised(spark, "results", sf_dir, lambda: results_plan(spark, sf_dir))
+    return written_once(spark, ("bound-results", sf_dir.rstrip("/")), lambda: results_plan(spark, sf_dir))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events(season, schedule_table_no, schedule_lp, event_name, organizer,
     venue, date_text, results_url), materialised once per application."""
-    return _materialised(spark, "events", sf_dir, lambda: events_plan(spark, sf_dir))
+    return written_once(spark, ("bound-events", sf_dir.rstrip("/")), lambda: events_plan(spark, sf_dir))
 
 
 def results_plan(spark: SparkSession, sf_dir: str) -> DataFrame:

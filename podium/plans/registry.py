@@ -17,7 +17,7 @@ from podium.plans import profile as P
 from podium.plans import qualification as Q
 from podium.plans import report as R
 from podium.plans.supplement import CSV_HEADER, supplement_rows, with_supplement
-from podium.session import scratch_path
+from podium.session import scratch_path, written_once
 from podium.sources import html_tables as H
 from podium.sources.tables import read_csv_text, read_tables, run_metrics, write_tables
 
@@ -54,11 +54,11 @@ def q_best_start_per_event(spark, d):
 
 
 def q_pct_of_best(spark, d):
-    return Q.starts_table(_results(spark, d))
+    return _starts(spark, d)
 
 
 def q_qualification_board(spark, d):
-    return Q.qualification_board(_results(spark, d), B.WINDOWS)
+    return _board(spark, d)
 
 
 def q_championship_board(spark, d):
@@ -99,7 +99,8 @@ def q_events_with_starts(spark, d):
 
 
 def _starts(spark, d):
-    return Q.starts_table(_results(spark, d))
+    """The starts table, written once per application (every profile query reads it)."""
+    return written_once(spark, ("starts", d.rstrip("/")), lambda: Q.starts_table(_results(spark, d)))
 
 
 def q_discipline_long(spark, d):
@@ -123,7 +124,9 @@ def q_weakness_nested(spark, d):
 
 
 def _board(spark, d):
-    return Q.qualification_board(_results(spark, d), B.WINDOWS)
+    """The merged ranking, written once per application (every report query reads it)."""
+    return written_once(spark, ("ranking", d.rstrip("/")),
+                        lambda: Q.qualification_board(_results(spark, d), B.WINDOWS))
 
 
 def q_report_totals(spark, d):

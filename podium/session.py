@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "podium", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -14,6 +14,9 @@ def get_session(app: str = "podium", master: str | None = None, shuffle_partitio
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # in local mode the driver JVM is the whole cluster: give it the machine's memory
+            builder = builder.config("spark.driver.memory", os.environ.get("PODIUM_DRIVER_MEMORY", "16g"))
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
@@ -58,6 +61,25 @@ def _count():
 _counter = _count()
 
 
+# Tables already written in this application: (app id, key) -> path.
+_WRITTEN: dict[tuple, str] = {}
+
+
+def written_once(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """``build()`` written once per application and ``key`` to the shared folder,
+    then read back.  For intermediate tables that several outputs reuse (the
+    bound results, the starts, the ranking): later readers skip the upstream
+    plan, and a lost executor re-reads files instead of recomputing lineage.
+    Inputs are assumed unchanged while the application runs."""
+    full = (spark.sparkContext.applicationId, *key)
+    path = _WRITTEN.get(full)
+    if path is None:
+        path = scratch_path(spark, "-".join(str(k) for k in key[:1]) or "table")
+        build().write.mode("overwrite").parquet(path)
+        _WRITTEN[full] = path
+    return spark.read.parquet(path)
+
+
 def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a run over ``input_bytes`` of parquet on ``total_cores`` cores.
 

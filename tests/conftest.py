@@ -15,7 +15,8 @@ def spark():
                .config("spark.sql.shuffle.partitions", "4")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.session.timeZone", "UTC"))
+               .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.driver.memory", "4g"))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
