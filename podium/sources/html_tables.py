@@ -173,9 +173,12 @@ def extract_schedule(pages: DataFrame, base_url: str, headers: Mapping[str, str]
     body = F.slice(F.col("rows_html"), 2, F.greatest(F.size("rows_html") - 1, F.lit(0)))
     r = t.select("url", F.col("table_no").alias("schedule_table_no"), "labels",
                  F.posexplode(body).alias("pos", "row"))
-    # <td> cells only (a <th> inside a body row ends the preceding cell)
-    tds = F.transform(_after_first(F.split(F.col("row"), TD_OPEN)), lambda c: F.split(c, TH_OPEN, 2)[0])
-    r = evaluate_once(r.withColumn("tds", tds).withColumn("row_no", (F.col("pos") + 1).cast("int")))
+    # <td> cells only: <th> cells of a body row are cut out (only rows that have one pay for it)
+    td_row = F.when(F.col("row").rlike(TH_OPEN),
+                    F.regexp_replace("row", r"(?is)<th\b[^>]*>.*?(?=<t[hd]\b|$)", "")).otherwise(F.col("row"))
+    r = evaluate_once(r.select(
+        "url", "schedule_table_no", "labels", (F.col("pos") + 1).cast("int").alias("row_no"),
+        row_texts(td_row, " ").alias("texts"), _after_first(F.split(td_row, TD_OPEN)).alias("tds")))
 
     def idx(label: str) -> Column:
         return F.array_position(F.col("labels"), F.lit(label)).cast("int")
@@ -184,7 +187,7 @@ def extract_schedule(pages: DataFrame, base_url: str, headers: Mapping[str, str]
     link_idx = idx(inv["results_url"])
     r = r.filter(F.size("tds") >= link_idx)
     link = first_link(F.try_element_at("tds", link_idx), F.lit(base_url))
-    text = lambda col: cell_text(F.try_element_at("tds", idx(inv[col])), " ")
+    text = lambda col: F.try_element_at("texts", idx(inv[col]))
     out = r.select(
         "url", "schedule_table_no", "row_no",
         text("date_text").alias("date_text"),
