@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from podium import constants as K
+
 BASE_URL = "https://results.example/"
 SCHEDULE_BLOCK = 50
 
@@ -90,15 +92,19 @@ def result_pages(results: DataFrame) -> DataFrame:
     return results.select(F.col("results_url").alias("url"), html.alias("html"))
 
 
-_SCHEDULE_A = ["Lp", "Nazwa zawodów", "ZO PZŁ", "Strzelnica", "Data zawodów", "Wyniki"]
-_SCHEDULE_B = ["Data zawodów", "Lp", "Wyniki", "Nazwa zawodów", "Strzelnica", "ZO PZŁ"]
+# header label of each schedule column (fixed values live in constants)
+_LABEL = {col: label for label, col in K.SCHEDULE_HEADERS.items()}
+_SCHEDULE_A = [_LABEL[c] for c in ("schedule_lp", "event_name", "organizer", "venue", "date_text", "results_url")]
+_SCHEDULE_B = [_LABEL[c] for c in ("date_text", "schedule_lp", "results_url", "event_name", "venue", "organizer")]
 
 
 def _schedule_cells(order: list[str]) -> list[Column]:
     link = F.concat(F.lit('<a href="/u/'), F.col("schedule_lp"), F.lit('">wyniki</a>'))
-    value = {"Lp": F.col("schedule_lp"), "Nazwa zawodów": F.col("event_name"), "ZO PZŁ": F.col("organizer"),
-             "Strzelnica": F.col("venue"), "Data zawodów": F.col("date_text"), "Wyniki": link}
-    return [value[h] for h in order]
+    value = {"schedule_lp": F.col("schedule_lp"), "event_name": F.col("event_name"),
+             "organizer": F.col("organizer"), "venue": F.col("venue"), "date_text": F.col("date_text"),
+             "results_url": link}
+    inv = {label: col for col, label in _LABEL.items()}
+    return [value[inv[h]] for h in order]
 
 
 def schedule_pages(events: DataFrame) -> DataFrame:
