@@ -34,26 +34,35 @@ def _int_text(c: str) -> Column:
     return F.coalesce(F.col(c).cast("bigint").cast("string"), F.lit(""))
 
 
-# (label, value) per style; values are Column builders over a results row
+_STYLE_ORDER = {
+    0: ["lp", "player", "klass", "district", "m_skeet", "m_lane", "m_trap", "sub_shot", "m_boar", "m_buck",
+        "sub_rifle", "score"],
+    1: ["score", "player", "lp", "district", "klass", "m_skeet", "m_lane", "m_trap", "sub_shot", "m_boar",
+        "m_buck", "sub_rifle"],
+    2: ["lp", "player", "klass", "district", "m_skeet", "m_lane", "m_trap", "sub_shot", "m_boar", "m_buck",
+        "sub_rifle", "score"],
+}
+
+
+def _spelling(canonical: str, style: int) -> str:
+    """One of the accepted header spellings (fixed values in constants), rotating by style."""
+    spellings = [label for label, c in K.HEADER_ALIASES.items() if c == canonical]
+    return spellings[style % len(spellings)]
+
+
 def _style_columns(style: int):
+    """(header label, cell value) per column of a result table in the given style."""
     player = F.concat(F.lit('<a href="/p/'), F.col("row_seq").cast("string"), F.lit('">'), F.col("player"),
                       F.lit("</a>"))
-    district = F.concat(F.lit("&nbsp;"), F.col("district"), F.lit(" "))
-    lp = F.concat(_int_text("lp"), F.lit("."))
-    if style == 0:
-        return [("Lp", lp), ("Nazwisko i imię", player), ("Kl.", F.col("klass")), ("Okręg", district),
-                ("Krąg", _num("m_skeet")), ("Oś", _num("m_lane")), ("MOP", _num("m_trap")),
-                ("Śrut", _num("sub_shot")), ("Dzik", _num("m_boar")), ("Rogacz", _num("m_buck")),
-                ("Kula", _num("sub_rifle")), ("Razem", _int_text("score"))]
-    if style == 1:
-        return [("Razem", _int_text("score")), ("Nazwisko Imię", F.col("player")), ("L.P.", lp),
-                ("Okreg", district), ("Kl", F.col("klass")), ("Krag", _num("m_skeet")), ("Os", _num("m_lane")),
-                ("MOP", _num("m_trap")), ("Srut", _num("sub_shot")), ("Dzik", _num("m_boar")),
-                ("Rogacz", _num("m_buck")), ("Kula", _num("sub_rifle"))]
-    return [("LP", lp), ("Nazwisko i Imię", player), ("Kl", F.col("klass")), ("Okręg", district),
-            ("Krąg", _num("m_skeet")), ("Oś", _num("m_lane")), ("MOP", _num("m_trap")), ("Śrut", _num("sub_shot")),
-            ("Dzik", _num("m_boar")), ("Rogacz", _num("m_buck")), ("Kula", _num("sub_rifle")),
-            ("Razem", _int_text("score"))]
+    value = {
+        "lp": F.concat(_int_text("lp"), F.lit(".")),
+        "player": F.col("player") if style == 1 else player,
+        "klass": F.col("klass"),
+        "district": F.concat(F.lit("&nbsp;"), F.col("district"), F.lit(" ")),
+        "score": _int_text("score"),
+        **{c: _num(c) for c in ("m_skeet", "m_lane", "m_trap", "sub_shot", "m_boar", "m_buck", "sub_rifle")},
+    }
+    return [(_spelling(c, style), value[c]) for c in _STYLE_ORDER[style]]
 
 
 def _row(cells: list[Column], td: str = "td", tr: str = "tr") -> Column:
