@@ -156,9 +156,10 @@ SELECT bs.player, bs.district, bs.event_name, bs.score, eb.event_best,
        bs.results_url, bs.m_skeet, bs.m_lane, bs.m_trap, bs.m_boar, bs.m_buck
 FROM bs LEFT JOIN eb ON bs.event_name = eb.event_name"""
 
-QUAL_CTES = STARTS_CTES + f""",
-fl AS (SELECT player, district, event_name, score, date_text,
-              {_in(W1_LO, W1_HI)} AS f1, {_in(W2_LO, W2_HI)} AS f2 FROM bs),
+def _qual_chain(bs: str) -> str:
+    """Window ranks, both boards and their places over the deduped starts CTE ``bs``."""
+    return f"""fl AS (SELECT player, district, event_name, score, date_text,
+              {_in(W1_LO, W1_HI)} AS f1, {_in(W2_LO, W2_HI)} AS f2 FROM {bs}),
 w1 AS (SELECT *, row_number() OVER (PARTITION BY player, district ORDER BY score DESC, date_text, event_name) AS rn
        FROM fl WHERE f1),
 w2 AS (SELECT *, row_number() OVER (PARTITION BY player, district ORDER BY score DESC, date_text, event_name) AS rn
@@ -183,6 +184,9 @@ r2 AS (SELECT player, district,
 q2 AS (SELECT row_number() OVER (ORDER BY champ_sum_top5 DESC, cbest DESC, champ_counted DESC, player, district)
               AS champ_place, *, {half_even('champ_sum_top5 / champ_counted', 2)} AS champ_mean_top5 FROM r2)"""
 
+
+QUAL_CTES = STARTS_CTES + ",\n" + _qual_chain("bs")
+
 QB_SELECT = """
 SELECT q1.place, coalesce(q1.player, q2.player) AS player, coalesce(q1.district, q2.district) AS district,
        q1.sum_top3, q1.mean_top3, q1.mean_top5_first, q1.counted, q1.starts,
@@ -527,6 +531,18 @@ FROM bs LEFT JOIN eb ON bs.event_name = eb.event_name"""
 CSV_SUPPLEMENT = _with(SUPP_CTES) + "SELECT * EXCLUDE (row_seq) FROM supp"
 
 
+DISTRICT_QUAL = _with(SUPP_CTES, f"""
+un2 AS (SELECT row_seq, table_no, player, klass, district, score, event_name, date_text, d1, d2 FROM results
+        UNION ALL
+        SELECT row_seq, table_no, player, klass, district, score, event_name, date_text,
+               CAST({_q(SE['date_text'])} AS DATE) AS d1, CAST(NULL AS DATE) AS d2 FROM supp),
+sc2 AS (SELECT * FROM un2 WHERE score IS NOT NULL),
+bs2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player, district, event_name
+                       ORDER BY score DESC, row_seq) AS rn0 FROM sc2
+                       WHERE lower(trim(district)) = {_q(B.SUPPLEMENT_DISTRICT)}) WHERE rn0 = 1),
+""" + _qual_chain("bs2")) + QB_SELECT
+
+
 def queries() -> dict[str, str]:
     return {
         "award_board": AWARD_BOARD,
@@ -537,6 +553,7 @@ def queries() -> dict[str, str]:
         "best_start_per_event": BEST_START_PER_EVENT,
         "pct_of_best": STARTS,
         "qualification_board": QUALIFICATION_BOARD,
+        "district_qualification_board": DISTRICT_QUAL,
         "championship_board": CHAMPIONSHIP_BOARD,
         "window_membership": WINDOW_MEMBERSHIP,
         "events_in_period": EVENTS_IN_PERIOD,

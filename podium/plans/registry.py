@@ -61,6 +61,12 @@ def q_qualification_board(spark, d):
     return _board(spark, d)
 
 
+def q_district_qualification_board(spark, d):
+    """The original run: one district, the manual supplement included."""
+    res, rows, _ = B.supplement_frames(spark, d)
+    return Q.qualification_board(with_supplement(res, rows), B.WINDOWS, district=B.SUPPLEMENT_DISTRICT)
+
+
 def q_championship_board(spark, d):
     return Q.window_board(_results(spark, d), B.WINDOWS["championship"])
 
@@ -284,6 +290,7 @@ QUERIES: dict[str, Query] = {
     "best_start_per_event": q_best_start_per_event,
     "pct_of_best": q_pct_of_best,
     "qualification_board": q_qualification_board,
+    "district_qualification_board": q_district_qualification_board,
     "championship_board": q_championship_board,
     "window_membership": q_window_membership,
     "events_in_period": q_events_in_period,
