@@ -543,6 +543,24 @@ bs2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player, distric
 """ + _qual_chain("bs2")) + QB_SELECT
 
 
+WEAKNESS_NESTED_FLAT = _with(PROFILE_CTES, """
+ranked AS (SELECT *, row_number() OVER (PARTITION BY player ORDER BY mean_pct, -gap_to_max, disc_ord) AS disc_rank
+           FROM dp),
+agg AS (SELECT player, sum(gap_to_max ORDER BY mean_pct, -gap_to_max, disc_ord) AS overall_gap,
+               sum(mean_pct ORDER BY mean_pct, -gap_to_max, disc_ord) / count(*) AS player_avg_pct,
+               max(CASE WHEN disc_rank = 1 THEN code END) AS weakest_code
+        FROM ranked GROUP BY player),
+cnt AS (SELECT player, count(*) AS starts FROM ps GROUP BY player),
+ep AS (SELECT player, sum(pct ORDER BY pos) / count(pct) AS avg_event_pct, count(*) AS n_refs
+       FROM refs2 GROUP BY player)""") + """
+SELECT r.player, cnt.starts, ep.avg_event_pct, agg.overall_gap, agg.player_avg_pct,
+       coalesce(ep.n_refs, 0) AS n_refs, agg.weakest_code, r.disc_rank, r.code, r.label,
+       r.starts AS disc_starts, r.mean AS disc_avg, r.best AS disc_best, r.last AS disc_last,
+       r.mean_pct AS disc_avg_pct, r.gap_to_max AS improvement_to_max, r.reserve_to_best, r.trend
+FROM ranked r JOIN agg ON r.player = agg.player LEFT JOIN cnt ON r.player = cnt.player
+LEFT JOIN ep ON r.player = ep.player"""
+
+
 def queries() -> dict[str, str]:
     return {
         "award_board": AWARD_BOARD,
@@ -565,6 +583,7 @@ def queries() -> dict[str, str]:
         "discipline_profile": DISCIPLINE_PROFILE,
         "event_refs": EVENT_REFS,
         "weakest_discipline": WEAKEST_DISCIPLINE,
+        "weakness_nested_flat": WEAKNESS_NESTED_FLAT,
         "report_totals": REPORT_TOTALS,
         "top_six": TOP_SIX,
         "qualification_flags": QUALIFICATION_FLAGS,

@@ -129,6 +129,22 @@ def q_weakness_nested(spark, d):
     return P.weakness_nested(_starts(spark, d))
 
 
+def q_weakness_nested_flat(spark, d):
+    """The nested report flattened back: one row per (player, discipline in report
+    order) with the player-level figures, so its structure has an exact oracle."""
+    n = P.weakness_nested(_starts(spark, d))
+    x = n.select("player", "starts", "avg_event_pct", "overall_gap", F.col("avg_pct").alias("player_avg_pct"),
+                 F.size("event_refs").cast("bigint").alias("n_refs"), F.col("weakest.code").alias("weakest_code"),
+                 F.posexplode("disciplines").alias("disc_rank", "x"))
+    return x.select(
+        "player", "starts", "avg_event_pct", "overall_gap", "player_avg_pct", "n_refs", "weakest_code",
+        (F.col("disc_rank") + 1).cast("bigint").alias("disc_rank"),
+        F.col("x.code").alias("code"), F.col("x.label").alias("label"), F.col("x.starts").alias("disc_starts"),
+        F.col("x.avg").alias("disc_avg"), F.col("x.best").alias("disc_best"), F.col("x.last").alias("disc_last"),
+        F.col("x.avg_pct").alias("disc_avg_pct"), F.col("x.improvement_to_max").alias("improvement_to_max"),
+        F.col("x.reserve_to_best").alias("reserve_to_best"), F.col("x.trend").alias("trend"))
+
+
 def _board(spark, d):
     """The merged ranking, written once per application (every report query reads it)."""
     return written_once(spark, ("ranking", d.rstrip("/")),
@@ -303,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "event_refs": q_event_refs,
     "weakest_discipline": q_weakest_discipline,
     "weakness_nested": q_weakness_nested,
+    "weakness_nested_flat": q_weakness_nested_flat,
     "report_totals": q_report_totals,
     "top_six": q_top_six,
     "qualification_flags": q_qualification_flags,
