@@ -561,6 +561,13 @@ FROM ranked r JOIN agg ON r.player = agg.player LEFT JOIN cnt ON r.player = cnt.
 LEFT JOIN ep ON r.player = ep.player"""
 
 
+WEAKNESS_NESTED_REFS = _with(PROFILE_CTES, """
+withd AS (SELECT DISTINCT player FROM dp)""") + """
+SELECT refs2.player, row_number() OVER (PARTITION BY refs2.player ORDER BY pct, pos) AS ref_rank,
+       event, date, score, event_best, pct
+FROM refs2 JOIN withd ON refs2.player = withd.player"""
+
+
 def queries() -> dict[str, str]:
     return {
         "award_board": AWARD_BOARD,
@@ -584,6 +591,7 @@ def queries() -> dict[str, str]:
         "event_refs": EVENT_REFS,
         "weakest_discipline": WEAKEST_DISCIPLINE,
         "weakness_nested_flat": WEAKNESS_NESTED_FLAT,
+        "weakness_nested_refs": WEAKNESS_NESTED_REFS,
         "report_totals": REPORT_TOTALS,
         "top_six": TOP_SIX,
         "qualification_flags": QUALIFICATION_FLAGS,

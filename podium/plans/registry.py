@@ -145,6 +145,14 @@ def q_weakness_nested_flat(spark, d):
         F.col("x.reserve_to_best").alias("reserve_to_best"), F.col("x.trend").alias("trend"))
 
 
+def q_weakness_nested_refs(spark, d):
+    """The nested report's event references flattened back in array order."""
+    n = P.weakness_nested(_starts(spark, d))
+    x = n.select("player", F.posexplode("event_refs").alias("ref_rank", "r"))
+    return x.select("player", (F.col("ref_rank") + 1).cast("bigint").alias("ref_rank"),
+                    *[F.col(f"r.{c}").alias(c) for c in ("event", "date", "score", "event_best", "pct")])
+
+
 def _board(spark, d):
     """The merged ranking, written once per application (every report query reads it)."""
     return written_once(spark, ("ranking", d.rstrip("/")),
@@ -320,6 +328,7 @@ QUERIES: dict[str, Query] = {
     "weakest_discipline": q_weakest_discipline,
     "weakness_nested": q_weakness_nested,
     "weakness_nested_flat": q_weakness_nested_flat,
+    "weakness_nested_refs": q_weakness_nested_refs,
     "report_totals": q_report_totals,
     "top_six": q_top_six,
     "qualification_flags": q_qualification_flags,

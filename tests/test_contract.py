@@ -12,7 +12,7 @@ def test_every_query_has_oracle_or_is_nested():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"weakness_nested"}
-    assert len(q) == 46
+    assert len(q) == 47
 
 
 def test_no_python_udfs_in_plans(spark):
