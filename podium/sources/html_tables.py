@@ -28,11 +28,6 @@ TH_OPEN = r"(?i)<th\b"
 SPAN_RE = r"(?is)<t[hd]\b[^>]*\b(rowspan|colspan)\s*="
 
 
-def cell_text(html: Column, sep: str = " ") -> Column:
-    """Visible text of a cell: tags removed (replaced by ``sep``), entities decoded, whitespace cleaned."""
-    return clean_text(decode_entities(F.regexp_replace(html, r"(?s)<[^>]*>", sep)))
-
-
 def _after_first(parts: Column) -> Column:
     return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
 

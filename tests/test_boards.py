@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from conftest import results_frame
 from podium.plans import boards

@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import results_frame
 from podium.plans.supplement import CSV_HEADER, known_players, supplement_events, supplement_rows, with_supplement
