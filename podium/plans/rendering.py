@@ -83,8 +83,10 @@ def _result_table(style: int) -> Column:
         body = F.concat(F.lit("<TR>"), *[F.concat(F.lit('<TD class="c">'), v, F.lit("</TD>")) for _, v in cols],
                         F.lit("</TR>"))
         return F.concat(F.lit('<TABLE border="1">'), head, body, F.lit("</TABLE>"))
-    group = _row([F.lit("Zawodnik")] * 4 + [F.lit("Wyniki")] * 8, "th")
-    head = _row([F.lit(lbl) for lbl, _ in cols], "th")
+    # two header rows with spans: the first four labels span both rows, one group spans the rest
+    group = F.concat(F.lit("<tr>"), *[F.lit(f'<th rowspan="2">{lbl}</th>') for lbl, _ in cols[:4]],
+                     F.lit(f'<th colspan="{len(cols) - 4}">Wyniki</th></tr>'))
+    head = _row([F.lit(lbl) for lbl, _ in cols[4:]], "th")
     repeated = _row([F.lit(lbl) for lbl, _ in cols])
     empty = _row([F.lit("0.")] + [F.lit(" ")] * 10 + [F.lit("100")])
     return F.concat(F.lit("<table><thead>"), group, head, F.lit("</thead><tbody>"), repeated, empty,

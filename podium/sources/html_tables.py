@@ -26,6 +26,9 @@ CELL_OPEN = r"(?i)<t[hd]\b[^>]*>"
 TD_OPEN = r"(?i)<td\b[^>]*>"
 TH_OPEN = r"(?i)<th\b"
 SPAN_RE = r"(?is)<t[hd]\b[^>]*\b(rowspan|colspan)\s*="
+COLSPAN_RE = r"(?is)<t[hd]\b[^>]*\bcolspan\s*="
+ROWSPAN_RE = r"(?is)<t[hd]\b[^>]*\browspan\s*="
+CELL_ATTRS = r"(?i)<t[hd]\b([^>]*)>"
 
 
 def _after_first(parts: Column) -> Column:
@@ -45,6 +48,36 @@ def row_texts(row_html: Column, sep: str = "") -> Column:
     return _after_first(F.split(text, _CELL_MARK))
 
 
+def _span(attrs: Column, name: str) -> Column:
+    n = F.regexp_extract(attrs, r"(?i)\b" + name + r"\s*=\s*[\"']?\s*(\d{1,3})", 1).try_cast("int")
+    return F.least(F.greatest(F.coalesce(n, F.lit(1)), F.lit(1)), F.lit(100))
+
+
+def spanned_cells(row_html: Column, sep: str = "") -> Column:
+    """Cells of a row with each <td colspan=n> repeated n times:
+    ARRAY<STRUCT<text, rs>> (``rs`` = its rowspan)."""
+    texts = row_texts(row_html, sep)
+    attrs = F.regexp_extract_all(row_html, F.lit(CELL_ATTRS), 1)
+    return F.flatten(F.transform(texts, lambda t, i: F.array_repeat(
+        F.struct(t.alias("text"), _span(F.try_element_at(attrs, i + 1), "rowspan").alias("rs")),
+        _span(F.try_element_at(attrs, i + 1), "colspan"))))
+
+
+# Header grid with spans: fold over the header rows; a column still covered by
+# a rowspan from above keeps its label, the other columns take the row's cells
+# in order.  The last state holds the label of each column (the lowest level).
+_HEADER_GRID = """
+transform(aggregate(__hdr, cast(array() as array<struct<label:string,rem:int>>),
+  (st, row) -> transform(
+    sequence(0, greatest(size(st), size(filter(st, s -> s.rem > 0)) + size(row)) - 1),
+    j -> IF(j < size(st) AND try_element_at(st, j + 1).rem > 0,
+            named_struct('label', try_element_at(st, j + 1).label, 'rem', try_element_at(st, j + 1).rem - 1),
+            named_struct('label', coalesce(try_element_at(row, j + 1 - size(filter(slice(st, 1, j), s -> s.rem > 0))).text, ''),
+                         'rem', coalesce(try_element_at(row, j + 1 - size(filter(slice(st, 1, j), s -> s.rem > 0))).rs, 1) - 1)))),
+  c -> c.label)
+"""
+
+
 def page_tables(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(url, table_no, table_html, rows_html, n_header): every table of every page,
     1-based in page order; ``rows_html`` holds the rows that have cells and
@@ -73,9 +106,13 @@ def result_tables(pages: DataFrame, aliases: Mapping[str, str] | None = None,
     t = page_tables(pages)
     alias_map = F.create_map(*[x for kv in aliases.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     # multi-level headers: the last header row gives the label of each column
-    labels = F.when(F.col("n_header") > 0, row_texts(F.try_element_at("rows_html", F.col("n_header")), "")) \
-        .otherwise(F.array().cast("array<string>"))
-    t = t.withColumn("labels", labels)
+    plain = row_texts(F.try_element_at("rows_html", F.col("n_header")), "")
+    t = t.withColumn("__hdr", F.when(F.col("table_html").rlike(SPAN_RE), F.transform(
+        F.slice("rows_html", 1, F.greatest(F.col("n_header"), F.lit(1))), lambda r: spanned_cells(r, ""))))
+    labels = (F.when(F.col("n_header") == 0, F.array().cast("array<string>"))
+              .when(F.col("__hdr").isNotNull(), F.expr(_HEADER_GRID))
+              .otherwise(plain))
+    t = t.withColumn("labels", labels).drop("__hdr")
     t = t.withColumn("canonical", F.transform("labels", lambda x: F.coalesce(F.element_at(alias_map, x), x)))
     req = F.array(*[F.lit(r) for r in required])
     t = evaluate_once(t.withColumn("missing", F.array_except(req, F.col("canonical"))))
@@ -88,8 +125,10 @@ def ingest_issues(pages: DataFrame, aliases: Mapping[str, str] | None = None) ->
     missing = t.filter(~F.col("accepted")).select(
         "url", "table_no", F.lit("missing_headers").alias("issue"),
         F.array_join("missing", ",").alias("detail"))
-    spans = t.filter(F.col("table_html").rlike(SPAN_RE)).select(
-        "url", "table_no", F.lit("row_or_col_span").alias("issue"), F.lit("").alias("detail"))
+    body = F.slice(F.col("rows_html"), (F.col("n_header") + 1).cast("int"),
+                   F.greatest(F.size("rows_html") - F.col("n_header"), F.lit(0)).cast("int"))
+    spans = t.filter(F.exists(body, lambda r: r.rlike(ROWSPAN_RE))).select(
+        "url", "table_no", F.lit("body_rowspan").alias("issue"), F.lit("").alias("detail"))
     return missing.unionByName(spans)
 
 
@@ -109,8 +148,10 @@ def extract_results(pages: DataFrame, aliases: Mapping[str, str] | None = None,
     t = t.select("url", "table_no", body.alias("body"),
                  *[F.array_position(F.col("canonical"), F.lit(n)).cast("int").alias(f"__i_{n}") for n in names])
     r = t.select("url", "table_no", *[f"__i_{n}" for n in names], F.posexplode("body").alias("pos", "row"))
+    texts = F.when(F.col("row").rlike(COLSPAN_RE), F.transform(spanned_cells(F.col("row"), ""), lambda c: c["text"])) \
+        .otherwise(row_texts(F.col("row"), ""))
     r = evaluate_once(r.select("url", "table_no", (F.col("pos") + 1).cast("int").alias("row_no"),
-                               *[f"__i_{n}" for n in names], row_texts(F.col("row"), "").alias("__t")))
+                               *[f"__i_{n}" for n in names], texts.alias("__t")))
 
     def cell(name: str) -> Column:
         i = F.col(f"__i_{name}")

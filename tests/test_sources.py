@@ -96,3 +96,27 @@ def test_table_sets_and_metrics(spark, tmpdir_path):
     back = read_tables(spark, tmpdir_path + "/out", ["a", "b"])
     m = {r["metric"]: r["value"] for r in run_metrics(a=back["a"], b=back["b"]).collect()}
     assert m == {"a": 1, "b": 2}
+
+
+SPAN_PAGE = """<table>
+<tr><th rowspan="2">Lp</th><th rowspan=2>Nazwisko i imię</th><th rowspan="2">Okręg</th>
+    <th colspan="3">Śrut</th><th colspan='2'>Kula</th><th rowspan="2">Razem</th></tr>
+<tr><th>Krąg</th><th>Oś</th><th>MOP</th><th>Dzik</th><th>Rogacz</th></tr>
+<tr><td>1</td><td>Kowal Jan</td><td>X</td><td>90</td><td>80</td><td>70</td><td>60</td><td>50</td><td>350</td></tr>
+<tr><td>2</td><td>Lis Ola</td><td>X</td><td colspan="3">brak</td><td>40</td><td>30</td><td>70</td></tr>
+<tr><td rowspan="2">3</td><td>Nowak Ewa</td><td>Y</td><td>1</td><td>1</td><td>1</td><td>1</td><td>1</td><td>5</td></tr>
+</table>"""
+
+
+def test_header_spans_expanded(spark):
+    pages = spark.createDataFrame([("p", SPAN_PAGE)], "url string, html string")
+    t = H.result_tables(pages).first()
+    assert t["labels"] == ["Lp", "Nazwisko i imię", "Okręg", "Krąg", "Oś", "MOP", "Dzik", "Rogacz", "Razem"]
+    rows = {r["player"]: r for r in H.extract_results(pages).collect()}
+    k = rows["Kowal Jan"]
+    assert (k["m_skeet"], k["m_lane"], k["m_trap"], k["m_boar"], k["m_buck"], k["score"]) == \
+        (90.0, 80.0, 70.0, 60.0, 50.0, 350.0)
+    o = rows["Lis Ola"]
+    assert (o["m_skeet"], o["m_boar"], o["m_buck"], o["score"]) == (None, 40.0, 30.0, 70.0)
+    issues = [(r["issue"], r["table_no"]) for r in H.ingest_issues(pages).collect()]
+    assert issues == [("body_rowspan", 1)]
