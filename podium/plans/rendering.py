@@ -73,7 +73,7 @@ def _row(cells: list[Column], td: str = "td", tr: str = "tr") -> Column:
     return F.concat(*parts)
 
 
-def _result_table(style: int) -> Column:
+def _result_table(style: int, body_span: bool = False) -> Column:
     cols = _style_columns(style)
     if style == 0:
         head = _row([F.lit(lbl) for lbl, _ in cols], "th")
@@ -87,8 +87,15 @@ def _result_table(style: int) -> Column:
     group = F.concat(F.lit("<tr>"), *[F.lit(f'<th rowspan="2">{lbl}</th>') for lbl, _ in cols[:4]],
                      F.lit(f'<th colspan="{len(cols) - 4}">Wyniki</th></tr>'))
     head = _row([F.lit(lbl) for lbl, _ in cols[4:]], "th")
-    repeated = _row([F.lit(lbl) for lbl, _ in cols])
-    empty = _row([F.lit("0.")] + [F.lit(" ")] * 10 + [F.lit("100")])
+    # the repeated header row's class cell spans the row without a player below it
+    klass_at = [c for c, _ in cols].index(_spelling("klass", 2))
+    if body_span:
+        repeated = F.concat(F.lit("<tr>"), *[F.lit(f'<td rowspan="2">{lbl}</td>' if i == klass_at else f"<td>{lbl}</td>")
+                                             for i, (lbl, _) in enumerate(cols)], F.lit("</tr>"))
+        empty = _row([F.lit("0.")] + [F.lit(" ")] * 9 + [F.lit("100")])
+    else:
+        repeated = _row([F.lit(lbl) for lbl, _ in cols])
+        empty = _row([F.lit("0.")] + [F.lit(" ")] * 10 + [F.lit("100")])
     return F.concat(F.lit("<table><thead>"), group, head, F.lit("</thead><tbody>"), repeated, empty,
                     _row([v for _, v in cols]), F.lit("</tbody></table>"))
 
@@ -96,7 +103,9 @@ def _result_table(style: int) -> Column:
 def result_pages(results: DataFrame) -> DataFrame:
     """pages(url, html): one result page per results row (map-only, no shuffle)."""
     style = F.col("row_seq") % 3
-    table = F.when(style == 0, _result_table(0)).when(style == 1, _result_table(1)).otherwise(_result_table(2))
+    # one page in thirty also has a body row span (the fill-down path)
+    table = (F.when(style == 0, _result_table(0)).when(style == 1, _result_table(1))
+             .when(F.col("row_seq") % 30 == 2, _result_table(2, body_span=True)).otherwise(_result_table(2)))
     tables = F.when(F.col("table_no") == 1, F.concat(table, F.lit(NAV_TABLE))) \
         .otherwise(F.concat(F.lit(NAV_TABLE), table))
     html = F.concat(F.lit("<html><body><h1>"), F.col("event_name"), F.lit("</h1>"), tables, F.lit("</body></html>"))

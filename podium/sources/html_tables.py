@@ -63,19 +63,25 @@ def spanned_cells(row_html: Column, sep: str = "") -> Column:
         _span(F.try_element_at(attrs, i + 1), "colspan"))))
 
 
-# Header grid with spans: fold over the header rows; a column still covered by
-# a rowspan from above keeps its label, the other columns take the row's cells
-# in order.  The last state holds the label of each column (the lowest level).
-_HEADER_GRID = """
-transform(aggregate(__hdr, cast(array() as array<struct<label:string,rem:int>>),
-  (st, row) -> transform(
-    sequence(0, greatest(size(st), size(filter(st, s -> s.rem > 0)) + size(row)) - 1),
-    j -> IF(j < size(st) AND try_element_at(st, j + 1).rem > 0,
-            named_struct('label', try_element_at(st, j + 1).label, 'rem', try_element_at(st, j + 1).rem - 1),
-            named_struct('label', coalesce(try_element_at(row, j + 1 - size(filter(slice(st, 1, j), s -> s.rem > 0))).text, ''),
-                         'rem', coalesce(try_element_at(row, j + 1 - size(filter(slice(st, 1, j), s -> s.rem > 0))).rs, 1) - 1)))),
-  c -> c.label)
-"""
+def _grid_step(st: str, row: str) -> str:
+    """SQL for one row of a span grid: a column still covered by a rowspan from
+    above keeps its label, the other columns take the row's cells in order."""
+    occupied_before = f"size(filter(slice({st}, 1, j), s -> s.rem > 0))"
+    cell = f"try_element_at({row}, j + 1 - {occupied_before})"
+    prev = f"try_element_at({st}, j + 1)"
+    return (f"transform(sequence(0, greatest(size({st}), size(filter({st}, s -> s.rem > 0)) + size({row})) - 1), "
+            f"j -> IF(j < size({st}) AND {prev}.rem > 0, "
+            f"named_struct('label', {prev}.label, 'rem', {prev}.rem - 1), "
+            f"named_struct('label', coalesce({cell}.text, ''), 'rem', coalesce({cell}.rs, 1) - 1)))")
+
+
+_EMPTY_STATE = "cast(array() as array<struct<label:string,rem:int>>)"
+# Header grid: fold over the header rows; the last state labels each column (the lowest level).
+_HEADER_GRID = f"transform(aggregate(__hdr, {_EMPTY_STATE}, (st, row) -> {_grid_step('st', 'row')}), c -> c.label)"
+# Body grid: every intermediate state is kept, one per body row (row spans fill down).
+_BODY_GRID = (f"transform(slice(aggregate(__bodycells, array({_EMPTY_STATE}), "
+              f"(acc, row) -> concat(acc, array({_grid_step('element_at(acc, -1)', 'row')}))), "
+              f"2, size(__bodycells)), st -> transform(st, c -> c.label))")
 
 
 def page_tables(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -125,11 +131,7 @@ def ingest_issues(pages: DataFrame, aliases: Mapping[str, str] | None = None) ->
     missing = t.filter(~F.col("accepted")).select(
         "url", "table_no", F.lit("missing_headers").alias("issue"),
         F.array_join("missing", ",").alias("detail"))
-    body = F.slice(F.col("rows_html"), (F.col("n_header") + 1).cast("int"),
-                   F.greatest(F.size("rows_html") - F.col("n_header"), F.lit(0)).cast("int"))
-    spans = t.filter(F.exists(body, lambda r: r.rlike(ROWSPAN_RE))).select(
-        "url", "table_no", F.lit("body_rowspan").alias("issue"), F.lit("").alias("detail"))
-    return missing.unionByName(spans)
+    return missing
 
 
 def extract_results(pages: DataFrame, aliases: Mapping[str, str] | None = None,
@@ -145,11 +147,16 @@ def extract_results(pages: DataFrame, aliases: Mapping[str, str] | None = None,
     body = F.slice(F.col("rows_html"), (F.col("n_header") + 1).cast("int"),
                    F.greatest(F.size("rows_html") - F.col("n_header"), F.lit(0)).cast("int"))
     # column positions are looked up once per table, cell texts once per row
-    t = t.select("url", "table_no", body.alias("body"),
+    t = t.withColumn("__bodycells", F.when(F.exists(body, lambda r: r.rlike(ROWSPAN_RE)),
+                                          F.transform(body, lambda r: spanned_cells(r, ""))))
+    t = t.withColumn("__grid", F.when(F.col("__bodycells").isNotNull(), F.expr(_BODY_GRID)))
+    t = t.select("url", "table_no", body.alias("body"), "__grid",
                  *[F.array_position(F.col("canonical"), F.lit(n)).cast("int").alias(f"__i_{n}") for n in names])
-    r = t.select("url", "table_no", *[f"__i_{n}" for n in names], F.posexplode("body").alias("pos", "row"))
-    texts = F.when(F.col("row").rlike(COLSPAN_RE), F.transform(spanned_cells(F.col("row"), ""), lambda c: c["text"])) \
-        .otherwise(row_texts(F.col("row"), ""))
+    r = t.select("url", "table_no", "__grid", *[f"__i_{n}" for n in names], F.posexplode("body").alias("pos", "row"))
+    texts = (F.when(F.col("__grid").isNotNull(), F.try_element_at("__grid", (F.col("pos") + 1).cast("int")))
+             .when(F.col("row").rlike(COLSPAN_RE),
+                   F.transform(spanned_cells(F.col("row"), ""), lambda c: c["text"]))
+             .otherwise(row_texts(F.col("row"), "")))
     r = evaluate_once(r.select("url", "table_no", (F.col("pos") + 1).cast("int").alias("row_no"),
                                *[f"__i_{n}" for n in names], texts.alias("__t")))
 

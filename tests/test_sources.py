@@ -105,6 +105,8 @@ SPAN_PAGE = """<table>
 <tr><td>1</td><td>Kowal Jan</td><td>X</td><td>90</td><td>80</td><td>70</td><td>60</td><td>50</td><td>350</td></tr>
 <tr><td>2</td><td>Lis Ola</td><td>X</td><td colspan="3">brak</td><td>40</td><td>30</td><td>70</td></tr>
 <tr><td rowspan="2">3</td><td>Nowak Ewa</td><td>Y</td><td>1</td><td>1</td><td>1</td><td>1</td><td>1</td><td>5</td></tr>
+<tr><td>Zięba Jan</td><td rowspan="2">Z</td><td>2</td><td>2</td><td>2</td><td>2</td><td>2</td><td>10</td></tr>
+<tr><td>4</td><td>Wrona Iza</td><td>3</td><td>3</td><td>3</td><td>3</td><td>3</td><td>15</td></tr>
 </table>"""
 
 
@@ -118,5 +120,8 @@ def test_header_spans_expanded(spark):
         (90.0, 80.0, 70.0, 60.0, 50.0, 350.0)
     o = rows["Lis Ola"]
     assert (o["m_skeet"], o["m_boar"], o["m_buck"], o["score"]) == (None, 40.0, 30.0, 70.0)
-    issues = [(r["issue"], r["table_no"]) for r in H.ingest_issues(pages).collect()]
-    assert issues == [("body_rowspan", 1)]
+    # body row spans fill down: the shared Lp and the shared district
+    z, w = rows["Zięba Jan"], rows["Wrona Iza"]
+    assert (z["lp"], z["district"], z["score"]) == (3.0, "Z", 10.0)
+    assert (w["lp"], w["district"], w["m_skeet"], w["score"]) == (4.0, "Z", 3.0, 15.0)
+    assert H.ingest_issues(pages).count() == 0
