@@ -73,7 +73,7 @@ def _row(cells: list[Column], td: str = "td", tr: str = "tr") -> Column:
     return F.concat(*parts)
 
 
-def _result_table(style: int, body_span: bool = False) -> Column:
+def _result_table(style: int, spans: bool = False, body_span: bool = False) -> Column:
     cols = _style_columns(style)
     if style == 0:
         head = _row([F.lit(lbl) for lbl, _ in cols], "th")
@@ -83,10 +83,15 @@ def _result_table(style: int, body_span: bool = False) -> Column:
         body = F.concat(F.lit("<TR>"), *[F.concat(F.lit('<TD class="c">'), v, F.lit("</TD>")) for _, v in cols],
                         F.lit("</TR>"))
         return F.concat(F.lit('<TABLE border="1">'), head, body, F.lit("</TABLE>"))
-    # two header rows with spans: the first four labels span both rows, one group spans the rest
-    group = F.concat(F.lit("<tr>"), *[F.lit(f'<th rowspan="2">{lbl}</th>') for lbl, _ in cols[:4]],
-                     F.lit(f'<th colspan="{len(cols) - 4}">Wyniki</th></tr>'))
-    head = _row([F.lit(lbl) for lbl, _ in cols[4:]], "th")
+    if spans:
+        # two header rows with spans: the first four labels span both rows, one group spans the rest
+        group = F.concat(F.lit("<tr>"), *[F.lit(f'<th rowspan="2">{lbl}</th>') for lbl, _ in cols[:4]],
+                         F.lit(f'<th colspan="{len(cols) - 4}">Wyniki</th></tr>'))
+        head = _row([F.lit(lbl) for lbl, _ in cols[4:]], "th")
+    else:
+        # two full header rows: group labels, then the column labels
+        group = _row([F.lit("Zawodnik")] * 4 + [F.lit("Wyniki")] * (len(cols) - 4), "th")
+        head = _row([F.lit(lbl) for lbl, _ in cols], "th")
     # the repeated header row's class cell spans the row without a player below it
     klass_at = [c for c, _ in cols].index(_spelling("klass", 2))
     if body_span:
@@ -103,9 +108,12 @@ def _result_table(style: int, body_span: bool = False) -> Column:
 def result_pages(results: DataFrame) -> DataFrame:
     """pages(url, html): one result page per results row (map-only, no shuffle)."""
     style = F.col("row_seq") % 3
-    # one page in thirty also has a body row span (the fill-down path)
+    # the two-level style carries header spans on one page in ten, and a body row span
+    # (the fill-down path) on one page in thirty
     table = (F.when(style == 0, _result_table(0)).when(style == 1, _result_table(1))
-             .when(F.col("row_seq") % 30 == 2, _result_table(2, body_span=True)).otherwise(_result_table(2)))
+             .when(F.col("row_seq") % 30 == 2, _result_table(2, spans=True, body_span=True))
+             .when(F.col("row_seq") % 10 == 2, _result_table(2, spans=True))
+             .otherwise(_result_table(2)))
     tables = F.when(F.col("table_no") == 1, F.concat(table, F.lit(NAV_TABLE))) \
         .otherwise(F.concat(F.lit(NAV_TABLE), table))
     html = F.concat(F.lit("<html><body><h1>"), F.col("event_name"), F.lit("</h1>"), tables, F.lit("</body></html>"))

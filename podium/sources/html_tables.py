@@ -147,8 +147,8 @@ def extract_results(pages: DataFrame, aliases: Mapping[str, str] | None = None,
     body = F.slice(F.col("rows_html"), (F.col("n_header") + 1).cast("int"),
                    F.greatest(F.size("rows_html") - F.col("n_header"), F.lit(0)).cast("int"))
     # column positions are looked up once per table, cell texts once per row
-    t = t.withColumn("__bodycells", F.when(F.exists(body, lambda r: r.rlike(ROWSPAN_RE)),
-                                          F.transform(body, lambda r: spanned_cells(r, ""))))
+    has_body_rowspan = F.col("table_html").rlike(ROWSPAN_RE) & F.exists(body, lambda r: r.rlike(ROWSPAN_RE))
+    t = t.withColumn("__bodycells", F.when(has_body_rowspan, F.transform(body, lambda r: spanned_cells(r, ""))))
     t = t.withColumn("__grid", F.when(F.col("__bodycells").isNotNull(), F.expr(_BODY_GRID)))
     t = t.select("url", "table_no", body.alias("body"), "__grid",
                  *[F.array_position(F.col("canonical"), F.lit(n)).cast("int").alias(f"__i_{n}") for n in names])
