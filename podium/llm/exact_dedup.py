@@ -92,7 +92,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: Column | None = N
     """Per row: ``doc_id, keep_id, group_size, kept, text_sha256``."""
     named = identities(docs, id_col, text, block_bytes)
     order = F.struct(F.col("id").isNotNull().alias("known"), "id", "row")
-    groups = named.groupBy("n_blocks", "name").agg(F.max(order).alias("last"), F.count(F.lit(1)).alias("group_size"))
+    # written, so that the join below can split the rows of a large group
+    groups = Scratch(docs.sparkSession, "groups").write(
+        named.groupBy("n_blocks", "name").agg(F.max(order).alias("last"), F.count(F.lit(1)).alias("group_size")))
     return (named.join(groups, ["n_blocks", "name"])
             .select(F.col("id").alias(id_col), F.col("last.id").alias("keep_id"), "group_size",
                     (F.col("row") == F.col("last.row")).alias("kept"), F.col("sha256").alias("text_sha256")))

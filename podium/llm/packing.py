@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.shared import Scratch
+from podium.llm.shared import Scratch, ship
 
 WINDOW = 2048
 END_ID = 1
@@ -225,6 +225,7 @@ def _running(groups: DataFrame, rows: int, key: str) -> DataFrame:
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
          window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """Per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
+    ship(docs.sparkSession)
     tmp = Scratch(docs.sparkSession, "packing")
     rows = tmp.write(summarise(docs, id_col, text_col, path or vocabulary(), window, end_id))
     about = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("full")).alias("full")).first()

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from podium.llm.labelled import remainder, sample
+from podium.llm.shared import ship
 
 SAMPLE_DOCS, SAMPLE_LINES = 3000, 400
 MOD, HELD_OUT, THRESHOLD = 5, 0, 0.3
@@ -207,6 +208,8 @@ class Field:
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES) -> Field:
     """Features of the sample are made by tasks; the driver gets them, ``sample_docs * sample_lines`` rows at most."""
 
+    ship(docs.sparkSession)
+
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             out = []

@@ -28,6 +28,8 @@ import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
+from podium.llm.shared import ship
+
 MAX_ENTRIES = 20_000_000
 SEPARATOR = "\n"  # neither part of an entry can hold it
 
@@ -125,6 +127,7 @@ def judge_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], blocklis
     ``rules`` are (host, path, verdict) and decide first.  Where none fits, the URL is blocked if the blocklist has an
     entry for it and gets the default otherwise."""
     spark = pages.sparkSession
+    ship(spark)
     verdicts: dict[tuple[str, str], str] = {}
     for host, path, verdict in rules:
         if verdicts.setdefault((host, path), verdict) != verdict:
