@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from podium.llm import decontaminate, exact_dedup, packing, url_filter
+from podium.llm import decontaminate, exact_dedup, near_dedup, packing, quality, toxicity, url_filter
 from podium.llm.shared import table
 
 #: The contract's rules (host, path, verdict).
@@ -16,10 +16,24 @@ URL_BLOCKLIST = [(f"{name}.example.{top}", "") for name in ("casino-win", "free-
                  for top in ("com", "net", "org")]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=4)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -35,7 +49,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_near_dedup": op5_near_dedup,
+    "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
     "op10_packing": op10_packing,
