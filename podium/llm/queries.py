@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from podium.llm import decontaminate, exact_dedup, near_dedup, packing, quality, toxicity, url_filter
+from podium.llm import decontaminate, exact_dedup, html_extract, near_dedup, packing, pii, quality, secret_scan, toxicity, url_filter
 from podium.llm.shared import table
 
 #: The contract's rules (host, path, verdict).
@@ -15,12 +15,23 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
 URL_BLOCKLIST = [(f"{name}.example.{top}", "") for name in ("casino-win", "free-bets", "cheap-pills", "adult-x", "ads-track")
                  for top in ("com", "net", "org")]
 
+#: The surrogates' key; a real run takes its own from a secret store.
+PII_KEY = "podium"
+
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -29,6 +40,10 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=4)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(table(spark, sf_dir, "documents"), key=PII_KEY)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -50,8 +65,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_secret_scan": op2_secret_scan,
+    "op3_html_extract": op3_html_extract,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_near_dedup": op5_near_dedup,
+    "op6_pii": op6_pii,
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
