@@ -24,6 +24,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -94,6 +95,12 @@ class Encoder:
         return b"".join(map(self.runs.__getitem__, text.lower().split()))
 
 
+@lru_cache(2)
+def encoder(path: str) -> Encoder:
+    """One for all tasks that a Python worker runs."""
+    return Encoder(path)
+
+
 SUMMARY = "row long, id {kind}, n long, full array<long>, rest int, rest_crc long, bits array<long>"
 
 
@@ -103,7 +110,7 @@ def summarise(docs: DataFrame, id_col: str, text_col: str, path: str, window: in
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = Encoder(path)
+        encode = encoder(path)
         for rows in batches:
             out = []
             for row, i, text in zip(rows["row"], rows["id"], rows["text"]):
