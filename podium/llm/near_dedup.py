@@ -1,22 +1,25 @@
 """MinHash near-duplicate groups with odd sketches.
 
-1. Tasks turn each whole text into its set of word shingles (64-bit hashes), ``bands * rows`` MinHash values, one key
-   per band, and an odd sketch: every MinHash sample flips one bit of a bitmap, so the bits that differ between two
-   bitmaps (XOR, population count) estimate how many samples differ, precisely where the similarity is high.
-2. Documents with equal sets form one class, of which the smallest id goes on; the copies follow it without pairs.
-3. Classes that share a band key are candidates.  In each key's bucket every class is compared with the smallest one
-   (star); odd sketch and set sizes discard what cannot be similar enough; the rest is confirmed on the full sets, and
-   confirmed links merge into components.
+1. Tasks turn each whole text into its set of word shingles (64-bit hashes), ``bands * rows`` MinHash values and one key
+   per band.  Documents with equal sets form one class, of which the smallest id goes on; the copies follow it without
+   pairs.
+2. Classes that share a band key with another class get an odd sketch of ``samples`` MinHash values: each flips one bit of
+   a bitmap, so the bits that differ between two bitmaps (XOR, population count) estimate how many samples differ,
+   precisely where the similarity is high.
+3. In each key's bucket every class is compared with the smallest one (star); odd sketch and set sizes discard what
+   cannot be similar enough; the rest is confirmed on the full sets, and confirmed links merge into components.
 4. Buckets that still hold several components get the exhaustive step: the members outside the bucket's largest
    component meet all members of other components.  Both sides are dealt in chunks of bounded size and compared inside
    tasks, bitmap against bitmap; only pairs that pass the sketch go on to the full sets.  A pair is compared in the first
-   band that it shares.  So no pairs of a component are ever made, no link between components is left out, and no bucket
-   is capped.
+   band that it shares.  It runs twice: first only the likeliest pairs that could merge components leave a task, then,
+   with the components so merged, all that remain.  So no pairs of a component are ever made, no link between components
+   is left out, and no bucket is capped.
 
-A link of similarity s is missed only if no band agrees or the sketch is off by five standard errors: about 3e-6 at 0.8.
+A link of similarity 0.8 is missed only if no band agrees or the sketch is off by four standard errors: about 4e-5, and less above.
 
 Defined cases: null and empty texts have no shingles and stand alone; texts with fewer words than a shingle have one,
-the whole sequence; repeated ids count as one document per row; rows with a null id take no part in groups and come
+the whole sequence; rows of one id with different texts get their own text's component, and that id stands for the text
+with the smallest digest; rows with a null id take no part in groups and come
 out alone (null component, kept).  Columns other than the id and the text are not read.
 """
 
@@ -36,12 +39,14 @@ from podium.llm.shared import LOWER, UPPER, Scratch, ship
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 TO_LOWER = str.maketrans(UPPER, LOWER)
 BANDS, ROWS = 24, 4
-SKETCH_BITS = 512
+SAMPLES, SKETCH_BITS = 1024, 4096
+LIKELY = 0.82  # pairs that look at least this similar are tried first
 CHUNK = 4096
+SIDE_BLOCK = 64
 HASH_BLOCK = 4096  # shingles hashed by all functions at a time
 
 _random = np.random.default_rng(20240229)
-_MULTIPLY = _random.integers(1, 1 << 32, 2 * BANDS * ROWS * 2, dtype=np.uint64)
+_MULTIPLY = _random.integers(1, 1 << 32, (2, 4096), dtype=np.uint64)
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -59,14 +64,13 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 def min_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     """The minimum of each of k hash functions over the set."""
-    a, b = (_MULTIPLY[:k] | np.uint64(1)).astype(np.uint32), _MULTIPLY[k:2 * k].astype(np.uint32)
+    a, b = (_MULTIPLY[0, :k] | np.uint64(1)).astype(np.uint32), _MULTIPLY[1, :k].astype(np.uint32)
     # two halves, so that equal low words don't make functions agree
     low, high = (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint32)
     best = np.full(k, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(hashes), HASH_BLOCK):
-        x = a[:, None] * low[None, i:i + HASH_BLOCK] + (b[:, None] ^ high[None, i:i + HASH_BLOCK])
-        x ^= x >> np.uint32(15)
-        x *= np.uint32(0x2C1B3C6D)
+        x = a[:, None] * low[None, i:i + HASH_BLOCK]
+        x += b[:, None] ^ high[None, i:i + HASH_BLOCK]
         best = np.minimum(best, x.min(1))
     return best
 
@@ -84,34 +88,38 @@ def odd_sketch(mins: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(np.bincount((h >> np.uint64(40)) % np.uint64(bits), minlength=bits).astype(np.uint8) & 1)
 
 
-def most_different(similarity: float, samples: int, bits: int) -> int:
-    """Differing bits that a pair of at least this similarity does not exceed, five standard errors out.
+def most_different(similarity: float, samples: int, bits: int, errors: float = 4) -> int:
+    """Differing bits that a pair of at least this similarity does not exceed, that many standard errors out (none:
+    those of a pair of just this similarity).
 
     A sample differs with probability 1 - s and then flips two bits; bits fall into ``bits`` places at random."""
-    differ = samples * (1 - similarity) + 5 * np.sqrt(samples * similarity * (1 - similarity))
+    differ = samples * (1 - similarity) + errors * np.sqrt(samples * similarity * (1 - similarity))
     flips = 2 * min(differ, samples)
     odd = bits / 2 * (1 - np.exp(-2 * flips / bits))
-    return int(np.ceil(odd + 2 * np.sqrt(odd)))
+    return int(np.ceil(odd + (np.sqrt(odd) if errors else 0)))
 
 
-SKETCHED = "id {kind}, n long, fp string, keys array<long>, sketch binary"
+SIGNED = "id {kind}, n long, fp string, keys array<long>"
 
 
-def sketched(docs: DataFrame, id_col: str, words: int, bands: int, rows: int, bits: int) -> DataFrame:
+def _fingerprint(shingles: np.ndarray) -> str:
+    return xxhash.xxh3_128_hexdigest(shingles.tobytes())
+
+
+def signed(docs: DataFrame, id_col: str, words: int, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             out = []
             for i, text in zip(frame["id"], frame["text"]):
                 s = shingle_set(text, words)
                 if len(s):
-                    m = min_hashes(s, bands * rows)
-                    out.append((i, len(s), xxhash.xxh3_128_hexdigest(s.tobytes()), band_keys(m, bands, rows), odd_sketch(m, bits).tobytes()))
+                    out.append((i, len(s), _fingerprint(s), band_keys(min_hashes(s, bands * rows), bands, rows)))
                 else:
-                    out.append((i, 0, None, None, None))
-            yield pd.DataFrame(out, columns=["id", "n", "fp", "keys", "sketch"])
+                    out.append((i, 0, None, None))
+            yield pd.DataFrame(out, columns=["id", "n", "fp", "keys"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), "text").where("id is not null").mapInPandas(run, SKETCHED.format(kind=kind))
+    return docs.select(F.col(id_col).alias("id"), "text").where("id is not null").mapInPandas(run, SIGNED.format(kind=kind))
 
 
 def _big_enough(a: Column, b: Column, percent: int) -> Column:
@@ -172,85 +180,139 @@ def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
     return (members.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")))
 
 
+def _compare(batches: Iterator[pd.DataFrame], limit: int, percent: int, forest: bool) -> Iterator[pd.DataFrame]:
+    """Candidate pairs of each (key, x, y) group; rows come sorted by group, a group may span batches."""
+    held = None
+    for frame in batches:
+        frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+        group = frame[["key", "x", "y"]].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(1)]) if len(frame) else np.zeros(1, int)
+        held = frame.iloc[starts[-1]:]
+        yield _pairs(frame.iloc[:starts[-1]], starts[:-1], limit, percent, forest)
+    if held is not None and len(held):
+        yield _pairs(held, np.zeros(1, int), limit, percent, forest)
+
+
+def _pairs(frame: pd.DataFrame, starts: np.ndarray, limit: int, percent: int, forest: bool) -> pd.DataFrame:
+    found: list[tuple] = []
+    if len(frame):
+        sketch = np.frombuffer(b"".join(frame["sketch"]), np.uint64).reshape(len(frame), -1)
+        keys = np.stack(frame["keys"].to_numpy())
+        side, band, out, n, part, ids = (frame[c].to_numpy() for c in ("side", "band", "out", "n", "component", "id"))
+        for s, e in zip(starts, [*starts[1:], len(frame)]):
+            middle = s + int(np.searchsorted(side[s:e], 1))
+            left, b = slice(s, middle), int(band[s])
+            kept = []
+            for at in range(middle, e, SIDE_BLOCK):
+                right = slice(at, min(at + SIDE_BLOCK, e))
+                ok = ((part[left, None] != part[None, right]) & (100 * np.minimum(n[left, None], n[None, right]) >= percent * np.maximum(n[left, None], n[None, right]))
+                      & ~(out[left, None] & (ids[left, None] > ids[None, right])))
+                i, j = np.nonzero(ok)
+                i, j = i + s, j + at
+                apart = np.bitwise_count(sketch[i] ^ sketch[j]).sum(1, dtype=np.int64)
+                ok = apart <= limit
+                i, j, apart = i[ok], j[ok], apart[ok]
+                ok = ~(keys[i, :b] == keys[j, :b]).any(1)  # else compared in an earlier band
+                kept.append((i[ok], j[ok], apart[ok]))
+            if not kept:
+                continue
+            i, j, apart = (np.concatenate(c) for c in zip(*kept))
+            if forest:
+                i, j = _merging(i, j, apart, part)
+            found += zip(ids[i], ids[j])
+    return pd.DataFrame(found, columns=["a", "b"])
+
+
+def _merging(i: np.ndarray, j: np.ndarray, apart: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs, likeliest first, that join two components not yet joined by those before."""
+    root: dict = {}
+
+    def find(c):
+        while root.setdefault(c, c) != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    taken = []
+    for k in np.argsort(apart, kind="stable"):
+        a, b = find(part[i[k]]), find(part[j[k]])
+        if a != b:
+            root[a] = b
+            taken.append(k)
+    return i[taken], j[taken]
+
+
+def _across(members: DataFrame, parts: DataFrame, light: DataFrame, kind: str, limit: int, percent: int,
+            forest: bool) -> DataFrame:
+    """Candidate pairs between different components of the same bucket: every member outside the bucket's largest
+    component against all members, in chunks of at most ``CHUNK`` on either side."""
+    known = _labelled(members.select("key", "band", "id"), parts)
+    tmp = Scratch(members.sparkSession, "across")
+    sizes = tmp.write(known.groupBy("key", "component").count())
+    largest = tmp.write(sizes.groupBy("key").agg(F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("all"), F.count(F.lit(1)).alias("parts"))
+                        .where("parts > 1").select("key", F.col("m.component").alias("main"), "all", (F.col("all") - F.col("m.count")).alias("outside")))
+    rest = known.join(largest, "key").join(light, "id").withColumn("out", F.col("component") != F.col("main"))
+    chunks = lambda n: F.ceil(F.col(n) / CHUNK).cast("int")
+    own = lambda n: F.pmod(F.xxhash64("id"), chunks(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), chunks(n) - 1)
+    # a member stands on the left for each chunk of outsiders, an outsider also on the right for each chunk of members
+    left = F.transform(every("outside"), lambda y: F.struct(F.lit(0).alias("side"), own("all").alias("x"), y.alias("y")))
+    right = F.transform(every("all"), lambda x: F.struct(F.lit(1).alias("side"), x.alias("x"), own("outside").alias("y")))
+    dealt = (rest.select("key", "band", "id", "component", "n", "sketch", "keys", "out",
+                         F.explode(F.when(F.col("out"), F.concat(left, right)).otherwise(left)).alias("c"))
+             .select("key", "c.x", "c.y", "c.side", "band", "id", "component", "n", "sketch", "keys", "out"))
+    dealt = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "side")
+    return dealt.mapInPandas(lambda batches: _compare(batches, limit, percent, forest), f"a {kind}, b {kind}").distinct()
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", words: int = 5, percent: int = 80, bands: int = BANDS,
-                rows: int = ROWS, bits: int = SKETCH_BITS) -> DataFrame:
+                rows: int = ROWS, samples: int = SAMPLES, bits: int = SKETCH_BITS) -> DataFrame:
     """Per row ``doc_id, n_shingles, component_id, kept``: component_id is the smallest id reachable over links."""
     spark = docs.sparkSession
     ship(spark)
     tmp = Scratch(spark, "near")
-    limit = most_different(percent / 100, bands * rows, bits)
+    limit = most_different(percent / 100, samples, bits)
     kind = docs.schema[id_col].dataType.simpleString()
 
-    all_rows = tmp.write(sketched(docs, id_col, words, bands, rows, bits))
+    all_rows = tmp.write(signed(docs, id_col, words, bands, rows))
     firsts = tmp.write(all_rows.where("n > 0").groupBy("fp").agg(F.min("id").alias("first")))
-    heads = all_rows.where("n > 0").join(firsts.select(F.col("first").alias("id"), F.col("fp")), ["id", "fp"], "left_semi").dropDuplicates(["id"])
+    heads = (all_rows.where("n > 0").join(firsts.select(F.col("first").alias("id"), "fp"), ["id", "fp"], "left_semi")
+             .groupBy("id").agg(F.min(F.struct("fp", "n", "keys")).alias("h")).select("id", "h.fp", "h.n", "h.keys"))
 
     # buckets with at least two classes
     keyed = heads.select("id", F.posexplode("keys").alias("band", "key"))
     shared = tmp.write(keyed.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last").select("key", "centre"))
     members = tmp.write(keyed.join(shared, "key").select("key", "band", "id", "centre"))
-    light = tmp.write(heads.join(members.select("id").distinct(), "id", "left_semi").select("id", "n", "keys", "sketch"))
 
-    # the full sets of classes that share a bucket, from the whole texts
+    # full sets and sketches of the classes that share a bucket, from the whole texts
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            yield pd.DataFrame({"id": frame["id"], "set": [shingle_set(t, words).tobytes() for t in frame["text"]]})
+            out = []
+            for i, n, fp, keys, text in zip(frame["id"], frame["n"], frame["fp"], frame["keys"], frame["text"]):
+                s = shingle_set(text, words)
+                if _fingerprint(s) == fp:
+                    out.append((i, n, keys, odd_sketch(min_hashes(s, samples), bits).tobytes(), s.tobytes()))
+            yield pd.DataFrame(out, columns=["id", "n", "keys", "sketch", "set"])
 
-    def attach(pairs: DataFrame) -> DataFrame:
-        for c in "ab":
-            pairs = pairs.join(light.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")), c)
-        return pairs.where(_big_enough(F.col("n_a"), F.col("n_b"), percent))
+    asked = tmp.write(heads.join(members.select("id").distinct(), "id", "left_semi"))
+    texts = docs.select(F.col(id_col).alias("id"), "text")
+    sets = tmp.write(texts.join(asked, "id").select("id", "n", "fp", "keys", "text")
+                     .mapInPandas(sets_of, f"id {kind}, n long, keys array<long>, sketch binary, set binary").dropDuplicates(["id"]))
+    light = sets.select("id", "n", "keys", "sketch")
 
     star = members.where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-    star = tmp.write(_alike(attach(star), limit).select("a", "b"))
-
-    texts = docs.select(F.col(id_col).alias("id"), "text")
-    wanted = tmp.write(star.select(F.col("a").alias("id")).unionByName(star.select(F.col("b").alias("id"))).distinct())
-    sets = tmp.write(texts.join(wanted, "id", "left_semi").mapInPandas(sets_of, f"id {kind}, set binary").dropDuplicates(["id"]))
+    for c in "ab":
+        star = star.join(light.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")), c)
+    star = tmp.write(_alike(star.where(_big_enough(F.col("n_a"), F.col("n_b"), percent)), limit).select("a", "b"))
     links = tmp.write(_confirmed(star, sets, percent))
     parts = tmp.write(components(links))
 
-    # buckets that still hold several components
-    known = _labelled(members.select("key", "band", "id"), parts)
-    open_keys = tmp.write(known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                          .where("low < high").select("key"))
-    known = tmp.write(known.join(open_keys, "key", "left_semi"))
-    sizes = known.groupBy("key", "component").count()
-    largest = tmp.write(sizes.groupBy("key").agg(F.max(F.struct("count", "component")).alias("m"), F.sum("count").alias("all"))
-                        .select("key", F.col("m.component").alias("main"), "all", (F.col("all") - F.col("m.count")).alias("outside")))
-    rest = tmp.write(known.join(largest, "key").join(light, "id"))
-    again = spark.read.schema(rest.schema).parquet(rest._podium_path)  # a second reading, for the other side
-    chunks = lambda n: F.ceil(F.col(n) / CHUNK).cast("int")
-    own = lambda n: F.pmod(F.xxhash64("id"), chunks(n)).cast("int")
-    columns = ["key", "band", "id", "component", "n", "sketch", "keys"]
-    inner = rest.select(*columns, own("all").alias("x"), F.explode(F.sequence(F.lit(0), chunks("outside") - 1)).alias("y"))
-    outer = (again.where("component <> main")
-             .select(*columns, F.explode(F.sequence(F.lit(0), chunks("all") - 1)).alias("x"), own("outside").alias("y")))
-
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(left) and len(right):
-            band = int(left["band"].iloc[0])
-            ls, rs = (np.frombuffer(b"".join(f["sketch"]), np.uint64).reshape(len(f), -1) for f in (left, right))
-            lk, rk = (np.stack(f["keys"].to_numpy())[:, :band] for f in (left, right))
-            ln, rn, lc, rc, li, ri = (f[c].to_numpy() for c in ("n", "component", "id") for f in (left, right))
-            outside = set(ri)
-            again = np.array([i in outside for i in li])
-            for j in range(len(ri)):
-                ok = (lc != rc[j]) & (100 * np.minimum(ln, rn[j]) >= percent * np.maximum(ln, rn[j])) & ~(again & (li > ri[j]))
-                at = np.flatnonzero(ok)
-                at = at[np.bitwise_count(ls[at] ^ rs[j]).sum(1) <= limit]
-                at = at[~(lk[at] == rk[j]).any(1)]  # compared in an earlier band
-                found += [(i, ri[j]) for i in li[at]]
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    more = tmp.write(inner.groupBy("key", "x", "y").cogroup(outer.groupBy("key", "x", "y")).applyInPandas(compare, f"a {kind}, b {kind}"))
-    asked = more.select(F.col("a").alias("id")).unionByName(more.select(F.col("b").alias("id"))).distinct()
-    missing = tmp.write(asked.join(wanted, "id", "left_anti"))
-    more_sets = tmp.write(texts.join(missing, "id", "left_semi").mapInPandas(sets_of, f"id {kind}, set binary").dropDuplicates(["id"]))
-    late = tmp.write(_confirmed(more, sets.unionByName(more_sets), percent))
-    parts = tmp.write(components(links.unionByName(late)))
-    tmp.drop(sets, more_sets, members, known, rest)
+    # buckets that still hold several components: likely links first, as many as can merge something; then all that is left
+    for bound, forest in ((most_different(LIKELY, samples, bits, errors=0), True), (limit, False)):
+        more = tmp.write(_across(members, parts, light, kind, bound, percent, forest))
+        links = tmp.write(links.unionByName(_confirmed(more, sets, percent)))
+        parts = tmp.write(components(links))
+    tmp.drop(sets, members)
 
     firsts = tmp.write(_labelled(firsts.select("fp", F.col("first").alias("id")), parts).select("fp", "component"))
     out = all_rows.join(firsts, "fp", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
