@@ -21,15 +21,11 @@ from pyspark.sql import functions as F
 
 from podium.functions.text import clean_text
 
-_SEP = r"[.\-/]"
-_DASH = r"\s*[-–]\s*"
-_D = r"(\d{1,2})"
-_Y = r"(\d{4})"
-
-_ISO = r"(?U)\b" + _Y + r"-" + _D + r"-" + _D + r"\b"                                     # y m d
-_DAY_RANGE = r"(?U)(?<![.\-/])\b" + _D + _DASH + _D + _SEP + _D + _SEP + _Y + r"\b"      # d1 d2 m y
-_CROSS = r"(?U)\b" + _D + _SEP + _D + _DASH + _D + _SEP + _D + _SEP + _Y + r"\b"          # d1 m1 d2 m2 y
-_SINGLE = r"(?U)\b" + _D + _SEP + _D + _SEP + _Y + r"\b"                                 # d m y
+# FIXED VALUES: the four date patterns of the results pages.
+_ISO = r"(?U)\b(\d{4})-(\d{1,2})-(\d{1,2})\b"  # y m d
+_DAY_RANGE = r"(?U)(?<![.\-/])\b(\d{1,2})\s*[-–]\s*(\d{1,2})[.\-/](\d{1,2})[.\-/](\d{4})\b"  # d1 d2 m y
+_CROSS = r"(?U)\b(\d{1,2})[.\-/](\d{1,2})\s*[-–]\s*(\d{1,2})[.\-/](\d{1,2})[.\-/](\d{4})\b"  # d1 m1 d2 m2 y
+_SINGLE = r"(?U)\b(\d{1,2})[.\-/](\d{1,2})[.\-/](\d{4})\b"  # d m y
 
 _MIN_DATE = "0001-01-01"
 
@@ -38,28 +34,27 @@ def _mk(y: Column, m: Column, d: Column) -> Column:
     return F.try_to_date(F.concat_ws("-", y, m, d), "y-M-d")
 
 
-def _groups(text: Column, pattern: str, n: int) -> list[Column]:
-    return [F.regexp_extract_all(text, F.lit(pattern), F.lit(i)) for i in range(1, n + 1)]
+def _found(text: Column, pattern: str) -> Column:
+    """Each match once, as the array of its numbers (all groups of a pattern are digit runs)."""
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                       lambda m: F.regexp_extract_all(m, F.lit(r"(\d+)"), F.lit(1)))
 
 
 def parse_event_dates(c) -> Column:
-    """Free text -> ARRAY<DATE>, ordered, distinct, impossible dates dropped."""
-    text = clean_text(c)
-
-    y, m, d = _groups(text, _ISO, 3)
-    iso = F.transform(y, lambda v, i: F.array(_mk(v, F.get(m, i), F.get(d, i))))
-
-    d1, d2, m2, y2 = _groups(text, _DAY_RANGE, 4)
-    day_range = F.transform(d1, lambda v, i: F.array(
-        _mk(F.get(y2, i), F.get(m2, i), v), _mk(F.get(y2, i), F.get(m2, i), F.get(d2, i))))
+    """Free text -> ARRAY<DATE>, ordered, distinct, impossible dates dropped.
 
-    a1, b1, a2, b2, y3 = _groups(text, _CROSS, 5)
-    cross = F.transform(a1, lambda v, i: F.array(
-        _mk(F.get(y3, i), F.get(b1, i), v), _mk(F.get(y3, i), F.get(b2, i), F.get(a2, i))))
+    The text is cleaned once: a one-element array hands it to the four patterns."""
+    return F.element_at(F.transform(F.array(clean_text(c)), _dates_of), 1)
 
-    s_d, s_m, s_y = _groups(text, _SINGLE, 3)
-    single = F.transform(s_d, lambda v, i: F.array(_mk(F.get(s_y, i), F.get(s_m, i), v)))
 
+def _dates_of(text: Column) -> Column:
+    g = lambda x, i: F.get(x, F.lit(i))
+    iso = F.transform(_found(text, _ISO), lambda x: F.array(_mk(g(x, 0), g(x, 1), g(x, 2))))
+    day_range = F.transform(_found(text, _DAY_RANGE), lambda x: F.array(
+        _mk(g(x, 3), g(x, 2), g(x, 0)), _mk(g(x, 3), g(x, 2), g(x, 1))))
+    cross = F.transform(_found(text, _CROSS), lambda x: F.array(
+        _mk(g(x, 4), g(x, 1), g(x, 0)), _mk(g(x, 4), g(x, 3), g(x, 2))))
+    single = F.transform(_found(text, _SINGLE), lambda x: F.array(_mk(g(x, 2), g(x, 1), g(x, 0))))
     everything = F.flatten(F.concat(iso, day_range, cross, single))
     valid = F.filter(everything, lambda x: x.isNotNull() & (x >= F.lit(_MIN_DATE).cast("date")))
     return F.coalesce(F.array_distinct(valid), F.array().cast("array<date>"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -83,18 +86,11 @@ def split_names(c) -> Column:
     return F.filter(parts, lambda x: x != "")
 
 
-_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-             ("&#39;", "'"), ("&#039;", "'"), ("&apos;", "'"), ("&amp;", "&"))
-
-
 def strip_tags(c) -> Column:
     """Replace every tag with a space (cell text is then whitespace-cleaned)."""
     return F.regexp_replace(_col(c), r"(?s)<[^>]*>", " ")
 
 
-_NUMREF = r"&#([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
-
-
 def _numref_char(code: Column) -> Column:
     """Character of a numeric reference code ('321' or 'x141'), via its UTF-16 units."""
     cp = F.when(F.lower(code).startswith("x"), F.conv(F.substring(code, 2, 10), 16, 10)).otherwise(code) \
@@ -106,26 +102,32 @@ def _numref_char(code: Column) -> Column:
     return F.coalesce(F.decode(F.unhex(units), "UTF-16BE"), F.lit("\ufffd"))
 
 
-def decode_numeric_entities(c) -> Column:
-    """Decode ``&#NNN;`` / ``&#xHHHH;`` references (pieces between references are
-    re-joined with the decoded characters; text without references is untouched)."""
-    col = _col(c)
-    pieces = F.split(col, _NUMREF)
-    chars = F.transform(F.regexp_extract_all(col, F.lit(_NUMREF), 1), _numref_char)
-    joined = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(chars, i), F.lit("")))), "")
-    return F.when(col.contains("&#"), joined).otherwise(col)
+_REFERENCE = r"&(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);"
+# The references most pages use are tried before the table of all names.
+_FREQUENT = {"nbsp": "\u00a0", "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+_NAMES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+
+
+def _reference_text(ref: Column) -> Column:
+    out = F.when(ref.startswith("#"), _numref_char(F.substring(ref, 2, 10)))
+    for name, text in _FREQUENT.items():
+        out = out.when(ref == name, F.lit(text))
+    named = F.element_at(F.from_json(F.lit(json.dumps(_NAMES)), "map<string,string>"), ref)
+    return F.coalesce(out.otherwise(named), F.concat(F.lit("&"), ref, F.lit(";")))
 
 
 def decode_entities(c) -> Column:
-    """Decode numeric references and the common named entities (``&amp;`` last,
-    so an escaped reference is decoded only once)."""
-    out = decode_numeric_entities(c)
-    for ent, ch in _ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Decode numeric and all named character references, each once (the pieces
+    between references are joined with the decoded characters); unknown names stay
+    as they are, text without references is untouched."""
+    col = _col(c)
+    pieces = F.split(col, _REFERENCE)
+    chars = F.transform(F.regexp_extract_all(col, F.lit(_REFERENCE), F.lit(1)), _reference_text)
+    joined = F.array_join(F.zip_with(pieces, chars, lambda p, x: F.concat(p, F.coalesce(x, F.lit("")))), "")
+    return F.when(col.rlike(_REFERENCE), joined).otherwise(col)
 
 
-_HREF = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+_HREF = r"""(?is)<a\s[^>]*?href\s*=\s*(?:["']([^"']*)["']|([^\s"'>]+))"""
 _BARE_URL = r"https?://\S+"
 
 
@@ -153,7 +155,7 @@ def first_link(cell_html, base) -> Column:
     """First ``<a href>`` made absolute against ``base``; else the first bare
     ``http(s)://`` token of the cleaned text; else ''."""
     html = _col(cell_html)
-    href = F.regexp_extract(html, _HREF, 1)
+    href = F.concat(F.regexp_extract(html, _HREF, 1), F.regexp_extract(html, _HREF, 2))
     has_href = html.rlike(_HREF)
     text = clean_text(decode_entities(strip_tags(html)))
     bare = F.regexp_extract(text, _BARE_URL, 0)

@@ -61,73 +61,39 @@ def ordered_concat(value: str, rn: str, upto: int | None = None, sep: str = K.NA
     return F.expr(f"listagg({v}, {lit}) WITHIN GROUP (ORDER BY `{rn}`)")
 
 
-# Boards up to this many rows are numbered in a single task (a proven bound:
-# the row count of the materialised input); larger ones use range partitioning.
-SINGLE_TASK_PLACE_ROWS = 1_000_000
-
-
-def leaderboards(df: DataFrame, specs: Sequence[tuple], partitions: int | None = None,
-                 single_task_rows: int = SINGLE_TASK_PLACE_ROWS) -> DataFrame:
+def leaderboards(df: DataFrame, specs: Sequence[tuple], partitions: int | None = None) -> DataFrame:
     """Several independent places over one frame: ``specs`` = [(place, order, rank_if)].
 
-    The input is materialised and counted once; under the bound all places are
-    window columns of the same single-task pass, otherwise each is computed by
-    the range-partitioned ``leaderboard`` in turn."""
-    spark = df.sparkSession
-    src_path = scratch_path(spark, "leaderboard-input")
-    df.write.mode("overwrite").parquet(src_path)
-    base = spark.read.parquet(src_path)
-    if base.count() <= single_task_rows:
-        out = base
-        for place, order, rank_if in specs:
-            pos = F.row_number().over(Window.orderBy(*_order(order))).cast("bigint")
-            out = out.withColumn(place, pos if rank_if is None else F.when(rank_if, pos))
-        return out.select(*[p for p, _, _ in reversed(specs)], *[F.col(f"`{c}`") for c in df.columns])
-    out = base
+    Each place is one range-partitioned, written copy (see ``leaderboard``); the next place starts from that copy."""
+    out = df
     for place, order, rank_if in specs:
-        out = leaderboard(out, order, place=place, partitions=partitions, rank_if=rank_if, single_task_rows=0)
+        out = leaderboard(out, order, place=place, partitions=partitions, rank_if=rank_if)
     return out.select(*[p for p, _, _ in reversed(specs)], *[F.col(f"`{c}`") for c in df.columns])
 
 
 def leaderboard(df: DataFrame, order: Sequence, place: str = "place", partitions: int | None = None,
-                rank_if: Column | None = None, single_task_rows: int = SINGLE_TASK_PLACE_ROWS) -> DataFrame:
+                rank_if: Column | None = None) -> DataFrame:
     """Places 1..n after a global sort; ties get distinct places (``order`` must be total).
 
-    Scales without a single-partition window: the rows are range-partitioned on
-    the full sort key (Spark samples the key, so a hot first-key value is split
-    by the later keys), sorted inside each partition and numbered locally.  That
-    numbered copy is written once to the shared checkpoint folder: the sampled
-    boundaries are random per evaluation, so counts and numbers must come from
-    the same materialised copy (this also cuts the lineage); the input is
-    materialised first as well, so the sampling job does not recompute it.  The per-partition
-    counts (one row per partition, a proven small bound) become offsets that are
-    broadcast back.  ``rank_if``: only rows where it holds get a place (they
-    must sort first in ``order``); the others get NULL.
-
-    Below ``single_task_rows`` rows (counted on the materialised input) the
-    board is numbered by one window task instead: the work of that task is
-    bounded by the threshold, not by the data, and saves the range shuffle.
-    """
+    One plan at every size, without a window over all rows: the rows are
+    range-partitioned on the full sort key (Spark samples the key, so a hot
+    first-key value is split by the later keys), sorted inside each partition and
+    numbered locally.  That numbered copy is written once to the shared folder:
+    the sampled boundaries are random per evaluation, so counts and numbers must
+    come from the same copy (this also cuts the lineage).  The per-partition
+    counts (one row per partition) become offsets that join back on the
+    partition number.  ``rank_if``: only rows where it holds get a place (they
+    must sort first in ``order``); the others get NULL."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = _order(order)
-    # the range partitioner samples its input in a job of its own: give it a
-    # materialised copy so the upstream plan runs once, not once per job
-    src_path = scratch_path(spark, "leaderboard-input")
-    df.write.mode("overwrite").parquet(src_path)
-    base = spark.read.parquet(src_path)
     cols = [F.col(f"`{c}`") for c in df.columns]
-    if base.count() <= single_task_rows:
-        pos = F.row_number().over(Window.orderBy(*sort)).cast("bigint")
-        if rank_if is not None:
-            pos = F.when(rank_if, pos)
-        return base.select(pos.alias(place), *cols)
-    ranged = (base.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+    ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__mid", F.monotonically_increasing_id())
               .withColumn("__ranked", F.lit(True) if rank_if is None else F.coalesce(rank_if, F.lit(False))))
     path = scratch_path(spark, "leaderboard")
-    ranged.write.mode("overwrite").parquet(path)
+    ranged.write.mode("errorifexists").parquet(path)
     fixed = spark.read.parquet(path)
     counts = fixed.filter(F.col("__ranked")).groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     offsets = counts.select(
@@ -136,5 +102,6 @@ def leaderboard(df: DataFrame, order: Sequence, place: str = "place", partitions
                    F.lit(0)).alias("__off"))
     local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
     pos = (F.coalesce(F.col("__off"), F.lit(0)) + local + F.lit(1)).cast("bigint")
+    # at most one offset row per partition of the copy: a proven bound
     out = fixed.join(F.broadcast(offsets), "__pid", "left")
     return out.select(F.when(F.col("__ranked"), pos).alias(place), *cols)

@@ -1,29 +1,26 @@
-"""Partitioning helpers."""
+"""Evaluation barrier."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that arrives in fewer partitions than the cluster can run
-    (e.g. one small file with a single row group) before CPU-heavy row work.
-
-    At scale a scan already has many more partitions than cores and this is a
-    no-op; only an under-partitioned input pays one round-robin shuffle."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    current = df.rdd.getNumPartitions()
-    return df.repartition(target) if current < target else df
-
-
-def evaluate_once(df: DataFrame) -> DataFrame:
-    """Evaluate every column once.
+def evaluate_once(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Evaluate ``columns`` (None: all) once.
 
     Regex-built and higher-order-function columns are expensive; without a
     barrier the optimizer substitutes them into each later filter and
     projection that uses them (a filter pushed below the projection repeats
     the work).  A one-element ``inline`` (a Generate node) fixes them as
-    attributes."""
-    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    attributes.  The other columns pass beside it, so filters on them still
+    reach the scan."""
+    costly = list(df.columns if columns is None else columns)
+    struct = F.struct(*[F.col(f"`{c}`") for c in costly])
+    if columns is None:
+        return df.select(F.inline(F.array(struct)))
+    rest = [c for c in df.columns if c not in costly]
+    out = df.select(*[F.col(f"`{c}`") for c in rest], F.inline(F.array(struct)))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -22,12 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.functions.text import coerce_number, season_of
-from podium.operators.partitioning import ensure_parallelism
 from podium.session import written_once
-from podium.sources.tables import broadcast_if_small
-
-# Row bound under which a dimension side is broadcast (checked by counting).
-DIMENSION_BROADCAST_ROWS = 2_000_000
 
 # Windows of the qualification board over the bound data (inclusive, overlapping).
 WINDOWS = {"final": ("1996-01-01", "1998-12-31"), "championship": ("1998-06-01", "1999-06-30")}
@@ -51,9 +46,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """A fact-table scan spread over the cluster's cores before per-row work."""
+    """A fact-table scan; its splits follow ``spark.sql.files.maxPartitionBytes``."""
     df = table(spark, sf_dir, name)
-    return ensure_parallelism(df.select(*cols) if cols else df)
+    return df.select(*cols) if cols else df
 
 
 def _date_text(d: Column, key: Column) -> Column:
@@ -84,10 +79,8 @@ def _orders_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     # nation is a fixed 25-row dimension: the planner broadcasts it from its file size
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    # customer x nation grows with the data: broadcast only while its counted row
-    # count is under the bound, otherwise a shuffle join on the customer key
-    cn = broadcast_if_small(c.join(n, c.c_nationkey == n.n_nationkey, "inner"), DIMENSION_BROADCAST_ROWS,
-                            bound=table(spark, sf_dir, "customer"))
+    # customer x nation grows with the data: the planner joins it by its size in bytes
+    cn = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
     d = F.to_date("o_orderdate")
     return (o.join(cn, o.o_custkey == cn.c_custkey, "inner")
             .withColumn("d", d)
@@ -101,13 +94,13 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """results(row_seq, table_no, player, klass, district, lp, m_*, sub_shot,
     sub_rifle, score, season, event_name, date_text, venue, results_url),
     materialised once per application (see ``results_plan`` for the plan)."""
-    return written_once(spark, ("bound-results", sf_dir.rstrip("/")), lambda: results_plan(spark, sf_dir))
+    return written_once(spark, ("bound-results", sf_dir.rstrip("/")), lambda: results_plan(spark, sf_dir), inputs=sf_dir)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events(season, schedule_table_no, schedule_lp, event_name, organizer,
     venue, date_text, results_url), materialised once per application."""
-    return written_once(spark, ("bound-events", sf_dir.rstrip("/")), lambda: events_plan(spark, sf_dir))
+    return written_once(spark, ("bound-events", sf_dir.rstrip("/")), lambda: events_plan(spark, sf_dir), inputs=sf_dir)
 
 
 def results_plan(spark: SparkSession, sf_dir: str) -> DataFrame:

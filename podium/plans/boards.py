@@ -20,7 +20,7 @@ asc = lambda c: F.col(c).asc_nulls_last()
 
 
 def scored(results: DataFrame, score: str = "score") -> DataFrame:
-    """Rows with a score (repeated defensively before every ranking)."""
+    """Rows with a score (repeated defensively before every standings)."""
     return results.filter(F.col(score).isNotNull())
 
 

@@ -216,6 +216,20 @@ SELECT season, schedule_table_no, schedule_lp, event_name, organizer, venue, dat
             ELSE strftime(d1, '%Y-%m-%d') || ', ' || strftime(d2, '%Y-%m-%d') END AS dates_iso
 FROM events_b WHERE {_in(_lo, _hi)}"""
 
+PERIOD_POSITIONS = f"""
+SELECT row_number() OVER (ORDER BY date_text NULLS LAST, event_name NULLS LAST, results_url NULLS LAST) AS position, *
+FROM ({EVENTS_IN_PERIOD})"""
+
+# event names are upper-case ASCII: their collated order is that of their bytes once digit runs have equal width
+SORTED_EVENTS = f"""
+SELECT row_number() OVER (ORDER BY event_name DESC, date_text, results_url) AS position, *
+FROM ({EVENTS_IN_PERIOD})"""
+
+CRAWL_ORDER = _with() + """
+SELECT row_number() OVER (ORDER BY season DESC NULLS LAST, date_text NULLS LAST, event_name NULLS LAST,
+                                   results_url NULLS LAST) AS event_seq,
+       season, date_text, event_name, results_url FROM events_b"""
+
 PARSED_DATES = _with() + """
 SELECT results_url, date_text,
        CASE WHEN d2 IS NULL THEN strftime(d1, '%Y-%m-%d')
@@ -251,7 +265,7 @@ sraw AS (
 known AS (SELECT DISTINCT {clean('player')} AS player FROM results
           WHERE lower(trim(district)) = {_q(B.SUPPLEMENT_DISTRICT)}),
 supp AS (
-  SELECT CAST(row_seq + {1 << 48} AS BIGINT) AS row_seq, p AS player, klass,
+  SELECT CAST(row_seq + {1 << 62} AS BIGINT) AS row_seq, p AS player, klass,
          {coerce('m_skeet_raw')} AS m_skeet, CAST(NULL AS DOUBLE) AS m_trap, CAST(NULL AS DOUBLE) AS m_lane,
          CAST(NULL AS DOUBLE) AS m_buck, CAST(NULL AS DOUBLE) AS m_boar, {coerce('score_raw')} AS score,
          {_q(B.SUPPLEMENT_DISTRICT_LABEL)} AS district, CAST(2 AS INTEGER) AS table_no, {_q(SE['season'])} AS season,
@@ -357,6 +371,8 @@ QUALIFICATION_FLAGS = _with(BOARD_CTES) + """
 SELECT player, district, place, champ_place, coalesce(place <= 6, false) AS is_final,
        coalesce(champ_place <= 3, false) AS is_championship FROM qb"""
 
+WEAKNESS_RANKS = f"SELECT report_rank, player, weakest_code, overall_gap FROM ({WEAKEST_DISCIPLINE})"
+
 SORTED_BOARD = _with(BOARD_CTES) + f"""
 SELECT row_number() OVER (ORDER BY (mean_top3 IS NULL), mean_top3 DESC, pos) AS position, * EXCLUDE (pos)
 FROM (SELECT *, {_BOARD_POS} AS pos FROM qb)"""
@@ -434,14 +450,18 @@ SELECT results_url, table_no, lp, player, klass, district, m_skeet, m_lane, m_tr
        sub_rifle, score, season, event_name, date_text, venue FROM results"""
 
 INGEST_ISSUES = _with() + """
-SELECT results_url AS url, CAST(CASE WHEN table_no = 1 THEN 2 ELSE 1 END AS INTEGER) AS table_no,
-       'missing_headers' AS issue, 'player,district,score' AS detail FROM results"""
+SELECT results_url AS url, CAST(CASE WHEN table_no = 2 THEN 1 WHEN row_seq % 21 = 8 AND row_seq % 30 <> 2 THEN 3 ELSE 2 END AS INTEGER) AS table_no,
+       'missing_headers' AS issue, 'player,district,score' AS detail FROM results
+UNION ALL
+-- the table nested in a cell of the result table comes right after it
+SELECT results_url, CAST(table_no + 1 AS INTEGER), 'missing_headers', 'player,district,score'
+FROM results WHERE row_seq % 21 = 8 AND row_seq % 30 <> 2"""
 
 SCHEDULE_SCAN = _with() + """
 SELECT season, CAST(2 + o_orderkey % 2 AS INTEGER) AS schedule_table_no, schedule_lp, event_name, organizer, venue,
        date_text, 'https://results.example/u/' || CAST(o_orderkey AS VARCHAR) AS results_url FROM events_b"""
 
-_HREF = r"""(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']"""
+_HREF = r"""(?is)<a\s[^>]*?href\s*=\s*(?:["'']([^"'']*)["'']|([^\s"''>]+))"""
 
 
 def _decode(x: str) -> str:
@@ -467,7 +487,7 @@ def _resolve(h: str, b: str) -> str:
             f"ELSE {base_dir} || {h} END)")
 
 
-_href = _decode(f"regexp_extract(html, '{_HREF}', 1)")
+_href = _decode(f"(regexp_extract(html, '{_HREF}', 1) || regexp_extract(html, '{_HREF}', 2))")
 _text = clean(_decode("regexp_replace(html, '(?s)<[^>]*>', ' ', 'g')"))
 PAGE_LINKS = rf"""
 SELECT page_id, url,
@@ -499,7 +519,7 @@ SELECT 'results' AS metric, count(*) AS value FROM results
 UNION ALL SELECT 'players', count(*) FROM (SELECT DISTINCT player, district FROM results)
 UNION ALL SELECT 'events', count(*) FROM events_b
 UNION ALL SELECT 'events_in_period', count(*) FROM events_b WHERE {_in(_lo, _hi)}
-UNION ALL SELECT 'schedule_tables', 3 * count(DISTINCT o_orderkey // {50}) FROM events_b
+UNION ALL SELECT 'schedule_tables', 4 * count(DISTINCT o_orderkey // {50}) FROM events_b
 UNION ALL SELECT 'district_events', count(*) FROM ev_all
           WHERE results_url IN (SELECT results_url FROM dst WHERE results_url IS NOT NULL)"""
 
@@ -528,6 +548,11 @@ SELECT row_number() OVER (ORDER BY bs.player, bs.score DESC, bs.district, bs.eve
        bs.results_url, bs.m_skeet, bs.m_lane, bs.m_trap, bs.m_boar, bs.m_buck
 FROM bs LEFT JOIN eb ON bs.event_name = eb.event_name"""
 
+TABLE_SINK = f"""
+SELECT *, 'award' AS board FROM ({AWARD_BOARD})
+UNION ALL BY NAME SELECT *, 'average' AS board FROM ({AVERAGE_BOARD})
+UNION ALL BY NAME SELECT *, 'team' AS board FROM ({TEAM_BOARD})"""
+
 CSV_SUPPLEMENT = _with(SUPP_CTES) + "SELECT * EXCLUDE (row_seq) FROM supp"
 
 
@@ -582,6 +607,9 @@ def queries() -> dict[str, str]:
         "championship_board": CHAMPIONSHIP_BOARD,
         "window_membership": WINDOW_MEMBERSHIP,
         "events_in_period": EVENTS_IN_PERIOD,
+        "period_positions": PERIOD_POSITIONS,
+        "crawl_order": CRAWL_ORDER,
+        "sorted_events": SORTED_EVENTS,
         "parsed_dates": PARSED_DATES,
         "supplement_known_players": SUPPLEMENT_KNOWN_PLAYERS,
         "supplement_union": SUPPLEMENT_UNION,
@@ -590,6 +618,7 @@ def queries() -> dict[str, str]:
         "discipline_profile": DISCIPLINE_PROFILE,
         "event_refs": EVENT_REFS,
         "weakest_discipline": WEAKEST_DISCIPLINE,
+        "weakness_ranks": WEAKNESS_RANKS,
         "weakness_nested_flat": WEAKNESS_NESTED_FLAT,
         "weakness_nested_refs": WEAKNESS_NESTED_REFS,
         "report_totals": REPORT_TOTALS,
@@ -615,5 +644,5 @@ def queries() -> dict[str, str]:
         "display_board": DISPLAY_BOARD,
         "sorted_starts": SORTED_STARTS,
         "csv_supplement": CSV_SUPPLEMENT,
-        "table_sink_round_trip": AWARD_BOARD,
+        "table_sink_round_trip": TABLE_SINK,
     }

@@ -210,9 +210,10 @@ def weakness_summary(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> Data
     return ranked.drop("__neg_gap")
 
 
-def weakness_nested(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
+def weakness_nested(starts: DataFrame, order: Sequence = DEFAULT_ORDER, ranked: bool = True) -> DataFrame:
     """The nested report: player, starts, weakest (struct), disciplines (array of
-    structs, weakest first), event_refs (array, by pct), mean event pct, total gap, mean %."""
+    structs, weakest first), event_refs (array, by pct), mean event pct, total gap, mean %,
+    and with ``ranked`` the report rank (weakest mean % ascending, total gap descending, player)."""
     p = _per_player(starts, order, with_refs=True)
     disc = F.transform("disciplines", lambda x: F.struct(
         x["code"].alias("code"), x["label"].alias("label"), x["starts"].alias("starts"), x["mean"].alias("avg"),
@@ -226,7 +227,7 @@ def weakness_nested(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataF
         x["event_best"].alias("event_best"), x["pct"].alias("pct")))
     # the mean event percentage sums in input order, as a plain loop would
     in_order = F.array_sort(F.transform(refs, lambda x: F.struct(x["pos"].alias("p"), x["pct"].alias("v"))))
-    return p.select(
+    out = p.select(
         "player", "starts",
         disc[0].alias("weakest"),
         disc.alias("disciplines"),
@@ -236,3 +237,8 @@ def weakness_nested(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataF
         F.aggregate("disciplines", F.lit(0.0), lambda a, x: a + x["gap_to_max"]).alias("overall_gap"),
         (F.aggregate("disciplines", F.lit(0.0), lambda a, x: a + x["mean_pct"]) / F.size("disciplines"))
         .alias("avg_pct"))
+    if not ranked:
+        return out
+    keyed = out.withColumn("__pct", F.col("weakest.avg_pct")).withColumn("__neg_gap", -F.col("overall_gap"))
+    return leaderboard(keyed, [F.col("__pct").asc(), F.col("__neg_gap").asc(), F.col("player").asc()],
+                       place="report_rank").drop("__pct", "__neg_gap")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from podium.functions.dates import dates_to_iso, parse_event_dates
 from podium.functions.text import clean_text, first_link, format_number, null_to_text, split_names
 from podium.operators.groupwise import first_per_key, leaderboard, nth_largest, ordered_concat, top_n_per_group
-from podium.operators.windows import events_in_period, window_hull, window_membership, windows_frame
+from podium.operators.windows import events_in_period, period_positions, window_hull, window_membership, windows_frame
 from podium.plans import bindings as B
 from podium.plans import boards, oracle, rendering
 from podium.plans import profile as P
@@ -81,6 +81,22 @@ def q_events_in_period(spark, d):
     return events_in_period(B.events(spark, d), lo, hi)
 
 
+def q_period_positions(spark, d):
+    """Events in the period in report order, numbered."""
+    return period_positions(q_events_in_period(spark, d))
+
+
+def q_crawl_order(spark, d):
+    """Events in the order in which their pages are read."""
+    return H.crawl_order(B.events(spark, d)).select("event_seq", "season", "date_text", "event_name", "results_url")
+
+
+def q_sorted_events(spark, d):
+    """The interactive sort of the events table."""
+    return R.sort_rows(q_events_in_period(spark, d), "event_name", "desc", missing_last=False,
+                       input_order=[F.col("date_text").asc(), F.col("results_url").asc()])
+
+
 def q_parsed_dates(spark, d):
     return B.events(spark, d).select(
         "results_url", "date_text", dates_to_iso(parse_event_dates("date_text")).alias("dates_iso"), "season")
@@ -106,7 +122,7 @@ def q_events_with_starts(spark, d):
 
 def _starts(spark, d):
     """The starts table, written once per application (every profile query reads it)."""
-    return written_once(spark, ("starts", d.rstrip("/")), lambda: Q.starts_table(_results(spark, d)))
+    return written_once(spark, ("starts", d.rstrip("/")), lambda: Q.starts_table(_results(spark, d)), inputs=d)
 
 
 def q_discipline_long(spark, d):
@@ -129,10 +145,16 @@ def q_weakness_nested(spark, d):
     return P.weakness_nested(_starts(spark, d))
 
 
+def q_weakness_ranks(spark, d):
+    """The rank of the nested report with its sort keys."""
+    return P.weakness_nested(_starts(spark, d)).select(
+        "report_rank", "player", F.col("weakest.code").alias("weakest_code"), "overall_gap")
+
+
 def q_weakness_nested_flat(spark, d):
     """The nested report flattened back: one row per (player, discipline in report
     order) with the player-level figures, so its structure has an exact oracle."""
-    n = P.weakness_nested(_starts(spark, d))
+    n = P.weakness_nested(_starts(spark, d), ranked=False)
     x = n.select("player", "starts", "avg_event_pct", "overall_gap", F.col("avg_pct").alias("player_avg_pct"),
                  F.size("event_refs").cast("bigint").alias("n_refs"), F.col("weakest.code").alias("weakest_code"),
                  F.posexplode("disciplines").alias("disc_rank", "x"))
@@ -147,16 +169,16 @@ def q_weakness_nested_flat(spark, d):
 
 def q_weakness_nested_refs(spark, d):
     """The nested report's event references flattened back in array order."""
-    n = P.weakness_nested(_starts(spark, d))
+    n = P.weakness_nested(_starts(spark, d), ranked=False)
     x = n.select("player", F.posexplode("event_refs").alias("ref_rank", "r"))
     return x.select("player", (F.col("ref_rank") + 1).cast("bigint").alias("ref_rank"),
                     *[F.col(f"r.{c}").alias(c) for c in ("event", "date", "score", "event_best", "pct")])
 
 
 def _board(spark, d):
-    """The merged ranking, written once per application (every report query reads it)."""
-    return written_once(spark, ("ranking", d.rstrip("/")),
-                        lambda: Q.qualification_board(_results(spark, d), B.WINDOWS))
+    """The merged standings, written once per application (every report query reads it)."""
+    return written_once(spark, ("standings", d.rstrip("/")),
+                        lambda: Q.qualification_board(_results(spark, d), B.WINDOWS), inputs=d)
 
 
 def q_report_totals(spark, d):
@@ -177,7 +199,7 @@ def q_sorted_board(spark, d):
 
 
 def q_search_board(spark, d):
-    return R.search_rows(_board(spark, d), R.RANKING_SEARCH_KEYS, oracle.SEARCH_QUERY)
+    return R.search_rows(_board(spark, d), R.STANDINGS_SEARCH_KEYS, oracle.SEARCH_QUERY)
 
 
 def q_search_starts(spark, d):
@@ -214,7 +236,7 @@ def q_table_round_trip(spark, d):
 
 
 def q_ingest_issues(spark, d):
-    return H.ingest_issues(rendering.result_pages(_results(spark, d)))
+    return H.ingest_issues(rendering.result_pages(_results(spark, d)), events=B.events(spark, d))
 
 
 def q_schedule_scan(spark, d):
@@ -260,8 +282,7 @@ def q_run_metrics(spark, d):
 
 def q_scalable_place(spark, d):
     res = _results(spark, d).select("row_seq", "player", "score")
-    # the range-partitioned form regardless of size (this query exists to exercise it)
-    return leaderboard(res, [F.col("score").desc_nulls_last(), F.col("row_seq").asc()], single_task_rows=0)
+    return leaderboard(res, [F.col("score").desc_nulls_last(), F.col("row_seq").asc()])
 
 
 def q_display_board(spark, d):
@@ -297,12 +318,16 @@ def q_csv_supplement(spark, d):
 
 
 def q_table_sink_round_trip(spark, d):
-    """A6/A7: the three boards written as a table set and the award board read back."""
+    """A6/A7: the three boards written as a table set and all three read back."""
     res = _results(spark, d)
     path = scratch_path(spark, "boards")
     write_tables(path, {"average": boards.average_board(res), "award": boards.award_board(res),
                         "team": boards.team_board(res)})
-    return read_tables(spark, path, ["average", "award", "team"])["award"]
+    out = None
+    for name, df in read_tables(spark, path, ["average", "award", "team"]).items():
+        df = df.withColumn("board", F.lit(name))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 QUERIES: dict[str, Query] = {
@@ -318,6 +343,9 @@ QUERIES: dict[str, Query] = {
     "championship_board": q_championship_board,
     "window_membership": q_window_membership,
     "events_in_period": q_events_in_period,
+    "period_positions": q_period_positions,
+    "crawl_order": q_crawl_order,
+    "sorted_events": q_sorted_events,
     "parsed_dates": q_parsed_dates,
     "supplement_known_players": q_supplement_known_players,
     "supplement_union": q_supplement_union,
@@ -327,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "event_refs": q_event_refs,
     "weakest_discipline": q_weakest_discipline,
     "weakness_nested": q_weakness_nested,
+    "weakness_ranks": q_weakness_ranks,
     "weakness_nested_flat": q_weakness_nested_flat,
     "weakness_nested_refs": q_weakness_nested_refs,
     "report_totals": q_report_totals,

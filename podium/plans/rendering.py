@@ -73,7 +73,7 @@ def _row(cells: list[Column], td: str = "td", tr: str = "tr") -> Column:
     return F.concat(*parts)
 
 
-def _result_table(style: int, spans: bool = False, body_span: bool = False) -> Column:
+def _result_table(style: int, spans: bool = False, body_span: bool = False, td_head: bool = False) -> Column:
     cols = _style_columns(style)
     if style == 0:
         head = _row([F.lit(lbl) for lbl, _ in cols], "th")
@@ -100,11 +100,20 @@ def _result_table(style: int, spans: bool = False, body_span: bool = False) -> C
         empty = _row([F.lit("0.")] + [F.lit(" ")] * 9 + [F.lit("100")])
     else:
         repeated = _row([F.lit(lbl) for lbl, _ in cols])
-        empty = _row([F.lit("0.")] + [F.lit(" ")] * 10 + [F.lit("100")])
+        last = F.when(F.col("row_seq") % 21 == 8, F.lit("100" + _NESTED)).otherwise(F.lit("100"))
+        empty = _row([F.lit("0.")] + [F.lit(" ")] * 10 + [last])
+    if td_head:
+        group, head = (F.regexp_replace(x, "(</?)th", "$1td") for x in (group, head))
     return F.concat(F.lit("<table><thead>"), group, head, F.lit("</thead><tbody>"), repeated, empty,
                     _row([v for _, v in cols]), F.lit("</tbody></table>"))
 
 
+# tables that count for nothing: empty, hidden, commented out, made by a script
+_UNCOUNTED = ('<table></table><table style="display: none"><tr><td>x</td></tr></table>'
+              "<!-- <table><tr><td>x</td></tr></table> --><script>var t = '<table><tr><td>x</td></tr></table>';</script>")
+_NESTED = "<table><tr><td>note</td></tr></table>"
+
+
 def result_pages(results: DataFrame) -> DataFrame:
     """pages(url, html): one result page per results row (map-only, no shuffle)."""
     style = F.col("row_seq") % 3
@@ -113,10 +122,13 @@ def result_pages(results: DataFrame) -> DataFrame:
     table = (F.when(style == 0, _result_table(0)).when(style == 1, _result_table(1))
              .when(F.col("row_seq") % 30 == 2, _result_table(2, spans=True, body_span=True))
              .when(F.col("row_seq") % 10 == 2, _result_table(2, spans=True))
+             .when(F.col("row_seq") % 30 == 5, _result_table(2, td_head=True))
              .otherwise(_result_table(2)))
     tables = F.when(F.col("table_no") == 1, F.concat(table, F.lit(NAV_TABLE))) \
         .otherwise(F.concat(F.lit(NAV_TABLE), table))
-    html = F.concat(F.lit("<html><body><h1>"), F.col("event_name"), F.lit("</h1>"), tables, F.lit("</body></html>"))
+    # one page in ten begins with tables that must not be counted
+    before = F.when(F.col("row_seq") % 10 == 4, F.lit(_UNCOUNTED)).otherwise(F.lit(""))
+    html = F.concat(F.lit("<html><body><h1>"), F.col("event_name"), F.lit("</h1>"), before, tables, F.lit("</body></html>"))
     return results.select(F.col("results_url").alias("url"), html.alias("html"))
 
 
@@ -127,7 +139,9 @@ _SCHEDULE_B = [_LABEL[c] for c in ("date_text", "schedule_lp", "results_url", "e
 
 
 def _schedule_cells(order: list[str]) -> list[Column]:
-    link = F.concat(F.lit('<a href="/u/'), F.col("schedule_lp"), F.lit('">wyniki</a>'))
+    # every third link stands without quotes
+    link = (F.when(F.col("schedule_lp").cast("bigint") % 3 == 0, F.concat(F.lit("<a href=/u/"), F.col("schedule_lp"), F.lit(">wyniki</a>")))
+            .otherwise(F.concat(F.lit('<a href="/u/'), F.col("schedule_lp"), F.lit('">wyniki</a>'))))
     value = {"schedule_lp": F.col("schedule_lp"), "event_name": F.col("event_name"),
              "organizer": F.col("organizer"), "venue": F.col("venue"), "date_text": F.col("date_text"),
              "results_url": link}
@@ -153,7 +167,7 @@ def schedule_pages(events: DataFrame) -> DataFrame:
         rows(F.col("__key") % 5 == 0, "__b").alias("again"))
     head_a = "<tr>" + "".join(f"<th>{h}</th>" for h in _SCHEDULE_A) + "</tr>"
     head_b = "<tr>" + "".join(f"<td>{h}</td>" for h in _SCHEDULE_B) + "</tr>"
-    short = "<tr><td>x</td></tr>"
+    short = f"<tr><td>x{_NESTED}</td></tr>"
     brak = "<tr><td>01.01.2000</td><td>0</td><td>brak wyników</td><td>Odwołane</td><td>-</td><td>-</td></tr>"
     html = F.concat(F.lit("<html><body>"), F.lit(NAV_TABLE),
                     F.lit("<table>" + head_a), F.col("t2"), F.lit("</table>"),

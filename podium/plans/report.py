@@ -14,21 +14,21 @@ from podium import constants as K
 from podium.operators.groupwise import leaderboard
 
 # Search key sets of the three report tables.
-RANKING_SEARCH_KEYS = ("player", "events_top3", "champ_events", "all_starts")
+STANDINGS_SEARCH_KEYS = ("player", "events_top3", "champ_events", "all_starts")
 STARTS_SEARCH_KEYS = ("player", "event_name", "date_text")
 EVENTS_SEARCH_KEYS = ("event_name", "organizer", "date_text")
 
 
-# First-click sort direction per table: ranking keys place / player / championship
+# First-click sort direction per table: standings keys place / player / championship
 # place start ascending, its other keys descending; starts sort by score descending,
 # everything else ascending; events always start ascending.
-_ASCENDING_RANKING_KEYS = ("place", "player", "champ_place")
+_ASCENDING_STANDINGS_KEYS = ("place", "player", "champ_place")
 
 
 def default_direction(table: str, key: str) -> str:
-    """Direction of the first sort on ``key`` in ``table`` ('ranking' | 'starts' | 'events')."""
-    if table == "ranking":
-        return "asc" if key in _ASCENDING_RANKING_KEYS else "desc"
+    """Direction of the first sort on ``key`` in ``table`` ('standings' | 'starts' | 'events')."""
+    if table == "standings":
+        return "asc" if key in _ASCENDING_STANDINGS_KEYS else "desc"
     if table == "starts":
         return "desc" if key == "score" else "asc"
     return "asc"
@@ -38,10 +38,10 @@ def board_order() -> list[Column]:
     return [F.col("place").asc_nulls_last(), F.col("champ_place").asc_nulls_last()]
 
 
-def totals(ranking: DataFrame, events: DataFrame) -> DataFrame:
+def totals(standings: DataFrame, events: DataFrame) -> DataFrame:
     """Report totals as (metric, value): players, starts (sum of start counts,
     missing as 0) and events."""
-    r = ranking.agg(F.count(F.lit(1)).cast("bigint").alias("players"),
+    r = standings.agg(F.count(F.lit(1)).cast("bigint").alias("players"),
                     F.coalesce(F.sum(F.coalesce(F.col("starts"), F.lit(0))), F.lit(0)).cast("bigint").alias("starts"))
     e = events.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(F.lit("events").alias("metric"), "value")
     return (r.select(F.lit("players").alias("metric"), F.col("players").alias("value"))
@@ -76,15 +76,16 @@ def search_rows(df: DataFrame, keys: Sequence[str], query: str) -> DataFrame:
     return df.filter(cond)
 
 
-_PAD = 30
-
-
 def text_sort_key(c: Column) -> Column:
-    """Case- and accent-insensitive Polish order with digit runs compared as numbers
-    (runs are left-padded to a fixed width before collation)."""
+    """Case- and accent-insensitive Polish order with digit runs compared as numbers:
+    each run is written without leading zeros behind its length, so a longer number
+    sorts after a shorter one, whatever its length."""
     s = F.coalesce(c.cast("string"), F.lit(""))
-    padded = F.regexp_replace(F.regexp_replace(s, r"(\d+)", "0" * _PAD + "$1"), r"\d*(\d{" + str(_PAD) + r"})", "$1")
-    return F.collate(padded, "pl_CI_AI")
+    bare = lambda run: F.ltrim(run, F.lit("0"))
+    runs = F.transform(F.regexp_extract_all(s, F.lit(r"(\d+)")),
+                       lambda r: F.concat(F.lpad(F.char_length(bare(r)).cast("string"), 10, "0"), bare(r)))
+    keyed = F.array_join(F.transform(F.split(s, r"\d+"), lambda p, i: F.concat(p, F.coalesce(F.get(runs, i), F.lit("")))), "")
+    return F.collate(keyed, "pl_CI_AI")
 
 
 def sort_rows(df: DataFrame, key: str, direction: str = "asc", input_order: Sequence[Column] | None = None,
@@ -92,7 +93,7 @@ def sort_rows(df: DataFrame, key: str, direction: str = "asc", input_order: Sequ
     """The interactive sort as a ``position`` column (1..n).
 
     Numeric columns sort numerically; text columns by ``text_sort_key``.  With
-    ``missing_last`` (ranking table) NULL/'' go last in both directions;
+    ``missing_last`` (standings table) NULL/'' go last in both directions;
     otherwise (starts/events tables) a missing value counts as 0 against
     numbers and '' against text.  Ties keep ``input_order`` (the sort is stable)."""
     dtype = df.schema[key].dataType

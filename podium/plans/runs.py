@@ -1,4 +1,4 @@
-"""The two end-to-end runs of the original tool, as Spark jobs.
+"""The two end-to-end runs, as Spark jobs.
 
 ``season_run``: schedule events + result pages -> results (written once and
 read back, since three boards reuse it) -> average, award and team boards and
@@ -30,8 +30,8 @@ def ingest(spark: SparkSession, pages: DataFrame, events: DataFrame) -> DataFram
     """Result rows of the pages of ``events``, stamped with lineage and crawl order,
     materialised once in the shared folder (the boards all read it)."""
     ev = crawl_order(events)
-    wanted = pages.join(ev.select(F.col("results_url").alias("url")), "url", "left_semi")
-    rows = with_lineage(extract_results(wanted), ev)
+    # pages are parsed where they lie; only their small rows meet the events, in one join on the URL
+    rows = with_lineage(extract_results(pages), ev)
     path = scratch_path(spark, "results")
     rows.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -56,9 +56,9 @@ def qualification_run(spark: SparkSession, pages: DataFrame, events: DataFrame,
                       export_tables: bool = True) -> dict[str, str]:
     """Window qualification for one district; returns the written table paths.
 
-    The report (JSON records of ranking, starts and events, the weakness report
+    The report (JSON records of standings, starts and events, the weakness report
     and the run counters) is always written; ``export_tables`` gates the plain
-    three-table export, as the original's export switch does."""
+    three-table export."""
     lo, hi = window_hull({first: windows[first], second: windows[second]})
     period = events_in_period(events, lo, hi)              # push the hull down before reading pages
     results = ingest(spark, pages, period.drop("dates_iso"))
@@ -68,20 +68,20 @@ def qualification_run(spark: SparkSession, pages: DataFrame, events: DataFrame,
                                district_label or (district or ""))
         results = with_supplement(results, rows)
         all_events = period.unionByName(supplement_events(spark, [supplement_event]))
-    ranking = Q.qualification_board(results, windows, district, first, second)
+    standings = Q.qualification_board(results, windows, district, first, second)
     starts = Q.starts_table(results, district)
     district_events = Q.events_with_starts(all_events, starts)
     weakness = profile.weakness_nested(starts)
     tables_dir = out_dir if export_tables else scratch_path(spark, "qualification")
-    paths = write_tables(tables_dir, {"ranking": ranking, "starts": starts, "events": district_events})
+    paths = write_tables(tables_dir, {"standings": standings, "starts": starts, "events": district_events})
     paths.update(write_tables(out_dir, {"weakness": weakness}))
-    for name in ("ranking", "starts", "events"):
+    for name in ("standings", "starts", "events"):
         report.json_records(spark.read.parquet(paths[name])).write.mode("overwrite").text(f"{out_dir}/{name}_json")
     if not export_tables:
-        paths = {k: v for k, v in paths.items() if k not in ("ranking", "starts", "events")}
+        paths = {k: v for k, v in paths.items() if k not in ("standings", "starts", "events")}
     metrics = run_metrics(events=events, events_in_period=period, results=results,
                           district_starts=spark.read.parquet(f"{tables_dir}/starts"),
-                          players=spark.read.parquet(f"{tables_dir}/ranking"),
+                          players=spark.read.parquet(f"{tables_dir}/standings"),
                           district_events=spark.read.parquet(f"{tables_dir}/events"))
     paths.update(write_tables(out_dir, {"run_metrics": metrics}))
     return paths

@@ -19,6 +19,7 @@ from podium.functions.text import clean_text, coerce_number
 from podium.operators.groupwise import first_per_key
 from podium.operators.setops import union_by_name
 from podium.plans.qualification import district_filter
+from podium.sources.html_tables import ROW_SEQ
 
 # FIXED VALUES: header of the manual results CSV -> engine column.
 CSV_HEADER = {
@@ -32,8 +33,9 @@ CSV_HEADER = {
     "razem": "score",
 }
 NUMERIC = ("m_skeet", "m_trap", "m_lane", "m_buck", "m_boar", "score")
-# Supplement rows follow every ingested row in row order.
-SEQ_OFFSET = 1 << 48
+# Supplement rows follow every ingested row in row order: order keys are below these offsets.
+SEQ_OFFSET = 1 << 62
+WIDE_SEQ_OFFSET = 10 ** 37
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("season", T.StringType()),
@@ -69,8 +71,12 @@ def supplement_rows(raw: DataFrame, results: DataFrame, event: Mapping, window:
             df = df.withColumn(c, coerce_number(c))
     in_window = any_date_between(parse_event_dates(F.lit(event["date_text"])), window[0], window[1])
     df = df.filter(in_window)
+    # ingested rows carry the wide key of ``with_lineage``, bound tables a bigint
+    wide = isinstance(results.schema["row_seq"].dataType, T.DecimalType) if "row_seq" in results.columns else False
+    after = (F.col("row_seq").cast(ROW_SEQ) + F.lit(str(WIDE_SEQ_OFFSET)).cast(ROW_SEQ) if wide
+             else F.col("row_seq") + F.lit(SEQ_OFFSET)).cast(ROW_SEQ if wide else "bigint").alias("row_seq")
     return df.select(
-        (F.col("row_seq") + F.lit(SEQ_OFFSET)).cast("bigint").alias("row_seq"),
+        after,
         "player",
         *[c for c in df.columns if c not in ("player", "row_seq")],
         F.lit(district_label).alias("district"),

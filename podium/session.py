@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,51 +32,74 @@ def get_session(app: str = "podium", master: str | None = None, shuffle_partitio
     return spark
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared file system); only when
-    it is unset (local tests) a fresh local folder is created and registered."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="podium-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    On a cluster the deployment sets it (a shared file system); where it is unset
+    that is an error, since executors would write to disks of their own.  A local
+    session without it gets one folder per application."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if path:
+        return path.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="podium-shared-")
+    return _LOCAL[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique sub-path of the shared folder for an intermediate table."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
+    """A new sub-path of the application's part of the shared folder, for an intermediate table."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/podium-{spark.sparkContext.applicationId}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application; call it when the results that read them are written."""
+    _WRITTEN.clear()
+    path, fs = _hadoop(spark, _scratch_root(spark))
+    fs.delete(path, True)
 
 
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
+def _hadoop(spark: SparkSession, name: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-_counter = _count()
+def input_stamp(spark: SparkSession, folder: str) -> tuple:
+    """(name, modification time, bytes) of the tables of a folder: changes when an input is replaced."""
+    path, fs = _hadoop(spark, folder)
+    out = []
+    for status in fs.listStatus(path):
+        at = status.getPath()
+        files = fs.listStatus(at) if status.isDirectory() else [status]
+        out.append((at.getName(), *sorted((f.getModificationTime(), f.getLen()) for f in files)))
+    return tuple(sorted(out))
 
 
 # Tables already written in this application: (app id, key) -> path.
 _WRITTEN: dict[tuple, str] = {}
 
 
-def written_once(spark: SparkSession, key: tuple, build) -> DataFrame:
+def written_once(spark: SparkSession, key: tuple, build, inputs: str | None = None) -> DataFrame:
     """``build()`` written once per application and ``key`` to the shared folder,
     then read back.  For intermediate tables that several outputs reuse (the
-    bound results, the starts, the ranking): later readers skip the upstream
+    bound results, the starts, the merged board): later readers skip the upstream
     plan, and a lost executor re-reads files instead of recomputing lineage.
-    Inputs are assumed unchanged while the application runs."""
-    full = (spark.sparkContext.applicationId, *key)
+    ``inputs``: the folder it is built from; when a table there changes, it is
+    built anew."""
+    full = (spark.sparkContext.applicationId, *key, input_stamp(spark, inputs) if inputs else None)
     path = _WRITTEN.get(full)
     if path is None:
         path = scratch_path(spark, "-".join(str(k) for k in key[:1]) or "table")
-        build().write.mode("overwrite").parquet(path)
+        build().write.mode("errorifexists").parquet(path)
         _WRITTEN[full] = path
     return spark.read.parquet(path)
 

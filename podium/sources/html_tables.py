@@ -3,8 +3,10 @@
 A page row is split into its tables, rows and cells with ``regexp_extract_all``
 and higher-order functions; the header of a table travels in the same row as
 its body rows, so locating columns by header name needs no join and no shuffle
-(one ``posexplode`` per level).  Row and column spans and nested tables are not
-expanded; tables carrying span attributes are reported by ``ingest_issues``.
+(one ``posexplode`` per level).  Row and column spans are laid out.  Nested
+tables are tables of their own: a running stack over the opening and closing
+tags gives each piece of text to its innermost table, and the outer table goes
+on behind the nested one.  Comments and script text are not part of a page.
 """
 
 from __future__ import annotations
@@ -19,8 +21,10 @@ from podium.functions.text import clean_text, coerce_number, decode_entities, fi
 from podium.operators.groupwise import first_per_key, leaderboard
 from podium.operators.partitioning import evaluate_once
 
-TABLE_OPEN = r"(?i)<table\b[^>]*>"
-TABLE_CLOSE = r"(?i)</table\s*>"
+TABLE_TAG = r"(?i)(?=<table\b|</table\s*>)"
+UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+HIDDEN = r"(?is)^<table\b[^>]*\bstyle\s*=\s*(?:\"[^\"]*display\s*:\s*none|'[^']*display\s*:\s*none|[^\s\"'>]*display:none)"
+THEAD = r"(?is)<thead\b[^>]*>(.*?)(?:</thead\s*>|<tbody\b|<tfoot\b|\z)"
 ROW_OPEN = r"(?i)<tr\b[^>]*>"
 CELL_OPEN = r"(?i)<t[hd]\b[^>]*>"
 TD_OPEN = r"(?i)<td\b[^>]*>"
@@ -28,6 +32,8 @@ TH_OPEN = r"(?i)<th\b"
 SPAN_RE = r"(?is)<t[hd]\b[^>]*\b(rowspan|colspan)\s*="
 COLSPAN_RE = r"(?is)<t[hd]\b[^>]*\bcolspan\s*="
 ROWSPAN_RE = r"(?is)<t[hd]\b[^>]*\browspan\s*="
+#: Type of the order key of ingested rows.
+ROW_SEQ = "decimal(38,0)"
 CELL_ATTRS = r"(?i)<t[hd]\b([^>]*)>"
 
 
@@ -49,8 +55,10 @@ def row_texts(row_html: Column, sep: str = "") -> Column:
 
 
 def _span(attrs: Column, name: str) -> Column:
-    n = F.regexp_extract(attrs, r"(?i)\b" + name + r"\s*=\s*[\"']?\s*(\d{1,3})", 1).try_cast("int")
-    return F.least(F.greatest(F.coalesce(n, F.lit(1)), F.lit(1)), F.lit(100))
+    n = F.regexp_extract(attrs, r"(?i)\b" + name + r"\s*=\s*[\"']?\s*(\d+)", 1).try_cast("int")
+    n = F.greatest(F.coalesce(n, F.lit(1)), F.lit(1))
+    # a row span ends with the table at the latest; a column span is at most 1000 by the HTML standard
+    return F.least(n, F.lit(1000)) if name == "colspan" else n
 
 
 def spanned_cells(row_html: Column, sep: str = "") -> Column:
@@ -84,24 +92,64 @@ _BODY_GRID = (f"transform(slice(aggregate(__bodycells, array({_EMPTY_STATE}), "
               f"2, size(__bodycells)), st -> transform(st, c -> c.label))")
 
 
-def page_tables(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+_FOLD = """aggregate(__pieces,
+  named_struct('stack', cast(array() as array<int>), 'n', 0, 'owners', cast(array() as array<array<int>>)),
+  (s, p) -> CASE
+    WHEN p rlike '(?i)^<table' THEN named_struct('stack', concat(s.stack, array(s.n + 1)), 'n', s.n + 1,
+      'owners', concat(s.owners, array(concat(s.stack, array(s.n + 1)))))
+    WHEN p rlike '(?i)^</table' THEN named_struct('stack', slice(s.stack, 1, greatest(size(s.stack) - 1, 0)), 'n', s.n,
+      'owners', concat(s.owners, array(slice(s.stack, 1, greatest(size(s.stack) - 1, 0)))))
+    ELSE named_struct('stack', s.stack, 'n', s.n, 'owners', concat(s.owners, array(s.stack))) END)"""
+
+
+def _page_pieces(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """(url, n tables, pieces with the stack of tables that each stands in)."""
+    seen = F.when(F.col(html).rlike(r"(?i)<!--|<script\b|<style\b"), F.regexp_replace(html, UNSEEN, " ")).otherwise(F.col(html))
+    p = evaluate_once(pages.select(F.col(url).alias("url"), F.split(seen, TABLE_TAG).alias("__pieces")), ["__pieces"])
+    p = evaluate_once(p.withColumn("__f", F.expr(_FOLD)), ["__f"])
+    body = F.transform("__pieces", lambda x: F.regexp_replace(x, r"(?i)^</?table\b[^>]*>", ""))
+    flags = F.transform("__pieces", lambda x: x.rlike(HIDDEN))
+    shown = F.transform("__pieces", lambda x: F.regexp_replace(x, r"(?s)<[^>]*>|&nbsp;", "").rlike(r"\S"))
+    parts = F.zip_with(F.arrays_zip(body.alias("text"), flags.alias("hidden"), shown.alias("holds")), F.col("__f.owners"),
+                       lambda a, o: F.struct(a["text"].alias("text"), a["hidden"].alias("hidden"), a["holds"].alias("holds"), o.alias("stack")))
+    return evaluate_once(p.select("url", F.col("__f.n").alias("n"), parts.alias("parts")), ["parts"])
+
+
+def page_tables(pages: DataFrame, url: str = "url", html: str = "html", shown_only: bool = False) -> DataFrame:
     """(url, table_no, table_html, rows_html, n_header): every table of every page,
     1-based in page order; ``rows_html`` holds the rows that have cells and
-    ``n_header`` counts the leading rows made of <th> cells only.
-
-    Tables and rows are cut with ``split`` on their opening tags (one linear pass
-    per level); a cell runs to the next cell, a row to the next row.  Only cheap
-    tests run inside the array lambdas; cell texts are taken later, per row, as
-    top-level (code-generated) expressions."""
-    pieces = _after_first(F.split(F.col(html), TABLE_OPEN))
-    tables = F.transform(pieces, lambda p: F.split(p, TABLE_CLOSE, 2)[0])
-    t = pages.select(F.col(url).alias("url"), F.posexplode(tables).alias("pos", "table_html"))
-    rows = F.filter(_after_first(F.split("table_html", ROW_OPEN)), lambda r: r.rlike(r"(?i)<t[hd]\b"))
-    body_flags = F.transform(rows, lambda r: r.rlike(r"(?i)<td\b"))
+    ``n_header`` counts the leading header rows: those of <thead> that hold text,
+    or else the leading rows made of <th> cells only.
+
+    ``shown_only`` numbers only tables that hold text (nested tables' included) and
+    are not hidden by their own or an outer table's style.
+
+    Pages are cut with ``split`` on table tags, tables on row tags (one pass per
+    level); a cell runs to the next cell, a row to the next row."""
+    p = _page_pieces(pages, url, html)
+    of = lambda t: F.filter("parts", lambda x: F.try_element_at(x["stack"], F.lit(-1)) == t)
+    inside = lambda t: F.filter("parts", lambda x: F.array_contains(x["stack"], t))
+    hidden_above = lambda t: F.exists(
+        "parts", lambda x: x["hidden"] & F.array_contains(F.element_at(inside(t), 1)["stack"], F.element_at(x["stack"], -1)))
+    tables = F.transform(F.sequence(F.lit(1), F.col("n")), lambda t: F.struct(
+        F.array_join(F.transform(of(t), lambda x: x["text"]), "").alias("table_html"),
+        (F.exists(inside(t), lambda x: x["holds"]) & ~hidden_above(t)).alias("shown") if shown_only else F.lit(True).alias("shown")))
+    tables = F.when(F.col("n") > 0, F.filter(tables, lambda x: x["shown"]))
+    t = p.select("url", F.posexplode(tables).alias("pos", "t")).select("url", "pos", F.col("t.table_html").alias("table_html"))
+    cells = lambda part: F.filter(_after_first(F.split(part, ROW_OPEN)), lambda r: r.rlike(r"(?i)<t[hd]\b"))
+    t = evaluate_once(t.withColumn("__rows", cells("table_html")).withColumn(
+        "__head", F.when(F.col("table_html").rlike(r"(?i)<thead\b"), cells(F.regexp_extract("table_html", THEAD, 1)))), ["__rows", "__head"])
+    n_head = F.coalesce(F.size("__head"), F.lit(0))
+    holds = lambda r: F.regexp_replace(r, r"(?s)<[^>]*>|&nbsp;", "").rlike(r"\S")
+    kept_head = F.filter("__head", holds)
+    body_flags = F.transform("__rows", lambda r: r.rlike(r"(?i)<td\b"))
     first_body = F.array_position(body_flags, F.lit(True))
-    nh = F.when(first_body == 0, F.size(rows)).otherwise(first_body - 1).cast("int")
-    return evaluate_once(t.select("url", (F.col("pos") + 1).cast("int").alias("table_no"), "table_html",
-                                  rows.alias("rows_html"), nh.alias("n_header")))
+    plain = F.when(first_body == 0, F.size("__rows")).otherwise(first_body - 1).cast("int")
+    has_head = F.col("__head").isNotNull() & (n_head > 0)
+    rows = F.when(has_head, F.concat(kept_head, F.slice("__rows", n_head + 1, F.size("__rows")))).otherwise(F.col("__rows"))
+    nh = F.when(has_head & (F.size(kept_head) > 0), F.size(kept_head)).otherwise(F.when(has_head, F.lit(0)).otherwise(plain))
+    out = t.select("url", (F.col("pos") + 1).cast("int").alias("table_no"), "table_html", rows.alias("rows_html"), nh.alias("n_header"))
+    return evaluate_once(out, ["rows_html", "n_header"])
 
 
 def result_tables(pages: DataFrame, aliases: Mapping[str, str] | None = None,
@@ -109,7 +157,7 @@ def result_tables(pages: DataFrame, aliases: Mapping[str, str] | None = None,
     """Tables of result pages with their canonical header labels:
     (url, table_no, table_html, rows_html, n_header, labels, canonical, missing, accepted)."""
     aliases = aliases or K.HEADER_ALIASES
-    t = page_tables(pages)
+    t = page_tables(pages, shown_only=True)
     alias_map = F.create_map(*[x for kv in aliases.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     # multi-level headers: the last header row gives the label of each column
     plain = row_texts(F.try_element_at("rows_html", F.col("n_header")), "")
@@ -125,13 +173,23 @@ def result_tables(pages: DataFrame, aliases: Mapping[str, str] | None = None,
     return t.withColumn("accepted", F.size("missing") == 0)
 
 
-def ingest_issues(pages: DataFrame, aliases: Mapping[str, str] | None = None) -> DataFrame:
-    """Tables that were skipped or only partly understood: (url, table_no, issue, detail)."""
+def ingest_issues(pages: DataFrame, aliases: Mapping[str, str] | None = None,
+                  events: DataFrame | None = None) -> DataFrame:
+    """What gave no results: (url, table_no, issue, detail) - tables without the
+    required headers, pages without any table that is shown (``no_tables``) and,
+    with ``events``, events whose page is missing (``no_page``); table 0 stands for
+    the page."""
     t = result_tables(pages, aliases)
     missing = t.filter(~F.col("accepted")).select(
         "url", "table_no", F.lit("missing_headers").alias("issue"),
         F.array_join("missing", ",").alias("detail"))
-    return missing
+    whole = lambda urls, issue: urls.select("url", F.lit(0).alias("table_no"), F.lit(issue).alias("issue"), F.lit("").alias("detail"))
+    urls = pages.select("url").distinct()
+    out = missing.unionByName(whole(urls.join(page_tables(pages, shown_only=True).select("url").distinct(), "url", "left_anti"), "no_tables"))
+    if events is not None:
+        asked = events.select(F.col("results_url").alias("url")).distinct()
+        out = out.unionByName(whole(asked.join(urls, "url", "left_anti"), "no_page"))
+    return out
 
 
 def extract_results(pages: DataFrame, aliases: Mapping[str, str] | None = None,
@@ -193,9 +251,11 @@ def with_lineage(rows: DataFrame, events: DataFrame) -> DataFrame:
                        *(["event_seq"] if "event_seq" in events.columns else []))
     out = rows.join(ev, "url", "inner").withColumnRenamed("url", "results_url")
     if "event_seq" in out.columns:
-        # row order of the crawl: event order x table order x row order
-        out = out.withColumn("row_seq", (F.col("event_seq") * (1 << 24) + F.col("table_no") * (1 << 16)
-                                         + F.col("row_no")).cast("bigint")).drop("event_seq")
+        # row order of the crawl: event order, then table order, then row order; both numbers
+        # are 32-bit, so the wide key never mixes them
+        wide = lambda c, shift: F.col(c).cast(ROW_SEQ) * F.lit(str(1 << shift)).cast(ROW_SEQ)
+        out = out.withColumn("row_seq", (wide("event_seq", 64) + wide("table_no", 32)
+                                         + F.col("row_no")).cast(ROW_SEQ)).drop("event_seq")
     return out
 
 

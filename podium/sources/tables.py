@@ -1,4 +1,4 @@
-"""Table-set sources and sinks, size-checked broadcast, run counters."""
+"""Table-set sources and sinks, run counters."""
 
 from __future__ import annotations
 
@@ -10,18 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, bound: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint only when the side is proven small.
-
-    The proof is a row count: of ``bound`` when given (a frame with at least as
-    many rows, e.g. the plain scan under a foreign-key inner join, which parquet
-    answers from its footers), else of ``df`` itself.  The count is a distributed
-    partial count; no rows move.  Beyond the bound the frame is returned
-    unchanged and the planner (AQE) chooses a shuffle join from runtime sizes."""
-    n = (bound if bound is not None else df).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def write_tables(path: str, tables: Mapping[str, DataFrame], mode: str = "overwrite",
                  partition_by: Mapping[str, list[str]] | None = None) -> dict[str, str]:
     """Multi-table sink: each frame to ``<path>/<name>`` as parquet."""

@@ -17,10 +17,10 @@ def spark():
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.driver.memory", "4g"))
+    if not os.environ.get("PYSPARK_SUBMIT_ARGS", "").count("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="podium-test-ckpt-"))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="podium-test-ckpt-"))
     yield s
 
 

@@ -1,3 +1,5 @@
+import pytest
+
 import __spark_entry__ as E
 from podium.plans import registry
 
@@ -11,8 +13,9 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_nested():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"weakness_nested"}
-    assert len(q) == 47
+    own = set(registry.QUERIES)
+    assert own <= set(q) and own - set(o) == {"weakness_nested"}
+    assert len(own) == 51
 
 
 def test_no_python_udfs_in_plans(spark):
@@ -24,17 +27,23 @@ def test_no_python_udfs_in_plans(spark):
 
 def test_award_board_plan_shape(spark):
     df = registry.QUERIES["award_board"](spark, "/root/testdata/sf0.001")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    # the board is numbered from its materialised copy (row count checked), never
-    # from the raw tables in a single partition
-    assert "orders.parquet" not in plan and "leaderboard-input" in plan
+    # the board is numbered from its written copy, never from the raw tables in a single partition
+    assert all("/leaderboard-" in f for f in df.inputFiles())
+
+
+@pytest.mark.parametrize("name", ["award_board", "average_board", "team_board", "qualification_board", "sorted_starts"])
+def test_no_board_plan_has_a_single_partition_over_rows(spark, name):
+    plan = registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    # only the counts of the copy's partitions pass one task
+    below = plan.split("SinglePartition")[1:]
+    assert all("partial_count(1)" in part and "__pid" in part for part in below)
 
 
 def test_range_place_plan_has_no_single_partition_over_rows(spark):
     from pyspark.sql import functions as F
     from podium.operators import leaderboard
     df = spark.range(5000).withColumn("s", F.col("id") % 13)
-    out = leaderboard(df, [F.col("s").desc(), F.col("id")], single_task_rows=0)
+    out = leaderboard(df, [F.col("s").desc(), F.col("id")])
     plan = out._jdf.queryExecution().executedPlan().toString()
     # only the per-partition counts (one row per partition) pass a single partition
     single = [line for line in plan.split("\n") if "SinglePartition" in line]
@@ -54,3 +63,71 @@ def test_shared_dir_uses_session_setting(spark):
     d = shared_dir(spark)
     assert d == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(d.rstrip("/"))
+
+
+def test_filter_beside_the_dates_of_the_period_reaches_the_scan(spark, tmpdir_path):
+    from podium.operators.windows import events_in_period
+    from podium.plans import bindings as B
+    path = tmpdir_path + "/events"
+    B.events(spark, "/root/testdata/sf0.001").write.parquet(path)
+    df = events_in_period(spark.read.parquet(path), "1996-01-01", "1998-12-31").where("venue = 'Range 1'")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(venue,Range 1)" in plan and df.count() > 0
+
+
+def test_window_membership_keeps_equal_rows_and_joins_on_a_key(spark):
+    import datetime as dt
+
+    from podium.operators.windows import window_membership, windows_frame
+    rows = spark.createDataFrame([("a", "1.05.2026"), ("a", "1.05.2026"), ("b", "30.04-2.05.2026"), ("c", "1.01.2020"), ("d", "")], "k string, date_text string")
+    windows = [(f"w{i}", dt.date(2026, 4, 1) + dt.timedelta(days=i % 60), dt.date(2026, 6, 1)) for i in range(60)]
+    out = window_membership(rows, windows_frame(spark, windows))
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString() and "Cartesian" not in out._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.k, r.window_id) for r in out.collect())
+    want = sorted([("a", w) for w, lo, _ in windows if lo <= dt.date(2026, 5, 1)] * 2 + [("b", w) for w, lo, _ in windows if lo <= dt.date(2026, 5, 2)])
+    assert got == want
+
+
+def test_order_keys_and_digit_runs_have_no_limit(spark):
+    from pyspark.sql import functions as F
+
+    from podium.plans.report import text_sort_key
+    from podium.sources.html_tables import with_lineage
+    rows = spark.createDataFrame([("u", 1, 65537), ("u", 2, 1), ("v", 1, 1)], "url string, table_no int, row_no int")
+    events = spark.createDataFrame([("u", "s", "e", "d", "v", 1 << 40), ("v", "s", "e", "d", "v", (1 << 40) + 1)],
+                                   "results_url string, season string, event_name string, date_text string, venue string, event_seq long")
+    keys = [r.row_seq for r in with_lineage(rows, events).orderBy("row_seq").collect()]
+    order = [(r.results_url, r.table_no) for r in with_lineage(rows, events).orderBy("row_seq").collect()]
+    assert len(set(keys)) == 3 and order == [("u", 1), ("u", 2), ("v", 1)] and max(keys) < 10 ** 37
+    texts = ["x1" + "0" * 30, "x2", "x007", "x10", "x7a"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.t for r in df.orderBy(text_sort_key(F.col("t")), "t").collect()] == ["x2", "x007", "x7a", "x10", "x1" + "0" * 30]
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    from podium.session import shared_dir
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app-1"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
+def test_written_once_follows_its_inputs(spark, tmpdir_path):
+    from podium.session import written_once
+    spark.range(3).write.parquet(f"{tmpdir_path}/in/t.parquet")
+    read = lambda: written_once(spark, ("probe",), lambda: spark.read.parquet(f"{tmpdir_path}/in/t.parquet"), inputs=f"{tmpdir_path}/in").count()
+    assert read() == 3 == read()
+    spark.range(5).write.mode("overwrite").parquet(f"{tmpdir_path}/in/t.parquet")
+    assert read() == 5

@@ -1,65 +1,81 @@
-"""The date parser against a plain-Python evaluation of the same grammar on many
-generated texts (one Spark job for all of them)."""
+"""The date parser on texts generated from known dates: each piece states the dates that it means."""
 
 import datetime as dt
 import random
-import re
 
 from pyspark.sql import functions as F
 
-from podium.functions import dates as D
 from podium.functions.dates import parse_event_dates
 
+WORDS = ["Puchar", "w dniu", "oraz", "godz. 9:00", "(sobota)", "runda II", "hala 3", "tel. 123"]
 
-def _py(pattern: str) -> re.Pattern:
-    return re.compile(pattern.replace("(?U)", ""))
-
-
-def _date(y, m, d):
-    try:
-        return dt.date(int(y), int(m), int(d))
-    except ValueError:
-        return None
-
-
-def python_dates(text: str) -> list:
-    t = " ".join(text.replace("\xa0", " ").split())
-    found = []
-    for y, m, d in _py(D._ISO).findall(t):
-        found.append(_date(y, m, d))
-    for d1, d2, m, y in _py(D._DAY_RANGE).findall(t):
-        found += [_date(y, m, d1), _date(y, m, d2)]
-    for d1, m1, d2, m2, y in _py(D._CROSS).findall(t):
-        found += [_date(y, m1, d1), _date(y, m2, d2)]
-    for d, m, y in _py(D._SINGLE).findall(t):
-        found.append(_date(y, m, d))
-    out = []
-    for x in found:
-        if x is not None and x not in out:
-            out.append(x)
-    return out
-
-
-def _texts(n: int, seed: int = 11) -> list[str]:
-    rnd = random.Random(seed)
-    num = lambda lo, hi: str(rnd.randint(lo, hi)).zfill(rnd.choice([1, 2]))
-    sep = lambda: rnd.choice([".", "-", "/"])
-    dash = lambda: rnd.choice(["-", "–", " - ", " – "])
-    year = lambda: str(rnd.choice([1999, 2024, 2026, 2027, 2028, 0]))
-    parts = [
-        lambda: f"{num(0, 32)}{sep()}{num(0, 13)}{sep()}{year()}",
-        lambda: f"{year()}-{num(0, 13)}-{num(0, 32)}",
-        lambda: f"{num(1, 31)}{dash()}{num(1, 31)}{sep()}{num(1, 12)}{sep()}{year()}",
-        lambda: f"{num(1, 31)}{sep()}{num(1, 12)}{dash()}{num(1, 31)}{sep()}{num(1, 12)}{sep()}{year()}",
-        lambda: rnd.choice(["TBA", "r.", "ok", "od", "\xa0", "x.1", "12", "2026"]),
-    ]
-    return [rnd.choice([" ", ", ", " i "]).join(rnd.choice(parts)() for _ in range(rnd.randint(1, 3)))
-            for _ in range(n)]
-
-
-def test_parser_matches_grammar_on_generated_texts(spark):
-    texts = _texts(600)
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    got = {r["i"]: r["d"] for r in df.select("i", parse_event_dates(F.col("t")).alias("d")).collect()}
-    bad = [(texts[i], got[i], python_dates(texts[i])) for i in range(len(texts)) if got[i] != python_dates(texts[i])]
-    assert not bad, bad[:5]
+
+def _day(rng):
+    return dt.date(rng.choice([1999, 2024, 2026, 2027, 2028]), rng.randint(1, 12), rng.randint(1, 28))
+
+
+def _pad(rng, n):
+    return str(n).zfill(rng.choice([1, 2]))
+
+
+def _iso(rng):
+    d = _day(rng)
+    return f"{d.year}-{_pad(rng, d.month)}-{_pad(rng, d.day)}", 0, [d]
+
+
+def _day_range(rng):
+    d = _day(rng)
+    last = d.replace(day=rng.randint(1, 28))
+    text = f"{_pad(rng, d.day)}{rng.choice(['-', '–', ' - ', ' – '])}{_pad(rng, last.day)}.{_pad(rng, d.month)}.{d.year}"
+    return text, 1, [d, last]
+
+
+def _cross_month(rng):
+    d, e = _day(rng), _day(rng)
+    d = d.replace(year=e.year)
+    text = f"{_pad(rng, d.day)}.{_pad(rng, d.month)}{rng.choice([' - ', '–', ' – '])}{_pad(rng, e.day)}.{_pad(rng, e.month)}.{e.year}"
+    return text, 2, [d, e]
+
+
+def _single(rng):
+    d = _day(rng)
+    sep = rng.choice([".", "/"])
+    return f"{_pad(rng, d.day)}{sep}{_pad(rng, d.month)}{sep}{d.year}", 3, [d]
+
+
+def _impossible(rng):
+    return rng.choice(["31.02.2026", "0.05.2026", "2026-13-01", "15.00.2027", "99.99.2024"]), 4, []
+
+
+def test_dates_of_generated_texts(spark):
+    rng = random.Random(17)
+    rows, want = [], []
+    for i in range(1500):
+        made = [rng.choice([_iso, _day_range, _cross_month, _single, _impossible])(rng) for _ in range(rng.randint(0, 3))]
+        text = rng.choice(["", " ", "Puchar "])
+        for piece, _, _ in made:
+            text += f"{piece}, {rng.choice(WORDS)}{rng.choice([' ', chr(0xa0), '  '])}"
+        # a range that ends in a full date also shows that date as a single one; forms are listed in
+        # the order ISO, day range, cross month, single
+        dates = [d for kind in range(4) for _, k, ds in made if k == kind for d in ds]
+        dates += [ds[1] for _, k, ds in made if k in (1, 2)]
+        rows.append((i, text))
+        want.append(dates)
+    df = spark.createDataFrame(rows, "i int, t string").select("i", parse_event_dates("t").alias("d"))
+    for r in df.collect():
+        assert set(r.d) == set(want[r.i]) and len(r.d) == len(set(r.d)), rows[r.i]
+        isos = [d for d in r.d[: len(set(want[r.i]))]]
+        assert sorted(isos) == sorted(set(want[r.i]))
+
+
+def test_forms_come_in_order(spark):
+    text = "1.06.2026 3-4.05.2026 2025-12-31 30.04–2.05.2026"
+    got = spark.createDataFrame([(text,)], "t string").select(parse_event_dates("t").alias("d")).first().d
+    assert got[:5] == [dt.date(2025, 12, 31), dt.date(2026, 5, 3), dt.date(2026, 5, 4), dt.date(2026, 4, 30), dt.date(2026, 5, 2)]
+    assert got[5:] == [dt.date(2026, 6, 1)]
+
+
+def test_each_pattern_stands_once_in_the_plan(spark):
+    df = spark.createDataFrame([("1.1.2026",)], "t string").select(parse_event_dates("t").alias("d")).where(F.size("d") > 0)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?U)\\b(\\d{4})-(\\d{1,2})-(\\d{1,2})\\b") <= 2  # the projection, and the filter pushed below it

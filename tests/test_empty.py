@@ -17,7 +17,7 @@ CASES = {
     "qualification_board": (lambda r: Q.qualification_board(r, W), 25),
     "championship_board": (lambda r: Q.window_board(r, W["championship"]), 13),
     "weakness_summary": (lambda r: profile.weakness_summary(Q.starts_table(r)), 14),
-    "weakness_nested": (lambda r: profile.weakness_nested(Q.starts_table(r)), 8),
+    "weakness_nested": (lambda r: profile.weakness_nested(Q.starts_table(r)), 9),
     "sorted_board": (lambda r: report.sort_rows(Q.qualification_board(r, W), "mean_top3", "desc"), 26),
 }
 

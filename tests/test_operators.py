@@ -31,7 +31,7 @@ def test_leaderboard_matches_naive_with_heavy_ties(spark):
     rows = [(i, i % 7, f"p{i % 101:03d}") for i in range(3000)]
     df = spark.createDataFrame(rows, "id int, s int, name string")
     order = [F.col("s").desc(), F.col("name").asc(), F.col("id").asc()]
-    got = leaderboard(df, order, partitions=5, single_task_rows=0)
+    got = leaderboard(df, order, partitions=5)
     naive = df.withColumn("naive", F.row_number().over(Window.orderBy(*order)))
     joined = got.join(naive.select("id", "naive"), "id")
     assert joined.filter(F.col("place") != F.col("naive")).count() == 0
@@ -41,7 +41,7 @@ def test_leaderboard_matches_naive_with_heavy_ties(spark):
 
 def test_leaderboard_rank_if_and_empty(spark):
     df = spark.createDataFrame([(1, True, 5.0), (2, False, 9.0), (3, True, 7.0)], "id int, ok boolean, s double")
-    out = leaderboard(df, [F.col("ok").desc(), F.col("s").desc(), F.col("id")], rank_if=F.col("ok"), single_task_rows=0)
+    out = leaderboard(df, [F.col("ok").desc(), F.col("s").desc(), F.col("id")], rank_if=F.col("ok"))
     small = leaderboard(df, [F.col("ok").desc(), F.col("s").desc(), F.col("id")], rank_if=F.col("ok"))
     assert {r["id"]: r["place"] for r in small.collect()} == {3: 1, 1: 2, 2: None}
     assert {r["id"]: r["place"] for r in out.collect()} == {3: 1, 1: 2, 2: None}
@@ -68,7 +68,7 @@ def test_leaderboards_small_and_range_agree(spark):
     df = spark.createDataFrame([(i, i % 5, (i * 7) % 11) for i in range(200)], "id int, a int, b int")
     specs = [("pa", [F.col("a").desc(), F.col("id")], None), ("pb", [F.col("b").asc(), F.col("id").desc()], None)]
     small = {r["id"]: (r["pa"], r["pb"]) for r in leaderboards(df, specs).collect()}
-    big = {r["id"]: (r["pa"], r["pb"]) for r in leaderboards(df, specs, partitions=3, single_task_rows=0).collect()}
+    big = {r["id"]: (r["pa"], r["pb"]) for r in leaderboards(df, specs, partitions=3).collect()}
     assert small == big and len(small) == 200
 
 

@@ -29,7 +29,7 @@ def _frame(spark, rows):
 def test_places_have_no_gaps_and_match_naive(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int")
     order = [F.col("v").desc(), F.col("id")]
-    got = leaderboard(df, order, partitions=3, single_task_rows=0)
+    got = leaderboard(df, order, partitions=3)
     naive = df.withColumn("n", F.row_number().over(Window.orderBy(*order)))
     j = got.join(naive, ["id", "v"])
     assert j.filter(F.col("place") != F.col("n")).count() == 0

@@ -52,13 +52,13 @@ def test_sort_rows_range_path_with_collated_key(spark):
     df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, i int")
     small = {r["i"]: r["position"] for r in R.sort_rows(df, "name", "desc", input_order=[F.col("i")]).collect()}
     big = {r["i"]: r["position"] for r in R.sort_rows(df, "name", "desc", input_order=[F.col("i")],
-                                                      partitions=4, single_task_rows=0).collect()}
+                                                      partitions=4).collect()}
     assert small == big
 
 
 def test_default_directions():
-    assert R.default_direction("ranking", "place") == "asc"
-    assert R.default_direction("ranking", "mean_top3") == "desc"
+    assert R.default_direction("standings", "place") == "asc"
+    assert R.default_direction("standings", "mean_top3") == "desc"
     assert R.default_direction("starts", "score") == "desc"
     assert R.default_direction("starts", "player") == "asc"
     assert R.default_direction("events", "date_text") == "asc"

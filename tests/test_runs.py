@@ -21,11 +21,11 @@ def test_qualification_run(spark, tmpdir_path):
     paths = qualification_run(spark, rendering.result_pages(res), B.events(spark, SF), B.WINDOWS, out,
                               district=None, supplement=B.supplement_raw(spark, SF),
                               supplement_event=B.SUPPLEMENT_EVENT, district_label="NATION_3")
-    ranking = spark.read.parquet(paths["ranking"])
-    assert ranking.count() > 0 and "champ_place" in ranking.columns
+    standings = spark.read.parquet(paths["standings"])
+    assert standings.count() > 0 and "champ_place" in standings.columns
     metrics = {r["metric"]: r["value"] for r in spark.read.parquet(paths["run_metrics"]).collect()}
     assert metrics["events_in_period"] <= metrics["events"]
-    assert spark.read.text(os.path.join(out, "ranking_json")).count() == ranking.count()
+    assert spark.read.text(os.path.join(out, "standings_json")).count() == standings.count()
 
 
 def test_qualification_run_without_table_export(spark, tmpdir_path):
@@ -33,5 +33,5 @@ def test_qualification_run_without_table_export(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "q2")
     paths = qualification_run(spark, rendering.result_pages(res), B.events(spark, SF), B.WINDOWS, out,
                               district="nation_3", export_tables=False)
-    assert "ranking" not in paths and not os.path.exists(os.path.join(out, "ranking"))
-    assert os.path.exists(os.path.join(out, "ranking_json")) and "run_metrics" in paths
+    assert "standings" not in paths and not os.path.exists(os.path.join(out, "standings"))
+    assert os.path.exists(os.path.join(out, "standings_json")) and "run_metrics" in paths

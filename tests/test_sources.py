@@ -69,7 +69,7 @@ def test_result_table_extraction(spark):
         (2, "Dom & Las", 95.0, 435.0, "", 1.0)
     assert rows["Lis Ola"]["score"] == 1200.0
     issues = H.ingest_issues(pages).collect()
-    assert [(r["url"], r["table_no"], r["detail"]) for r in issues] == [("p1", 1, "player,district,score")]
+    assert [(r["url"], r["table_no"], r["detail"]) for r in issues] == [("p1", 1, "player,district,score"), ("p2", 0, "")]
 
 
 SCHEDULE = """<table><tr><th>Lp</th><th>Nazwa zawodów</th><th>ZO PZŁ</th><th>Strzelnica</th>
