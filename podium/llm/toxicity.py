@@ -1,8 +1,8 @@
 """Toxicity: gradient-boosted trees over dense features, with isotonic calibration.
 
 Two lexicons serve: a fixed one of insults in common use, and one learned from a part of the labelled sample: words
-found after at least three different words in toxic documents (copies of one document count once so) and rarely in
-others, weighted by their log-odds.  Tasks turn each whole text into a row of densities: hits of either lexicon (plain,
+found between at least three different pairs of words in toxic documents (copies of one document count once so) and
+rarely in others, weighted by their log-odds.  Tasks turn each whole text into a row of densities: hits of either lexicon (plain,
 disguised by look-alike signs or spread letters, near a second-person word), distinct hits, second-person words,
 capitals, punctuation, obfuscated words.  Trees are boosted by Spark's ``GBTClassifier`` on a second part of the sample,
 so that the learned words are judged on documents they were not learned from; an isotonic curve fitted on a third part
@@ -61,8 +61,10 @@ def learn(rows: DataFrame) -> dict[str, float]:
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
     rows = tmp.write(rows.select("label", words.alias("words")))
     n = F.size("words")
-    pairs = F.arrays_zip(F.concat(F.array(F.lit("")), F.slice("words", 1, F.greatest(n - 1, F.lit(0)))).alias("before"), F.col("words").alias("word"))
-    toxic = rows.where("label = 1 and size(words) > 0").select(F.explode(pairs).alias("p")).select("p.word", "p.before").distinct()
+    rest = F.greatest(n - 1, F.lit(0))
+    places = F.arrays_zip(F.concat(F.array(F.lit("")), F.slice("words", 1, rest)).alias("before"), F.col("words").alias("word"),
+                          F.concat(F.slice("words", 2, rest), F.array(F.lit(""))).alias("after"))
+    toxic = rows.where("label = 1 and size(words) > 0").select(F.explode(places).alias("p")).select("p.word", "p.before", "p.after").distinct()
     often = tmp.write(toxic.groupBy("word").count().where(F.col("count") >= SUPPORT).select("word"))
     count = lambda label: F.count(F.when(F.col("label") == label, 1))
     seen = (rows.select("label", F.explode(F.array_distinct("words")).alias("word")).join(often, "word")
