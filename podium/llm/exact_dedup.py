@@ -103,11 +103,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: Column | None = N
 def keep_one(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents that stay, with the columns they came with."""
     tmp = Scratch(docs.sparkSession, "kept")
-    kept = tmp.write(exact_dedup(docs, id_col).where("kept").select(F.col(id_col).alias("kept_id")))
-    ids = kept.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("kept_id").alias("ids")).first()
-    out = docs.join(kept, docs[id_col].eqNullSafe(kept["kept_id"]), "left_semi")
-    # repeated ids: equal rows of one id are still there
-    if ids["n"] == ids["ids"]:
+    every = tmp.write(exact_dedup(docs, id_col).select(F.col(id_col).alias("kept_id"), F.col("text_sha256").alias("kept_sha256"), "kept"))
+    kept = every.where("kept").drop("kept")
+    same_text = F.sha2(ascii_lower(docs["text"]).cast("binary"), 256) == kept["kept_sha256"]
+    out = docs.join(kept, docs[id_col].eqNullSafe(kept["kept_id"]) & same_text, "left_semi")
+    # equal texts under one id, of which one row is to stay, are still there
+    if every.groupBy("kept_id", "kept_sha256").count().where("count > 1").isEmpty():
         return out
     return (out.withColumn("podium_norm", ascii_lower(F.col("text"))).dropDuplicates([id_col, "podium_norm"])
             .drop("podium_norm"))

@@ -191,7 +191,7 @@ def test_decontaminate(spark, corpus):
 
 def test_decontaminate_proximity(spark):
     p = [f"t{i}" for i in range(20)]
-    rows = [(1, " ".join([*p[:6], "x", *p[7:14], "y", *p[15:]])), (2, " ".join(p)), (3, "t1 t2")]
+    rows = [(1, " ".join([*p[:6], "x", *p[7:14], "y", *p[15:]])), (2, " ".join(p)), (3, "t1 t2"), (4, "t6 t14 t6 t14")]
     got = {r.doc_id: r for r in decontaminate.decontaminate(docs(spark, rows), spark.createDataFrame([(8, " ".join(p))], "item_id long, text string")).collect()}
     assert (got[1].n_hit, got[1].n_near) == (0, 1) and (got[2].n_hit, got[2].n_near) == (20, 0) and got[3].n_near == 0
 
@@ -430,11 +430,13 @@ def test_quality(spark):
 def test_quality_marks_single_lines(spark):
     frame, labels = labelled(spark, "quality")
     field = quality.train(frame, labels)
-    lines = ["Good words in a common line.", "a | b | c | d | e | f |", "More good words in this line."]
+    rng = random.Random(12)
+    lines = [words(rng, 12, 3000).capitalize() + "." for _ in range(6)]
+    lines[2:4] = [" | ".join(x.split()) + " |" for x in lines[2:4]]
     own = quality.line_features(lines)
     emit = ((quality.with_neighbours(own) - field.mean) / field.scale) @ field.weights[:-1] + field.weights[-1]
-    good, _, _ = quality.marginals(emit[None], field.trans, np.array([3]))
-    assert good[0, 1] < good[0, 0]
+    good, _, _ = quality.marginals(emit[None], field.trans, np.array([6]))
+    assert good[0, 2:4].max() < 0.5 < good[0, [0, 1, 4, 5]].min()
 
 
 def test_marginals_equal_enumeration():
