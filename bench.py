@@ -1,7 +1,8 @@
 """Benchmark: run the headline queries end to end on $BENCH_SF_DIR with
 local[$BENCH_CPUS] and print one JSON line.
 
-Each query is forced with a no-op sink (full evaluation, nothing collected).
+Each query is forced with a no-op sink (full evaluation, nothing collected) and
+starts cold: intermediate tables of the queries before it are removed first.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    from podium.session import get_session
+    from podium.session import clean_scratch, get_session
     from podium.plans import registry
     shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cpus)))
     spark = get_session("podium-bench", f"local[{cpus}]", shuffle_partitions=shuffle)
@@ -38,6 +39,7 @@ def main() -> None:
     times = {}
     for name in names:
         q = registry.QUERIES[name]
+        clean_scratch(spark)
         t0 = time.time()
         q(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
