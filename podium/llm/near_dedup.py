@@ -155,25 +155,25 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(id, component): for each node of (a, b) edges the smallest id it is connected with.
 
-    Alternating large-star and small-star steps; every step is written, so lineage stays short."""
+    Alternating large-star and small-star steps, each written, so lineage stays short."""
     tmp = Scratch(edges.sparkSession, name)
     now = tmp.write(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    mark = None
     while True:
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = tmp.write(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = tmp.write(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                           .where("u <> v").distinct())
-        low2 = tmp.write(large.groupBy("u").agg(F.min("v").alias("m")))
+        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low2, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low2.select("u", F.col("m").alias("v"))).distinct())
         after = tmp.write(small)
-        tmp.drop(now, low, large, low2)
+        tmp.drop(now, large)
         now = after
-        seen = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (seen["n"], seen["h"]) == mark:
+        # done when the edges are stars: no node has two centres or is the centre of one and has another
+        ends = (now.select("u", F.lit(1).alias("has"), F.lit(0).alias("is"))
+                .unionByName(now.select(F.col("v").alias("u"), F.lit(0).alias("has"), F.lit(1).alias("is"))))
+        if ends.groupBy("u").agg(F.sum("has").alias("has"), F.max("is").alias("is")).where("has + is > 1").isEmpty():
             return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
-        mark = (seen["n"], seen["h"])
 
 
 def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -305,13 +305,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", words: int = 5, percent
         star = star.join(light.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")), c)
     star = tmp.write(_alike(star.where(_big_enough(F.col("n_a"), F.col("n_b"), percent)), limit).select("a", "b"))
     links = tmp.write(_confirmed(star, sets, percent))
-    parts = tmp.write(components(links))
+    parts = components(links)
 
     # buckets that still hold several components: likely links first, as many as can merge something; then all that is left
     for bound, forest in ((most_different(LIKELY, samples, bits, errors=0), True), (limit, False)):
         more = tmp.write(_across(members, parts, light, kind, bound, percent, forest))
-        links = tmp.write(links.unionByName(_confirmed(more, sets, percent)))
-        parts = tmp.write(components(links))
+        new = tmp.write(_confirmed(more, sets, percent))
+        if not new.isEmpty():  # else the components stay as they are
+            links = links.unionByName(new)
+            parts = components(links)
     tmp.drop(sets, members)
 
     firsts = tmp.write(_labelled(firsts.select("fp", F.col("first").alias("id")), parts).select("fp", "component"))
