@@ -30,6 +30,7 @@ MOD, HELD_OUT, THRESHOLD = 5, 0, 0.3
 CHUNK_CHARS = 2_000_000  # characters whose classes are counted at a time
 MARKS = "|#$%&*!"
 N_OWN = 12 + len(MARKS)
+FEW = 12  # characters
 
 _CLASSES = np.zeros(0x500, np.uint8)  # 0 other, 1 lower, 2 upper, 3 digit, 4 blank, 5 sentence mark, 6 symbol, 7.. MARKS
 for _c in range(0x500):
@@ -58,15 +59,16 @@ def line_features(lines: list[str]) -> np.ndarray:
     nw = np.array([len(w) for w in words], float)
     distinct = np.array([len(set(w)) for w in words], float)
     same = np.array([sum(a == b for a, b in zip(w, w[1:])) for w in words], float)
-    some, letters = np.maximum(length, 1), np.maximum(counts[:, 1] + counts[:, 2] + counts[:, 0], 1)
+    # shares are drawn towards zero in short lines, where one sign says little
+    some, letters = length + FEW, counts[:, 1] + counts[:, 2] + counts[:, 0] + FEW
     before = [""] + lines[:-1]
     out = np.empty((n, N_OWN))
     out[:, 0] = 1
     out[:, 1] = np.log1p(length) / 5
     out[:, 2] = counts[:, 2] / letters
     out[:, 3] = counts[:, 3] / some
-    out[:, 4] = 1 - distinct / np.maximum(nw, 1)
-    out[:, 5] = same / np.maximum(nw, 1)
+    out[:, 4] = (nw - distinct) / (nw + 2)
+    out[:, 5] = same / (nw + 2)
     out[:, 6] = np.minimum((length - nw) / np.maximum(nw, 1) / 10, 3)
     out[:, 7] = [x.rstrip()[-1:] in (".", "!", "?", "…") for x in lines]
     out[:, 8] = [x == y for x, y in zip(lines, before)]
@@ -135,8 +137,9 @@ class Field:
 
     def fit(self, features: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: float = 0.08, decay: float = 1e-4) -> None:
         x = np.concatenate(features)
-        self.mean, self.scale = x.mean(0), np.maximum(x.std(0), 1e-3)
-        self.mean[x.std(0) < 1e-9] = 0
+        self.mean, self.scale = x.mean(0), x.std(0)
+        constant = self.scale < 1e-9
+        self.mean[constant], self.scale[constant] = 0, 1
         lengths = np.array([len(f) for f in features])
         blocks = []
         for chains in _chains(lengths, 40_000):
