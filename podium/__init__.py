@@ -13,6 +13,9 @@ used.  Sub-packages:
 * ``plans``      - the leaderboards and reports composed from the above, plus the
   binding of the engine schema to the supplied TPC-H-style tables
 * ``streaming``  - incremental recompute of the boards as new results arrive
+
+``llm`` is a folder of its own with training-data operators, which nothing here
+imports; its modules say where they use Arrow batches.
 """
 
 __version__ = "0.1.0"

@@ -1,7 +1,7 @@
-"""Fixed values that must equal the original tool's for identical results.
+"""Fixed values that must stay as they are for identical results.
 
 FIXED VALUES (do not edit): header spellings, labels, thresholds and
-separators exactly as the original tool prints or matches them.
+separators exactly as pages print them or patterns match them.
 """
 
 # FIXED VALUES: result-table header label -> canonical column (exact match after

@@ -62,7 +62,7 @@ def q_qualification_board(spark, d):
 
 
 def q_district_qualification_board(spark, d):
-    """The original run: one district, the manual supplement included."""
+    """The usual run: one district, the manual supplement included."""
     res, rows, _ = B.supplement_frames(spark, d)
     return Q.qualification_board(with_supplement(res, rows), B.WINDOWS, district=B.SUPPLEMENT_DISTRICT)
 
