@@ -16,6 +16,7 @@ each.  Labels, language, source and id never enter a score.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from podium.llm.shared import ship
 
 SAMPLE_DOCS, SAMPLE_LINES = 3000, 400
 MOD, HELD_OUT, THRESHOLD = 5, 0, 0.3
-CHUNK_CHARS = 2_000_000  # characters whose classes are counted at a time
+CHUNK_CHARS = 2_000_000  # characters whose lines are measured at a time
 MARKS = "|#$%&*!"
 N_OWN = 12 + len(MARKS)
 FEW = 12  # characters
@@ -39,8 +40,8 @@ for _c in range(0x500):
                     else 7 + MARKS.index(_s) if _s in MARKS else 5 if _s in ".,;:?'\"-()" else 0 if _s.isalpha() else 6)
 
 
-def line_features(lines: list[str]) -> np.ndarray:
-    """One row of ``N_OWN`` values per line, from the whole line."""
+def line_features(lines: list[str], firsts: np.ndarray | None = None) -> np.ndarray:
+    """One row of ``N_OWN`` values per line, from the whole line.  ``firsts``: where documents begin (one, if none)."""
     n = len(lines)
     counts = np.zeros((n, 7 + len(MARKS)), np.float64)
     at = 0
@@ -55,13 +56,13 @@ def line_features(lines: list[str]) -> np.ndarray:
         counts[at:end] = np.bincount(owner * counts.shape[1] + kinds, minlength=(end - at) * counts.shape[1]).reshape(end - at, -1)
         at = end
     length = np.array([len(x) for x in lines], float)
-    words = [x.split() for x in lines]
-    nw = np.array([len(w) for w in words], float)
-    distinct = np.array([len(set(w)) for w in words], float)
-    same = np.array([sum(a == b for a, b in zip(w, w[1:])) for w in words], float)
+    nw, distinct, same = np.empty(n), np.empty(n), np.empty(n)
+    for i, x in enumerate(lines):
+        w = x.split()
+        nw[i], distinct[i], same[i] = len(w), len(set(w)), sum(map(eq, w, w[1:]))
     # shares are drawn towards zero in short lines, where one sign says little
     some, letters = length + FEW, counts[:, 1] + counts[:, 2] + counts[:, 0] + FEW
-    before = [""] + lines[:-1]
+    before = [None, *lines[:-1]]
     out = np.empty((n, N_OWN))
     out[:, 0] = 1
     out[:, 1] = np.log1p(length) / 5
@@ -72,6 +73,7 @@ def line_features(lines: list[str]) -> np.ndarray:
     out[:, 6] = np.minimum((length - nw) / np.maximum(nw, 1) / 10, 3)
     out[:, 7] = [x.rstrip()[-1:] in (".", "!", "?", "…") for x in lines]
     out[:, 8] = [x == y for x, y in zip(lines, before)]
+    out[0 if firsts is None else firsts, 8] = 0
     out[:, 9] = counts[:, 5] / some
     out[:, 10] = counts[:, 6] / some
     out[:, 11] = length == 0
@@ -200,9 +202,20 @@ class Field:
     def score(self, texts: list[str]) -> np.ndarray:
         if self.weights is None:
             return np.full(len(texts), self.prior)
+        out, at = np.empty(len(texts)), 0
+        while at < len(texts):  # so many characters at a time, one text at least
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= CHUNK_CHARS):
+                size += len(texts[end])
+                end += 1
+            out[at:end] = self._score(texts[at:end])
+            at = end
+        return out
+
+    def _score(self, texts: list[str]) -> np.ndarray:
         lines = [t.split("\n") for t in texts]
-        own = line_features([x for ls in lines for x in ls])
         ends = np.cumsum([len(ls) for ls in lines])[:-1]
+        own = line_features([x for ls in lines for x in ls], np.r_[0, ends])
         sizes = np.split(np.array([float(len(x)) for ls in lines for x in ls]), ends)
         raw = self.raw([with_neighbours(f) for f in np.split(own, ends)], sizes)
         return 1 / (1 + np.exp(-np.clip(raw * self.curve[0] + self.curve[1], -30, 30)))

@@ -427,6 +427,15 @@ def test_quality(spark):
     assert quality.score(docs(spark, []), field).count() == 0
 
 
+def test_quality_scores_do_not_depend_on_the_batch(spark, monkeypatch):
+    frame, labels = labelled(spark, "quality")
+    field = quality.train(frame, labels)
+    texts = [r.text for r in frame.limit(60).collect()] + ["", "", "a\na", "a", "a\nb"]
+    whole = field.score(texts)
+    monkeypatch.setattr(quality, "CHUNK_CHARS", 50)
+    assert np.allclose(whole, field.score(texts)) and np.allclose(whole[::-1], field.score(texts[::-1]))
+
+
 def test_quality_marks_single_lines(spark):
     frame, labels = labelled(spark, "quality")
     field = quality.train(frame, labels)
