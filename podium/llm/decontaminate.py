@@ -83,7 +83,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """Per document: ``n_words, n_hit, n_items, items_sha256, contaminated``; also the ``items`` found, the hit word
     positions' ``first_hit`` and ``n_near``."""
     tmp = Scratch(docs.sparkSession, "postings")
-    corpus = docs.select(F.col(id_col).alias("id"), parts(F.col("text")).alias("parts"))
+    rows = tmp.write(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), "text"))
+    return _judged(tmp, rows, benchmark, item_col, window).withColumnRenamed("id", id_col).drop("row")
+
+
+def _judged(tmp: Scratch, rows: DataFrame, benchmark: DataFrame, item_col: str, window: int) -> DataFrame:
+    """The judgement of each of the written rows (row, id, text); the row number alone tells rows apart."""
+    corpus = rows.select(F.col("row").alias("id"), parts(F.col("text")).alias("parts"))
     items = tmp.write(benchmark.select(F.monotonically_increasing_id().alias("item"),
                                        F.col(item_col).cast("string").alias("name"), words(F.col("text")).alias("words"))
                       .where(F.size("words") > 0))
@@ -92,12 +98,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = (postings.select("id", "item", (F.col("pos") - F.col("at")).alias("diag")).distinct())
     candidates = tmp.write(found.join(items, "item").groupBy("id").agg(
         F.collect_list(F.struct("name", "words", "diag")).alias("found")))
-    return judge(docs, candidates, id_col, window)
+    return judge(rows, candidates, window)
 
 
-def judge(docs: DataFrame, candidates: DataFrame, id_col: str, window: int) -> DataFrame:
-    texts = docs.select(F.col(id_col).alias("doc"), "text")
-    both = texts.join(candidates, F.col("doc").eqNullSafe(F.col("id")), "left")
+def judge(rows: DataFrame, candidates: DataFrame, window: int) -> DataFrame:
+    texts = rows.select(F.struct("row", "id").alias("doc"), "row", "text")
+    both = texts.join(candidates.withColumnRenamed("id", "row"), "row", "left")
     none = F.col("found").isNull()
     # the barrier: words are extracted once a document and not inside the lambdas below
     both = both.select("doc", F.explode(F.array(F.struct(
@@ -119,14 +125,16 @@ def judge(docs: DataFrame, candidates: DataFrame, id_col: str, window: int) -> D
         empty(F.array_sort(names(exact)), "array<string>").alias("items"), empty(names(near), "array<string>").alias("near"))
     n_hit = F.size("at").cast("long")
     return both.select(
-        F.col("doc").alias(id_col), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.col("doc.row").alias("row"), F.col("doc.id").alias("id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), "items",
         F.array_min("at").alias("first_hit"), F.size(F.array_except("near", "items")).cast("long").alias("n_near"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents that are not contaminated, with the columns they came with."""
+    """The rows that are not contaminated, each by its own text, with the columns they came with."""
     tmp = Scratch(docs.sparkSession, "contaminated")
-    bad = tmp.write(decontaminate(docs, benchmark, id_col).where("contaminated").select(F.col(id_col).alias("bad_id")).distinct())
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["bad_id"]), "left_anti")
+    rows = tmp.write(docs.withColumn("podium_row", F.monotonically_increasing_id()))
+    judged = _judged(tmp, rows.select(F.col("podium_row").alias("row"), F.col(id_col).alias("id"), "text"), benchmark, "item_id", WINDOW)
+    bad = tmp.write(judged.where("contaminated").select(F.col("row").alias("podium_row")))
+    return rows.join(bad, "podium_row", "left_anti").select(*docs.columns)

@@ -324,7 +324,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", words: int = 5, percent
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", words: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group stays, with the columns it came with."""
+    """One row of each group stays, with the columns it came with: the one with the smallest id, null ids last.  Rows are
+    told apart by a key of their own, so equal and null ids take part like any other."""
     tmp = Scratch(docs.sparkSession, "near-kept")
-    gone = tmp.write(near_groups(docs, id_col, words, percent).where("not kept").select(F.col(id_col).alias("gone_id")).distinct())
-    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+    rows = tmp.write(docs.withColumn("podium_row", F.monotonically_increasing_id()))
+    groups = near_groups(rows, "podium_row", words, percent).select("podium_row", F.col("component_id").alias("component"))
+    ids = rows.select("podium_row", F.col(id_col).alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "podium_row")).alias("first")
+    kept = tmp.write(groups.join(ids, "podium_row").groupBy("component").agg(first).select("first.podium_row"))
+    return rows.join(kept, "podium_row", "left_semi").select(*docs.columns)

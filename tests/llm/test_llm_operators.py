@@ -127,6 +127,14 @@ def test_near_groups_empty_table_and_null_id(spark):
     assert got[None].kept and got[None].component_id is None and got[1].kept
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    near, alone, other = (" ".join(f"{c}{j}" for j in range(60)) for c in "abc")
+    rows = [(1, near), (2, near + " tail"), (2, alone), (None, other), (None, near + " end"), (None, "only here, six words or so")]
+    kept = near_dedup.keep_one(docs(spark, rows))
+    assert kept.columns == docs(spark, []).columns
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {rows[0], rows[2], rows[3], rows[5]} and kept.count() == 4
+
+
 def test_odd_sketch_separates_similarities():
     rng = np.random.default_rng(1)
     limit = near_dedup.most_different(0.8, near_dedup.SAMPLES, near_dedup.SKETCH_BITS)
@@ -196,6 +204,13 @@ def test_decontaminate_proximity(spark):
     assert (got[1].n_hit, got[1].n_near) == (0, 1) and (got[2].n_hit, got[2].n_near) == (20, 0) and got[3].n_near == 0
 
 
+def test_keep_clean_with_null_and_repeated_ids(spark):
+    passage = " ".join(f"t{i}" for i in range(20))
+    rows = [(None, passage), (None, "clean words"), (None, None), (5, "more clean words"), (5, passage), (6, "t3 t4")]
+    kept = decontaminate.keep_clean(docs(spark, rows), spark.createDataFrame([(8, passage)], "item_id long, text string"))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([rows[1], rows[2], rows[3], rows[5]], key=str)
+
+
 def test_decontaminate_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     got = decontaminate.decontaminate(docs(spark, [(1, "a b"), (2, None)]), none).collect()
