@@ -11,6 +11,8 @@ form of address or by given name and surname - are replaced by keyed surrogates
 An entity is its canonical form (digits of a number, lower case of an address or name), so all its mentions, however
 written and in whichever document, get the same surrogate.  Collision checks run over the table of distinct entities: a
 surrogate that another entity claims, or that is itself an entity of the corpus, is drawn anew until all are distinct.
+Where a format has too few surrogates, those left over get a wider one: kept digits are freed, then digits or letters
+added; private IP addresses go to 10.0.0.0/8, then to any network.
 
 Only texts with entities are shuffled.  Defined cases: null counts as empty and comes out as an empty text; texts without
 entities come out unchanged; repeated rows come out each; columns other than id and text are not read.
@@ -52,8 +54,11 @@ _RU_VOWELS, _RU_CONSONANTS = "аеиоуя", "бвгдзклмнпрстфх"
 #: Characters are replaced within their group.
 GROUPS = ["0123456789", VOWELS, CONSONANTS + "qwxy", VOWELS.upper(), (CONSONANTS + "qwxy").upper(), _RU_VOWELS + "ёыэю", _RU_CONSONANTS + "жцчшщй",
           (_RU_VOWELS + "ёэю").upper(), (_RU_CONSONANTS + "жцчшщ").upper()]
-ENDING = r"(?i)(ова|ева|ина|ская|ов|ев|ин|ский)$"
-MAX_ROUNDS = 40
+#: An ending that shows gender, after at least one letter.
+ENDING = r"(?i)(?<=.)(ова|ева|ина|ская|ов|ев|ин|ский)$"
+#: From round ``WIDEN`` on every second round widens the format of those that have no surrogate yet by one step.
+MAX_ROUNDS, WIDEN = 40, 6
+FOLD = ("àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿßьъ", "aaaaaaaceeeeiiiidnoooooouuuuypysнн")
 
 
 def _chars(text: Column) -> Column:
@@ -98,25 +103,35 @@ def _draw(key: str) -> Column:
     """The surrogate of (kind, canon) at the given round."""
     kind, canon = F.col("kind"), F.col("canon")
     seed = _key(key, kind, canon, F.col("round").cast("string"))
+    wide = F.greatest(F.floor((F.col("round") - WIDEN) / 2) + 1, F.lit(0)).cast("int")
+    more = lambda letters: F.substring(F.repeat(F.lit(letters), MAX_ROUNDS), F.lit(1), wide)
     # of an address the local part depends on the whole address, the domain on the domain
     at = F.instr(canon, "@")
     local, domain = F.substring(canon, F.lit(1), at - 1), F.substring_index(canon, "@", -1)
     top = F.substring_index(domain, ".", -1)
     site = F.substring(domain, F.lit(1), F.char_length(domain) - F.char_length(top))
-    email = F.concat(_replaced(local, seed), F.lit("@"), _replaced(site, _key(key, F.lit("domain"), domain)), top)
-    keep = F.when(canon.startswith("+"), F.when(canon.rlike(r"^\+[17]"), 2).otherwise(3)).when(kind == "card", 1).when(kind == "ssn", 1).otherwise(0)
-    number = F.concat(F.substring(canon, F.lit(1), keep), _replaced(F.substring(canon, keep + 1, F.char_length(canon)), seed))
+    email = F.concat(_replaced(F.concat(local, more("an")), seed), F.lit("@"), _replaced(site, _key(key, F.lit("domain"), domain)), top)
+    keep = (F.when(canon.startswith("+"), F.when(wide > 0, 1).when(canon.rlike(r"^\+[17]"), 2).otherwise(3))
+            .when(kind == "card", 1).when((kind == "ssn") & (wide == 0), 1).otherwise(0))
+    # the first step frees the kept digits, each further one adds a digit
+    long = F.concat(canon, F.repeat(F.lit("0"), F.greatest(wide - 1, F.lit(0))))
+    number = F.concat(F.substring(long, F.lit(1), keep), _replaced(F.substring(long, keep + 1, F.char_length(long)), seed))
     body = F.substring(number, F.lit(1), F.char_length(number) - 1)
     digits = F.filter(F.array(*(F.lit(str(d)) for d in range(10))), lambda d: F.call_function("luhn_check", F.concat(body, d)))
     card = F.when(F.call_function("luhn_check", canon), F.concat(body, F.get(digits, F.lit(0)))).otherwise(number)
     octets = F.split(canon, r"\.")
     byte = lambda i: F.conv(F.substring(F.sha2(seed, 256), 4 * i + 1, 4), 16, 10).cast("int")
     rest = [(byte(i) % 254 + 1).cast("string") for i in range(4)]
-    ip = (F.when(canon.startswith("10."), F.concat_ws(".", F.lit("10"), *rest[1:]))
+    free = [(byte(i) % 256).cast("string") for i in range(4)]
+    ip = (F.when(wide > 1, F.concat_ws(".", (byte(0) % 213 + 11).cast("string"), *free[1:]))
+          .when((wide > 0) & canon.rlike(r"^(10|192\.168)\."), F.concat_ws(".", F.lit("10"), *free[1:]))
+          .when(canon.startswith("10."), F.concat_ws(".", F.lit("10"), *rest[1:]))
           .when(canon.startswith("192.168."), F.concat_ws(".", F.lit("192.168"), *rest[2:]))
           .otherwise(F.concat_ws(".", (byte(0) % 100 + 11).cast("string"), *rest[1:])))
     ending = F.regexp_extract(canon, ENDING, 1)
     stem = F.substring(canon, F.lit(1), F.char_length(canon) - F.char_length(ending))
+    letters = F.when(canon.rlike("[а-яё]"), more("ан")).otherwise(more("an"))
+    stem = F.when(wide > 0, F.concat(F.translate(stem, *FOLD), letters)).otherwise(stem)
     surname = F.concat(_replaced(stem, seed), ending)
     return F.when(kind == "email", email).when(kind == "card", card).when(kind == "ip", ip).when(kind == "person", surname).otherwise(number)
 
@@ -166,6 +181,8 @@ def _render(key: str, kind: Column, found: Column, surrogate: Column) -> Column:
     """The surrogate in the mention's own format."""
     place = lambda i: F.char_length(F.regexp_replace(F.substring(found, F.lit(1), i + 1), "[^0-9+]", ""))
     number = F.array_join(F.transform(_chars(found), lambda c, i: F.when(c.rlike("[0-9+]"), F.substring(surrogate, place(i), F.lit(1))).otherwise(c)), "")
+    # the digits by which a full format was widened
+    number = F.concat(number, F.substring(surrogate, F.char_length(F.regexp_replace(found, "[^0-9+]", "")) + 1, F.char_length(surrogate)))
     name = F.regexp_extract(found, f"{NAME}$", 0)
     front = F.substring(found, F.lit(1), F.char_length(found) - F.char_length(name))
     before = F.array_join(F.transform(F.split(front, " "), lambda w: _given(key, w)), " ")

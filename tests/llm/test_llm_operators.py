@@ -301,6 +301,19 @@ def test_pii_surrogates_are_distinct_in_a_small_space(spark):
     assert len(got) == 600 and len(set(new)) == 600 and not set(new) & {r.canon for r in got}
 
 
+def test_pii_formats_that_run_out_are_widened(spark):
+    names = [c + v for c in "bcdfghjklmnprstvzqwxy" for v in "aeiou"]  # all that two letters can be
+    entities = [("person", w) for w in ["ева", "ина", "ов", "éü", *names]] + [("phone", f"+1{i:03d}") for i in range(800)]
+    entities += [("email", f"{v}@{c}.com") for c in "bcd" for v in "aeiou"] + [("card", "4111111111111111"), ("ip", "192.168.3.4")]
+    got = pii.surrogates(spark.createDataFrame(entities, "kind string, canon string"), "key").collect()
+    new = [(r.kind, r.surrogate) for r in got]
+    assert len(got) == len(entities) == len(set(new)) and not set(new) & set(entities)
+    text = " ".join(f"Mr {w.capitalize()}." for w in names)
+    out = pii.replace_pii(docs(spark, [(1, text), (2, "Анна Ева. Мария Ина.")]), "key").collect()
+    found = {r.doc_id: re.findall(r"\w+(?=\.)", r.text) for r in out}
+    assert len(set(found[1])) == len(names) and not {w.lower() for w in found[1]} & set(names) and not {"Ева", "Ина"} & set(found[2])
+
+
 # ---- html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href=x>Home</a></ul></nav>
