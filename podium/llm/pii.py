@@ -1,11 +1,12 @@
 """Surrogates for personal data (DataFrame functions only).
 
-Detected entities - e-mail and IPv4 addresses, payment card and social security numbers, phone numbers, persons after a
-form of address or by given name and surname - are replaced by keyed surrogates of the same type and format:
+Detected entities - e-mail and IPv4 addresses, payment card and social security numbers, phone numbers, persons after
+forms of address or a listed given name, with all names that follow, the last being the surname - are replaced by keyed surrogates of the same type and format:
 
 * addresses keep their punctuation and top-level domain, equal domains stay equal; cards keep their network digit and, if
   valid, a valid check digit; phones keep prefix and layout; IP addresses stay valid and private ones private;
-* given names come from a list of the same gender and script by a keyed permutation; surnames keep script, length,
+* listed given names come from a list of the same gender and script by a keyed permutation, others keep length, capitals
+  and the pattern of vowels and consonants; surnames keep script, length,
   capitals, the pattern of vowels and consonants, and the ending that shows gender.
 
 An entity is its canonical form (digits of a number, lower case of an address or name), so all its mentions, however
@@ -42,8 +43,8 @@ PATTERNS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,5}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
-    # a capital first, so that the lists are tried at few places
-    "person": rf"(?=[A-ZА-Я])(?<![\p{{L}}\p{{N}}_])(?:{_TITLE} (?:{_GIVEN} )?|{_GIVEN} ){NAME}(?![\p{{L}}])",
+    # a capital first, so that the lists are tried at few places; then all names that follow
+    "person": rf"(?=[A-ZА-Я])(?<![\p{{L}}\p{{N}}_])(?:(?:{_TITLE} )+|{_GIVEN} ){NAME}(?![\p{{L}}])(?: {NAME}(?![\p{{L}}]))*+",
 }
 ANY = "|".join(PATTERNS.values())
 #: A cheap test for texts that cannot hold an entity.
@@ -171,6 +172,16 @@ def _given(key: str, word: Column) -> Column:
     return out
 
 
+def _front(key: str, word: Column) -> Column:
+    """The surrogate of a word before the surname: forms of address stay, given names outside the lists are drawn."""
+    low = F.translate(F.lower(word), *FOLD)
+    drawn = _replaced(low, _key(key, F.lit("given"), low))
+    # of a word that came out as itself, one letter more
+    drawn = F.when(drawn == F.lower(word), F.concat(drawn, F.when(low.rlike("[а-яё]"), "н").otherwise("n"))).otherwise(drawn)
+    listed = word.isin([g for names in GIVEN.values() for g in names])
+    return (F.when((word == "") | word.rlike(f"^{_TITLE}$"), word).when(listed, _given(key, word)).otherwise(_same_case(drawn, word)))
+
+
 def _same_case(surrogate: Column, found: Column) -> Column:
     """Capitals where the mention has them."""
     chars = F.arrays_zip(_chars(surrogate).alias("s"), _chars(found).alias("f"))
@@ -185,7 +196,7 @@ def _render(key: str, kind: Column, found: Column, surrogate: Column) -> Column:
     number = F.concat(number, F.substring(surrogate, F.char_length(F.regexp_replace(found, "[^0-9+]", "")) + 1, F.char_length(surrogate)))
     name = F.regexp_extract(found, f"{NAME}$", 0)
     front = F.substring(found, F.lit(1), F.char_length(found) - F.char_length(name))
-    before = F.array_join(F.transform(F.split(front, " "), lambda w: _given(key, w)), " ")
+    before = F.array_join(F.transform(F.split(front, " "), lambda w: _front(key, w)), " ")
     return (F.when(kind == "email", _same_case(surrogate, found)).when(kind == "ip", surrogate)
             .when(kind == "person", F.concat(before, _same_case(surrogate, name))).otherwise(number))
 

@@ -314,6 +314,19 @@ def test_pii_formats_that_run_out_are_widened(spark):
     assert len(set(found[1])) == len(names) and not {w.lower() for w in found[1]} & set(names) and not {"Ева", "Ина"} & set(found[2])
 
 
+PERSONS = [("Dr Maximilian Huber came", "Maximilian Huber"), ("Prof. Dr. Huber said", "Huber"), ("Anna Sophie Müller here", "Anna Sophie Müller"),
+           ("Mr Giovanni Battista Rossi.", "Giovanni Battista Rossi"), ("Frau Zoë Li-Chang, hello", "Zoë Li-Chang"), ("Госпожа Ксения Петрова", "Ксения Петрова")]
+
+
+def test_pii_persons_with_given_names_outside_the_lists(spark):
+    rows = [(i, t) for i, (t, _) in enumerate(PERSONS)] + [(90, "Mr Huber"), (91, "Mr Smith " + "Word " * 20_000)]
+    got = {r.doc_id: r for r in pii.replace_pii(docs(spark, rows), "key").collect()}
+    for i, (_, name) in enumerate(PERSONS):
+        assert got[i].n_person == 1 and not set(name.split()) & set(re.findall(r"[\w-]+", got[i].text)), got[i].text
+    assert got[90].text.split()[1] == got[0].text.split()[2] == got[1].text.split()[2]  # keyed on the surname
+    assert got[0].text.startswith("Dr ") and got[1].text.startswith("Prof. Dr. ") and got[91].n_person == 1 and "Word" not in got[91].text
+
+
 # ---- html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href=x>Home</a></ul></nav>
