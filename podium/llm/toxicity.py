@@ -4,7 +4,7 @@ Two lexicons serve: a fixed one of insults in common use, and one learned from a
 found between at least three different pairs of words in toxic documents (copies of one document count once so) and
 rarely in others, weighted by their log-odds.  Tasks turn each whole text into a row of densities: hits of either lexicon (plain,
 disguised by look-alike signs or spread letters, near a second-person word), distinct hits, second-person words,
-capitals, punctuation, obfuscated words.  Trees are boosted by Spark's ``GBTClassifier`` on a second part of the sample,
+capitals, punctuation, obfuscated words, and the densest passage of 20 words wherever it stands.  Trees are boosted by Spark's ``GBTClassifier`` on a second part of the sample,
 so that the learned words are judged on documents they were not learned from; an isotonic curve fitted on a third part
 maps the raw score to a probability.
 
@@ -94,11 +94,15 @@ def features(text: str, learned: dict[str, float], lexicon: frozenset[str] = LEX
     for token in _SPREAD.findall(low):
         disguised += re.sub(r"[ .\-*_]", "", token) in lexicon
     aimed = sum(any(second[max(0, i - 4):i + 5]) for i in at) if second else 0
-    peak = max((sum(1 for j in at if i <= j < i + 20) for i in at[:200]), default=0)
+    peak = end = 0
+    for k, i in enumerate(at):
+        while end < len(at) and at[end] < i + 20:
+            end += 1
+        peak = max(peak, end - k)
     size = max(len(text), 1)
     letters = max(sum(map(str.isalpha, text)) if not text.isascii() else len(re.sub(r"[^A-Za-z]+", "", text)), 1)
     upper = len(re.sub(r"[^A-Z]+", "", text))
-    shouted = sum(1 for w in _TOKEN.findall(text) if len(w) > 2 and w.isupper()) if upper > 0.1 * letters else 0
+    shouted = sum(1 for w in _TOKEN.findall(text) if len(w) > 2 and w.isupper())
     return [sum(weights), max(weights, default=0.0), float(len(weights)), len(weights) / n,
             float(len(at)), float(np.log1p(len(at))), len(at) / n, float(len({words[i] for i in at})), float(disguised), aimed / n,
             (sum(second) if second else sum(w in SECOND_PERSON for w in words)) / n, upper / letters, shouted / n,

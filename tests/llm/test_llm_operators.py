@@ -517,6 +517,15 @@ def test_toxicity(spark):
     assert named["disguised"] == 2 and named["hits"] == 1 and named["aimed"] > 0
 
 
+def test_toxicity_sees_passages_wherever_they_stand():
+    named = lambda t: dict(zip(toxicity.NAMES, toxicity.features(t, {})))
+    apart = "word " * 20 + "hate " + "word " * 20
+    assert named(apart * 300 + "idiot " * 15)["peak"] == named("idiot " * 15 + apart * 300)["peak"] == 15
+    text = apart * 300 + "idiot " * 25
+    assert named(text)["peak"] == 20
+    assert named("quiet words " * 500 + "YOU ARE AWFUL")["shouted"] == 3 / 1003
+
+
 def test_classifiers_without_labels(spark):
     frame, labels = labelled(spark, "quality")
     for none in (labels.limit(0), labels.where("quality = 1 and toxic = 0")):
