@@ -3,22 +3,25 @@
 The pages of a host are merged into one tree whose nodes are element paths (tag, class and id of each container from the
 body down).  Per node and host, over all its pages:
 
-* presentation: the entropy of the sequences of children that the node shows;
-* content: the entropy of the texts found directly in it;
-
-both divided by the entropy that all-different occurrences would have.  A node's importance is the mean of its own two
-values and of its descendants' contents, weighted by characters, times a prior: elements and class names of menus,
-headers, footers, sidebars, notices, adverts, forms and reader comments start low, an article or main element is never
-taken for noise.  Branches below the threshold are cut from each page of the host; what an article (else a main
-element, else the body) still holds is the page's text.
-
-Statistics travel as hashes and counts, added up per task before they are shuffled by (host, node, content), so a large
-host is spread over tasks; the cut branches are a short list per host.  Blocks are the texts between the bounds of block
+* presentation: the entropy of the children that the node shows on a page;
+* content: the entropy of the texts found directly in it on a page;
+
+both divided by the entropy that all-different pages would have; pages with equal text count once.  A node's importance is
+the mean of its presentation (a tenth) and of the contents in its branch, weighted by characters.  It is multiplied by a
+prior: 0.2 for elements and class names of menus, headers, footers, sidebars, notices, adverts, forms and reader comments
+(so these are always cut: footers and adverts that differ from page to page have the entropy of text), 0.5 outside the
+article (else main) element of a page that has one, else 1.  Branches below the threshold are cut from each page of the
+host, within articles as well; what is left is the page's text.  A paragraph that repeats among others under the same
+element path stays.
+
+Statistics travel as hashes, shuffled by (host, node, content, page), so a large
+host is spread over tasks; the unimportant branches are a short list per host.  Blocks are the texts between the bounds of block
 elements; ``<br>`` is white space.  Character references are decoded, white space becomes one space, blocks are joined by
 a newline.
 
 Defined cases: null html counts as empty and gives an empty text; a null URL or one without host belongs to the host "";
-a host with one page relies on the prior; unclosed elements, comments, quotes and truncated pages are read as far as they
+a host with few different pages relies on the prior; a page of which nothing
+would be left keeps what is no noise by name; unclosed elements, comments, quotes and truncated pages are read as far as they
 go; repeated rows come out each.  Columns other than id, URL and html are not read.
 """
 
@@ -26,8 +29,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
 import xxhash
@@ -38,7 +40,8 @@ from podium.llm.shared import Scratch, ship
 from podium.llm.url_filter import split_url
 
 THRESHOLD = 0.25
-LEAST_PAGES = 8  # occurrences below which entropy says nothing about a node
+NOISE, OUTSIDE = 0.2, 0.5  # priors of noise by name, and of nodes outside the article (else main) of a page that has one
+LEAST_PAGES = 8  # different pages below which entropy says nothing about a node
 
 RAW = frozenset("script style noscript template iframe textarea title svg math object canvas select".split())
 VOID = frozenset("br img hr input meta link wbr area base col embed source track param".split())
@@ -139,42 +142,46 @@ def _digest(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-#: kind 0: contents, 1: presentation.  ``above`` lists the node and its ancestors.
-STATISTICS = "host string, node long, kind int, what long, n long, chars long, above array<long>"
+#: kind 0: contents, 1: presentation.  ``above`` lists the node and its ancestors, ``page`` digests the page's open text.
+STATISTICS = "host string, node long, kind int, what long, page long, chars long, above array<long>"
 
 
 def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
-        n: Counter = Counter()
-        chars: Counter = Counter()
+        seen: dict[tuple, int] = {}
         above: dict[int, list[int]] = {}
         for url, page in zip(rows["url"], rows["html"]):
             host = split_url(url)[0]
             blocks, nodes = parse(page)
+            version = _digest("\n".join(t for n, t in blocks if not n.noise))
+            shown: dict[int, list[str]] = {}
+            held: dict[int, list[str]] = {}
             for node in nodes:
-                if node.article or node.main or node.noise or node.tag in ("html", "body"):
-                    continue  # the prior has decided, or there is nothing around it
+                if node.tag in ("html", "body"):
+                    continue  # there is nothing around it
                 if node.key not in above:
                     chain, up = [], node
                     while up:
                         chain.append(up.key)
                         up = up.parent
                     above[node.key] = chain
-                n[host, node.key, 1, _digest(" ".join(node.children))] += 1
+                shown.setdefault(node.key, []).append(" ".join(node.children))
             for node, block in blocks:
-                if node.key in above and not (node.article or node.main or node.noise):
-                    key = (host, node.key, 0, _digest(block))
-                    n[key] += 1
-                    chars[key] += len(block)
-        yield pd.DataFrame([(*k, v, chars[k], above[k[1]]) for k, v in n.items()],
-                           columns=["host", "node", "kind", "what", "n", "chars", "above"])
+                if node.key in shown:
+                    held.setdefault(node.key, []).append(block)
+            for kind, found in ((0, held), (1, shown)):
+                for key, what in found.items():
+                    seen[host, key, kind, _digest("\n".join(what)), version] = sum(map(len, what))
+        yield pd.DataFrame([(*k, chars, above[k[1]]) for k, chars in seen.items()],
+                           columns=["host", "node", "kind", "what", "page", "chars", "above"])
 
 
 def importance(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, node, seen, importance) of the nodes that the prior leaves open."""
+    """(host, node, seen, importance) of all nodes: ``seen`` counts the pages whose open texts differ."""
     rows = (pages.select(F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
             .mapInPandas(_statistics, STATISTICS))
-    each = rows.groupBy("host", "node", "kind", "what").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.first("above").alias("above"))
+    each = (rows.dropDuplicates(["host", "node", "kind", "what", "page"]).groupBy("host", "node", "kind", "what")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.first("above").alias("above")))
     total = F.sum("n")
     entropy = F.when(total > 1, (F.log(total) - F.sum(F.col("n") * F.log("n")) / total) / F.log(total)).otherwise(1.0)
     nodes = each.groupBy("host", "node", "kind").agg(total.alias("seen"), F.sum("chars").alias("chars"), entropy.alias("entropy"), F.first("above").alias("above"))
@@ -193,14 +200,15 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     spark = pages.sparkSession
     ship(spark)
     tmp = Scratch(spark, "style-tree")
-    cut = tmp.write(importance(pages, url_col, html_col).where((F.col("importance") < threshold) & (F.col("seen") >= least_pages))
-                    .groupBy("host").agg(F.sort_array(F.collect_set("node")).alias("cut")))
+    # whatever is more important than that stays under any prior but that of noise
+    cut = tmp.write(importance(pages, url_col, html_col).where((F.col("importance") * OUTSIDE < threshold) & (F.col("seen") >= least_pages))
+                    .groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("node", "importance"))).alias("cut")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             out = []
             for i, url, page, low in zip(rows["id"], rows["url"], rows["html"], rows["cut"]):
-                out.append((i, url, *main_text(page, frozenset(low) if low is not None else frozenset())))
+                out.append((i, url, *main_text(page, dict(low) if low is not None else {}, threshold)))
             yield pd.DataFrame(out, columns=["id", "url", "text", "n_chars", "n_cut"]).astype({"id": rows["id"].dtype})
 
     kind = pages.schema[id_col].dataType.simpleString()
@@ -213,24 +221,30 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             .withColumnRenamed("id", id_col))
 
 
-def main_text(page: str, low: frozenset[int]) -> tuple[str, int, int]:
-    """(text, code points, blocks cut for their branch's low importance)."""
+def main_text(page: str, found: Mapping[int, float] | frozenset = frozenset(), threshold: float = THRESHOLD) -> tuple[str, int, int]:
+    """(text, code points, blocks cut for their branch's low importance other than by the prior of noise).  ``found`` holds
+    importances on the host; a node without one counts as fully important."""
     blocks, _ = parse(page)
-    open_blocks = [(n, t) for n, t in blocks if not n.noise]
-    kept = [t for n, t in open_blocks if n.article] or [t for n, t in open_blocks if n.main]
-    n_cut = 0
-    if not kept:
-        bad: dict[int, bool] = {}
-        for node, t in open_blocks:
-            if node.key not in bad:
-                up, is_low = node, False
-                while up and not is_low:
-                    is_low = up.key in low
-                    up = up.parent
-                bad[node.key] = is_low
-            if bad[node.key]:
-                n_cut += 1
-            else:
-                kept.append(t)
+    importance = dict(found) if found else {}
+    centre = next((c for c in ("article", "main") if any(getattr(n, c) and not n.noise for n, _ in blocks)), None)
+    cut: dict[int, bool] = {}
+
+    def is_cut(node: Node) -> bool:
+        up = node
+        while up:
+            prior = 1.0 if centre is None or getattr(node, centre) else OUTSIDE
+            if prior * importance.get(up.key, 1.0) < threshold:
+                return True
+            up = up.parent
+        return False
+
+    open_blocks = [(n, t) for n, t in blocks if NOISE * importance.get(n.key, 1.0) >= threshold or not n.noise]
+    for node, _ in open_blocks:
+        if id(node) not in cut:
+            cut[id(node)] = is_cut(node)
+    kept = [t for n, t in open_blocks if not cut[id(n)]]
+    n_cut = len(open_blocks) - len(kept)
+    if not kept:  # nothing is left to tell from boilerplate
+        kept, n_cut = [t for _, t in open_blocks], 0
     text = "\n".join(kept)
     return text, len(text), n_cut

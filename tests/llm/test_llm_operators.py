@@ -354,6 +354,16 @@ def test_html_style_tree_cuts_what_repeats_on_a_host(spark):
     assert got[100].text == "Same words on every page"
 
 
+def test_html_style_tree_decides_inside_and_outside_articles(spark):
+    text = lambda i, c: " ".join(f"{c}{i}x{j}" for j in range(20))
+    page = lambda i: (f"<body><article><p>{text(i, 'w')}</p><div class='q'><p>Join our club today</p></div></article>"
+                      f"<div class='r'>Same on all</div><div class='s'>{text(i, 'v')}</div><footer>{text(i, 'f')}</footer>")
+    rows = [(i, f"http://h.example.com/{i}", page(i)) for i in range(30)] + [(100 + i, "http://copies.example.com/", page(7)) for i in range(30)]
+    got = {r.page_id: r for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i].text == f"{text(i, 'w')}\n{text(i, 'v')}" and got[i].n_cut == 2 for i in range(30))
+    assert got[100].text == f"{text(7, 'w')}\nJoin our club today\nSame on all\n{text(7, 'v')}"  # one page many times tells nothing
+
+
 def test_html_very_long_page():
     page = "<body><article>" + "<p>word &eacute;</p>" * 20_000 + "<div " * 2000
     text, n, _ = html_extract.main_text(page, frozenset())
