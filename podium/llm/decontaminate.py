@@ -6,8 +6,9 @@
 3. A posting minus the term's place in the item is the offset at which the whole item would lie in the document:
    distinct (document, item, offset) are the candidates; a common passage yields one per document, not one per pair.
 4. At each candidate offset the item's words are compared with the document's words position by position.  Runs of
-   ``window`` equal words are exact phrase matches; items of which at least half the words agree at one offset, without
-   such a run, are proximity matches (``n_near``).
+   ``window`` equal words are exact phrase matches, all of which are found.  ``n_near`` counts the items of which, without
+   such a run, at least half the words agree at a candidate offset; it is no proximity search: items whose rarest terms
+   are altered or missing have no candidate, and an inserted word ends the alignment.
 
 Words are ASCII-lower-cased runs of digits, letters a-z and anything beyond ASCII.  Defined cases: null and empty texts
 have no words; an item without words is never found; repeated item ids count once; items with a null id hit words but
