@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from podium.llm import decontaminate, exact_dedup, html_extract, near_dedup, packing, pii, quality, secret_scan, toxicity, url_filter
+from podium.llm import (decontaminate, exact_dedup, fingerprint, html_extract, near_dedup, packing, pii, quality, secret_scan, spelling,
+                        toxicity, url_filter, vector_codes)
 from podium.llm.shared import table
 
 #: The contract's rules (host, path, verdict).
@@ -63,6 +66,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_next(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, books = vector_codes.encode(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("codebooks_sha256", F.lit(hashlib.sha256(",".join(map(str, books.ravel())).encode()).hexdigest()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -74,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
     "op10_packing": op10_packing,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_fingerprint": op12_fingerprint,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -117,8 +136,30 @@ SELECT page_id, host, path, rule, coalesce(rverdict, CASE WHEN l.page_id IS NULL
 FROM s LEFT JOIN f USING (page_id) LEFT JOIN l USING (page_id)
 """
 
+_ROUND = """,
+c{k} AS (SELECT vec_id, r, p, arg_min(e, (d, e)) AS e, min(d) AS d
+         FROM (SELECT v.vec_id, v.r, v.p, b.e, sum((v.x - b.x) * (v.x - b.x)) AS d FROM v JOIN b{k} AS b USING (p, j) GROUP BY ALL) AS x GROUP BY ALL)"""
+_UPDATE = """,
+b{next} AS (SELECT p, e, j, coalesce(m, x) AS x FROM b{k} LEFT JOIN
+       (SELECT p, e, j, CAST(floor(sum(x) / count(*)) AS BIGINT) AS m FROM c{k} JOIN v USING (r, p) GROUP BY ALL) AS y USING (p, e, j))"""
+
+#: Six rounds of exact assignment and update, written out; sums stay far below 2^53, so the floor of the quotient is exact.
+VECTOR_CODES_SQL = """
+WITH k AS (SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r FROM embeddings
+           WHERE len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len(embedding) > 0),
+v AS MATERIALIZED (SELECT vec_id, r, i // (len(embedding) // 8) AS p, i % (len(embedding) // 8) AS j,
+             CAST(floor(4096 * CAST(embedding[i + 1] AS DOUBLE)) AS BIGINT) AS x FROM k, unnest(range(len(embedding))) AS u(i)),
+b0 AS (SELECT p, CAST(r - 1 AS INTEGER) AS e, j, x FROM v WHERE r <= 16)""" + "".join(
+    _ROUND.format(k=k) + _UPDATE.format(k=k, next=k + 1) for k in range(6)) + _ROUND.format(k=6) + """,
+s AS (SELECT vec_id, r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM c6 GROUP BY ALL),
+l AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM s JOIN k USING (r) GROUP BY label)
+SELECT s.vec_id, code, error, label_error, (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, j)) FROM b6) AS codebooks_sha256
+FROM s JOIN k USING (r) JOIN l ON k.label IS NOT DISTINCT FROM l.label
+"""
+
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": EXACT_DEDUP_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
     "op9_url_filter": URL_FILTER_SQL,
+    "op13_vector_codes": VECTOR_CODES_SQL,
 }
