@@ -38,9 +38,9 @@ def coerce_number(c, thousands: str | None = None) -> Column:
     col = _col(c)
     text = col.cast("string")
     if thousands:
-        text = F.regexp_replace(text, "[" + thousands + "]", "")
-    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+        text = F.translate(text, thousands, "")
+    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))  # no NaN passes the pattern
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def season_of(c) -> Column:
@@ -127,6 +127,36 @@ def decode_entities(c) -> Column:
     return F.when(col.rlike(_REFERENCE), joined).otherwise(col)
 
 
+# Characters that a page keeps as references until its markup has been read.
+_MARKUP = {"&": "&amp;", "<": "&lt;", ">": "&gt;", '"': "&quot;", "'": "&apos;"}
+_OTHER_REFERENCE = r"&(?!(?:amp|lt|gt|quot|apos);)(?:#|[A-Za-z])"
+
+
+def decode_page(c) -> Column:
+    """Decode a whole page's references, but those of markup characters and quotes, which all take their plain named form
+    (so that the page can still be cut at its tags); ``decode_markup`` decodes these in the pieces."""
+    col = _col(c)
+
+    def kept(ref: Column) -> Column:
+        text = _reference_text(ref)
+        for char, name in _MARKUP.items():
+            text = F.when(text == char, F.lit(name)).otherwise(text)
+        return text
+
+    chars = F.transform(F.regexp_extract_all(col, F.lit(_REFERENCE), F.lit(1)), kept)
+    joined = F.array_join(F.zip_with(F.split(col, _REFERENCE), chars, lambda p, x: F.concat(p, F.coalesce(x, F.lit("")))), "")
+    return F.when(col.rlike(_OTHER_REFERENCE), joined).otherwise(col)
+
+
+def decode_markup(c) -> Column:
+    """Decode the five references that ``decode_page`` leaves."""
+    col = _col(c)
+    text = col
+    for char, name in reversed(_MARKUP.items()):  # the ampersand last
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return F.when(F.contains(col, F.lit("&")), text).otherwise(col)
+
+
 _HREF = r"""(?is)<a\s[^>]*?href\s*=\s*(?:["']([^"']*)["']|([^\s"'>]+))"""
 _BARE_URL = r"https?://\S+"
 
@@ -151,12 +181,12 @@ def absolute_url(href, base) -> Column:
             .otherwise(F.concat(base_dir, h)))
 
 
-def first_link(cell_html, base) -> Column:
+def first_link(cell_html, base, decode=decode_entities) -> Column:
     """First ``<a href>`` made absolute against ``base``; else the first bare
-    ``http(s)://`` token of the cleaned text; else ''."""
+    ``http(s)://`` token of the cleaned text; else ''.  ``decode`` resolves the references that are still in the cell."""
     html = _col(cell_html)
     href = F.concat(F.regexp_extract(html, _HREF, 1), F.regexp_extract(html, _HREF, 2))
     has_href = html.rlike(_HREF)
-    text = clean_text(decode_entities(strip_tags(html)))
+    text = clean_text(decode(strip_tags(html)))
     bare = F.regexp_extract(text, _BARE_URL, 0)
-    return F.when(has_href, absolute_url(decode_entities(href), base)).otherwise(bare)
+    return F.when(has_href, absolute_url(decode(href), base)).otherwise(bare)

@@ -114,8 +114,15 @@ _UNCOUNTED = ('<table></table><table style="display: none"><tr><td>x</td></tr></
 _NESTED = "<table><tr><td>note</td></tr></table>"
 
 
+def _dealt(rows: DataFrame, key: Column) -> DataFrame:
+    """Rows dealt over all shuffle partitions: pages are many times wider than what they are made of, so partitions sized
+    for the rows would leave most of a cluster idle while pages are read."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def result_pages(results: DataFrame) -> DataFrame:
-    """pages(url, html): one result page per results row (map-only, no shuffle)."""
+    """pages(url, html): one result page per results row."""
+    results = _dealt(results, F.col("row_seq"))
     style = F.col("row_seq") % 3
     # the two-level style carries header spans on one page in ten, and a body row span
     # (the fill-down path) on one page in thirty
@@ -161,7 +168,7 @@ def schedule_pages(events: DataFrame) -> DataFrame:
         items = F.array_sort(F.collect_list(F.when(cond, F.struct(F.col("__key").alias("k"), F.col(html).alias("h")))))
         return F.array_join(F.transform(items, lambda x: x["h"]), "")
 
-    pages = ev.groupBy("__block").agg(
+    pages = _dealt(ev, F.col("__block")).groupBy("__block").agg(
         rows(F.col("__key") % 2 == 0, "__a").alias("t2"),
         rows(F.col("__key") % 2 == 1, "__b").alias("t3"),
         rows(F.col("__key") % 5 == 0, "__b").alias("again"))

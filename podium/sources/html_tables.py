@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podium import constants as K
-from podium.functions.text import clean_text, coerce_number, decode_entities, first_link, season_of
+from podium.functions.text import clean_text, coerce_number, decode_markup, decode_page, first_link, season_of
 from podium.operators.groupwise import first_per_key, leaderboard
 from podium.operators.partitioning import evaluate_once
+from podium.session import scratch_path
 
 TABLE_TAG = r"(?i)(?=<table\b|</table\s*>)"
 UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
@@ -46,17 +47,18 @@ _CELL_MARK = "\u0001"
 
 def row_texts(row_html: Column, sep: str = "") -> Column:
     """Visible text of every cell of a row, cleaned in one pass over the row:
-    cell starts become a marker, other tags become ``sep``, entities are
-    decoded, whitespace collapsed (also around markers), then split."""
+    cell starts become a marker, other tags become ``sep``, the references that
+    the page kept are decoded, whitespace collapsed (also around markers), then split."""
     marked = F.regexp_replace(row_html, CELL_OPEN, _CELL_MARK)
-    text = decode_entities(F.regexp_replace(marked, r"(?s)<[^>]*>", sep))
+    text = decode_markup(F.regexp_replace(marked, r"(?s)<[^>]*>", sep))
     text = F.regexp_replace(clean_text(text), " ?" + _CELL_MARK + " ?", _CELL_MARK)
     return _after_first(F.split(text, _CELL_MARK))
 
 
 def _span(attrs: Column, name: str) -> Column:
-    n = F.regexp_extract(attrs, r"(?i)\b" + name + r"\s*=\s*[\"']?\s*(\d+)", 1).try_cast("int")
-    n = F.greatest(F.coalesce(n, F.lit(1)), F.lit(1))
+    digits = F.regexp_extract(attrs, r"(?i)\b" + name + r"\s*=\s*[\"']?\s*(\d+)", 1)
+    # most cells have none: a cast of empty text would raise and catch an error in each of them
+    n = F.greatest(F.coalesce(F.when(digits != "", digits.try_cast("int")), F.lit(1)), F.lit(1))
     # a row span ends with the table at the latest; a column span is at most 1000 by the HTML standard
     return F.least(n, F.lit(1000)) if name == "colspan" else n
 
@@ -92,55 +94,84 @@ _BODY_GRID = (f"transform(slice(aggregate(__bodycells, array({_EMPTY_STATE}), "
               f"2, size(__bodycells)), st -> transform(st, c -> c.label))")
 
 
-_FOLD = """aggregate(__pieces,
-  named_struct('stack', cast(array() as array<int>), 'n', 0, 'owners', cast(array() as array<array<int>>)),
-  (s, p) -> CASE
-    WHEN p rlike '(?i)^<table' THEN named_struct('stack', concat(s.stack, array(s.n + 1)), 'n', s.n + 1,
-      'owners', concat(s.owners, array(concat(s.stack, array(s.n + 1)))))
-    WHEN p rlike '(?i)^</table' THEN named_struct('stack', slice(s.stack, 1, greatest(size(s.stack) - 1, 0)), 'n', s.n,
-      'owners', concat(s.owners, array(slice(s.stack, 1, greatest(size(s.stack) - 1, 0)))))
-    ELSE named_struct('stack', s.stack, 'n', s.n, 'owners', concat(s.owners, array(s.stack))) END)"""
-
-
-def _page_pieces(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """(url, n tables, pieces with the stack of tables that each stands in)."""
+# One pass over a page's pieces with the stack of open tables: what each piece's own table is (0: none), and of a table
+# that a piece closes whether it held text and was not hidden.  Pieces go by blocks, so that no long list is copied
+# with each of them.
+_BLOCK = 256
+_STACK = "cast(array() as array<struct<id:int,before:int,hid:boolean>>)"
+_OUT = "cast(array() as array<struct<owner:int,closed:int,shown:boolean>>)"
+_STEP = """CASE
+    WHEN x.kind = 1 THEN named_struct(
+      'stack', concat(s.stack, array(named_struct('id', s.n + 1, 'before', s.held, 'hid', x.hid OR coalesce(try_element_at(s.stack, -1).hid, false)))),
+      'n', s.n + 1, 'held', s.held + x.holds, 'out', concat(s.out, array(named_struct('owner', s.n + 1, 'closed', 0, 'shown', false))))
+    WHEN x.kind = -1 THEN named_struct(
+      'stack', slice(s.stack, 1, greatest(size(s.stack) - 1, 0)), 'n', s.n, 'held', s.held + x.holds,
+      'out', concat(s.out, array(named_struct('owner', coalesce(try_element_at(s.stack, -2).id, 0), 'closed', coalesce(try_element_at(s.stack, -1).id, 0),
+        'shown', coalesce(s.held > try_element_at(s.stack, -1).before AND NOT try_element_at(s.stack, -1).hid, false)))))
+    ELSE named_struct('stack', s.stack, 'n', s.n, 'held', s.held + x.holds,
+      'out', concat(s.out, array(named_struct('owner', coalesce(try_element_at(s.stack, -1).id, 0), 'closed', 0, 'shown', false)))) END"""
+_FOLD = f"""aggregate(transform(sequence(0, (size(__marks) - 1) div {_BLOCK}), b -> slice(__marks, b * {_BLOCK} + 1, {_BLOCK})),
+  named_struct('stack', {_STACK}, 'n', 0, 'held', 0, 'out', cast(array() as array<array<struct<owner:int,closed:int,shown:boolean>>>)),
+  (t, block) -> aggregate(block, named_struct('stack', t.stack, 'n', t.n, 'held', t.held, 'out', {_OUT}), (s, x) -> {_STEP},
+    s -> named_struct('stack', s.stack, 'n', s.n, 'held', s.held, 'out', concat(t.out, array(s.out)))),
+  t -> named_struct('open', t.stack, 'held', t.held, 'out', flatten(t.out)))"""
+# Tables that open and close one after the other, as on most pages, need no stack.
+_PLAIN = "size(__marks) % 2 = 1 AND forall(sequence(0, size(__marks) - 1), i -> __marks[i].kind = CASE WHEN i = 0 THEN 0 WHEN i % 2 = 1 THEN 1 ELSE -1 END)"
+_PLAIN_TABLES = """CASE WHEN size(__marks) > 1 THEN transform(sequence(1, size(__marks) div 2),
+  k -> named_struct('table_html', __marks[2 * k - 1].text, 'shown', __marks[2 * k - 1].holds > 0 AND NOT __marks[2 * k - 1].hid)) END"""
+# Pieces sorted by their table and place; a table's pieces then follow each other.
+_BY_OWNER = "array_sort(filter(transform(__f.out, (o, i) -> named_struct('owner', o.owner, 'at', i)), o -> o.owner > 0))"
+_STARTS = "filter(sequence(1, size(__by)), i -> i = 1 OR __by[i - 1].owner <> __by[i - 2].owner)"
+_SHOWN = """transform(array_sort(concat(
+    transform(filter(__f.out, o -> o.closed > 0), o -> named_struct('id', o.closed, 'shown', o.shown)),
+    transform(__f.open, o -> named_struct('id', o.id, 'shown', __f.held > o.before AND NOT o.hid)))), o -> o.shown)"""
+_STACKED_TABLES = """CASE WHEN size(__by) > 0 THEN transform(__starts, (s, k) -> named_struct(
+  'table_html', array_join(transform(slice(__by, s, coalesce(try_element_at(__starts, k + 2), size(__by) + 1) - s), o -> __marks[o.at].text), ''),
+  'shown', __shown[k])) END"""
+
+
+def _owned(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """(url, tables: ARRAY<STRUCT<table_html, shown>> in page order): every piece of text between table tags goes to its
+    innermost table.  A page's work grows with its tags (times their logarithm, for sorting)."""
     seen = F.when(F.col(html).rlike(r"(?i)<!--|<script\b|<style\b"), F.regexp_replace(html, UNSEEN, " ")).otherwise(F.col(html))
-    p = evaluate_once(pages.select(F.col(url).alias("url"), F.split(seen, TABLE_TAG).alias("__pieces")), ["__pieces"])
-    p = evaluate_once(p.withColumn("__f", F.expr(_FOLD)), ["__f"])
-    body = F.transform("__pieces", lambda x: F.regexp_replace(x, r"(?i)^</?table\b[^>]*>", ""))
-    flags = F.transform("__pieces", lambda x: x.rlike(HIDDEN))
-    shown = F.transform("__pieces", lambda x: F.regexp_replace(x, r"(?s)<[^>]*>|&nbsp;", "").rlike(r"\S"))
-    parts = F.zip_with(F.arrays_zip(body.alias("text"), flags.alias("hidden"), shown.alias("holds")), F.col("__f.owners"),
-                       lambda a, o: F.struct(a["text"].alias("text"), a["hidden"].alias("hidden"), a["holds"].alias("holds"), o.alias("stack")))
-    return evaluate_once(p.select("url", F.col("__f.n").alias("n"), parts.alias("parts")), ["parts"])
-
-
-def page_tables(pages: DataFrame, url: str = "url", html: str = "html", shown_only: bool = False) -> DataFrame:
+    p = evaluate_once(pages.select(F.col(url).alias("url"), F.replace(seen, F.lit("&nbsp;"), F.lit("\u00a0")).alias("__html")), ["__html"])
+    p = evaluate_once(p.select("url", F.split(decode_page("__html"), TABLE_TAG).alias("__pieces")), ["__pieces"])
+    marks = F.transform("__pieces", lambda x: F.struct(
+        F.when(x.rlike(r"(?i)^<table\b"), 1).when(x.rlike(r"(?i)^</table"), -1).otherwise(0).alias("kind"),
+        x.rlike(HIDDEN).alias("hid"),
+        F.regexp_replace(x, r"(?s)<[^>]*>", "").rlike(r"[^\s\u00a0]").cast("int").alias("holds"),
+        F.regexp_replace(x, r"(?i)^</?table\b[^>]*>", "").alias("text")))
+    p = evaluate_once(p.select("url", marks.alias("__marks")), ["__marks"])
+    p = evaluate_once(p.withColumn("__plain", F.expr(_PLAIN)), ["__plain"])
+    p = evaluate_once(p.withColumn("__f", F.when(~F.col("__plain"), F.expr(_FOLD))), ["__f"])
+    p = evaluate_once(p.withColumn("__by", F.expr(_BY_OWNER)).withColumn("__shown", F.expr(_SHOWN)), ["__by", "__shown"])
+    p = evaluate_once(p.withColumn("__starts", F.expr(_STARTS)), ["__starts"])
+    tables = F.when(F.col("__plain"), F.expr(_PLAIN_TABLES)).otherwise(F.expr(_STACKED_TABLES))
+    return evaluate_once(p.select("url", tables.alias("tables")), ["tables"])
+
+
+def page_tables(pages: DataFrame, url: str = "url", html: str = "html", shown_only: bool = False,
+                keep_pages: bool = False) -> DataFrame:
     """(url, table_no, table_html, rows_html, n_header): every table of every page,
     1-based in page order; ``rows_html`` holds the rows that have cells and
     ``n_header`` counts the leading header rows: those of <thead> that hold text,
     or else the leading rows made of <th> cells only.
 
     ``shown_only`` numbers only tables that hold text (nested tables' included) and
-    are not hidden by their own or an outer table's style.
+    are not hidden by their own or an outer table's style.  ``keep_pages`` gives a page
+    without such tables one row, its ``table_no`` null.
 
     Pages are cut with ``split`` on table tags, tables on row tags (one pass per
     level); a cell runs to the next cell, a row to the next row."""
-    p = _page_pieces(pages, url, html)
-    of = lambda t: F.filter("parts", lambda x: F.try_element_at(x["stack"], F.lit(-1)) == t)
-    inside = lambda t: F.filter("parts", lambda x: F.array_contains(x["stack"], t))
-    hidden_above = lambda t: F.exists(
-        "parts", lambda x: x["hidden"] & F.array_contains(F.element_at(inside(t), 1)["stack"], F.element_at(x["stack"], -1)))
-    tables = F.transform(F.sequence(F.lit(1), F.col("n")), lambda t: F.struct(
-        F.array_join(F.transform(of(t), lambda x: x["text"]), "").alias("table_html"),
-        (F.exists(inside(t), lambda x: x["holds"]) & ~hidden_above(t)).alias("shown") if shown_only else F.lit(True).alias("shown")))
-    tables = F.when(F.col("n") > 0, F.filter(tables, lambda x: x["shown"]))
-    t = p.select("url", F.posexplode(tables).alias("pos", "t")).select("url", "pos", F.col("t.table_html").alias("table_html"))
+    p = _owned(pages, url, html)
+    tables = F.filter("tables", lambda x: x["shown"]) if shown_only else F.col("tables")
+    each = F.posexplode_outer if keep_pages else F.posexplode
+    t = p.select("url", each(tables).alias("pos", "t")).select("url", "pos", F.col("t.table_html").alias("table_html"))
     cells = lambda part: F.filter(_after_first(F.split(part, ROW_OPEN)), lambda r: r.rlike(r"(?i)<t[hd]\b"))
     t = evaluate_once(t.withColumn("__rows", cells("table_html")).withColumn(
         "__head", F.when(F.col("table_html").rlike(r"(?i)<thead\b"), cells(F.regexp_extract("table_html", THEAD, 1)))), ["__rows", "__head"])
     n_head = F.coalesce(F.size("__head"), F.lit(0))
-    holds = lambda r: F.regexp_replace(r, r"(?s)<[^>]*>|&nbsp;", "").rlike(r"\S")
+    holds = lambda r: F.regexp_replace(r, r"(?s)<[^>]*>", "").rlike(r"[^\s\u00a0]")
     kept_head = F.filter("__head", holds)
     body_flags = F.transform("__rows", lambda r: r.rlike(r"(?i)<td\b"))
     first_body = F.array_position(body_flags, F.lit(True))
@@ -153,11 +184,11 @@ def page_tables(pages: DataFrame, url: str = "url", html: str = "html", shown_on
 
 
 def result_tables(pages: DataFrame, aliases: Mapping[str, str] | None = None,
-                  required: Sequence[str] = K.REQUIRED_RESULT_COLUMNS) -> DataFrame:
+                  required: Sequence[str] = K.REQUIRED_RESULT_COLUMNS, keep_pages: bool = False) -> DataFrame:
     """Tables of result pages with their canonical header labels:
     (url, table_no, table_html, rows_html, n_header, labels, canonical, missing, accepted)."""
     aliases = aliases or K.HEADER_ALIASES
-    t = page_tables(pages, shown_only=True)
+    t = page_tables(pages, shown_only=True, keep_pages=keep_pages)
     alias_map = F.create_map(*[x for kv in aliases.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     # multi-level headers: the last header row gives the label of each column
     plain = row_texts(F.try_element_at("rows_html", F.col("n_header")), "")
@@ -179,13 +210,15 @@ def ingest_issues(pages: DataFrame, aliases: Mapping[str, str] | None = None,
     required headers, pages without any table that is shown (``no_tables``) and,
     with ``events``, events whose page is missing (``no_page``); table 0 stands for
     the page."""
-    t = result_tables(pages, aliases)
-    missing = t.filter(~F.col("accepted")).select(
-        "url", "table_no", F.lit("missing_headers").alias("issue"),
-        F.array_join("missing", ",").alias("detail"))
+    spark = pages.sparkSession
+    path = scratch_path(spark, "issues")  # the pages are read once; what is left of a table is a short row
+    (result_tables(pages, aliases, keep_pages=True)
+     .select("url", "table_no", F.when(~F.col("accepted"), F.array_join("missing", ",")).alias("detail")).write.parquet(path))
+    t = spark.read.parquet(path)
+    missing = t.where("table_no IS NOT NULL AND detail IS NOT NULL").select("url", "table_no", F.lit("missing_headers").alias("issue"), "detail")
+    urls = t.groupBy("url").agg(F.count("table_no").alias("tables"))
     whole = lambda urls, issue: urls.select("url", F.lit(0).alias("table_no"), F.lit(issue).alias("issue"), F.lit("").alias("detail"))
-    urls = pages.select("url").distinct()
-    out = missing.unionByName(whole(urls.join(page_tables(pages, shown_only=True).select("url").distinct(), "url", "left_anti"), "no_tables"))
+    out = missing.unionByName(whole(urls.where("tables = 0"), "no_tables"))
     if events is not None:
         asked = events.select(F.col("results_url").alias("url")).distinct()
         out = out.unionByName(whole(asked.join(urls, "url", "left_anti"), "no_page"))
@@ -289,7 +322,7 @@ def extract_schedule(pages: DataFrame, base_url: str, headers: Mapping[str, str]
     inv = {v: k for k, v in headers.items()}
     link_idx = idx(inv["results_url"])
     r = r.filter(F.size("tds") >= link_idx)
-    link = first_link(F.try_element_at("tds", link_idx), F.lit(base_url))
+    link = first_link(F.try_element_at("tds", link_idx), F.lit(base_url), decode_markup)
     text = lambda col: F.try_element_at("texts", idx(inv[col]))
     out = r.select(
         "url", "schedule_table_no", "row_no",

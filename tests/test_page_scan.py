@@ -80,3 +80,36 @@ def test_first_link_forms(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(cells)], "i int, t string")
     got = [r.x for r in df.select("i", first_link(F.col("t"), F.lit("https://h.example/p/q")).alias("x")).orderBy("i").collect()]
     assert got == ["https://h.example/a2", "https://h.example/b", "https://h.example/c", "http://h.example/d", ""]
+
+
+def test_many_tables_in_one_page(spark):
+    """2,000 tables, side by side and nested: work grows with the tags, not with their square."""
+    import time
+    flat = "".join(f"<table><tr><td>t{i}</td></tr></table>" for i in range(2000))
+    # every tenth table holds nine others, some hidden, some empty
+    inner = lambda i: "".join(f"<table{' style=display:none' if k == 3 else ''}><tr><td>{'' if k == 4 else f'i{i}.{k}'}</td></tr></table>" for k in range(9))
+    mixed = "".join(f"<table><tr><td>o{i}{inner(i)}</td><td>end{i}</td></tr></table>" for i in range(200))
+    deep = "<table><tr><td>a" * 300 + "</td><td>z</td></tr></table>" * 300
+    pages = spark.createDataFrame([("flat", flat), ("mixed", mixed), ("deep", deep), ("open", "<table><tr><td>x" * 3 + "</table>"), ("stray", "</table>" * 3 + NESTED)],
+                                  "url string, html string")
+    start = time.time()
+    got = {}
+    for r in H.page_tables(pages).collect():
+        got.setdefault(r.url, {})[r.table_no] = r
+    assert time.time() - start < 60
+    assert [got["flat"][i + 1].table_html for i in range(2000)] == [f"<tr><td>t{i}</td></tr>" for i in range(2000)]
+    assert len(got["mixed"]) == 2000 and [len(got[u]) for u in ("deep", "open", "stray")] == [300, 3, 1]
+    for i in (0, 7, 199):
+        assert got["mixed"][10 * i + 1].table_html == f"<tr><td>o{i}</td><td>end{i}</td></tr>"
+        assert [got["mixed"][10 * i + 2 + k].table_html for k in (0, 4, 8)] == [f"<tr><td>i{i}.0</td></tr>", "<tr><td></td></tr>", f"<tr><td>i{i}.8</td></tr>"]
+    assert all(r.table_html == "<tr><td>a</td><td>z</td></tr>" for r in got["deep"].values())
+    shown = [r.url for r in H.page_tables(pages, shown_only=True).collect()]
+    assert [shown.count(u) for u in ("flat", "mixed", "deep", "open", "stray")] == [2000, 200 * 8, 300, 3, 1]
+
+
+def test_references_are_decoded_once(spark):
+    cells = ["A&amp;lt;B", "&lt;b&gt;", "&#60;i&#62;", "&#38;amp;", "W&oacute;jcik&nbsp;&amp;c", "&quot;x&#39;", "&AMP;lt;", "&unknown; & &amp"]
+    page = "<table>" + "".join(f"<tr><td>{c}</td></tr>" for c in cells) + "</table>"
+    t = H.page_tables(spark.createDataFrame([("u", page)], "url string, html string")).first()
+    got = spark.createDataFrame([(i, r) for i, r in enumerate(t.rows_html)], "i int, r string").select("i", H.row_texts(F.col("r")).alias("t")).orderBy("i").collect()
+    assert [r.t[0] for r in got] == ["A&lt;B", "<b>", "<i>", "&amp;", "Wójcik &c", "\"x'", "&lt;", "&unknown; & &amp"]
