@@ -161,24 +161,72 @@ _HREF = r"""(?is)<a\s[^>]*?href\s*=\s*(?:["']([^"']*)["']|([^\s"'>]+))"""
 _BARE_URL = r"https?://\S+"
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _without_dots(segments: Column) -> Column:
+    """The path that the segments ('' first for a rooted path) come down to: '..' takes the segment before away, but
+    none above the root; a final '.' or '..' leaves a closing slash."""
+    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda a, s: F.when(s == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0))))
+                       .when(s == ".", a).otherwise(F.concat(a, F.array(s))))
+    closing = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    path = F.array_join(F.concat(kept, closing), "/")
+    return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
+
+
 def absolute_url(href, base) -> Column:
-    """Resolve ``href`` against ``base`` for the usual cases: absolute URL,
-    scheme-relative ``//host``, root-relative ``/path``, query ``?q``, fragment
-    ``#f`` and a plain relative path (against the base directory)."""
-    h, b = _col(href), _col(base)
-    origin = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    scheme = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
-    no_frag = F.regexp_extract(b, r"^([^#]*)", 1)
-    no_query = F.regexp_extract(b, r"^([^?#]*)", 1)
-    base_dir = F.when(F.regexp_extract(no_query, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*(/.*)?$", 1) == "",
-                      F.concat(no_query, F.lit("/"))).otherwise(F.regexp_replace(no_query, r"[^/]*$", ""))
-    return (F.when(h == "", b)
-            .when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), h)
-            .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(origin, h))
-            .when(h.startswith("?"), F.concat(no_query, h))
-            .when(h.startswith("#"), F.concat(no_frag, h))
-            .otherwise(F.concat(base_dir, h)))
+    """Resolve ``href`` against ``base`` as browsers and RFC 3986 do: absolute URLs stay as they are, ``//host`` takes the
+    scheme, ``?q`` and ``#f`` replace query and fragment, other paths are merged with the base's directory (a root-relative
+    one with its host) and lose their dot segments, merged ones also their empty segments.  A base without ``scheme://`` leaves
+    relative references as they are joined by text alone."""
+    def cleaned(x: Column) -> Column:
+        return _let(F.struct(F.regexp_replace(x["href"], r"^[\x00-\x20]+|[\t\r\n]", "").alias("h"), x["base"].alias("given"),
+                             F.lower(F.regexp_extract(x["base"], r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)).alias("scheme")), reduced)
+
+    def reduced(x: Column) -> Column:
+        # the base's own scheme without a host counts as relative, and so do slashes that no host follows
+        own = F.lower(x["h"]).startswith(F.concat(x["scheme"], F.lit(":"))) & ~F.substr(x["h"], F.length(x["scheme"]) + 2).startswith("//")
+        h = F.when((x["scheme"] != "") & own, F.substr(x["h"], F.length(x["scheme"]) + 2)).otherwise(x["h"])
+        b = F.concat(x["scheme"], F.substr(x["given"], F.length(x["scheme"]) + 1))
+        return F.when(x["h"] == "", x["given"]).otherwise(
+            _let(F.struct(F.regexp_replace(h, r"^//(?=[/?#]|$)", "").alias("h"), b.alias("b"), x["scheme"].alias("scheme")), split))
+
+    def split(x: Column) -> Column:
+        return _let(F.struct(x["h"].alias("h"), x["b"].alias("b"), x["scheme"].alias("scheme"),
+                             F.regexp_extract(x["b"], r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1).alias("origin"),
+                             F.regexp_extract(x["b"], r"^([^?#]*)", 1).alias("plain"), F.regexp_extract(x["h"], r"^([^?#]*)", 1).alias("path")), resolved)
+
+    def resolved(x: Column) -> Column:
+        h = x["h"]
+        return (F.when(h == "", F.regexp_extract(x["b"], r"^([^#]*)", 1))
+                .when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), h)
+                .when(h.startswith("//"), F.concat(x["scheme"], F.lit(":"), h))
+                .when(h.startswith("?"), F.concat(x["plain"], h))
+                .when(h.startswith("#"), F.concat(F.regexp_extract(x["b"], r"^([^#]*)", 1), h))
+                .when(x["origin"] == "", F.when(h.startswith("/"), h).otherwise(F.concat(F.regexp_replace(x["plain"], r"[^/]*$", ""), h)))
+                .otherwise(F.concat(x["origin"], _let(segments(x), _without_dots), F.substr(h, F.length(x["path"]) + 1))))
+
+    def segments(x: Column) -> Column:
+        beside = lambda f: _let(F.concat(F.slice(f, F.lit(1), F.size(f) - F.when(F.element_at(f, -1) == "", 0).otherwise(1)), F.split(x["path"], "/")),
+                                lambda s: F.filter(s, lambda v, i: (v != "") | (i == 0) | (i == F.size(s) - 1)))
+        return F.when(x["path"].startswith("/"), F.split(x["path"], "/")).otherwise(
+            _let(F.split(F.substr(x["plain"], F.length(x["origin"]) + 1), "/"), beside))
+
+    return _let(F.struct(_col(href).alias("href"), _col(base).alias("base")), cleaned)
+
+
+_BASE = r"""(?is)<base\s[^>]*?href\s*=\s*(?:["']([^"']*)["']|([^\s"'>]+))"""
+
+
+def page_base(html, url) -> Column:
+    """What a page's links are relative to: its first ``<base href>`` (itself resolved against the URL), else the URL."""
+    def found(x: Column) -> Column:
+        href = F.concat(F.regexp_extract(x["page"], _BASE, 1), F.regexp_extract(x["page"], _BASE, 2))
+        return F.when(x["page"].rlike(_BASE), absolute_url(decode_entities(href), x["url"])).otherwise(x["url"])
+
+    return _let(F.struct(_col(html).alias("page"), _col(url).alias("url")), found)
 
 
 def first_link(cell_html, base, decode=decode_entities) -> Column:

@@ -28,6 +28,56 @@ def running_number(keys: Sequence[str], order: Sequence) -> Column:
     return F.row_number().over(Window.partitionBy(*keys).orderBy(*_order(order)))
 
 
+def segmented_number(df: DataFrame, keys: Sequence[str], order: Sequence, number: str = "rn",
+                     partitions: int | None = None) -> DataFrame:
+    """``running_number`` for groups of any size: no task sorts a whole group.
+
+    Rows are range-partitioned on (keys, order), so that a large group is cut by its own order, and written once with their
+    partition and place in it (the sampled bounds are random per evaluation).  Each piece of a group inside a partition is
+    numbered by itself; what the group holds in earlier partitions is added.  Only groups that reach over a bound have
+    such an offset: at most two pieces a partition, which is the proven size of the broadcast side."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort = [*[F.col(k).asc_nulls_first() for k in keys], *_order(order)]
+    path = scratch_path(spark, "numbered")
+    (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort).withColumn("__pid", F.spark_partition_id())
+     .withColumn("__mid", F.monotonically_increasing_id()).write.mode("errorifexists").parquet(path))
+    fixed = spark.read.parquet(path)
+    pieces = fixed.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__n"))
+    whole = pieces.groupBy(*keys).agg(F.count(F.lit(1)).alias("__pieces"), F.sort_array(F.collect_list(F.struct("__pid", "__n"))).alias("__all"))
+    cut = whole.where("__pieces > 1").select(*keys, F.expr("""inline(transform(__all, (p, i) -> named_struct(
+        '__p', p.__pid, '__off', aggregate(slice(__all, 1, i), 0L, (a, q) -> a + q.__n))))"""))
+    cut = cut.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__p", "__off")
+    same = F.col("__pid") == F.col("__p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    # a piece is at most one partition of the copy, whatever its group
+    out = fixed.withColumn("__local", F.row_number().over(Window.partitionBy("__pid", *keys).orderBy("__mid")))
+    out = out.join(F.broadcast(cut), same, "left")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__local") + F.coalesce("__off", F.lit(0))).cast("bigint").alias(number))
+
+
+CHUNK = 1024
+
+
+def chunked_list(df: DataFrame, keys: Sequence[str], item: Column, number: str, name: str, size: int = CHUNK) -> DataFrame:
+    """Per group the array of ``item`` in the order of ``number`` (1, 2, 3 ... inside the group), assembled in two levels:
+    ``size`` items at a time, then the chunks by their number.  Only the last step holds a whole group, as its result does."""
+    rows = df.select(*keys, F.floor((F.col(number) - 1) / size).cast("bigint").alias("__chunk"), F.struct(F.col(number).alias("n"), item.alias("v")).alias("__item"))
+    chunks = rows.groupBy(*keys, "__chunk").agg(F.array_sort(F.collect_list("__item")).alias("__items"))
+    return (chunks.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__chunk", "__items"))).alias("__c"))
+            .select(*keys, F.transform(F.flatten(F.transform("__c", lambda c: c["__items"])), lambda x: x["v"]).alias(name)))
+
+
+def chunked_concat(df: DataFrame, keys: Sequence[str], value: str, number: str, name: str, sep: str = K.NAME_SEPARATOR,
+                   size: int = CHUNK) -> DataFrame:
+    """``ordered_concat`` for groups of any size: per group ``value`` joined with ``sep`` in the order of ``number``, each
+    chunk joined by itself first.  Nulls are left out."""
+    rows = df.withColumn("__chunk", F.floor((F.col(number) - 1) / size).cast("bigint"))
+    chunks = rows.groupBy(*keys, "__chunk").agg(ordered_concat(value, number, sep=sep).alias("__text"))
+    return chunks.groupBy(*keys).agg(ordered_concat("__text", "__chunk", sep=sep).alias(name))
+
+
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, n: int, rn: str = "rn") -> DataFrame:
     """Rows ranked 1..n inside each group, with their rank in ``rn``.
 

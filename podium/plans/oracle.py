@@ -457,6 +457,17 @@ UNION ALL
 SELECT results_url, CAST(table_no + 1 AS INTEGER), 'missing_headers', 'player,district,score'
 FROM results WHERE row_seq % 21 = 8 AND row_seq % 30 <> 2"""
 
+_PLAYER_LABELS = [label for label, c in K.HEADER_ALIASES.items() if c == "player"]
+ROW_REJECTS = _with() + f"""
+SELECT results_url AS url, CAST(table_no AS INTEGER) AS table_no, r.row_no, r.reason, r.detail FROM results,
+       (VALUES (1, 'repeated_header', {_q(_PLAYER_LABELS[2 % len(_PLAYER_LABELS)])}), (2, 'blank_player', '')) AS r(row_no, reason, detail)
+WHERE row_seq % 3 = 2
+UNION ALL
+-- a schedule block's second table: a short row first, the event without results behind the odd-keyed events
+SELECT 'schedule/' || lpad(CAST(b AS VARCHAR), 10, '0'), 3, CASE WHEN r.reason = 'short_row' THEN 1 ELSE CAST(odd AS INTEGER) + 2 END, r.reason, r.detail
+FROM (SELECT o_orderkey // 50 AS b, count(*) FILTER (WHERE o_orderkey % 2 = 1) AS odd FROM events_b GROUP BY 1) AS x,
+     (VALUES ('short_row', ''), ('no_link', 'brak wyników')) AS r(reason, detail)"""
+
 SCHEDULE_SCAN = _with() + """
 SELECT season, CAST(2 + o_orderkey % 2 AS INTEGER) AS schedule_table_no, schedule_lp, event_name, organizer, venue,
        date_text, 'https://results.example/u/' || CAST(o_orderkey AS VARCHAR) AS results_url FROM events_b"""
@@ -496,6 +507,30 @@ SELECT page_id, url,
 FROM pages"""
 
 
+# every form is put together from the page's origin and the segments of its folder
+RESOLVED_LINKS = """
+WITH u AS (SELECT page_id, url, regexp_extract(url, '^[^?#]*') AS plain, regexp_extract(url, '^[a-zA-Z]+://[^/?#]*') AS origin FROM pages),
+f AS (SELECT *, string_split(substr(plain, length(origin) + 1), '/') AS s FROM u),
+g AS (SELECT *, s[:greatest(len(s) - 1, 1)] AS dir FROM f),
+h AS (SELECT *, array_to_string(dir, '/') AS folder, array_to_string(dir[:greatest(len(dir) - 1, 1)], '/') AS above FROM g)
+SELECT page_id, r.href, CASE r.href
+  WHEN '../x/y.html' THEN origin || above || '/x/y.html'
+  WHEN './a/./b/../c' THEN origin || folder || '/a/c'
+  WHEN '../../../../top' THEN origin || '/top'
+  WHEN '?page=9#f' THEN plain || '?page=9#f'
+  WHEN '//cdn.example.org/z/../q' THEN string_split(url, '//')[1] || '//cdn.example.org/z/../q'
+  WHEN '/r/./s/../t/' THEN origin || '/r/t/'
+  WHEN '#end' THEN string_split(url, '#')[1] || '#end'
+  WHEN 'd//e/..' THEN origin || folder || '/d/' END AS link
+FROM h, (VALUES ('../x/y.html'), ('./a/./b/../c'), ('../../../../top'), ('?page=9#f'), ('//cdn.example.org/z/../q'), ('/r/./s/../t/'),
+         ('#end'), ('d//e/..')) AS r(href)"""
+
+_DISTRICT_ORDER = "PARTITION BY district ORDER BY score DESC NULLS LAST, row_seq"
+START_NUMBERS = _with() + f"""
+SELECT row_seq, district, player, score, row_number() OVER ({_DISTRICT_ORDER}) AS rn FROM results"""
+STARTS_JOINED = _with() + """
+SELECT district, string_agg(event_name, ' | ' ORDER BY score DESC NULLS LAST, row_seq) AS all_events FROM results GROUP BY district"""
+
 _TOP3 = """
 t3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player, district ORDER BY score DESC, row_seq) AS rn
                       FROM results WHERE score IS NOT NULL) WHERE rn <= 3)"""
@@ -633,7 +668,11 @@ def queries() -> dict[str, str]:
         "search_docs": SEARCH_DOCS,
         "table_round_trip": TABLE_ROUND_TRIP,
         "ingest_issues": INGEST_ISSUES,
+        "row_rejects": ROW_REJECTS,
         "schedule_scan": SCHEDULE_SCAN,
+        "resolved_links": RESOLVED_LINKS,
+        "start_numbers": START_NUMBERS,
+        "starts_joined": STARTS_JOINED,
         "page_links": PAGE_LINKS,
         "nth_largest": NTH_LARGEST,
         "ordered_concat": ORDERED_CONCAT,

@@ -5,20 +5,21 @@ Input order matters: "last" and "trend" follow the order of the starts
 "last" value the lowest-scoring start, not the latest one.  Pass another
 ``order`` (e.g. the parsed event date) for a chronological reading.
 
-Plan: one shuffle on ``player`` (position window); the (player, discipline)
-window and aggregates reuse that partitioning; only completed (> 0) values count.
+Plan: figures are partial aggregates per (player, discipline); "last" and the last three values are the
+top three in reversed order, cut to three a map task before they are shuffled.  No task sorts a whole player.
+Positions (flat outputs, event references) are segmented numbers.  Only completed (> 0) values count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podium import constants as K
 from podium.functions.text import trend_label
-from podium.operators.groupwise import leaderboard
+from podium.operators.groupwise import chunked_list, leaderboard, nth_largest, segmented_number, top_n_per_group
 
 DEFAULT_ORDER = ("-score", "district", "event_name")
 
@@ -42,12 +43,19 @@ def _discipline_attr(code: Column, idx: int, default=None) -> Column:
     return expr.otherwise(F.lit(default))
 
 
+def _reversed(order: Sequence[str]) -> list[Column]:
+    """The order of names backwards."""
+    return [F.col(o[1:]).asc_nulls_first() if o.startswith("-") else F.col(o).desc_nulls_first() for o in order]
+
+
+def _named(starts: DataFrame) -> DataFrame:
+    """Starts keyed by the trimmed player name; blank names are left out."""
+    return starts.withColumn("player", F.trim(F.coalesce(F.col("player").cast("string"), F.lit("")))).filter(F.col("player") != "")
+
+
 def positioned(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
     """Starts keyed by the trimmed player name with their 1-based position."""
-    df = starts.withColumn("player", F.trim(F.coalesce(F.col("player").cast("string"), F.lit("")))) \
-        .filter(F.col("player") != "")
-    return df.withColumn("pos", F.row_number().over(
-        Window.partitionBy("player").orderBy(*_order_cols(order))).cast("bigint"))
+    return segmented_number(_named(starts), ["player"], _order_cols(order), "pos")
 
 
 def discipline_long(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
@@ -65,58 +73,47 @@ def discipline_long(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataF
         _discipline_attr(F.col("code"), -1).cast("int").alias("disc_ord"))
 
 
-def _entries(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
-    """One pass over the positioned starts: a start row (code '') carrying the
-    event reference, plus one row per discipline; completed discipline values
-    are numbered from the end of the player's order (``rn_desc``).
-
-    Every later aggregate groups by (player, code) or player, so the single
-    shuffle on player of ``positioned`` serves the whole profile."""
-    codes = [d[0] for d in K.DISCIPLINES if d[0] in starts.columns]
-    df = positioned(starts, order)
+def _reference(df: DataFrame) -> tuple[Column, Column, Column]:
+    """Score, event best and percent of a start as its event reference has them."""
     score = F.when(F.col("score") > 0, F.col("score").cast("double"))
     best = F.when(F.col("event_best") > 0, F.col("event_best").cast("double"))
-    pct = F.coalesce(F.col("pct_of_best").cast("double"), score / best * 100)
+    return score, best, F.coalesce(F.col("pct_of_best").cast("double"), score / best * 100)
+
+
+def _by_code(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
+    """Aggregates per (player, code): discipline figures for codes; under the code '' the number of starts and the
+    event-reference figures.
+
+    The mean before the last three values follows from the sums and counts of all and of the last three."""
+    codes = [d[0] for d in K.DISCIPLINES if d[0] in starts.columns]
+    if all(isinstance(o, str) for o in order):
+        df, last_first = _named(starts), list(order)
+    else:  # expressions cannot be turned round: their positions can
+        df, last_first = positioned(starts, order), ["pos"]
+    score, best, pct = _reference(df)
     entries = F.array(
         F.struct(F.lit("").alias("code"), F.lit(None).cast("double").alias("value")),
         *[F.struct(F.lit(c).alias("code"), F.col(c).cast("double").alias("value")) for c in codes])
-    long = df.select(
-        "player", "pos",
-        F.coalesce(F.col("event_name").cast("string"), F.lit("")).alias("event"),
-        F.coalesce(F.col("date_text").cast("string"), F.lit("")).alias("date"),
-        score.alias("ref_score"), best.alias("ref_best"), pct.alias("ref_pct"),
-        F.explode(entries).alias("e"))
-    long = long.select("*", F.col("e.code").alias("code"), F.col("e.value").alias("value")).drop("e")
-    done = (F.col("code") != "") & (F.col("value") > 0)
-    long = long.withColumn("completed", done).withColumn("ref_ok", (F.col("code") == "") & F.col(
-        "ref_score").isNotNull() & F.col("ref_best").isNotNull() & F.col("ref_pct").isNotNull())
-    return long.withColumn("rn_desc", F.row_number().over(
-        Window.partitionBy("player", "code").orderBy(F.col("completed").desc(), F.col("pos").desc())))
-
-
-def _by_code(long: DataFrame, with_refs: bool = False) -> DataFrame:
-    """Aggregates per (player, code): discipline figures for codes, start count
-    and event-reference figures for the start rows."""
-    v = lambda cond=None: F.when(F.col("completed") if cond is None else (F.col("completed") & cond),
-                                 F.col("value"))
-    aggs = [
-        F.count(v()).alias("starts"),
-        F.avg(v()).alias("mean"),
-        F.max(v()).alias("best"),
-        F.max(v(F.col("rn_desc") == 1)).alias("last"),
-        F.avg(v(F.col("rn_desc") <= 3)).alias("__recent"),
-        F.avg(v(F.col("rn_desc") > 3)).alias("__earlier"),
-        F.count(F.lit(1)).alias("__rows"),
-        F.sum(F.when(F.col("ref_ok"), F.rint(F.col("ref_pct") * 10))).alias("__tenths"),
-        F.count(F.when(F.col("ref_ok"), F.lit(1))).alias("__refs"),
-    ]
-    if with_refs:
-        aggs.append(F.collect_list(F.when(F.col("ref_ok"), F.struct(
-            F.col("ref_pct").alias("pct"), F.col("pos"), F.col("event"), F.col("date"),
-            F.col("ref_score").alias("score"), F.col("ref_best").alias("event_best")))).alias("__r"))
-    g = long.groupBy("player", "code").agg(*aggs)
+    keys = list(dict.fromkeys(o.removeprefix("-") for o in last_first))
+    # order columns keep names of their own: a discipline may be one of them
+    long = df.select("player", *[F.col(k).alias(f"__o_{k}") for k in keys], score.alias("ref_score"), best.alias("ref_best"), pct.alias("ref_pct"),
+                     F.inline(entries).alias("code", "value"))
+    completed = (F.col("code") != "") & (F.col("value") > 0)
+    ref_ok = ((F.col("code") == "") & F.col("ref_score").isNotNull() & F.col("ref_best").isNotNull() & F.col("ref_pct").isNotNull())
+    v = F.when(completed, F.col("value"))
+    totals = long.groupBy("player", "code").agg(
+        F.count(v).alias("starts"), F.sum(v).alias("__sum"), F.max(v).alias("best"), F.count(F.lit(1)).alias("__rows"),
+        F.sum(F.when(ref_ok, F.rint(F.col("ref_pct") * 10))).alias("__tenths"), F.count(F.when(ref_ok, F.lit(1))).alias("__refs"))
+    backwards = _reversed([o.replace(o.removeprefix("-"), "__o_" + o.removeprefix("-")) for o in last_first])
+    top = top_n_per_group(long.where(completed).select("player", "code", "value", *[f"__o_{k}" for k in keys]), ["player", "code"], backwards, 3)
+    recent = top.groupBy(F.col("player").alias("__p"), F.col("code").alias("__c")).agg(
+        nth_largest("value", "rn", 1).alias("last"), F.sum("value").alias("__last3"), F.count(F.lit(1)).alias("__n3"))
+    g = totals.join(recent, (F.col("player") == F.col("__p")) & (F.col("code") == F.col("__c")), "left")
     return g.select(
-        "*",
+        "player", "code", "starts", F.when(F.col("starts") > 0, F.col("__sum") / F.col("starts")).alias("mean"),
+        "best", "last", (F.col("__last3") / F.col("__n3")).alias("__recent"),
+        F.when(F.col("starts") > 3, (F.col("__sum") - F.col("__last3")) / (F.col("starts") - 3)).alias("__earlier"),
+        "__rows", "__tenths", "__refs",
         _discipline_attr(F.col("code"), 1).alias("label"),
         _discipline_attr(F.col("code"), 2).cast("double").alias("max_score"),
         _discipline_attr(F.col("code"), -1).cast("int").alias("disc_ord"))
@@ -135,7 +132,7 @@ def discipline_profile(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> Da
     """Per player x discipline: starts, mean, best, last, mean % of max, gap to
     max, reserve to own best, trend (mean of the last three minus mean of the
     earlier ones; NULL with three values or fewer)."""
-    g = _by_code(_entries(starts, order))
+    g = _by_code(starts, order)
     return g.filter((F.col("code") != "") & (F.col("starts") > 0)).select(*_profile_cols())
 
 
@@ -143,9 +140,7 @@ def event_refs(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
     """Per start with a positive score and event best: (player, pos, event, date,
     score, event_best, pct); pct falls back to score / best * 100."""
     df = positioned(starts, order)
-    score = F.when(F.col("score") > 0, F.col("score").cast("double"))
-    best = F.when(F.col("event_best") > 0, F.col("event_best").cast("double"))
-    pct = F.coalesce(F.col("pct_of_best").cast("double"), score / best * 100)
+    score, best, pct = _reference(df)
     return df.select(
         "player", "pos",
         F.coalesce(F.col("event_name").cast("string"), F.lit("")).alias("event"),
@@ -156,13 +151,11 @@ def event_refs(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
 
 def event_refs_ordered(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> DataFrame:
     """Event references numbered by pct ascending (input order on ties)."""
-    refs = event_refs(starts, order)
-    return refs.withColumn("ref_ord", F.row_number().over(
-        Window.partitionBy("player").orderBy(F.col("pct").asc(), F.col("pos").asc())).cast("bigint"))
+    return segmented_number(event_refs(starts, order), ["player"], [F.col("pct").asc(), F.col("pos").asc()], "ref_ord")
 
 
-def _per_player(starts: DataFrame, order: Sequence, with_refs: bool) -> DataFrame:
-    g = _by_code(_entries(starts, order), with_refs)
+def _per_player(starts: DataFrame, order: Sequence) -> DataFrame:
+    g = _by_code(starts, order)
     disc = F.when((F.col("code") != "") & (F.col("starts") > 0), F.struct(
         (F.col("mean") / F.col("max_score") * 100).alias("mean_pct"),
         (F.col("mean") - F.col("max_score")).alias("neg_gap"),
@@ -177,9 +170,6 @@ def _per_player(starts: DataFrame, order: Sequence, with_refs: bool) -> DataFram
         F.max(F.when(start_row & (F.col("__refs") > 0), F.col("__tenths") / F.col("__refs") / 10))
         .alias("mean_event_pct"),
     ]
-    if with_refs:
-        aggs.append(F.max(F.when(start_row, F.col("__r"))).alias("__r"))
-    # same partitioning as the (player, code) aggregate: no further shuffle
     return g.groupBy("player").agg(*aggs).filter(F.size("disciplines") > 0)
 
 
@@ -188,7 +178,7 @@ def weakness_summary(starts: DataFrame, order: Sequence = DEFAULT_ORDER) -> Data
     discipline, its figures and trend text, total gap, mean %, mean event pct,
     all-starts count, and the report rank (weakest mean % ascending, total gap
     descending, player)."""
-    p = _per_player(starts, order, with_refs=False)
+    p = _per_player(starts, order)
     # sums over at most five disciplines, folded in the report's order
     out = p.select(
         "player", "starts",
@@ -214,15 +204,16 @@ def weakness_nested(starts: DataFrame, order: Sequence = DEFAULT_ORDER, ranked:
     """The nested report: player, starts, weakest (struct), disciplines (array of
     structs, weakest first), event_refs (array, by pct), mean event pct, total gap, mean %,
     and with ``ranked`` the report rank (weakest mean % ascending, total gap descending, player)."""
-    p = _per_player(starts, order, with_refs=True)
+    item = F.struct("pos", "event", "date", "score", "event_best", "pct")
+    lists = chunked_list(event_refs_ordered(starts, order), ["player"], item, "ref_ord", "__r")
+    p = _per_player(starts, order).join(lists, "player", "left")
     disc = F.transform("disciplines", lambda x: F.struct(
         x["code"].alias("code"), x["label"].alias("label"), x["starts"].alias("starts"), x["mean"].alias("avg"),
         x["best"].alias("best"), x["last"].alias("last"), x["mean_pct"].alias("avg_pct"),
         x["gap_to_max"].alias("improvement_to_max"), x["reserve_to_best"].alias("reserve_to_best"),
         x["trend"].alias("trend")))
     refs = F.coalesce(F.col("__r"), F.array())
-    refs_sorted = F.array_sort(refs)
-    refs_arr = F.transform(refs_sorted, lambda x: F.struct(
+    refs_arr = F.transform(refs, lambda x: F.struct(
         x["event"].alias("event"), x["date"].alias("date"), x["score"].alias("score"),
         x["event_best"].alias("event_best"), x["pct"].alias("pct")))
     # the mean event percentage sums in input order, as a plain loop would

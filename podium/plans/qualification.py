@@ -2,8 +2,9 @@
 percent of the event best, best-N per window, places, and the merged board.
 
 Plan shape: D6 (one row per player x district x event) -> window flags as
-columns (no second scan) -> one shuffle on (player, district) shared by both
-windows' ranks and both boards' aggregates -> two range-partitioned places.
+columns, written once -> per window the top rows (cut in the map tasks), and the
+joined list of all starts by segmented numbers and chunks, so that no task sorts
+all starts of one player -> one groupBy over the union -> two range-partitioned places.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from pyspark.sql import functions as F
 
 from podium.functions.dates import parse_event_dates
 from podium.functions.text import half_even
-from podium.operators.groupwise import (best_per_group, leaderboard, leaderboards, nth_largest, ordered_concat,
-                                       running_number)
+from podium.operators.groupwise import (best_per_group, chunked_concat, leaderboard, leaderboards, nth_largest, ordered_concat,
+                                       running_number, segmented_number, top_n_per_group)
 from podium.operators.partitioning import evaluate_once
 from podium.operators.windows import window_flags
 from podium.plans.boards import asc, desc, scored
+from podium.session import scratch_path
 
 START_COLUMNS = ["player", "district", "event_name", "score", "event_best", "pct_of_best", "klass",
                  "date_text", "venue", "results_url"]
@@ -67,27 +69,34 @@ def qualification_board(results: DataFrame, windows: Mapping[str, tuple], distri
     f1, f2 = "in_" + first, "in_" + second
     s = s.filter(F.col(f1) | F.col(f2))
     order = [desc("score"), asc("date_text"), asc(event_key)]
-    # Both ranks partition on (player, district) only; a window's rows sort first
-    # (flag desc), so their numbers are their ranks inside the window.  One
-    # shuffle then serves both windows and the aggregation below.
-    s = (s.withColumn("rn1", F.when(F.col(f1), running_number(["player", "district"], [F.col(f1).desc(), *order])))
-          .withColumn("rn2", F.when(F.col(f2), running_number(["player", "district"], [F.col(f2).desc(), *order]))))
-    s = s.withColumn("ev1", F.when(F.col(f1), F.col(event_key))).withColumn("ev2", F.when(F.col(f2), F.col(event_key)))
-    c1 = lambda k: F.col("rn1") <= k
-    c2 = lambda k: F.col("rn2") <= k
-    g = s.groupBy("player", "district").agg(
-        F.sum(F.when(c1(3), F.col("score"))).alias("sum_top3"),
-        F.sum(F.when(c1(top), F.col("score"))).alias("__sum_top_first"),
-        F.count(F.when(c1(top), F.lit(1))).alias("__n1"),
-        F.count(F.when(F.col(f1), F.lit(1))).alias("__starts"),
-        *[nth_largest("score", "rn1", k).alias(f"best_{k}") for k in range(1, 6)],
-        ordered_concat("ev1", "rn1", 3).alias("events_top3"),
-        ordered_concat("ev1", "rn1").alias("all_starts"),
-        F.sum(F.when(c2(top), F.col("score"))).alias("champ_sum_top5"),
-        F.count(F.when(c2(top), F.lit(1))).alias("__n2"),
-        F.max(F.when(c2(top), F.col("score"))).alias("__champ_best"),
-        *[nth_largest("score", "rn2", k).alias(f"champ_best_{k}") for k in range(1, 6)],
-        ordered_concat("ev2", "rn2", top).alias("champ_events"))
+    # four reads of the same starts: one written copy instead of four date parses
+    path = scratch_path(results.sparkSession, "window-starts")
+    s.write.mode("errorifexists").parquet(path)
+    s = results.sparkSession.read.parquet(path)
+    keys = ["player", "district"]
+    in1, in2 = s.filter(f1), s.filter(f2)
+    # ranks up to ``top`` are cut in the map tasks; only the list of all starts needs a number for every row
+    best1 = top_n_per_group(in1, keys, order, top).groupBy(*keys).agg(
+        F.sum(F.when(F.col("rn") <= 3, F.col("score"))).alias("sum_top3"),
+        F.sum("score").alias("__sum_top_first"),
+        F.count(F.lit(1)).alias("__n1"),
+        *[nth_largest("score", "rn", k).alias(f"best_{k}") for k in range(1, 6)],
+        ordered_concat(event_key, "rn", 3).alias("events_top3"))
+    all1 = chunked_concat(segmented_number(in1.select(*keys, "score", "date_text", event_key), keys, order), keys, event_key, "rn", "all_starts")
+    best2 = top_n_per_group(in2, keys, order, top).groupBy(*keys).agg(
+        F.sum("score").alias("champ_sum_top5"),
+        F.count(F.lit(1)).alias("__n2"),
+        F.max("score").alias("__champ_best"),
+        *[nth_largest("score", "rn", k).alias(f"champ_best_{k}") for k in range(1, 6)],
+        ordered_concat(event_key, "rn").alias("champ_events"))
+    counts = s.groupBy(*keys).agg(F.count(F.when(F.col(f1), F.lit(1))).alias("__starts"))
+    # each part has one row per key: their union grouped once is the full outer join of all, null keys included
+    parts = [counts, best1, all1, best2]
+    g = parts[0]
+    for part in parts[1:]:
+        g = g.unionByName(part, allowMissingColumns=True)
+    g = g.groupBy(*keys).agg(*[F.max(c).alias(c) for c in g.columns if c not in keys])
+    g = g.withColumn("__n1", F.coalesce("__n1", F.lit(0))).withColumn("__n2", F.coalesce("__n2", F.lit(0)))
     has1, has2 = F.col("__n1") > 0, F.col("__n2") > 0
     g = g.select(
         "player", "district", "sum_top3",

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.functions.dates import dates_to_iso, parse_event_dates
-from podium.functions.text import clean_text, first_link, format_number, null_to_text, split_names
-from podium.operators.groupwise import first_per_key, leaderboard, nth_largest, ordered_concat, top_n_per_group
+from podium.functions.text import absolute_url, clean_text, first_link, format_number, null_to_text, split_names
+from podium.operators.groupwise import (chunked_concat, first_per_key, leaderboard, nth_largest, ordered_concat, segmented_number,
+                                       top_n_per_group)
 from podium.operators.windows import events_in_period, period_positions, window_hull, window_membership, windows_frame
 from podium.plans import bindings as B
 from podium.plans import boards, oracle, rendering
@@ -239,6 +240,13 @@ def q_ingest_issues(spark, d):
     return H.ingest_issues(rendering.result_pages(_results(spark, d)), events=B.events(spark, d))
 
 
+def q_row_rejects(spark, d):
+    """A12 by row: what the result and schedule scans left out, and why."""
+    result = H.rejected_rows(H.result_rows(rendering.result_pages(_results(spark, d))))
+    schedule = H.rejected_rows(H.schedule_rows(rendering.schedule_pages(B.events(spark, d)), rendering.BASE_URL))
+    return result.unionByName(schedule)
+
+
 def q_schedule_scan(spark, d):
     return H.schedule_events(rendering.schedule_pages(B.events(spark, d)), rendering.BASE_URL)
 
@@ -248,6 +256,28 @@ def q_page_links(spark, d):
     return pages.select("page_id", "url", first_link(F.col("html"), F.col("url")).alias("link"))
 
 
+#: Relative references of every kind, resolved against each page's own URL.
+LINK_FORMS = ["../x/y.html", "./a/./b/../c", "../../../../top", "?page=9#f", "//cdn.example.org/z/../q", "/r/./s/../t/", "#end", "d//e/.."]
+
+
+def q_resolved_links(spark, d):
+    pages = B.fact_table(spark, d, "pages").select("page_id", "url", F.explode(F.array(*map(F.lit, LINK_FORMS))).alias("href"))
+    return pages.select("page_id", "href", absolute_url("href", "url").alias("link"))
+
+
+def q_start_numbers(spark, d):
+    """E1 for groups of any size: every result numbered inside its district, best score first."""
+    res = _results(spark, d).select("row_seq", "district", "player", "score")
+    return segmented_number(res, ["district"], [F.col("score").desc_nulls_last(), F.col("row_seq").asc()])
+
+
+def q_starts_joined(spark, d):
+    """D8 for groups of any size: all events of a district's results in that order, joined in chunks."""
+    res = _results(spark, d).select("row_seq", "district", "event_name", "score")
+    numbered = segmented_number(res, ["district"], [F.col("score").desc_nulls_last(), F.col("row_seq").asc()])
+    return chunked_concat(numbered, ["district"], "event_name", "rn", "all_events")
+
+
 def q_nth_largest(spark, d):
     top = top_n_per_group(boards.scored(_results(spark, d)), ["player", "district"],
                           [F.col("score").desc(), F.col("row_seq").asc()], 3)
@@ -370,7 +400,11 @@ QUERIES: dict[str, Query] = {
     "search_docs": q_search_docs,
     "table_round_trip": q_table_round_trip,
     "ingest_issues": q_ingest_issues,
+    "row_rejects": q_row_rejects,
     "schedule_scan": q_schedule_scan,
+    "resolved_links": q_resolved_links,
+    "start_numbers": q_start_numbers,
+    "starts_joined": q_starts_joined,
     "page_links": q_page_links,
     "nth_largest": q_nth_largest,
     "ordered_concat": q_ordered_concat,

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from podium import constants as K
-from podium.functions.text import clean_text, coerce_number, decode_markup, decode_page, first_link, season_of
+from podium.functions.text import clean_text, coerce_number, decode_markup, decode_page, first_link, page_base, season_of
 from podium.operators.groupwise import first_per_key, leaderboard
 from podium.operators.partitioning import evaluate_once
 from podium.session import scratch_path
@@ -225,14 +225,15 @@ def ingest_issues(pages: DataFrame, aliases: Mapping[str, str] | None = None,
     return out
 
 
-def extract_results(pages: DataFrame, aliases: Mapping[str, str] | None = None,
-                    thousands: str | None = ",") -> DataFrame:
-    """Result rows of every conforming table: (url, table_no, row_no, player,
-    lp, m_*, sub_shot, sub_rifle, score, klass, district).
+def result_rows(pages: DataFrame, aliases: Mapping[str, str] | None = None,
+                thousands: str | None = ",") -> DataFrame:
+    """Every body row of every conforming table, accepted or not: (url, table_no, row_no, player,
+    lp, m_*, sub_shot, sub_rifle, score, klass, district, reason, detail).
 
-    Rows without a player, repeated header rows and rows without a numeric score
-    are dropped; numbers use the tolerant rule (``thousands`` removed first);
-    a missing class or district column gives ''."""
+    ``reason`` is null for accepted rows, else the first of ``short_row`` (no cell for the player), ``blank_player``,
+    ``repeated_header``, ``no_score`` (no cell or an empty one) and ``bad_score`` that holds; ``detail`` is the text of the
+    cell that decided.  Numbers use the tolerant rule (``thousands`` removed first); a missing class or district column
+    gives ''."""
     names = ["player", "klass", "district", *K.NUMERIC_RESULT_COLUMNS]
     t = result_tables(pages, aliases).filter("accepted")
     body = F.slice(F.col("rows_html"), (F.col("n_header") + 1).cast("int"),
@@ -260,11 +261,33 @@ def extract_results(pages: DataFrame, aliases: Mapping[str, str] | None = None,
         cell("player").alias("player"),
         *[coerce_number(cell(c), thousands).alias(c) for c in K.NUMERIC_RESULT_COLUMNS],
         F.coalesce(cell("klass"), F.lit("")).alias("klass"),
-        F.coalesce(cell("district"), F.lit("")).alias("district"))
+        F.coalesce(cell("district"), F.lit("")).alias("district"),
+        F.coalesce(cell("score"), F.lit("")).alias("__score"))
     out = evaluate_once(out)
-    out = out.filter(F.col("player").isNotNull() & (F.col("player") != "")
-                     & ~F.lower(F.col("player")).isin(*K.REPEATED_HEADER_PLAYER))
-    return out.filter(F.col("score").isNotNull())
+    player, score = F.col("player"), F.col("__score")
+    reason = (F.when(player.isNull(), "short_row").when(player == "", "blank_player")
+              .when(F.lower(player).isin(*K.REPEATED_HEADER_PLAYER), "repeated_header")
+              .when(F.col("score").isNull() & (score == ""), "no_score").when(F.col("score").isNull(), "bad_score"))
+    out = out.withColumn("reason", reason)
+    detail = (F.when(F.col("reason") == "bad_score", score).when(F.col("reason") == "repeated_header", player)
+              .when(F.col("reason").isNotNull(), F.lit("")))
+    return out.withColumn("detail", detail).drop("__score")
+
+
+def extract_results(pages: DataFrame, aliases: Mapping[str, str] | None = None,
+                    thousands: str | None = ",") -> DataFrame:
+    """Result rows of every conforming table: (url, table_no, row_no, player,
+    lp, m_*, sub_shot, sub_rifle, score, klass, district).
+
+    Rows without a player, repeated header rows and rows without a numeric score
+    are left out (``rejected_rows`` has them with the reason)."""
+    return result_rows(pages, aliases, thousands).filter(F.col("reason").isNull()).drop("reason", "detail")
+
+
+def rejected_rows(rows: DataFrame) -> DataFrame:
+    """(url, table_no, row_no, reason, detail) of the rows of ``result_rows`` or ``schedule_rows`` that are not accepted."""
+    table = "table_no" if "table_no" in rows.columns else "schedule_table_no"
+    return rows.filter(F.col("reason").isNotNull()).select("url", F.col(table).alias("table_no"), "row_no", "reason", "detail")
 
 
 def crawl_order(events: DataFrame) -> DataFrame:
@@ -292,28 +315,30 @@ def with_lineage(rows: DataFrame, events: DataFrame) -> DataFrame:
     return out
 
 
-def extract_schedule(pages: DataFrame, base_url: str, headers: Mapping[str, str] | None = None) -> DataFrame:
-    """Schedule rows of every table whose first row holds all required headers,
+def schedule_rows(pages: DataFrame, base_url: str, headers: Mapping[str, str] | None = None) -> DataFrame:
+    """Every body row of every table whose first row holds all required headers, accepted or not,
     columns located by header name: (url, schedule_table_no, row_no, season,
-    schedule_lp, event_name, organizer, venue, date_text, results_url).
+    schedule_lp, event_name, organizer, venue, date_text, results_url, reason, detail).
 
-    Body cells are the <td> cells only; rows too short to reach the results
-    column, rows without a link and links starting with 'brak' are dropped;
-    the results link is made absolute against ``base_url``."""
+    Body cells are the <td> cells only.  ``reason`` is null for accepted rows, else ``short_row`` (too short to reach
+    the results column), ``no_link`` or ``no_results`` (a link starting with 'brak'); ``detail`` is the text of the results
+    cell.  The results link is made absolute against the page's <base>, itself against ``base_url``."""
     headers = headers or K.SCHEDULE_HEADERS
-    t = page_tables(pages)
+    # the page's base travels with its URL
+    pages = pages.select(F.struct("url", page_base("html", F.lit(base_url)).alias("base")).alias("page"), "html")
+    t = page_tables(pages, url="page").withColumnRenamed("url", "page")
     first = row_texts(F.try_element_at("rows_html", F.lit(1)), " ")
     t = evaluate_once(t.withColumn("labels", first))
     ok = F.forall(F.array(*[F.lit(h) for h in headers]), lambda h: F.array_contains(F.col("labels"), h))
     t = t.filter(F.size("rows_html") > 0).filter(ok)
     body = F.slice(F.col("rows_html"), 2, F.greatest(F.size("rows_html") - 1, F.lit(0)))
-    r = t.select("url", F.col("table_no").alias("schedule_table_no"), "labels",
+    r = t.select("page", F.col("table_no").alias("schedule_table_no"), "labels",
                  F.posexplode(body).alias("pos", "row"))
     # <td> cells only: <th> cells of a body row are cut out (only rows that have one pay for it)
     td_row = F.when(F.col("row").rlike(TH_OPEN),
                     F.regexp_replace("row", r"(?is)<th\b[^>]*>.*?(?=<t[hd]\b|$)", "")).otherwise(F.col("row"))
     r = evaluate_once(r.select(
-        "url", "schedule_table_no", "labels", (F.col("pos") + 1).cast("int").alias("row_no"),
+        "page", "schedule_table_no", "labels", (F.col("pos") + 1).cast("int").alias("row_no"),
         row_texts(td_row, " ").alias("texts"), _after_first(F.split(td_row, TD_OPEN)).alias("tds")))
 
     def idx(label: str) -> Column:
@@ -321,20 +346,30 @@ def extract_schedule(pages: DataFrame, base_url: str, headers: Mapping[str, str]
 
     inv = {v: k for k, v in headers.items()}
     link_idx = idx(inv["results_url"])
-    r = r.filter(F.size("tds") >= link_idx)
-    link = first_link(F.try_element_at("tds", link_idx), F.lit(base_url), decode_markup)
+    reached = F.size("tds") >= link_idx
+    link = F.when(reached, first_link(F.try_element_at("tds", link_idx), F.col("page.base"), decode_markup))
     text = lambda col: F.try_element_at("texts", idx(inv[col]))
     out = r.select(
-        "url", "schedule_table_no", "row_no",
+        F.col("page.url").alias("url"), "schedule_table_no", "row_no",
         text("date_text").alias("date_text"),
         text("schedule_lp").alias("schedule_lp"),
         text("event_name").alias("event_name"),
         text("organizer").alias("organizer"),
         text("venue").alias("venue"),
-        link.alias("results_url"))
+        link.alias("results_url"),
+        F.coalesce(F.when(reached, text("results_url")), F.lit("")).alias("detail"))
     out = evaluate_once(out)
-    out = out.filter((F.col("results_url") != "") & ~F.lower(F.col("results_url")).startswith(K.NO_RESULTS_PREFIX))
-    return out.withColumn("season", season_of("date_text"))
+    found = F.col("results_url")
+    reason = (F.when(found.isNull(), "short_row").when(found == "", "no_link")
+              .when(F.lower(found).startswith(K.NO_RESULTS_PREFIX), "no_results"))
+    return (out.withColumn("season", season_of("date_text")).withColumn("reason", reason)
+            .withColumn("detail", F.when(F.col("reason").isNotNull(), F.col("detail"))))
+
+
+def extract_schedule(pages: DataFrame, base_url: str, headers: Mapping[str, str] | None = None) -> DataFrame:
+    """The accepted rows of ``schedule_rows``: (url, schedule_table_no, row_no, season,
+    schedule_lp, event_name, organizer, venue, date_text, results_url)."""
+    return schedule_rows(pages, base_url, headers).filter(F.col("reason").isNull()).drop("reason", "detail")
 
 
 def schedule_events(pages: DataFrame, base_url: str) -> DataFrame:
