@@ -10,7 +10,9 @@ both divided by the entropy that all-different pages would have; pages with equa
 the mean of its presentation (a tenth) and of the contents in its branch, weighted by characters.  It is multiplied by a
 prior: 0.2 for elements and class names of menus, headers, footers, sidebars, notices, adverts, forms and reader comments
 (so these are always cut: footers and adverts that differ from page to page have the entropy of text), 0.5 outside the
-article (else main) element of a page that has one, else 1.  Branches below the threshold are cut from each page of the
+article (else main) element of a page that has one, else 1.  Inside articles and main elements only names that say
+nothing else (``notice``, ``ad-box``, ``site-footer``) have the prior 0.2; compounds such as ``legal-note`` or ``search-results``
+have 0.5 there, so what differs from page to page stays.  Branches below the threshold are cut from each page of the
 host, within articles as well; what is left is the page's text.  A paragraph that repeats among others under the same
 element path stays.
 
@@ -40,10 +42,14 @@ from podium.llm.shared import Scratch, ship
 from podium.llm.url_filter import split_url
 
 THRESHOLD = 0.25
-NOISE, OUTSIDE = 0.2, 0.5  # priors of noise by name, and of nodes outside the article (else main) of a page that has one
+# priors of noise by name, of nodes outside the article (else main) of a page that has one, and of compound names inside
+NOISE, OUTSIDE, HINTED = 0.2, 0.5, 0.5
 LEAST_PAGES = 8  # different pages below which entropy says nothing about a node
 
 RAW = frozenset("script style noscript template iframe textarea title svg math object canvas select".split())
+#: Of these, the ones that hold markup: they may be closed in themselves (the first two), nest, or lack an end.
+FOREIGN = frozenset("svg math".split())
+HOLDING = FOREIGN | frozenset("template object canvas select".split())
 VOID = frozenset("br img hr input meta link wbr area base col embed source track param".split())
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -51,9 +57,14 @@ footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre se
 CLOSED_BY = {"p": BLOCK - {"td", "th", "caption"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 NOISE_TAGS = frozenset("nav footer aside form dialog menu button".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu".split())
-NOISE_NAMES = re.compile(r"""(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumb\w*|sidebar\w*|foot|footer\w*|
-masthead\w*|site-header|page-header|topbar|toolbar|cookie\w*|consent\w*|gdpr|notice\w*|popup\w*|modal\w*|newsletter\w*|subscri\w*|shar(?:e|ing)\w*|social\w*|
-comment\w*|respond|replies|disqus\w*|related\w*|recommend\w*|widget\w*|pagination|pager|login|signup|search\w*|copyright|legal|skip-link)(?:$|[\s_-])""".replace("\n", ""), re.I)
+_NAMES = """ad|ads|adv|advert[^\\W_]*|adsense|banner[^\\W_]*|sponsor[^\\W_]*|promo[^\\W_]*|nav[^\\W_]*|menu[^\\W_]*|breadcrumb[^\\W_]*|sidebar[^\\W_]*|foot|
+footer[^\\W_]*|masthead[^\\W_]*|site-header|page-header|topbar|toolbar|cookie[^\\W_]*|consent[^\\W_]*|gdpr|notice[^\\W_]*|popup[^\\W_]*|modal[^\\W_]*|
+newsletter[^\\W_]*|subscri[^\\W_]*|shar(?:e|ing)[^\\W_]*|social[^\\W_]*|comment[^\\W_]*|respond|replies|disqus[^\\W_]*|related[^\\W_]*|recommend[^\\W_]*|
+widget[^\\W_]*|pagination|pager|login|signup|search[^\\W_]*|copyright|legal|skip-link""".replace("\n", "")
+#: A noise name as a part of a class or id, and as all of it, layout words aside.
+NOISE_NAMES = re.compile(rf"(?:^|[\s_-])(?:{_NAMES})(?:$|[\s_-])", re.I)
+_LAYOUT = "(?:site|page|main|top|bottom|left|right|global|post|entry|inner|box|bar|banner|container|wrapper|wrap|section|area|block|unit|slot|links)"
+NOISE_TOKENS = re.compile(rf"(?:^|\s)(?:{_LAYOUT}[_-]+)*(?:{_NAMES})(?:[_-]+(?:{_LAYOUT}|\d+))*(?:$|\s)", re.I)
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -61,24 +72,46 @@ _DIGITS = re.compile(r"\d+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "noise", "article", "main", "children", "key")
+    __slots__ = ("tag", "parent", "noise", "hinted", "article", "main", "children", "key")
 
-    def __init__(self, tag: str, name: str, parent: "Node | None", noise: bool):
-        self.tag, self.parent = tag, parent
-        self.path = f"{parent.path}>{name}" if parent else name
-        self.key = xxhash.xxh64_intdigest(self.path) - (1 << 63)
+    def __init__(self, tag: str, name: str, parent: "Node | None", noise: bool, hinted: bool = False):
+        self.tag, self.parent, self.hinted = tag, parent, hinted
+        # the path of names, digested step by step: its text would grow with the depth
+        self.key = xxhash.xxh64_intdigest(name, parent.key + (1 << 63) if parent else 0) - (1 << 63)
         self.article = tag == "article" or bool(parent and parent.article)
         self.main = tag == "main" or bool(parent and parent.main)
         self.noise = noise or bool(parent and parent.noise)
         self.children: list[str] = []
 
 
-def _is_noise(tag: str, attributes: dict[str, str], parent: Node | None) -> bool:
+def _is_noise(tag: str, attributes: dict[str, str], parent: Node | None) -> tuple[bool, bool]:
+    """(noise by tag, role or name, a compound name that only hints at it)"""
+    names = [attributes.get(k, "") for k in ("class", "id")]
     if tag in ("article", "main", "body", "html"):
-        return tag == "article" and bool(NOISE_NAMES.search(attributes.get("class", "")))
+        return tag == "article" and bool(NOISE_TOKENS.search(names[0])), False
     inside = bool(parent and (parent.article or parent.main))
-    return (tag in NOISE_TAGS or (tag == "header" and not inside) or attributes.get("role", "").lower() in NOISE_ROLES
-            or bool(NOISE_NAMES.search(attributes.get("class", ""))) or bool(NOISE_NAMES.search(attributes.get("id", ""))))
+    if tag in NOISE_TAGS or (tag == "header" and not inside) or attributes.get("role", "").lower() in NOISE_ROLES:
+        return True, False
+    named = any(NOISE_NAMES.search(x) for x in names)
+    alone = any(NOISE_TOKENS.search(x) for x in names)
+    return alone or (named and not inside), named and inside and not alone
+
+
+def _raw_end(tag: str, attributes: str, page: str, at: int) -> int:
+    """Where a page goes on behind the start of an element whose content is no text."""
+    if tag not in HOLDING:  # scripts, styles and the like reach to their end or the page's
+        return re.compile(rf"</{tag}\s*>|\Z", re.I).search(page, at).end()
+    if tag in FOREIGN and attributes.rstrip().endswith("/"):
+        return at
+    depth = 1
+    for m in re.compile(rf"<(/?){tag}(?=[\s/>])([^>]*)>", re.I).finditer(page, at):
+        if m[1]:
+            depth -= 1
+        elif not (tag in FOREIGN and m[2].endswith("/")):
+            depth += 1
+        if not depth:
+            return m.end()
+    return at  # never closed: only the tag is passed over
 
 
 def parse(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
@@ -115,8 +148,7 @@ def parse(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
                     node = found.parent
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>|\Z", re.I).search(page, at)
-            at = end.end()
+            at = _raw_end(tag, m[3] or m[6] or "", page, at)
             text.append(" ")
             continue
         if tag == "br" or tag == "img":
@@ -132,7 +164,7 @@ def parse(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
         attributes = {a[0].lower(): a[1] or a[2] or a[3] for a in _ATTRIBUTE.findall(m[3] or m[6] or "")}
         name = ".".join([tag, *(_DIGITS.sub("0", attributes[k]) for k in ("class", "id") if attributes.get(k))])
         node.children.append(name)
-        node = Node(tag, name, node, _is_noise(tag, attributes, node))
+        node = Node(tag, name, node, *_is_noise(tag, attributes, node))
         nodes.append(node)
     flush()
     return blocks, nodes
@@ -232,7 +264,7 @@ def main_text(page: str, found: Mapping[int, float] | frozenset = frozenset(), t
     def is_cut(node: Node) -> bool:
         up = node
         while up:
-            prior = 1.0 if centre is None or getattr(node, centre) else OUTSIDE
+            prior = min(1.0 if centre is None or getattr(node, centre) else OUTSIDE, HINTED if up.hinted else 1.0)
             if prior * importance.get(up.key, 1.0) < threshold:
                 return True
             up = up.parent

@@ -364,10 +364,31 @@ def test_html_style_tree_decides_inside_and_outside_articles(spark):
     assert got[100].text == f"{text(7, 'w')}\nJoin our club today\nSame on all\n{text(7, 'v')}"  # one page many times tells nothing
 
 
+def test_html_foreign_elements_and_names():
+    of = lambda page: html_extract.main_text(page)[0]
+    assert of('<article><p>Hello <svg class="i"/> world</p><p>second</p></article>') == "Hello world\nsecond"
+    assert of("a <math/> b") == "a b" and of("<p>a<svg><svg/><svg>x</svg>y</svg>b</p>") == "a b"
+    assert of("<p>a<svg>never<p>c</p>") == "a never\nc" and of("<p>a<script>x<p>y") == "a"
+    assert of("<p>a<select><option>x</select>b<template><p>t</p></template>") == "a b"
+    inside = "<p>a</p>" + "".join(f"<div class='{c}'>{c}</div>" for c in ("legal-note", "search-results", "menu-list", "social-history"))
+    noise = "".join(f"<div class='{c}'>x</div>" for c in ("notice", "ad", "ad-box", "site-footer", "comments", "main-menu", "sidebar left")) + "<nav>x</nav><form>x</form>"
+    for tag in ("article", "main"):
+        assert of(f"<body><div class='legal-note'>x</div><{tag}>{inside}{noise}</{tag}>") == "a\nlegal-note\nsearch-results\nmenu-list\nsocial-history"
+
+
+def test_html_style_tree_weighs_compound_names_inside_articles(spark):
+    text = lambda i, c: " ".join(f"{c}{i}x{j}" for j in range(20))
+    page = lambda i: f"<article><p>{text(i, 'w')}</p><div class='legal-note'>{text(i, 'n')}</div><div class='search-results'>Same on all</div></article>"
+    rows = [(i, f"http://h.example.com/{i}", page(i)) for i in range(30)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r.text == f"{text(r.page_id, 'w')}\n{text(r.page_id, 'n')}" and r.n_cut == 1 for r in got)
+
+
 def test_html_very_long_page():
     page = "<body><article>" + "<p>word &eacute;</p>" * 20_000 + "<div " * 2000
     text, n, _ = html_extract.main_text(page, frozenset())
     assert n == 20_000 * 7 - 1 and text.startswith("word é\n")
+    assert html_extract.main_text("<div>" * 50_000 + "x")[0] == "x"  # a node's own data do not grow with its depth
 
 
 # ---- url filter
