@@ -10,7 +10,7 @@ evidence against ordinary text is a p-value that falls with length: how unlikely
 
 Discoveries are controlled over the whole corpus by a weighted Benjamini-Hochberg rule; a candidate's weight is its length
 relative to the mean length.  The rule needs only how many candidates fall into each of a fixed number of bins of the
-weighted p-value, so candidates are counted per task and no ranking is gathered.
+weighted p-value, so candidates are counted per task and no order of them is gathered.
 
 Defined cases: null counts as empty; texts without matches have zero counts and the digest of an empty list; repeated
 rows are scanned each; positions are code points, the end is exclusive.  Columns other than the id and text are not read.
