@@ -54,11 +54,29 @@ def half_even(c, digits: int) -> Column:
     return F.rint(_col(c).cast("double") * F.lit(scale)) / F.lit(scale)
 
 
+def round_exact(c, digits: int) -> Column:
+    """Round the exact binary value to ``digits`` decimals, exact ties to the even digit (Python's ``round``).
+
+    ``x * 10^d`` rounded to a double can hide on which side of a tie x lies.  The product's rounding error is itself a
+    double (two halves of 26 bits per factor multiply exactly), and its sign decides wherever the product reads as a
+    tie.  From 2^53 on the product has no fraction and x stays."""
+    x = _col(c).cast("double")
+    scale = F.lit(float(10 ** digits))
+    p = x * scale
+    high = lambda a: a * F.lit(134217729.0) - (a * F.lit(134217729.0) - a)
+    xh, sh = high(x), high(scale)
+    xl, sl = x - xh, scale - sh
+    error = ((xh * sh - p) + xh * sl + xl * sh) + xl * sl
+    even = F.rint(p)
+    whole = (F.when((p - even == 0.5) & (error > 0), even + 1.0)
+             .when((p - even == -0.5) & (error < 0), even - 1.0).otherwise(even))
+    return F.when(F.abs(p) < F.lit(float(1 << 53)), whole / scale).otherwise(x)
+
+
 def format_number(c, digits: int = 1) -> Column:
-    """Display number: '-' for NULL, ``digits`` decimals, integral values without
-    a fraction, decimal comma.  (Rounds half-even on the scaled value, which can
-    differ from rounding the exact binary value on ties such as 66.35.)"""
-    v = half_even(c, digits)
+    """Display number: '-' for NULL, the exact value rounded to ``digits`` decimals,
+    integral values without a fraction, decimal comma."""
+    v = round_exact(c, digits)
     integral = F.when(v == F.floor(v), F.floor(v).cast("bigint").cast("string"))
     as_text = F.regexp_replace(
         F.regexp_replace(F.format_string("%." + str(digits) + "f", v), "0+$", ""), r"\.$", "")

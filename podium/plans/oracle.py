@@ -563,8 +563,8 @@ SELECT row_number() OVER (ORDER BY score DESC NULLS LAST, row_seq) AS place, row
 
 
 def _fmt(x: str, digits: int) -> str:
-    scale = float(10 ** digits)
-    r = f"(round_even(({x}) * {scale}, 0) / {scale})"
+    # printf rounds the exact binary value
+    r = f"CAST(printf('%.{digits}f', {x}) AS DOUBLE)"
     return (f"(CASE WHEN {x} IS NULL THEN '-' WHEN {r} = floor({r}) THEN CAST(CAST(floor({r}) AS BIGINT) AS VARCHAR) "
             f"ELSE replace(CAST({r} AS VARCHAR), '.', ',') END)")
 
@@ -583,6 +583,19 @@ SELECT row_number() OVER (ORDER BY bs.player, bs.score DESC, bs.district, bs.eve
        bs.results_url, bs.m_skeet, bs.m_lane, bs.m_trap, bs.m_boar, bs.m_buck
 FROM bs LEFT JOIN eb ON bs.event_name = eb.event_name"""
 
+# one text column of whole numbers, negative numbers, exponents, blanks and words
+SORTED_MIXED = rf"""
+WITH t AS (SELECT event_id, event_type, {_K} AS k FROM events),
+m AS (SELECT event_id, CASE event_type WHEN 'view' THEN k WHEN 'click' THEN '-' || k WHEN 'error' THEN ' ' || k || 'e1 '
+             WHEN 'purchase' THEN event_type || ' ' || k END AS mixed,
+             CASE event_type WHEN 'view' THEN CAST(k AS DOUBLE) WHEN 'click' THEN -CAST(k AS DOUBLE)
+                  WHEN 'error' THEN 10 * CAST(k AS DOUBLE) WHEN 'purchase' THEN NULL ELSE 0 END AS v, CAST(k AS INTEGER) AS n FROM t)
+SELECT row_number() OVER (ORDER BY v IS NULL, v, CASE WHEN v IS NULL THEN n END, event_id) AS position, event_id, mixed FROM m"""
+
+CSV_ROW_PLACES = _with(SUPP_CTES) + """
+SELECT row_number() OVER (ORDER BY row_seq DESC) AS row_seq, CAST(row_seq AS VARCHAR) AS player, nullif(m_skeet_raw, '') AS m_skeet,
+       CASE WHEN row_seq % 7 = 0 THEN 'short' END AS malformed, CASE WHEN row_seq % 7 <> 0 THEN score_raw END AS score FROM sraw"""
+
 TABLE_SINK = f"""
 SELECT *, 'award' AS board FROM ({AWARD_BOARD})
 UNION ALL BY NAME SELECT *, 'average' AS board FROM ({AVERAGE_BOARD})
@@ -679,6 +692,8 @@ def queries() -> dict[str, str]:
         "first_per_event": FIRST_PER_EVENT,
         "coerce_scores": COERCE_SCORES,
         "run_metrics": RUN_METRICS,
+        "sorted_mixed": SORTED_MIXED,
+        "csv_row_places": CSV_ROW_PLACES,
         "scalable_place": SCALABLE_PLACE,
         "display_board": DISPLAY_BOARD,
         "sorted_starts": SORTED_STARTS,

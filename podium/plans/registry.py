@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from podium.functions.dates import dates_to_iso, parse_event_dates
@@ -20,7 +20,7 @@ from podium.plans import report as R
 from podium.plans.supplement import CSV_HEADER, supplement_rows, with_supplement
 from podium.session import scratch_path, written_once
 from podium.sources import html_tables as H
-from podium.sources.tables import read_csv_text, read_tables, run_metrics, write_tables
+from podium.sources.tables import publish_tables, read_csv_text, read_tables, run_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -301,13 +301,45 @@ def q_coerce_scores(spark, d):
 
 
 def q_run_metrics(spark, d):
-    res = _results(spark, d)
+    """The run counters.  The pages are parsed once: the schedule rows are written, and the tables seen are observed in
+    that pass; results and players come from one aggregate."""
     lo, hi = window_hull(B.WINDOWS)
     ev = B.events(spark, d)
-    return run_metrics(results=res, players=res.select("player", "district").distinct(), events=ev,
-                       events_in_period=events_in_period(ev, lo, hi),
-                       schedule_tables=H.page_tables(rendering.schedule_pages(ev)),
-                       district_events=q_events_with_starts(spark, d))
+    seen = Observation()
+    H.schedule_rows(rendering.schedule_pages(ev), rendering.BASE_URL, seen=seen).write.mode("errorifexists") \
+        .parquet(scratch_path(spark, "schedule-rows"))
+    players = _results(spark, d).groupBy("player", "district").agg(F.count(F.lit(1)).alias("n"))
+    both = players.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("results"), F.count(F.lit(1)).alias("players"))
+    return both.selectExpr("stack(2, 'results', results, 'players', players) AS (metric, value)").unionByName(run_metrics(
+        events=ev, events_in_period=events_in_period(ev, lo, hi), schedule_tables=int(seen.get.get("rows", 0)),
+        district_events=q_events_with_starts(spark, d)))
+
+
+def q_sorted_mixed(spark, d):
+    """numbers, negative numbers, exponents, blanks and words in one text column, compared pair by pair."""
+    ev = B.fact_table(spark, d, "events")
+    k = F.regexp_extract("props", r'"k":\s*(\d+)', 1)
+    kind = F.col("event_type")
+    mixed = (F.when(kind == "view", k).when(kind == "click", F.concat(F.lit("-"), k))
+             .when(kind == "error", F.concat(F.lit(" "), k, F.lit("e1 ")))
+             .when(kind == "purchase", F.concat(kind, F.lit(" "), k)))
+    return R.sort_rows(ev.select("event_id", mixed.alias("mixed")), "mixed", "asc", missing_last=False,
+                       input_order=[F.col("event_id").asc()])
+
+
+def q_csv_row_places(spark, d):
+    """A4: the places of CSV records over many files, and the records with too few fields."""
+    raw = B.supplement_raw(spark, d)
+    path = scratch_path(spark, "lines-csv")
+    # records are written as lines, latest first, 500 event ids a file; every seventh lacks its last field
+    line = F.concat_ws(",", F.col("row_seq").cast("string"), F.coalesce("m_skeet", F.lit("")), F.when(F.col("row_seq") % 7 != 0, F.col("score")))
+    part = F.lpad((F.lit(10 ** 12) - F.floor(F.col("row_seq") / 500)).cast("string"), 13, "0").alias("part")
+    lines = raw.select(part, F.col("row_seq").alias("at"), line.alias("value"))
+    heads = lines.select("part").distinct().withColumns({"at": F.lit(None).cast("long"), "value": F.lit("zawodnik,krag,razem")})
+    (lines.unionByName(heads).repartition("part").sortWithinPartitions("part", F.col("at").desc_nulls_first()).drop("at")
+     .write.mode("errorifexists").partitionBy("part").text(path))
+    out = read_csv_text(spark, path + "/*", {"zawodnik": "player", "krag": "m_skeet", "razem": "score"}, line_no="row_seq", malformed="malformed")
+    return out.withColumn("malformed", F.when(F.col("malformed").isNotNull(), F.lit("short")))
 
 
 def q_scalable_place(spark, d):
@@ -341,7 +373,7 @@ def q_csv_supplement(spark, d):
     path = scratch_path(spark, "manual-csv")
     raw.select(*[F.col(v).alias(k) for k, v in CSV_HEADER.items()]).write.mode("overwrite") \
         .option("header", True).csv(path)
-    back = read_csv_text(spark, path, {inv[v]: v for v in CSV_HEADER.values()})
+    back = read_csv_text(spark, path, {inv[v]: v for v in CSV_HEADER.values()}, line_no="row_seq")
     rows = supplement_rows(back, _results(spark, d), B.SUPPLEMENT_EVENT, B.WINDOWS["championship"],
                            B.SUPPLEMENT_DISTRICT, B.SUPPLEMENT_DISTRICT_LABEL)
     return rows.drop("row_seq")
@@ -351,8 +383,8 @@ def q_table_sink_round_trip(spark, d):
     """A6/A7: the three boards written as a table set and all three read back."""
     res = _results(spark, d)
     path = scratch_path(spark, "boards")
-    write_tables(path, {"average": boards.average_board(res), "award": boards.award_board(res),
-                        "team": boards.team_board(res)})
+    publish_tables(spark, path, {"average": boards.average_board(res), "award": boards.award_board(res),
+                                 "team": boards.team_board(res)})
     out = None
     for name, df in read_tables(spark, path, ["average", "award", "team"]).items():
         df = df.withColumn("board", F.lit(name))
@@ -411,6 +443,8 @@ QUERIES: dict[str, Query] = {
     "first_per_event": q_first_per_event,
     "coerce_scores": q_coerce_scores,
     "run_metrics": q_run_metrics,
+    "sorted_mixed": q_sorted_mixed,
+    "csv_row_places": q_csv_row_places,
     "scalable_place": q_scalable_place,
     "display_board": q_display_board,
     "sorted_starts": q_sorted_starts,

@@ -88,11 +88,31 @@ def text_sort_key(c: Column) -> Column:
     return F.collate(keyed, "pl_CI_AI")
 
 
+_BLANK = r"[\t-\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]+"
+_DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# prefixed whole numbers, as long as they fit 63 bits
+_PREFIXED = ((r"(?i)^0x0*([0-9a-f]{1,15})$", 16), (r"(?i)^0o0*([0-7]{1,21})$", 8), (r"(?i)^0b0*([01]{1,63})$", 2))
+
+
+def numeric_text(c: Column) -> Column:
+    """The value of a text that a report page's script would take for a finite number ('1e3', '-3', ' 2.5 ', '0x1f'; a
+    blank or missing text is 0), else NULL."""
+    s = F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), f"^{_BLANK}|{_BLANK}$", "")
+    decimal = F.when(s.rlike(_DECIMAL), s.try_cast("double"))
+    value = F.when(s == "", F.lit(0.0)).when(F.abs(decimal) < float("inf"), decimal + 0.0)
+    for pattern, base in _PREFIXED:
+        value = value.when(s.rlike(pattern), F.conv(F.regexp_extract(s, pattern, 1), base, 10).cast("double"))
+    return value
+
+
 def sort_rows(df: DataFrame, key: str, direction: str = "asc", input_order: Sequence[Column] | None = None,
               missing_last: bool = True, position: str = "position", **place_options) -> DataFrame:
     """The interactive sort as a ``position`` column (1..n).
 
-    Numeric columns sort numerically; text columns by ``text_sort_key``.  With
+    Numeric columns sort numerically.  In text columns two numeric-looking texts compare by
+    value and others by ``text_sort_key``; the page's comparator leaves a numeric against another
+    text to collation, which is not transitive ("10" < "9a" < "9b" but 9 < 10), so here all
+    numeric-looking texts come before the others.  With
     ``missing_last`` (standings table) NULL/'' go last in both directions;
     otherwise (starts/events tables) a missing value counts as 0 against
     numbers and '' against text.  Ties keep ``input_order`` (the sort is stable)."""
@@ -102,17 +122,19 @@ def sort_rows(df: DataFrame, key: str, direction: str = "asc", input_order: Sequ
     col = F.col(key)
     missing = col.isNull() | (col.cast("string") == "")
     if numeric:
-        sk = col.cast("double") if missing_last else F.coalesce(col.cast("double"), F.lit(0.0))
+        keys = [col.cast("double") if missing_last else F.coalesce(col.cast("double"), F.lit(0.0))]
     else:
-        sk = text_sort_key(col)
-    keyed = df.withColumn("__missing", missing if missing_last else F.lit(False)).withColumn("__sk", sk)
+        value = numeric_text(col)
+        keys = [value.isNull(), F.coalesce(value, F.lit(0.0)), F.when(value.isNull(), text_sort_key(col)).otherwise(F.collate(F.lit(""), "pl_CI_AI"))]
+    names = [f"__sk{i}" for i in range(len(keys))]
+    keyed = df.withColumns({"__missing": missing if missing_last else F.lit(False), **dict(zip(names, keys))})
     if input_order is None:
         input_order = []
     ordered = [F.col("__missing").asc(),
-               F.col("__sk").desc_nulls_last() if direction == "desc" else F.col("__sk").asc_nulls_last(),
+               *[F.col(n).desc_nulls_last() if direction == "desc" else F.col(n).asc_nulls_last() for n in names],
                *input_order]
     out = leaderboard(keyed, ordered, place=position, **place_options)
-    return out.drop("__missing", "__sk")
+    return out.drop("__missing", *names)
 
 
 def _json_value(c: str, dtype: T.DataType) -> Column:

@@ -64,18 +64,19 @@ def _scratch_root(spark: SparkSession) -> str:
 def clean_scratch(spark: SparkSession) -> None:
     """Remove all intermediate tables of this application; call it when the results that read them are written."""
     _WRITTEN.clear()
-    path, fs = _hadoop(spark, _scratch_root(spark))
+    path, fs = hadoop_path(spark, _scratch_root(spark))
     fs.delete(path, True)
 
 
-def _hadoop(spark: SparkSession, name: str):
+def hadoop_path(spark: SparkSession, name: str):
+    """(path, file system) of a name."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def input_stamp(spark: SparkSession, folder: str) -> tuple:
     """(name, modification time, bytes) of the tables of a folder: changes when an input is replaced."""
-    path, fs = _hadoop(spark, folder)
+    path, fs = hadoop_path(spark, folder)
     out = []
     for status in fs.listStatus(path):
         at = status.getPath()

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from podium import constants as K
@@ -315,18 +315,23 @@ def with_lineage(rows: DataFrame, events: DataFrame) -> DataFrame:
     return out
 
 
-def schedule_rows(pages: DataFrame, base_url: str, headers: Mapping[str, str] | None = None) -> DataFrame:
+def schedule_rows(pages: DataFrame, base_url: str, headers: Mapping[str, str] | None = None,
+                  seen: Observation | None = None) -> DataFrame:
     """Every body row of every table whose first row holds all required headers, accepted or not,
     columns located by header name: (url, schedule_table_no, row_no, season,
     schedule_lp, event_name, organizer, venue, date_text, results_url, reason, detail).
 
     Body cells are the <td> cells only.  ``reason`` is null for accepted rows, else ``short_row`` (too short to reach
     the results column), ``no_link`` or ``no_results`` (a link starting with 'brak'); ``detail`` is the text of the results
-    cell.  The results link is made absolute against the page's <base>, itself against ``base_url``."""
+    cell.  The results link is made absolute against the page's <base>, itself against ``base_url``.  ``seen`` observes the
+    number of all tables (``rows``) in the pass that reads the rows; write the rows as they are, without a shuffle, for a
+    count that no repeated task adds to."""
     headers = headers or K.SCHEDULE_HEADERS
     # the page's base travels with its URL
     pages = pages.select(F.struct("url", page_base("html", F.lit(base_url)).alias("base")).alias("page"), "html")
     t = page_tables(pages, url="page").withColumnRenamed("url", "page")
+    if seen is not None:
+        t = t.observe(seen, F.count(F.lit(1)).alias("rows"))
     first = row_texts(F.try_element_at("rows_html", F.lit(1)), " ")
     t = evaluate_once(t.withColumn("labels", first))
     ok = F.forall(F.array(*[F.lit(h) for h in headers]), lambda h: F.array_contains(F.col("labels"), h))

@@ -9,6 +9,8 @@ folders, so the store stays exactly-once), and of each URL only the rows of its
 latest epoch count; within one epoch the newest file wins.  The store holds rows
 without lineage: events are joined, and the crawl order is numbered, over all
 rows at each refresh, so order keys never depend on the run that brought a row.
+Results and boards are published together as one version (``sources.tables.read_tables``
+follows the newest); the ``keep`` newest versions stay.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from podium.plans import boards
 from podium.sources.html_tables import crawl_order, extract_results, with_lineage
-from podium.sources.tables import write_tables
+from podium.sources.tables import NewVersion, expire_versions
 
 PAGES_SCHEMA = "url string, html string"
 
@@ -32,7 +34,7 @@ def latest_rows(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def refresh_boards(spark: SparkSession, pages_dir: str, events: DataFrame, out_dir: str,
-                   checkpoint_dir: str | None = None) -> StreamingQuery:
+                   checkpoint_dir: str | None = None, keep: int = 7) -> StreamingQuery:
     """Start one ``availableNow`` refresh; returns the query (``awaitTermination()`` to wait)."""
     base = out_dir.rstrip("/")
     ckpt = checkpoint_dir or f"{base}/_checkpoint"
@@ -48,13 +50,11 @@ def refresh_boards(spark: SparkSession, pages_dir: str, events: DataFrame, out_d
         rows = rows.join(newest, ["url", "file_time", "file_path"], "left_semi").drop("file_time", "file_path")
         rows.write.mode("overwrite").parquet(f"{base}/rows/epoch={epoch_id}")
         results = with_lineage(latest_rows(spark, base), crawl_order(events))
-        write_tables(base, {"results": results})
-        results = spark.read.parquet(f"{base}/results")
-        write_tables(f"{base}/boards", {
-            "average": boards.average_board(results),
-            "award": boards.award_board(results),
-            "team": boards.team_board(results),
-        })
+        with NewVersion(spark, base) as new:
+            results = spark.read.schema(results.schema).parquet(new.write("results", results))
+            for name, board in (("average", boards.average_board), ("award", boards.award_board), ("team", boards.team_board)):
+                new.write(name, board(results))
+        expire_versions(spark, base, keep)
 
     stream = (spark.readStream.schema(PAGES_SCHEMA).parquet(pages_dir)
               .select("url", "html", F.col("_metadata.file_modification_time").alias("file_time"), F.col("_metadata.file_path").alias("file_path")))

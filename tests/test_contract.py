@@ -15,7 +15,7 @@ def test_every_query_has_oracle_or_is_nested():
     assert set(o) <= set(q)
     own = set(registry.QUERIES)
     assert own <= set(q) and own - set(o) == {"weakness_nested"}
-    assert len(own) == 55
+    assert len(own) == 57
 
 
 def test_no_python_udfs_in_plans(spark):
