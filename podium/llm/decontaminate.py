@@ -1,14 +1,20 @@
 """Benchmark decontamination by a distributed positional inverted index (DataFrame functions only).
 
-1. ``df`` of every term that a test item uses, counted over the whole corpus.
-2. Each window of an item (``window`` consecutive words; a shorter item is one window) is looked up through its rarest
-   term, so only the postings (term, document, position) of those terms are stored.
-3. A posting minus the term's place in the item is the offset at which the whole item would lie in the document:
-   distinct (document, item, offset) are the candidates; a common passage yields one per document, not one per pair.
-4. At each candidate offset the item's words are compared with the document's words position by position.  Runs of
-   ``window`` equal words are exact phrase matches, all of which are found.  ``n_near`` counts the items of which, without
-   such a run, at least half the words agree at a candidate offset; it is no proximity search: items whose rarest terms
-   are altered or missing have no candidate, and an inserted word ends the alignment.
+1. ``df`` of every term that a test item uses: the corpus' words are counted first (partial counts before the shuffle),
+   then joined with the items' terms.
+2. Each window of an item (``window`` consecutive words; a shorter item is one window) is looked up through its
+   ``rarest`` rarest terms; only the postings (term, document, position) of those terms are stored.
+3. A posting minus the term's place in the item is the offset at which the item would lie in the document.  Offsets of
+   one document and item meet in stretches of ``STRETCH`` offsets (overlapping by the tolerance, so of bounded size), and
+   the lists are intersected there: an offset stays where enough of a window's rarest terms lie within the tolerance.
+4. At the offsets left, the item's words are compared with that part of the document.  Exact phrase: ``window`` equal words
+   in a row.  Proximity match, where the item has no exact phrase in the document: of some window all words but ``changed``
+   (shorter items: all) stand within ``slack`` places of where one common offset puts them.
+
+Both are complete: a window with at most c words out of place has at least ``rarest - c`` of its rarest terms in place, and
+two words in place lie at offsets at most ``2 * slack`` apart.  Windows with more unknown words than may be out of place
+are not looked up.  A common passage gives one candidate per document and item; texts move once, to meet the numbers of
+their own candidates, and only stretches of them go on to meet the items' words.
 
 Words are ASCII-lower-cased runs of digits, letters a-z and anything beyond ASCII.  Defined cases: null and empty texts
 have no words; an item without words is never found; repeated item ids count once; items with a null id hit words but
@@ -25,6 +31,11 @@ from podium.llm.shared import Scratch, ascii_lower
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
+RAREST = 3
+CHANGED = 1
+SLACK = 2
+#: A power of two.
+STRETCH = 32
 
 
 def parts(text: Column) -> Column:
@@ -49,93 +60,134 @@ def _tokens(corpus: DataFrame) -> DataFrame:
             .where("term <> ''").select("id", (F.col("at") - F.col("skip")).alias("pos"), "term"))
 
 
-def _anchors(items: DataFrame, corpus: DataFrame, window: int) -> DataFrame:
-    """(item, at, term): for each window of an item its rarest term in the corpus (ties: the earliest in the item);
-    windows with a term that the corpus lacks cannot occur and have none."""
+def _may_change(n: Column, window: int, changed: int) -> Column:
+    """How many words of a window may be out of place, by the item's length."""
+    return F.when(n >= window, F.lit(changed)).otherwise(F.lit(0))
+
+
+def _anchors(items: DataFrame, corpus: DataFrame, window: int, rarest: int, changed: int) -> DataFrame:
+    """(item, n, at, term): for each window of an item its rarest terms in the corpus (ties: the earliest in the item)."""
     places = items.select("item", F.posexplode("words").alias("at", "term"))
     terms = places.select("term").distinct()
-    df = (corpus.select(F.explode("parts").alias("term")).join(terms, "term")
-          .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    starts = items.select("item", F.explode(F.sequence(F.lit(0), F.size("words") - F.least(F.size("words"), F.lit(window)))).alias("start"))
-    last = F.col("start") + window - 1
+    df = (corpus.select(F.explode("parts").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(terms, "term"))
+    n = F.size("words")
+    starts = items.select("item", n.alias("n"), F.explode(F.sequence(F.lit(0), n - F.least(n, F.lit(window)))).alias("start"))
     # the window of a start: positions start .. start + window - 1 of the same item
-    inside = (starts.select("item", "start", F.explode(F.sequence(F.col("start"), last)).alias("at"))
+    inside = (starts.select("item", "n", "start", F.explode(F.sequence(F.col("start"), F.col("start") + window - 1)).alias("at"))
               .join(places, ["item", "at"]).join(df, "term", "left"))
-    rarest = inside.groupBy("item", "start").agg(
-        F.min(F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), "at", "term")).alias("r"))
-    return rarest.where("r.df > 0").select("item", F.col("r.at").alias("at"), F.col("r.term").alias("term")).distinct()
-
-
-def _aligned(c: Column, tokens: Column) -> Column:
-    """Whether each word of the candidate's item equals the document's word at its offset."""
-    return F.transform(c["words"], lambda w, i: F.coalesce(F.get(tokens, c["diag"] + i) == w, F.lit(False)))
+    ranked = inside.groupBy("item", "n", "start").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), "at", "term"))).alias("terms"))
+    unknown = F.size(F.filter("terms", lambda t: t["df"] == 0))
+    asked = ranked.where(unknown <= _may_change(F.col("n"), window, changed)).select("item", "n", F.explode(F.slice("terms", 1, rarest)).alias("t"))
+    return asked.where("t.df > 0").select("item", "n", F.col("t.at").alias("at"), F.col("t.term").alias("term")).distinct()
+
+
+def _intersected(postings: DataFrame, window: int, rarest: int, changed: int, slack: int) -> DataFrame:
+    """(id, found): per document the candidates (item, n, diag) whose neighbouring offsets hold enough of a window's rarest
+    terms.  A stretch and item have at most ``STRETCH + 2 * slack`` offsets with one entry per place of the item."""
+    reach = 2 * slack
+    diag, bucket = F.col("diag"), F.shiftright("diag", STRETCH.bit_length() - 1)
+    both = F.when(diag.bitwiseAND(STRETCH - 1) < reach, F.array(bucket, bucket - 1)).otherwise(F.array(bucket))
+    n = F.col("n")
+    need = F.greatest(F.lit(1), F.least(n, F.lit(rarest)) - _may_change(n, window, changed))
+    met = (postings.select("id", "item", "n", (F.col("pos") - F.col("at")).alias("diag"), "at")
+           .select("id", "item", "n", F.explode(both).alias("bucket"), F.struct("diag", "at").alias("entry"))
+           .groupBy("id", "item", "n", "bucket").agg(F.collect_set("entry").alias("entries")).where(F.size("entries") >= need))
+    close = lambda e: F.filter("entries", lambda o: (F.abs(e["diag"] - o["diag"]) <= reach) & (F.abs(e["at"] - o["at"]) < window))
+    places = lambda e: F.size(F.array_distinct(F.transform(close(e), lambda o: o["at"])))
+    left = F.filter("entries", lambda e: places(e) >= need)
+    return (met.select("id", "item", "n", F.explode(F.array_distinct(F.transform(left, lambda e: e["diag"]))).alias("diag"))
+            .groupBy("id").agg(F.collect_set(F.struct("item", "n", "diag")).alias("found")))
+
+
+def _exact(window: int) -> Column:
+    """Document positions inside runs of ``window`` words that are ``equal`` at the candidate's offset."""
+    n = F.size("equal")
+    w = F.least(n, F.lit(window))
+    starts = F.filter(F.sequence(F.lit(0), n - w), lambda s: F.forall(F.slice("equal", s + 1, w), lambda x: x))
+    return F.flatten(F.transform(starts, lambda s: F.sequence(F.col("diag") + s, F.col("diag") + s + w - 1)))
 
 
-def _hits(c: Column, window: int) -> Column:
-    """Document positions inside runs of ``window`` equal words at the candidate's offset."""
-    n = F.size(c["equal"])
+def _near(window: int, changed: int, slack: int) -> Column:
+    """Whether, at an offset within ``slack`` of the candidate's, a window has all words but ``changed`` in place."""
+    n = F.size("words")
     w = F.least(n, F.lit(window))
-    starts = F.filter(F.sequence(F.lit(0), n - w), lambda s: F.forall(F.slice(c["equal"], s + 1, w), lambda x: x))
-    return F.flatten(F.transform(starts, lambda s: F.sequence(c["diag"] + s, c["diag"] + s + w - 1)))
+    stands = lambda d, word, i: F.exists(F.sequence(F.lit(-slack), F.lit(slack)),
+                                         lambda e: F.coalesce(F.get(F.col("part"), d + e - F.col("first") + i) == word, F.lit(False)))
+    offsets = F.sequence(F.col("diag") - slack, F.col("diag") + slack)
+    in_place = F.transform(offsets, lambda d: F.transform("words", lambda word, i: stands(d, word, i)))
+    return F.exists(in_place, lambda ok: F.exists(F.sequence(F.lit(0), n - w), lambda s: F.size(F.filter(
+        F.slice(ok, s + 1, w), lambda x: x)) >= w - _may_change(n, window, changed)))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", item_col: str = "item_id",
-                  window: int = WINDOW) -> DataFrame:
+                  window: int = WINDOW, rarest: int = RAREST, changed: int = CHANGED, slack: int = SLACK) -> DataFrame:
     """Per document: ``n_words, n_hit, n_items, items_sha256, contaminated``; also the ``items`` found, the hit word
-    positions' ``first_hit`` and ``n_near``."""
+    positions' ``first_hit``, and the proximity matches ``near_items`` and their number ``n_near``."""
+    if not 0 <= changed < rarest:
+        raise ValueError("at least one of a window's rarest terms must be in place: 0 <= changed < rarest")
     tmp = Scratch(docs.sparkSession, "postings")
     rows = tmp.write(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), "text"))
-    return _judged(tmp, rows, benchmark, item_col, window).withColumnRenamed("id", id_col).drop("row")
+    return _judged(tmp, rows, benchmark, item_col, window, rarest, changed, slack).withColumnRenamed("id", id_col).drop("row")
 
 
-def _judged(tmp: Scratch, rows: DataFrame, benchmark: DataFrame, item_col: str, window: int) -> DataFrame:
+def _judged(tmp: Scratch, rows: DataFrame, benchmark: DataFrame, item_col: str, window: int, rarest: int, changed: int,
+            slack: int) -> DataFrame:
     """The judgement of each of the written rows (row, id, text); the row number alone tells rows apart."""
     corpus = rows.select(F.col("row").alias("id"), parts(F.col("text")).alias("parts"))
     items = tmp.write(benchmark.select(F.monotonically_increasing_id().alias("item"),
                                        F.col(item_col).cast("string").alias("name"), words(F.col("text")).alias("words"))
                       .where(F.size("words") > 0))
-    anchors = tmp.write(_anchors(items, corpus, window))
-    postings = _tokens(corpus).join(anchors, "term")
-    found = (postings.select("id", "item", (F.col("pos") - F.col("at")).alias("diag")).distinct())
-    candidates = tmp.write(found.join(items, "item").groupBy("id").agg(
-        F.collect_list(F.struct("name", "words", "diag")).alias("found")))
-    return judge(rows, candidates, window)
+    anchors = tmp.write(_anchors(items, corpus, window, rarest, changed))
+    found = tmp.write(_intersected(_tokens(corpus).join(anchors, "term"), window, rarest, changed, slack))
+    read = tmp.write(_stretches(rows, found, slack))
+    # each candidate's part of its document meets the item's words
+    c = read.select("row", F.explode("stretches").alias("c")).select("row", "c.*").join(items, "item")
+    equal = F.transform("words", lambda word, i: F.coalesce(F.get("part", F.col("diag") - F.col("first") + i) == word, F.lit(False)))
+    # the barrier: what the lambdas below read is evaluated once
+    c = c.select(F.explode(F.array(F.struct("row", "name", "diag", "first", "part", "words", equal.alias("equal")))).alias("c")).select("c.*")
+    near = _near(window, changed, slack) if changed or slack else F.lit(False)
+    c = c.withColumn("at", _exact(window)).select("row", "name", "at", F.when(F.size("at") == 0, near).otherwise(F.lit(False)).alias("near"))
+    hits = c.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_set("at"))).alias("at"),
+                                F.collect_set(F.when(F.size("at") > 0, F.col("name"))).alias("items"),
+                                F.collect_set(F.when(F.col("near"), F.col("name"))).alias("near"))
+    empty = lambda c, kind: F.coalesce(c, F.array().cast(kind))
+    both = read.select("row", "id", "n_words").join(hits, "row", "left").select(
+        "row", "id", "n_words", empty(F.col("at"), "array<int>").alias("at"), F.array_sort(empty(F.col("items"), "array<string>")).alias("items"),
+        empty(F.col("near"), "array<string>").alias("near"))
+    n_hit = F.size("at").cast("long")
+    near_items = F.array_sort(F.array_except("near", "items"))
+    return both.select(
+        "row", "id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), "items",
+        F.array_min("at").alias("first_hit"), F.size(near_items).cast("long").alias("n_near"), near_items.alias("near_items"))
 
 
-def judge(rows: DataFrame, candidates: DataFrame, window: int) -> DataFrame:
-    texts = rows.select(F.struct("row", "id").alias("doc"), "row", "text")
-    both = texts.join(candidates.withColumnRenamed("id", "row"), "row", "left")
+def _stretches(rows: DataFrame, found: DataFrame, slack: int) -> DataFrame:
+    """(row, id, n_words, stretches): of each candidate the document's words around it, ``part`` from position ``first``."""
+    both = rows.join(found.withColumnRenamed("id", "row"), "row", "left")
     none = F.col("found").isNull()
     # the barrier: words are extracted once a document and not inside the lambdas below
-    both = both.select("doc", F.explode(F.array(F.struct(
+    both = both.select("row", "id", F.explode(F.array(F.struct(
         F.when(none, F.split(F.coalesce(F.col("text"), F.lit("")), BETWEEN_ANY_CASE)).alias("split"),
         F.when(~none, words(F.col("text"))).alias("words"), "found"))).alias("d"))
-    aligned = F.transform("d.found", lambda c: F.struct(
-        c["name"].alias("name"), c["diag"].alias("diag"), _aligned(c, F.col("d.words")).alias("equal")))
-    both = both.select("doc", F.when(F.col("d.words").isNull(), _count(F.col("d.split"))).otherwise(F.size("d.words")).cast("long").alias("n_words"), aligned.alias("found"))
-    hits = F.transform("found", lambda c: F.struct(
-        c["name"].alias("name"), _hits(c, window).alias("at"), F.size(F.filter(c["equal"], lambda x: x)).alias("same"),
-        F.size(c["equal"]).alias("n")))
-    both = both.select("doc", "n_words", F.explode(F.array(hits)).alias("found"))
-    exact = F.filter("found", lambda c: F.size(c["at"]) > 0)
-    near = F.filter("found", lambda c: (F.size(c["at"]) == 0) & (c["same"] * 2 >= c["n"]))
-    names = lambda a: F.array_distinct(F.filter(F.transform(a, lambda c: c["name"]), lambda x: x.isNotNull()))
-    empty = lambda c, kind: F.coalesce(c, F.array().cast(kind))
-    both = both.select(
-        "doc", "n_words", empty(F.array_distinct(F.flatten(F.transform(exact, lambda c: c["at"]))), "array<int>").alias("at"),
-        empty(F.array_sort(names(exact)), "array<string>").alias("items"), empty(names(near), "array<string>").alias("near"))
-    n_hit = F.size("at").cast("long")
-    return both.select(
-        F.col("doc.row").alias("row"), F.col("doc.id").alias("id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), "items",
-        F.array_min("at").alias("first_hit"), F.size(F.array_except("near", "items")).cast("long").alias("n_near"))
+    reach = 2 * slack
+    first = lambda c: F.greatest(F.lit(0), c["diag"] - reach)
+    stretches = F.transform("d.found", lambda c: F.struct(
+        c["item"].alias("item"), c["diag"].alias("diag"), first(c).alias("first"),
+        F.slice(F.col("d.words"), first(c) + 1, c["diag"] + c["n"] + reach - first(c)).alias("part")))
+    n_words = F.when(F.col("d.words").isNull(), _count(F.col("d.split"))).otherwise(F.size("d.words"))
+    return both.select("row", "id", n_words.cast("long").alias("n_words"), stretches.alias("stretches"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows that are not contaminated, each by its own text, with the columns they came with."""
+    """The rows that are not contaminated, each by its own text, with the columns they came with.  Exact phrases alone
+    decide that, so two rarest terms are intersected at one offset.  A column ``podium_row`` is not allowed."""
+    if "podium_row" in docs.columns:
+        raise ValueError("podium_row is the name of the key that tells rows apart")
     tmp = Scratch(docs.sparkSession, "contaminated")
     rows = tmp.write(docs.withColumn("podium_row", F.monotonically_increasing_id()))
-    judged = _judged(tmp, rows.select(F.col("podium_row").alias("row"), F.col(id_col).alias("id"), "text"), benchmark, "item_id", WINDOW)
+    judged = _judged(tmp, rows.select(F.col("podium_row").alias("row"), F.col(id_col).alias("id"), "text"), benchmark, "item_id", WINDOW, 2, 0, 0)
     bad = tmp.write(judged.where("contaminated").select(F.col("row").alias("podium_row")))
     return rows.join(bad, "podium_row", "left_anti").select(*docs.columns)

@@ -204,6 +204,64 @@ def test_decontaminate_proximity(spark):
     assert (got[1].n_hit, got[1].n_near) == (0, 1) and (got[2].n_hit, got[2].n_near) == (20, 0) and got[3].n_near == 0
 
 
+def near_expected_items(rows, bench, window=13, changed=1, slack=2):
+    """Per row the items without an exact window of which some window has enough words in place, by trying all offsets."""
+    out = []
+    for (i, t), exact in zip(rows, [r for row in rows for r in contaminated_names([row], bench, window)]):
+        w = WORD.findall((t or "").translate(FOLD))
+        near = set()
+        for item, text in bench:
+            x = WORD.findall((text or "").translate(FOLD))
+            k = min(window, len(x))
+            for d in range(-len(x) - slack, len(w) + slack + 1):
+                ok = [any(0 <= d + e + at < len(w) and w[d + e + at] == word for e in range(-slack, slack + 1)) for at, word in enumerate(x)]
+                if x and any(sum(ok[s:s + k]) >= k - (changed if len(x) >= window else 0) for s in range(len(x) - k + 1)):
+                    near.add(item)
+                    break
+        out.append((i, sorted(str(n) for n in near - exact if n is not None)))
+    return out
+
+
+def contaminated_names(rows, bench, window):
+    for _, t in rows:
+        w = WORD.findall((t or "").translate(FOLD))
+        names = set()
+        for item, text in bench:
+            x = WORD.findall((text or "").translate(FOLD))
+            k = min(window, len(x))
+            if x and any(x[s:s + k] == w[p:p + k] for s in range(len(x) - k + 1) for p in range(len(w) - k + 1)):
+                names.add(item)
+        yield names
+
+
+def test_proximity_against_all_offsets(spark):
+    rng = random.Random(11)
+    items = [[f"v{rng.randrange(40)}" for _ in range(n)] for n in (13, 13, 14, 20, 30, 40, 5, 2, 1)]
+    items[1][4] = "unseen"
+    bench = [(k, " ".join(x)) for k, x in enumerate(items)] + [(20, None), (21, "rep " * 15), (0, " ".join(items[0])), (None, " ".join(items[2][1:]))]
+    rows = [(0, None), (1, ""), (2, "rep rep rep"), (3, "rep " * 12), (4, "rep " * 11 + "x rep"), (5, " ".join(items[1]).replace("unseen", "other"))]
+    for n in range(6, 150):
+        x = list(rng.choice(items))
+        for _ in range(rng.randrange(1, 5)):
+            at, kind = rng.randrange(len(x) + 1), rng.randrange(4)
+            x = x[:at] + ([f"v{rng.randrange(60)}"] if kind < 3 else []) + x[at + (kind > 0):]
+        before = [f"v{rng.randrange(60)}" for _ in range(rng.randrange(70))]
+        rows.append((n, " ".join(before + x + before[::-1])))
+    got = decontaminate.decontaminate(docs(spark, rows), spark.createDataFrame(bench, "item_id long, text string"))
+    want = near_expected_items(rows, bench)
+    assert sorted((r.doc_id, r.near_items) for r in got.collect()) == want
+    assert sum(len(n) for _, n in want) > 40 and all(r.n_near == len(r.near_items) for r in got.collect())
+
+
+def test_one_replaced_inserted_or_deleted_word_is_near(spark):
+    p = [f"t{i}" for i in range(13)]
+    bench = spark.createDataFrame([(8, " ".join(p))], "item_id long, text string")
+    edits = [p[:k] + p[k + 1:] for k in range(13)] + [p[:k] + ["zz"] + p[k + 1:] for k in range(13)] + [p[:k] + ["zz"] + p[k:] for k in range(1, 13)]
+    rows = [(i, "aa bb " + " ".join(e) + " cc") for i, e in enumerate(edits)] + [(100, "t0 t1 t2 t3 t4 t5 zz yy t8 t9 t10 t11 t12")]
+    got = {r.doc_id: r for r in decontaminate.decontaminate(docs(spark, rows), bench).collect()}
+    assert all((got[i].n_hit, got[i].n_near) == (0, 1) for i in range(len(edits))) and got[100].n_near == 0
+
+
 def test_keep_clean_with_null_and_repeated_ids(spark):
     passage = " ".join(f"t{i}" for i in range(20))
     rows = [(None, passage), (None, "clean words"), (None, None), (5, "more clean words"), (5, passage), (6, "t3 t4")]

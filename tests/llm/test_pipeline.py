@@ -54,5 +54,5 @@ def test_stages(spark, tmp_path):
 
 def test_registered():
     names = entry.queries()
-    assert set(queries.QUERIES) | {"pipeline"} <= set(names) and len(queries.QUERIES) == 10
+    assert set(queries.QUERIES) | {"pipeline"} <= set(names) and len(queries.QUERIES) == 13
     assert set(queries.ORACLE) <= set(queries.QUERIES) and "pipeline" not in entry.oracle_sql()
