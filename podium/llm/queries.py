@@ -137,114 +137,6 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id) LEFT JOIN ni USING (doc_id)
 """
 
-_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
-#: A sample blocklist of sites, each with its subdomains: names of unwanted kinds under the reserved example domains.
-URL_BLOCKLIST = [(f"{name}.example.{top}", "") for name in ("casino-win", "free-bets", "cheap-pills", "adult-x", "ads-track")
-                 for top in ("com", "net", "org")]
-
-#: The surrogates' key; a real run takes its own from a secret store.
-PII_KEY = "podium"
-
-
-def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
-
-
-def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(table(spark, sf_dir, "documents"))
-
-
-def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
-
-
-def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
-
-
-def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=4)
-
-
-def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replace_pii(table(spark, sf_dir, "documents"), key=PII_KEY)
-
-
-def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
-
-
-def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near",
-                      F.array_join("near_items", ",").alias("near_items"))
-
-
-def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, URL_BLOCKLIST)
-    return out.select("page_id", "host", "path", "rule", "verdict")
-
-
-def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
-
-
-def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
-
-
-def op12_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.with_next(table(spark, sf_dir, "documents"))
-
-
-def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, books = vector_codes.encode(table(spark, sf_dir, "embeddings"))
-    return out.withColumn("codebooks_sha256", F.lit(hashlib.sha256(",".join(map(str, books.ravel())).encode()).hexdigest()))
-
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_toxicity": op1_toxicity,
-    "op2_secret_scan": op2_secret_scan,
-    "op3_html_extract": op3_html_extract,
-    "op4_exact_dedup": op4_exact_dedup,
-    "op5_near_dedup": op5_near_dedup,
-    "op6_pii": op6_pii,
-    "op7_quality": op7_quality,
-    "op8_decontaminate": op8_decontaminate,
-    "op9_url_filter": op9_url_filter,
-    "op10_packing": op10_packing,
-    "op11_spelling_variants": op11_spelling_variants,
-    "op12_fingerprint": op12_fingerprint,
-    "op13_vector_codes": op13_vector_codes,
-}
-
-_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
-EXACT_DEDUP_SQL = f"""
-WITH t AS (SELECT doc_id, {_LOW} AS norm FROM documents),
-g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM t JOIN g USING (norm)
-"""
-
-_WORDS = f"regexp_extract_all({_LOW}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
-
-DECONTAMINATE_SQL = f"""
-WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
-iw AS (SELECT DISTINCT item_id, least(13, len(w)) AS n, w[s:s + least(13, len(w)) - 1] AS win
-       FROM b, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS r(s) WHERE len(w) > 0),
-dw AS (SELECT doc_id, s, n, w[s:s + n - 1] AS win FROM d, (SELECT DISTINCT n FROM iw) AS l, unnest(range(1, len(w) - n + 2)) AS r(s)),
-m AS (SELECT doc_id, s, n, item_id FROM dw JOIN iw USING (n, win)),
-h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, s, n FROM m) AS x, unnest(range(s, s + n)) AS r(p) GROUP BY doc_id),
-i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) AS x GROUP BY doc_id)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
-"""
-
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 _LISTED = ", ".join(f"'{h}'" for h, _ in URL_BLOCKLIST)
 
