@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from podium.llm.shared import Scratch, ascii_lower
+from podium.llm.shared import Scratch, ascii_lower, free_name
 
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -183,11 +183,10 @@ def _stretches(rows: DataFrame, found: DataFrame, slack: int) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows that are not contaminated, each by its own text, with the columns they came with.  Exact phrases alone
-    decide that, so two rarest terms are intersected at one offset.  A column ``podium_row`` is not allowed."""
-    if "podium_row" in docs.columns:
-        raise ValueError("podium_row is the name of the key that tells rows apart")
+    decide that, so two rarest terms are intersected at one offset."""
     tmp = Scratch(docs.sparkSession, "contaminated")
-    rows = tmp.write(docs.withColumn("podium_row", F.monotonically_increasing_id()))
-    judged = _judged(tmp, rows.select(F.col("podium_row").alias("row"), F.col(id_col).alias("id"), "text"), benchmark, "item_id", WINDOW, 2, 0, 0)
-    bad = tmp.write(judged.where("contaminated").select(F.col("row").alias("podium_row")))
-    return rows.join(bad, "podium_row", "left_anti").select(*docs.columns)
+    key = free_name(docs, "podium_row")
+    rows = tmp.write(docs.withColumn(key, F.monotonically_increasing_id()))
+    judged = _judged(tmp, rows.select(F.col(key).alias("row"), F.col(id_col).alias("id"), "text"), benchmark, "item_id", WINDOW, 2, 0, 0)
+    bad = tmp.write(judged.where("contaminated").select(F.col("row").alias(key)))
+    return rows.join(bad, key, "left_anti").select(*docs.columns)

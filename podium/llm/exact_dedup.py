@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.shared import Scratch, ascii_lower
+from podium.llm.shared import Scratch, ascii_lower, free_name
 
 BLOCK_BYTES = 8192
 
@@ -101,14 +101,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: Column | None = N
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents that stay, with the columns they came with."""
+    """The documents that stay, with the columns they came with.  Rows are told apart by a key of their own in a written
+    copy, and equal texts by their block names alone."""
     tmp = Scratch(docs.sparkSession, "kept")
-    every = tmp.write(exact_dedup(docs, id_col).select(F.col(id_col).alias("kept_id"), F.col("text_sha256").alias("kept_sha256"), "kept"))
-    kept = every.where("kept").drop("kept")
-    same_text = F.sha2(ascii_lower(docs["text"]).cast("binary"), 256) == kept["kept_sha256"]
-    out = docs.join(kept, docs[id_col].eqNullSafe(kept["kept_id"]) & same_text, "left_semi")
-    # equal texts under one id, of which one row is to stay, are still there
-    if every.groupBy("kept_id", "kept_sha256").count().where("count > 1").isEmpty():
-        return out
-    return (out.withColumn("podium_norm", ascii_lower(F.col("text"))).dropDuplicates([id_col, "podium_norm"])
-            .drop("podium_norm"))
+    key = free_name(docs, "podium_row")
+    rows = tmp.write(docs.withColumn(key, F.monotonically_increasing_id()))
+    groups = tmp.write(exact_dedup(rows, key).select(F.col(key).alias("row"), F.col("keep_id").alias("group"), "group_size"))
+    ids = rows.select(F.col(key).alias("row"), F.col(id_col).alias("id"))
+    last = F.max(F.struct(F.col("id").isNotNull().alias("known"), "id", "row")).alias("last")
+    repeated = groups.where("group_size > 1").join(ids, "row").groupBy("group").agg(last).select(F.col("last.row").alias(key))
+    kept = tmp.write(groups.where("group_size = 1").select(F.col("row").alias(key)).unionByName(repeated))
+    return rows.join(kept, key, "left_semi").select(*docs.columns)

@@ -20,7 +20,7 @@ A link of similarity 0.8 is missed only if no band agrees or the sketch is off b
 Defined cases: null and empty texts have no shingles and stand alone; texts with fewer words than a shingle have one,
 the whole sequence; rows of one id with different texts get their own text's component, and that id stands for the text
 with the smallest digest; rows with a null id take no part in groups and come
-out alone (null component, kept).  Columns other than the id and the text are not read.
+out alone, with the size of their set (null component, kept).  Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.shared import LOWER, UPPER, Scratch, ship
+from podium.llm.shared import LOWER, UPPER, Scratch, free_name, ship
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 TO_LOWER = str.maketrans(UPPER, LOWER)
@@ -318,7 +318,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", words: int = 5, percent
 
     firsts = tmp.write(_labelled(firsts.select("fp", F.col("first").alias("id")), parts).select("fp", "component"))
     out = all_rows.join(firsts, "fp", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
-    out = out.unionByName(docs.where(F.col(id_col).isNull()).select(F.col(id_col).alias("id"), F.lit(0).cast("long").alias("n"), F.col(id_col).alias("component")))
+    unknown = F.lit(None).cast(kind)
+    nameless = docs.where(F.col(id_col).isNull()).select(F.lit(0).cast(kind).alias("id"), "text")
+    out = out.unionByName(signed(nameless, "id", words, bands, rows).select(unknown.alias("id"), "n", unknown.alias("component")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
                       F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
 
@@ -327,9 +329,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", words: int = 5, percent: i
     """One row of each group stays, with the columns it came with: the one with the smallest id, null ids last.  Rows are
     told apart by a key of their own, so equal and null ids take part like any other."""
     tmp = Scratch(docs.sparkSession, "near-kept")
-    rows = tmp.write(docs.withColumn("podium_row", F.monotonically_increasing_id()))
-    groups = near_groups(rows, "podium_row", words, percent).select("podium_row", F.col("component_id").alias("component"))
-    ids = rows.select("podium_row", F.col(id_col).alias("id"))
-    first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "podium_row")).alias("first")
-    kept = tmp.write(groups.join(ids, "podium_row").groupBy("component").agg(first).select("first.podium_row"))
-    return rows.join(kept, "podium_row", "left_semi").select(*docs.columns)
+    key = free_name(docs, "podium_row")
+    rows = tmp.write(docs.withColumn(key, F.monotonically_increasing_id()))
+    groups = near_groups(rows, key, words, percent).select(F.col(key).alias("row"), F.col("component_id").alias("component"))
+    ids = rows.select(F.col(key).alias("row"), F.col(id_col).alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "row")).alias("first")
+    kept = tmp.write(groups.join(ids, "row").groupBy("component").agg(first).select(F.col("first.row").alias(key)))
+    return rows.join(kept, key, "left_semi").select(*docs.columns)

@@ -124,7 +124,7 @@ def test_near_groups_links_over_the_exhaustive_step(spark, monkeypatch):
 def test_near_groups_empty_table_and_null_id(spark):
     assert near_dedup.near_groups(docs(spark, [])).count() == 0
     got = {r.doc_id: r for r in near_dedup.near_groups(docs(spark, [(None, "a b c d e f"), (1, "a b c d e f")])).collect()}
-    assert got[None].kept and got[None].component_id is None and got[1].kept
+    assert got[None].kept and got[None].component_id is None and got[1].kept and got[None].n_shingles == got[1].n_shingles == 2
 
 
 def test_keep_one_with_null_and_repeated_ids(spark):

@@ -52,6 +52,37 @@ def test_stages(spark, tmp_path):
     assert sorted(map(tuple, corpus_pipeline.run(spark, folder).collect())) == sorted(map(tuple, packed.collect()))
 
 
+def odd_rows(spark, rows):
+    """Documents whose other columns have the names that the stages use inside."""
+    return spark.createDataFrame([(i, t, "r", 5, "n", "f", 1, 2, "k", 9) for i, t in rows],
+                                 "doc_id long, text string, row string, id long, name string, found string, podium_row int, PODIUM_ROW_ int, text_sha256 string, component int")
+
+
+def test_stages_with_odd_rows_and_clashing_columns(spark, tmp_path):
+    rng = random.Random(8)
+    passage, far, long = words(rng, 30), words(rng, 40), words(rng, 50_000, 9000)
+    spark.createDataFrame([(1, passage), (2, None), (None, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, None), (1, ""), (1, "  "), (2, far), (2, far.upper()), (None, far), (3, long), (4, long + " tail"), (4, passage), (None, passage), (5, "é"), (6, "É")]
+    docs = odd_rows(spark, rows)
+
+    def kept(k, df):
+        out = corpus_pipeline.STAGES[k][1](spark, df, str(tmp_path))
+        assert out.columns == df.columns
+        return out, sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    exact, got = kept(1, docs)
+    fold = [(i, (t or "").upper() if (t or "").isascii() else t) for i, t in got]
+    assert sorted(fold, key=str) == sorted([(1, ""), (1, "  "), (2, far.upper()), (3, long.upper()), (4, (long + " tail").upper()), (4, passage.upper()),
+                                            (5, "é"), (6, "É")], key=str)
+    _, got = kept(2, docs)
+    assert got == sorted([(None, None), (1, ""), (1, "  "), next(r for r in got if r[1] and r[1].upper() == far.upper()), (3, long), (4, passage), (5, "é"), (6, "É")], key=str)
+    assert kept(3, docs)[1] == sorted([r for r in rows if r[1] != passage], key=str)
+    none = odd_rows(spark, [])
+    for k in (1, 2, 3):
+        assert kept(k, none)[1] == []
+    assert corpus_pipeline.STAGES[4][1](spark, none, str(tmp_path)).count() == 0
+
+
 def test_registered():
     names = entry.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names) and len(queries.QUERIES) == 13
