@@ -58,7 +58,10 @@ GROUPS = ["0123456789", VOWELS, CONSONANTS + "qwxy", VOWELS.upper(), (CONSONANTS
 #: An ending that shows gender, after at least one letter.
 ENDING = r"(?i)(?<=.)(ова|ева|ина|ская|ов|ев|ин|ский)$"
 #: From round ``WIDEN`` on every second round widens the format of those that have no surrogate yet by one step.
-MAX_ROUNDS, WIDEN = 40, 6
+WIDEN = 6
+#: Every format but that of IP addresses can be widened without end; rounds in a row that may pass without a new surrogate.
+IDLE_ROUNDS = 40
+ENTITIES_PER_TASK = 2000
 FOLD = ("àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿßьъ", "aaaaaaaceeeeiiiidnoooooouuuuypysнн")
 
 
@@ -105,7 +108,7 @@ def _draw(key: str) -> Column:
     kind, canon = F.col("kind"), F.col("canon")
     seed = _key(key, kind, canon, F.col("round").cast("string"))
     wide = F.greatest(F.floor((F.col("round") - WIDEN) / 2) + 1, F.lit(0)).cast("int")
-    more = lambda letters: F.substring(F.repeat(F.lit(letters), MAX_ROUNDS), F.lit(1), wide)
+    more = lambda letters: F.substring(F.repeat(F.lit(letters), wide), F.lit(1), wide)
     # of an address the local part depends on the whole address, the domain on the domain
     at = F.instr(canon, "@")
     local, domain = F.substring(canon, F.lit(1), at - 1), F.substring_index(canon, "@", -1)
@@ -137,27 +140,35 @@ def _draw(key: str) -> Column:
     return F.when(kind == "email", email).when(kind == "card", card).when(kind == "ip", ip).when(kind == "person", surname).otherwise(number)
 
 
+def _drawn(todo: DataFrame, key: str) -> DataFrame:
+    """Surrogates of this round; drawing is dear and entities are small, so tasks go by their number, not by bytes."""
+    tasks = -(-todo.count() // ENTITIES_PER_TASK) or 1
+    return todo.repartition(tasks, "kind", "canon").withColumn("surrogate", _draw(key))
+
+
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, canon, surrogate) for distinct (kind, canon): distinct surrogates, none of them an entity itself."""
+    """(kind, canon, surrogate) for distinct (kind, canon): distinct surrogates, none of them an entity itself.
+
+    A round draws for those that have none yet.  What was given before is only probed by the new claims, never rewritten:
+    the few new claims reach it as the small side of a join."""
     tmp = Scratch(entities.sparkSession, "surrogates")
     entities = tmp.write(entities.distinct())
-    fixed, todo = None, entities.withColumn("round", F.lit(0))
-    for n in range(MAX_ROUNDS):
-        drawn = tmp.write(todo.withColumn("surrogate", _draw(key)))
-        claims = drawn.select("kind", "canon", "surrogate", F.lit(1).alias("new"))
-        if fixed is not None:
-            claims = claims.unionByName(fixed.select("kind", "canon", "surrogate", F.lit(0).alias("new")))
-        # an earlier claim wins, then the smaller entity
-        winner = claims.groupBy("kind", "surrogate").agg(F.min(F.struct("new", "canon")).alias("w"))
-        real = entities.select("kind", F.col("canon").alias("surrogate"))
-        won = winner.where("w.new = 1").select("kind", F.col("w.canon").alias("canon"), "surrogate").join(real, ["kind", "surrogate"], "left_anti")
-        won = tmp.write(won.select("kind", "canon", "surrogate"))
+    real = entities.select("kind", F.col("canon").alias("surrogate"))
+    fixed, todo, idle = None, entities.withColumn("round", F.lit(0)), 0
+    while idle < IDLE_ROUNDS:
+        drawn = tmp.write(_drawn(todo, key))
+        claims = tmp.write(drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon")))  # the smaller entity wins
+        held = real if fixed is None else real.unionByName(fixed.select("kind", "surrogate"))
+        taken = tmp.write(held.join(claims, ["kind", "surrogate"], "left_semi"))
+        won = tmp.write(claims.join(taken, ["kind", "surrogate"], "left_anti").select("kind", "canon", "surrogate"))
         lost = tmp.write(drawn.join(won, ["kind", "canon"], "left_anti").select("kind", "canon", (F.col("round") + 1).alias("round")))
-        fixed = won if fixed is None else tmp.write(fixed.unionByName(won))
+        idle = idle + 1 if won.isEmpty() else 0
+        fixed = won if fixed is None else fixed.unionByName(won)
+        tmp.drop(drawn, claims, taken)
         if lost.isEmpty():
             return fixed
         todo = lost
-    raise ValueError(f"no distinct surrogates after {MAX_ROUNDS} rounds: more entities of a kind than its format can tell apart")
+    raise ValueError(f"no surrogate found in {IDLE_ROUNDS} rounds: more than half of all IP addresses are entities")
 
 
 def _given(key: str, word: Column) -> Column:
