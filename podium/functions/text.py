@@ -147,27 +147,10 @@ def decode_entities(c) -> Column:
 
 # Characters that a page keeps as references until its markup has been read.
 _MARKUP = {"&": "&amp;", "<": "&lt;", ">": "&gt;", '"': "&quot;", "'": "&apos;"}
-_OTHER_REFERENCE = r"&(?!(?:amp|lt|gt|quot|apos);)(?:#|[A-Za-z])"
-
-
-def decode_page(c) -> Column:
-    """Decode a whole page's references, but those of markup characters and quotes, which all take their plain named form
-    (so that the page can still be cut at its tags); ``decode_markup`` decodes these in the pieces."""
-    col = _col(c)
-
-    def kept(ref: Column) -> Column:
-        text = _reference_text(ref)
-        for char, name in _MARKUP.items():
-            text = F.when(text == char, F.lit(name)).otherwise(text)
-        return text
-
-    chars = F.transform(F.regexp_extract_all(col, F.lit(_REFERENCE), F.lit(1)), kept)
-    joined = F.array_join(F.zip_with(F.split(col, _REFERENCE), chars, lambda p, x: F.concat(p, F.coalesce(x, F.lit("")))), "")
-    return F.when(col.rlike(_OTHER_REFERENCE), joined).otherwise(col)
 
 
 def decode_markup(c) -> Column:
-    """Decode the five references that ``decode_page`` leaves."""
+    """Decode the five references that a page keeps until its markup has been read."""
     col = _col(c)
     text = col
     for char, name in reversed(_MARKUP.items()):  # the ampersand last

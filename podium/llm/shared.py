@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from podium.session import ship  # noqa: F401
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -78,20 +78,3 @@ def _remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Hand this package's sources to the executors, once an application: their Python workers import them."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    package = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for source in sorted(package.rglob("*.py")):
-            z.write(source, source.relative_to(package.parent))
-    sc.addPyFile(str(target))
-    _SHIPPED.add(sc.applicationId)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -122,3 +124,20 @@ def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: i
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
     }
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package's sources to the executors, once an application: their Python workers import them."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)

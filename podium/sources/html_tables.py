@@ -1,41 +1,33 @@
 """Tables out of raw HTML pages, as DataFrame jobs over ``pages(url, html)``.
 
-A page row is split into its tables, rows and cells with ``regexp_extract_all``
-and higher-order functions; the header of a table travels in the same row as
-its body rows, so locating columns by header name needs no join and no shuffle
-(one ``posexplode`` per level).  Row and column spans are laid out.  Nested
-tables are tables of their own: a running stack over the opening and closing
-tags gives each piece of text to its innermost table, and the outer table goes
-on behind the nested one.  Comments and script text are not part of a page.
+A page is read once, inside the task that holds it (``page_scan``): its tables, their rows and cells, row and column
+spans laid out.  Nested tables are tables of their own: each piece of text goes to its innermost table, and the outer
+table goes on behind the nested one.  Comments and script text are not part of a page.  Only the parts of a table that a
+job asks for leave the task, one row per table; the header of a table travels in the same row as its body, so locating
+columns by header name needs no join and no shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from podium import constants as K
-from podium.functions.text import clean_text, coerce_number, decode_markup, decode_page, first_link, page_base, season_of
+from podium.functions.text import clean_text, coerce_number, decode_markup, first_link, page_base, season_of
 from podium.operators.groupwise import first_per_key, leaderboard
 from podium.operators.partitioning import evaluate_once
-from podium.session import scratch_path
+from podium.session import scratch_path, ship
+from podium.sources.page_scan import Table, owned
 
-TABLE_TAG = r"(?i)(?=<table\b|</table\s*>)"
-UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
-HIDDEN = r"(?is)^<table\b[^>]*\bstyle\s*=\s*(?:\"[^\"]*display\s*:\s*none|'[^']*display\s*:\s*none|[^\s\"'>]*display:none)"
-THEAD = r"(?is)<thead\b[^>]*>(.*?)(?:</thead\s*>|<tbody\b|<tfoot\b|\z)"
-ROW_OPEN = r"(?i)<tr\b[^>]*>"
 CELL_OPEN = r"(?i)<t[hd]\b[^>]*>"
-TD_OPEN = r"(?i)<td\b[^>]*>"
-TH_OPEN = r"(?i)<th\b"
-SPAN_RE = r"(?is)<t[hd]\b[^>]*\b(rowspan|colspan)\s*="
-COLSPAN_RE = r"(?is)<t[hd]\b[^>]*\bcolspan\s*="
-ROWSPAN_RE = r"(?is)<t[hd]\b[^>]*\browspan\s*="
 #: Type of the order key of ingested rows.
 ROW_SEQ = "decimal(38,0)"
-CELL_ATTRS = r"(?i)<t[hd]\b([^>]*)>"
+#: Text read from pages before the tables found in it leave a task.
+BATCH_CHARS = 4 << 20
 
 
 def _after_first(parts: Column) -> Column:
@@ -55,99 +47,66 @@ def row_texts(row_html: Column, sep: str = "") -> Column:
     return _after_first(F.split(text, _CELL_MARK))
 
 
-def _span(attrs: Column, name: str) -> Column:
-    digits = F.regexp_extract(attrs, r"(?i)\b" + name + r"\s*=\s*[\"']?\s*(\d+)", 1)
-    # most cells have none: a cast of empty text would raise and catch an error in each of them
-    n = F.greatest(F.coalesce(F.when(digits != "", digits.try_cast("int")), F.lit(1)), F.lit(1))
-    # a row span ends with the table at the latest; a column span is at most 1000 by the HTML standard
-    return F.least(n, F.lit(1000)) if name == "colspan" else n
-
-
-def spanned_cells(row_html: Column, sep: str = "") -> Column:
-    """Cells of a row with each <td colspan=n> repeated n times:
-    ARRAY<STRUCT<text, rs>> (``rs`` = its rowspan)."""
-    texts = row_texts(row_html, sep)
-    attrs = F.regexp_extract_all(row_html, F.lit(CELL_ATTRS), 1)
-    return F.flatten(F.transform(texts, lambda t, i: F.array_repeat(
-        F.struct(t.alias("text"), _span(F.try_element_at(attrs, i + 1), "rowspan").alias("rs")),
-        _span(F.try_element_at(attrs, i + 1), "colspan"))))
-
-
-def _grid_step(st: str, row: str) -> str:
-    """SQL for one row of a span grid: a column still covered by a rowspan from
-    above keeps its label, the other columns take the row's cells in order."""
-    occupied_before = f"size(filter(slice({st}, 1, j), s -> s.rem > 0))"
-    cell = f"try_element_at({row}, j + 1 - {occupied_before})"
-    prev = f"try_element_at({st}, j + 1)"
-    return (f"transform(sequence(0, greatest(size({st}), size(filter({st}, s -> s.rem > 0)) + size({row})) - 1), "
-            f"j -> IF(j < size({st}) AND {prev}.rem > 0, "
-            f"named_struct('label', {prev}.label, 'rem', {prev}.rem - 1), "
-            f"named_struct('label', coalesce({cell}.text, ''), 'rem', coalesce({cell}.rs, 1) - 1)))")
-
-
-_EMPTY_STATE = "cast(array() as array<struct<label:string,rem:int>>)"
-# Header grid: fold over the header rows; the last state labels each column (the lowest level).
-_HEADER_GRID = f"transform(aggregate(__hdr, {_EMPTY_STATE}, (st, row) -> {_grid_step('st', 'row')}), c -> c.label)"
-# Body grid: every intermediate state is kept, one per body row (row spans fill down).
-_BODY_GRID = (f"transform(slice(aggregate(__bodycells, array({_EMPTY_STATE}), "
-              f"(acc, row) -> concat(acc, array({_grid_step('element_at(acc, -1)', 'row')}))), "
-              f"2, size(__bodycells)), st -> transform(st, c -> c.label))")
-
-
-# One pass over a page's pieces with the stack of open tables: what each piece's own table is (0: none), and of a table
-# that a piece closes whether it held text and was not hidden.  Pieces go by blocks, so that no long list is copied
-# with each of them.
-_BLOCK = 256
-_STACK = "cast(array() as array<struct<id:int,before:int,hid:boolean>>)"
-_OUT = "cast(array() as array<struct<owner:int,closed:int,shown:boolean>>)"
-_STEP = """CASE
-    WHEN x.kind = 1 THEN named_struct(
-      'stack', concat(s.stack, array(named_struct('id', s.n + 1, 'before', s.held, 'hid', x.hid OR coalesce(try_element_at(s.stack, -1).hid, false)))),
-      'n', s.n + 1, 'held', s.held + x.holds, 'out', concat(s.out, array(named_struct('owner', s.n + 1, 'closed', 0, 'shown', false))))
-    WHEN x.kind = -1 THEN named_struct(
-      'stack', slice(s.stack, 1, greatest(size(s.stack) - 1, 0)), 'n', s.n, 'held', s.held + x.holds,
-      'out', concat(s.out, array(named_struct('owner', coalesce(try_element_at(s.stack, -2).id, 0), 'closed', coalesce(try_element_at(s.stack, -1).id, 0),
-        'shown', coalesce(s.held > try_element_at(s.stack, -1).before AND NOT try_element_at(s.stack, -1).hid, false)))))
-    ELSE named_struct('stack', s.stack, 'n', s.n, 'held', s.held + x.holds,
-      'out', concat(s.out, array(named_struct('owner', coalesce(try_element_at(s.stack, -1).id, 0), 'closed', 0, 'shown', false)))) END"""
-_FOLD = f"""aggregate(transform(sequence(0, (size(__marks) - 1) div {_BLOCK}), b -> slice(__marks, b * {_BLOCK} + 1, {_BLOCK})),
-  named_struct('stack', {_STACK}, 'n', 0, 'held', 0, 'out', cast(array() as array<array<struct<owner:int,closed:int,shown:boolean>>>)),
-  (t, block) -> aggregate(block, named_struct('stack', t.stack, 'n', t.n, 'held', t.held, 'out', {_OUT}), (s, x) -> {_STEP},
-    s -> named_struct('stack', s.stack, 'n', s.n, 'held', s.held, 'out', concat(t.out, array(s.out)))),
-  t -> named_struct('open', t.stack, 'held', t.held, 'out', flatten(t.out)))"""
-# Tables that open and close one after the other, as on most pages, need no stack.
-_PLAIN = "size(__marks) % 2 = 1 AND forall(sequence(0, size(__marks) - 1), i -> __marks[i].kind = CASE WHEN i = 0 THEN 0 WHEN i % 2 = 1 THEN 1 ELSE -1 END)"
-_PLAIN_TABLES = """CASE WHEN size(__marks) > 1 THEN transform(sequence(1, size(__marks) div 2),
-  k -> named_struct('table_html', __marks[2 * k - 1].text, 'shown', __marks[2 * k - 1].holds > 0 AND NOT __marks[2 * k - 1].hid)) END"""
-# Pieces sorted by their table and place; a table's pieces then follow each other.
-_BY_OWNER = "array_sort(filter(transform(__f.out, (o, i) -> named_struct('owner', o.owner, 'at', i)), o -> o.owner > 0))"
-_STARTS = "filter(sequence(1, size(__by)), i -> i = 1 OR __by[i - 1].owner <> __by[i - 2].owner)"
-_SHOWN = """transform(array_sort(concat(
-    transform(filter(__f.out, o -> o.closed > 0), o -> named_struct('id', o.closed, 'shown', o.shown)),
-    transform(__f.open, o -> named_struct('id', o.id, 'shown', __f.held > o.before AND NOT o.hid)))), o -> o.shown)"""
-_STACKED_TABLES = """CASE WHEN size(__by) > 0 THEN transform(__starts, (s, k) -> named_struct(
-  'table_html', array_join(transform(slice(__by, s, coalesce(try_element_at(__starts, k + 2), size(__by) + 1) - s), o -> __marks[o.at].text), ''),
-  'shown', __shown[k])) END"""
-
-
-def _owned(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """(url, tables: ARRAY<STRUCT<table_html, shown>> in page order): every piece of text between table tags goes to its
-    innermost table.  A page's work grows with its tags (times their logarithm, for sorting)."""
-    seen = F.when(F.col(html).rlike(r"(?i)<!--|<script\b|<style\b"), F.regexp_replace(html, UNSEEN, " ")).otherwise(F.col(html))
-    p = evaluate_once(pages.select(F.col(url).alias("url"), F.replace(seen, F.lit("&nbsp;"), F.lit("\u00a0")).alias("__html")), ["__html"])
-    p = evaluate_once(p.select("url", F.split(decode_page("__html"), TABLE_TAG).alias("__pieces")), ["__pieces"])
-    marks = F.transform("__pieces", lambda x: F.struct(
-        F.when(x.rlike(r"(?i)^<table\b"), 1).when(x.rlike(r"(?i)^</table"), -1).otherwise(0).alias("kind"),
-        x.rlike(HIDDEN).alias("hid"),
-        F.regexp_replace(x, r"(?s)<[^>]*>", "").rlike(r"[^\s\u00a0]").cast("int").alias("holds"),
-        F.regexp_replace(x, r"(?i)^</?table\b[^>]*>", "").alias("text")))
-    p = evaluate_once(p.select("url", marks.alias("__marks")), ["__marks"])
-    p = evaluate_once(p.withColumn("__plain", F.expr(_PLAIN)), ["__plain"])
-    p = evaluate_once(p.withColumn("__f", F.when(~F.col("__plain"), F.expr(_FOLD))), ["__f"])
-    p = evaluate_once(p.withColumn("__by", F.expr(_BY_OWNER)).withColumn("__shown", F.expr(_SHOWN)), ["__by", "__shown"])
-    p = evaluate_once(p.withColumn("__starts", F.expr(_STARTS)), ["__starts"])
-    tables = F.when(F.col("__plain"), F.expr(_PLAIN_TABLES)).otherwise(F.expr(_STACKED_TABLES))
-    return evaluate_once(p.select("url", tables.alias("tables")), ["tables"])
+_TEXTS, _ARROW_TEXTS = T.ArrayType(T.StringType()), pa.list_(pa.string())
+_CELLS = pa.list_(pa.struct([("texts", _ARROW_TEXTS), ("tds", _ARROW_TEXTS)]))
+#: What a scan can give of a table (attributes of ``Table``): Spark type, Arrow type.
+PARTS: dict[str, tuple[T.DataType, pa.DataType]] = {
+    "html": (T.StringType(), pa.string()), "rows": (_TEXTS, _ARROW_TEXTS), "n_header": (T.IntegerType(), pa.int32()),
+    "labels": (_TEXTS, _ARROW_TEXTS), "canonical": (_TEXTS, _ARROW_TEXTS), "first_row": (_TEXTS, _ARROW_TEXTS),
+    "body": (T.ArrayType(_TEXTS), pa.list_(_ARROW_TEXTS)),
+    "data_cells": (T.ArrayType(T.StructType([T.StructField("texts", _TEXTS), T.StructField("tds", _TEXTS)])), _CELLS),
+}
+_OF_TABLE = {"table_html": "html", "rows_html": "rows"}
+
+
+def scan_tables(pages: DataFrame, parts: Sequence[str], url: str = "url", html: str = "html", shown_only: bool = False,
+                keep_pages: bool = False, only: Callable[[Table], bool] | None = None,
+                aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """(url, table_no, *parts): every table of every page with the parts of ``PARTS`` that are named, 1-based in page order.
+
+    ``shown_only`` numbers only tables that hold text (nested tables' included) and are not hidden by their own or an
+    outer table's style.  ``keep_pages`` gives a page without such tables one row, its ``table_no`` null.  ``only``: the
+    tables for which ``body`` and ``data_cells`` are asked for; for the others they are null."""
+    ship(pages.sparkSession)
+    kind, parts = pages.schema[url].dataType, [_OF_TABLE.get(p, p) for p in parts]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at: list[int] = []
+            numbers: list[int | None] = []
+            values: list[list] = [[] for _ in parts]
+            read = 0
+
+            def flush() -> pa.RecordBatch:
+                arrays = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(numbers, pa.int32()),
+                          *(pa.array(v, PARTS[p][1]) for p, v in zip(parts, values))]
+                return pa.RecordBatch.from_arrays(arrays, names=["url", "table_no", *parts])
+
+            for i, page in enumerate(batch.column(1)):
+                page = page.as_py()
+                found = [t for t, shown in owned(page) if shown or not shown_only]
+                for number, text in enumerate(found, 1):
+                    table = Table(text, aliases)
+                    asked = only is None or only(table)
+                    at.append(i)
+                    numbers.append(number)
+                    for p, v in zip(parts, values):
+                        v.append(getattr(table, p) if asked or p not in ("body", "data_cells") else None)
+                if not found and keep_pages:
+                    at.append(i)
+                    numbers.append(None)
+                    for v in values:
+                        v.append(None)
+                read += len(page or "")
+                if read >= BATCH_CHARS:
+                    yield flush()
+                    read = 0
+                    at, numbers, values = [], [], [[] for _ in parts]
+            yield flush()
+
+    schema = T.StructType([T.StructField("url", kind), T.StructField("table_no", T.IntegerType()), *(T.StructField(p, PARTS[p][0]) for p in parts)])
+    return (pages.select(F.col(url).alias("url"), F.col(html).alias("html")).mapInArrow(run, schema)
+            .withColumnsRenamed({of: name for name, of in _OF_TABLE.items()}))
 
 
 def page_tables(pages: DataFrame, url: str = "url", html: str = "html", shown_only: bool = False,
@@ -155,52 +114,20 @@ def page_tables(pages: DataFrame, url: str = "url", html: str = "html", shown_on
     """(url, table_no, table_html, rows_html, n_header): every table of every page,
     1-based in page order; ``rows_html`` holds the rows that have cells and
     ``n_header`` counts the leading header rows: those of <thead> that hold text,
-    or else the leading rows made of <th> cells only.
-
-    ``shown_only`` numbers only tables that hold text (nested tables' included) and
-    are not hidden by their own or an outer table's style.  ``keep_pages`` gives a page
-    without such tables one row, its ``table_no`` null.
-
-    Pages are cut with ``split`` on table tags, tables on row tags (one pass per
-    level); a cell runs to the next cell, a row to the next row."""
-    p = _owned(pages, url, html)
-    tables = F.filter("tables", lambda x: x["shown"]) if shown_only else F.col("tables")
-    each = F.posexplode_outer if keep_pages else F.posexplode
-    t = p.select("url", each(tables).alias("pos", "t")).select("url", "pos", F.col("t.table_html").alias("table_html"))
-    cells = lambda part: F.filter(_after_first(F.split(part, ROW_OPEN)), lambda r: r.rlike(r"(?i)<t[hd]\b"))
-    t = evaluate_once(t.withColumn("__rows", cells("table_html")).withColumn(
-        "__head", F.when(F.col("table_html").rlike(r"(?i)<thead\b"), cells(F.regexp_extract("table_html", THEAD, 1)))), ["__rows", "__head"])
-    n_head = F.coalesce(F.size("__head"), F.lit(0))
-    holds = lambda r: F.regexp_replace(r, r"(?s)<[^>]*>", "").rlike(r"[^\s\u00a0]")
-    kept_head = F.filter("__head", holds)
-    body_flags = F.transform("__rows", lambda r: r.rlike(r"(?i)<td\b"))
-    first_body = F.array_position(body_flags, F.lit(True))
-    plain = F.when(first_body == 0, F.size("__rows")).otherwise(first_body - 1).cast("int")
-    has_head = F.col("__head").isNotNull() & (n_head > 0)
-    rows = F.when(has_head, F.concat(kept_head, F.slice("__rows", n_head + 1, F.size("__rows")))).otherwise(F.col("__rows"))
-    nh = F.when(has_head & (F.size(kept_head) > 0), F.size(kept_head)).otherwise(F.when(has_head, F.lit(0)).otherwise(plain))
-    out = t.select("url", (F.col("pos") + 1).cast("int").alias("table_no"), "table_html", rows.alias("rows_html"), nh.alias("n_header"))
-    return evaluate_once(out, ["rows_html", "n_header"])
+    or else the leading rows made of <th> cells only.  Options: see ``scan_tables``."""
+    return scan_tables(pages, ["table_html", "rows_html", "n_header"], url, html, shown_only, keep_pages)
 
 
 def result_tables(pages: DataFrame, aliases: Mapping[str, str] | None = None,
-                  required: Sequence[str] = K.REQUIRED_RESULT_COLUMNS, keep_pages: bool = False) -> DataFrame:
+                  required: Sequence[str] = K.REQUIRED_RESULT_COLUMNS, keep_pages: bool = False,
+                  parts: Sequence[str] = ("table_html", "rows_html", "n_header")) -> DataFrame:
     """Tables of result pages with their canonical header labels:
-    (url, table_no, table_html, rows_html, n_header, labels, canonical, missing, accepted)."""
-    aliases = aliases or K.HEADER_ALIASES
-    t = page_tables(pages, shown_only=True, keep_pages=keep_pages)
-    alias_map = F.create_map(*[x for kv in aliases.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    # multi-level headers: the last header row gives the label of each column
-    plain = row_texts(F.try_element_at("rows_html", F.col("n_header")), "")
-    t = t.withColumn("__hdr", F.when(F.col("table_html").rlike(SPAN_RE), F.transform(
-        F.slice("rows_html", 1, F.greatest(F.col("n_header"), F.lit(1))), lambda r: spanned_cells(r, ""))))
-    labels = (F.when(F.col("n_header") == 0, F.array().cast("array<string>"))
-              .when(F.col("__hdr").isNotNull(), F.expr(_HEADER_GRID))
-              .otherwise(plain))
-    t = t.withColumn("labels", labels).drop("__hdr")
-    t = t.withColumn("canonical", F.transform("labels", lambda x: F.coalesce(F.element_at(alias_map, x), x)))
-    req = F.array(*[F.lit(r) for r in required])
-    t = evaluate_once(t.withColumn("missing", F.array_except(req, F.col("canonical"))))
+    (url, table_no, *parts, labels, canonical, missing, accepted).  A ``body`` among the parts is that of accepted tables."""
+    aliases = dict(aliases or K.HEADER_ALIASES)
+    needed = set(required)
+    t = scan_tables(pages, [*parts, "labels", "canonical"], shown_only=True, keep_pages=keep_pages,
+                    only=lambda table: needed <= set(table.canonical), aliases=aliases)
+    t = t.withColumn("missing", F.array_except(F.array(*[F.lit(r) for r in required]), F.col("canonical")))
     return t.withColumn("accepted", F.size("missing") == 0)
 
 
@@ -212,7 +139,7 @@ def ingest_issues(pages: DataFrame, aliases: Mapping[str, str] | None = None,
     the page."""
     spark = pages.sparkSession
     path = scratch_path(spark, "issues")  # the pages are read once; what is left of a table is a short row
-    (result_tables(pages, aliases, keep_pages=True)
+    (result_tables(pages, aliases, keep_pages=True, parts=())
      .select("url", "table_no", F.when(~F.col("accepted"), F.array_join("missing", ",")).alias("detail")).write.parquet(path))
     t = spark.read.parquet(path)
     missing = t.where("table_no IS NOT NULL AND detail IS NOT NULL").select("url", "table_no", F.lit("missing_headers").alias("issue"), "detail")
@@ -235,22 +162,11 @@ def result_rows(pages: DataFrame, aliases: Mapping[str, str] | None = None,
     cell that decided.  Numbers use the tolerant rule (``thousands`` removed first); a missing class or district column
     gives ''."""
     names = ["player", "klass", "district", *K.NUMERIC_RESULT_COLUMNS]
-    t = result_tables(pages, aliases).filter("accepted")
-    body = F.slice(F.col("rows_html"), (F.col("n_header") + 1).cast("int"),
-                   F.greatest(F.size("rows_html") - F.col("n_header"), F.lit(0)).cast("int"))
-    # column positions are looked up once per table, cell texts once per row
-    has_body_rowspan = F.col("table_html").rlike(ROWSPAN_RE) & F.exists(body, lambda r: r.rlike(ROWSPAN_RE))
-    t = t.withColumn("__bodycells", F.when(has_body_rowspan, F.transform(body, lambda r: spanned_cells(r, ""))))
-    t = t.withColumn("__grid", F.when(F.col("__bodycells").isNotNull(), F.expr(_BODY_GRID)))
-    t = t.select("url", "table_no", body.alias("body"), "__grid",
-                 *[F.array_position(F.col("canonical"), F.lit(n)).cast("int").alias(f"__i_{n}") for n in names])
-    r = t.select("url", "table_no", "__grid", *[f"__i_{n}" for n in names], F.posexplode("body").alias("pos", "row"))
-    texts = (F.when(F.col("__grid").isNotNull(), F.try_element_at("__grid", (F.col("pos") + 1).cast("int")))
-             .when(F.col("row").rlike(COLSPAN_RE),
-                   F.transform(spanned_cells(F.col("row"), ""), lambda c: c["text"]))
-             .otherwise(row_texts(F.col("row"), "")))
-    r = evaluate_once(r.select("url", "table_no", (F.col("pos") + 1).cast("int").alias("row_no"),
-                               *[f"__i_{n}" for n in names], texts.alias("__t")))
+    t = result_tables(pages, aliases, parts=("body",)).filter("accepted")
+    # column positions are looked up once per table
+    t = t.select("url", "table_no", "body", *[F.array_position(F.col("canonical"), F.lit(n)).cast("int").alias(f"__i_{n}") for n in names])
+    r = t.select("url", "table_no", *[f"__i_{n}" for n in names], F.posexplode("body").alias("pos", "__t"))
+    r = r.withColumn("row_no", (F.col("pos") + 1).cast("int"))
 
     def cell(name: str) -> Column:
         i = F.col(f"__i_{name}")
@@ -263,7 +179,7 @@ def result_rows(pages: DataFrame, aliases: Mapping[str, str] | None = None,
         F.coalesce(cell("klass"), F.lit("")).alias("klass"),
         F.coalesce(cell("district"), F.lit("")).alias("district"),
         F.coalesce(cell("score"), F.lit("")).alias("__score"))
-    out = evaluate_once(out)
+    out = evaluate_once(out, ["player", "score", "__score"])
     player, score = F.col("player"), F.col("__score")
     reason = (F.when(player.isNull(), "short_row").when(player == "", "blank_player")
               .when(F.lower(player).isin(*K.REPEATED_HEADER_PLAYER), "repeated_header")
@@ -329,22 +245,14 @@ def schedule_rows(pages: DataFrame, base_url: str, headers: Mapping[str, str] |
     headers = headers or K.SCHEDULE_HEADERS
     # the page's base travels with its URL
     pages = pages.select(F.struct("url", page_base("html", F.lit(base_url)).alias("base")).alias("page"), "html")
-    t = page_tables(pages, url="page").withColumnRenamed("url", "page")
+    required = set(headers)
+    t = scan_tables(pages, ["first_row", "data_cells"], url="page", only=lambda table: required <= set(table.first_row or ())) \
+        .withColumnsRenamed({"url": "page", "first_row": "labels"})
     if seen is not None:
         t = t.observe(seen, F.count(F.lit(1)).alias("rows"))
-    first = row_texts(F.try_element_at("rows_html", F.lit(1)), " ")
-    t = evaluate_once(t.withColumn("labels", first))
-    ok = F.forall(F.array(*[F.lit(h) for h in headers]), lambda h: F.array_contains(F.col("labels"), h))
-    t = t.filter(F.size("rows_html") > 0).filter(ok)
-    body = F.slice(F.col("rows_html"), 2, F.greatest(F.size("rows_html") - 1, F.lit(0)))
-    r = t.select("page", F.col("table_no").alias("schedule_table_no"), "labels",
-                 F.posexplode(body).alias("pos", "row"))
-    # <td> cells only: <th> cells of a body row are cut out (only rows that have one pay for it)
-    td_row = F.when(F.col("row").rlike(TH_OPEN),
-                    F.regexp_replace("row", r"(?is)<th\b[^>]*>.*?(?=<t[hd]\b|$)", "")).otherwise(F.col("row"))
-    r = evaluate_once(r.select(
-        "page", "schedule_table_no", "labels", (F.col("pos") + 1).cast("int").alias("row_no"),
-        row_texts(td_row, " ").alias("texts"), _after_first(F.split(td_row, TD_OPEN)).alias("tds")))
+    # only tables whose first row holds all headers have data cells
+    r = t.select("page", F.col("table_no").alias("schedule_table_no"), "labels", F.posexplode("data_cells").alias("pos", "row"))
+    r = r.select("page", "schedule_table_no", "labels", (F.col("pos") + 1).cast("int").alias("row_no"), "row.texts", "row.tds")
 
     def idx(label: str) -> Column:
         return F.array_position(F.col("labels"), F.lit(label)).cast("int")
