@@ -57,7 +57,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     tmp = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        last, docs = docs, tmp.write(stage(spark, docs, sf_dir))
+        last = docs
+        with Scratch.passing(spark):  # a stage's own tables go when its result is written
+            docs = tmp.write(stage(spark, docs, sf_dir))
         if k:
             tmp.drop(last)
     return docs

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +48,10 @@ def shared_folder(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Folders that operators made inside the ``Scratch.passing`` block that is running, if one is.
+_MADE: ContextVar[list[str] | None] = ContextVar("podium_scratch_made", default=None)
+
+
 class Scratch:
     """Tables written to the shared folder by one call of an operator.
 
@@ -55,6 +62,9 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/podium-llm-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
         self.count = 0
+        made = _MADE.get()
+        if made is not None:
+            made.append(self.root)
 
     def write(self, df: DataFrame) -> DataFrame:
         self.count += 1
@@ -68,6 +78,19 @@ class Scratch:
         for df in tables:
             _remove(self.spark, df._podium_path)
 
+    @staticmethod
+    @contextmanager
+    def passing(spark: SparkSession) -> Iterator[None]:
+        """What operators write inside the block is removed at its end; their results must have been written by then."""
+        made: list[str] = []
+        token = _MADE.set(made)
+        try:
+            yield
+        finally:
+            _MADE.reset(token)
+            for root in made:
+                _remove(spark, root)
+
     @staticmethod
     def clean(spark: SparkSession) -> None:
         """Remove all that this application's operators wrote; call it when their results have been read."""

@@ -87,3 +87,16 @@ def test_registered():
     names = entry.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names) and len(queries.QUERIES) == 13
     assert set(queries.ORACLE) <= set(queries.QUERIES) and "pipeline" not in entry.oracle_sql()
+
+
+def test_a_stage_leaves_only_its_result(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+    from podium.llm.shared import shared_folder
+    spark.createDataFrame([(i, f"text {i % 3}") for i in range(9)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("exact dedup", corpus_pipeline.exact_stage), ("again", corpus_pipeline.exact_stage)])
+    root = Path(shared_folder(spark).removeprefix("file:")) / f"podium-llm-{spark.sparkContext.applicationId}"
+    before = {p.name for p in root.glob("*")}
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted(r.doc_id for r in out.collect()) == [6, 7, 8]
+    new = [p for p in root.glob("*") if p.name not in before and any(p.iterdir())]
+    assert [p.name.split("-")[0] for p in new] == ["pipeline"] and len(list(new[0].iterdir())) == 1
