@@ -162,6 +162,11 @@ _HREF = r"""(?is)<a\s[^>]*?href\s*=\s*(?:["']([^"']*)["']|([^\s"'>]+))"""
 _BARE_URL = r"https?://\S+"
 
 
+_ORIGIN = r"^([a-zA-Z][a-zA-Z0-9+.-]*)(://[^/?#]*)"
+_ROOTED = r"\A/[A-Za-z0-9_~%-][A-Za-z0-9_~%./-]*\z"
+_ABSOLUTE = r"\A[a-zA-Z][a-zA-Z0-9+.-]*://[^\t\r\n]*\z"
+
+
 def _let(value: Column, use) -> Column:
     """``use`` of a value that is computed once, however often ``use`` names it."""
     return F.transform(F.array(value), use)[0]
@@ -215,9 +220,17 @@ def absolute_url(href, base) -> Column:
         return F.when(x["path"].startswith("/"), F.split(x["path"], "/")).otherwise(
             _let(F.split(F.substr(x["plain"], F.length(x["origin"]) + 1), "/"), beside))
 
-    return _let(F.struct(_col(href).alias("href"), _col(base).alias("base")), cleaned)
+    # what most links are: a rooted path without dot segments, or an absolute URL; neither is changed by the steps above
+    def usual(x: Column) -> Column:
+        origin = F.regexp_extract(x["base"], _ORIGIN, 2)
+        rooted = x["href"].rlike(_ROOTED) & ~F.contains(x["href"], F.lit("/.")) & (origin != "")
+        return (F.when(rooted, F.concat(F.lower(F.regexp_extract(x["base"], _ORIGIN, 1)), origin, x["href"]))
+                .when(x["href"].rlike(_ABSOLUTE), x["href"]).otherwise(_let(x, cleaned)))
+
+    return _let(F.struct(_col(href).alias("href"), _col(base).alias("base")), usual)
 
 
+_BASE_TAG = r"<[bB][aA][sS][eE]\s"  # found sooner than without regard to case
 _BASE = r"""(?is)<base\s[^>]*?href\s*=\s*(?:["']([^"']*)["']|([^\s"'>]+))"""
 
 
@@ -225,7 +238,7 @@ def page_base(html, url) -> Column:
     """What a page's links are relative to: its first ``<base href>`` (itself resolved against the URL), else the URL."""
     def found(x: Column) -> Column:
         href = F.concat(F.regexp_extract(x["page"], _BASE, 1), F.regexp_extract(x["page"], _BASE, 2))
-        return F.when(x["page"].rlike(_BASE), absolute_url(decode_entities(href), x["url"])).otherwise(x["url"])
+        return F.when(x["page"].rlike(_BASE_TAG) & x["page"].rlike(_BASE), absolute_url(decode_entities(href), x["url"])).otherwise(x["url"])
 
     return _let(F.struct(_col(html).alias("page"), _col(url).alias("url")), found)
 

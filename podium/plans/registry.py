@@ -82,6 +82,11 @@ def q_events_in_period(spark, d):
     return events_in_period(B.events(spark, d), lo, hi)
 
 
+def _period_events(spark, d):
+    """The events in the period, written once per application: their dates are parsed once for all that read them."""
+    return written_once(spark, ("period-events", d.rstrip("/")), lambda: q_events_in_period(spark, d), inputs=d)
+
+
 def q_period_positions(spark, d):
     """Events in the period in report order, numbered."""
     return period_positions(q_events_in_period(spark, d))
@@ -115,8 +120,7 @@ def q_supplement_union(spark, d):
 
 def q_events_with_starts(spark, d):
     res, rows, sev = B.supplement_frames(spark, d)
-    lo, hi = window_hull(B.WINDOWS)
-    ev = events_in_period(B.events(spark, d), lo, hi).unionByName(sev)
+    ev = _period_events(spark, d).unionByName(sev)
     starts = Q.best_starts(with_supplement(res, rows), B.SUPPLEMENT_DISTRICT)
     return Q.events_with_starts(ev, starts)
 
@@ -303,7 +307,6 @@ def q_coerce_scores(spark, d):
 def q_run_metrics(spark, d):
     """The run counters.  The pages are parsed once: the schedule rows are written, and the tables seen are observed in
     that pass; results and players come from one aggregate."""
-    lo, hi = window_hull(B.WINDOWS)
     ev = B.events(spark, d)
     seen = Observation()
     H.schedule_rows(rendering.schedule_pages(ev), rendering.BASE_URL, seen=seen).write.mode("errorifexists") \
@@ -311,7 +314,7 @@ def q_run_metrics(spark, d):
     players = _results(spark, d).groupBy("player", "district").agg(F.count(F.lit(1)).alias("n"))
     both = players.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("results"), F.count(F.lit(1)).alias("players"))
     return both.selectExpr("stack(2, 'results', results, 'players', players) AS (metric, value)").unionByName(run_metrics(
-        events=ev, events_in_period=events_in_period(ev, lo, hi), schedule_tables=int(seen.get.get("rows", 0)),
+        events=ev, events_in_period=_period_events(spark, d), schedule_tables=int(seen.get.get("rows", 0)),
         district_events=q_events_with_starts(spark, d)))
 
 

@@ -161,14 +161,15 @@ def schedule_pages(events: DataFrame) -> DataFrame:
 
     The only grouping is by block, whose size is bounded by construction."""
     key = F.col("schedule_lp").cast("bigint")
-    ev = events.withColumn("__key", key).withColumn("__block", F.floor(key / SCHEDULE_BLOCK))
+    # the columns are dealt, their html is made behind that
+    ev = _dealt(events.withColumn("__key", key).withColumn("__block", F.floor(key / SCHEDULE_BLOCK)), F.col("__block"))
     ev = ev.withColumn("__a", _row(_schedule_cells(_SCHEDULE_A))).withColumn("__b", _row(_schedule_cells(_SCHEDULE_B)))
 
     def rows(cond: Column, html: str) -> Column:
-        items = F.array_sort(F.collect_list(F.when(cond, F.struct(F.col("__key").alias("k"), F.col(html).alias("h")))))
+        items = F.sort_array(F.collect_list(F.when(cond, F.struct(F.col("__key").alias("k"), F.col(html).alias("h")))))
         return F.array_join(F.transform(items, lambda x: x["h"]), "")
 
-    pages = _dealt(ev, F.col("__block")).groupBy("__block").agg(
+    pages = ev.groupBy("__block").agg(
         rows(F.col("__key") % 2 == 0, "__a").alias("t2"),
         rows(F.col("__key") % 2 == 1, "__b").alias("t3"),
         rows(F.col("__key") % 5 == 0, "__b").alias("again"))

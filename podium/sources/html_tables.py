@@ -48,25 +48,26 @@ def row_texts(row_html: Column, sep: str = "") -> Column:
 
 
 _TEXTS, _ARROW_TEXTS = T.ArrayType(T.StringType()), pa.list_(pa.string())
-_CELLS = pa.list_(pa.struct([("texts", _ARROW_TEXTS), ("tds", _ARROW_TEXTS)]))
+_CELLS = pa.list_(pa.struct([("texts", _ARROW_TEXTS), ("cell", pa.string())]))
 #: What a scan can give of a table (attributes of ``Table``): Spark type, Arrow type.
 PARTS: dict[str, tuple[T.DataType, pa.DataType]] = {
     "html": (T.StringType(), pa.string()), "rows": (_TEXTS, _ARROW_TEXTS), "n_header": (T.IntegerType(), pa.int32()),
     "labels": (_TEXTS, _ARROW_TEXTS), "canonical": (_TEXTS, _ARROW_TEXTS), "first_row": (_TEXTS, _ARROW_TEXTS),
     "body": (T.ArrayType(_TEXTS), pa.list_(_ARROW_TEXTS)),
-    "data_cells": (T.ArrayType(T.StructType([T.StructField("texts", _TEXTS), T.StructField("tds", _TEXTS)])), _CELLS),
+    "data_cells": (T.ArrayType(T.StructType([T.StructField("texts", _TEXTS), T.StructField("cell", T.StringType())])), _CELLS),
 }
 _OF_TABLE = {"table_html": "html", "rows_html": "rows"}
 
 
 def scan_tables(pages: DataFrame, parts: Sequence[str], url: str = "url", html: str = "html", shown_only: bool = False,
                 keep_pages: bool = False, only: Callable[[Table], bool] | None = None,
-                aliases: Mapping[str, str] | None = None) -> DataFrame:
+                aliases: Mapping[str, str] | None = None, cell: str | None = None) -> DataFrame:
     """(url, table_no, *parts): every table of every page with the parts of ``PARTS`` that are named, 1-based in page order.
 
     ``shown_only`` numbers only tables that hold text (nested tables' included) and are not hidden by their own or an
     outer table's style.  ``keep_pages`` gives a page without such tables one row, its ``table_no`` null.  ``only``: the
-    tables for which ``body`` and ``data_cells`` are asked for; for the others they are null."""
+    tables for which ``body`` and ``data_cells`` are asked for; for the others they are null.  ``cell``: the label of the
+    column whose html ``data_cells`` gives beside the texts; the tables asked for must have it in their first row."""
     ship(pages.sparkSession)
     kind, parts = pages.schema[url].dataType, [_OF_TABLE.get(p, p) for p in parts]
 
@@ -86,7 +87,7 @@ def scan_tables(pages: DataFrame, parts: Sequence[str], url: str = "url", html:
                 page = page.as_py()
                 found = [t for t, shown in owned(page) if shown or not shown_only]
                 for number, text in enumerate(found, 1):
-                    table = Table(text, aliases)
+                    table = Table(text, aliases, cell)
                     asked = only is None or only(table)
                     at.append(i)
                     numbers.append(number)
@@ -246,21 +247,21 @@ def schedule_rows(pages: DataFrame, base_url: str, headers: Mapping[str, str] |
     # the page's base travels with its URL
     pages = pages.select(F.struct("url", page_base("html", F.lit(base_url)).alias("base")).alias("page"), "html")
     required = set(headers)
-    t = scan_tables(pages, ["first_row", "data_cells"], url="page", only=lambda table: required <= set(table.first_row or ())) \
+    inv = {v: k for k, v in headers.items()}
+    t = scan_tables(pages, ["first_row", "data_cells"], url="page", only=lambda table: required <= set(table.first_row or ()),
+                    cell=inv["results_url"]) \
         .withColumnsRenamed({"url": "page", "first_row": "labels"})
     if seen is not None:
         t = t.observe(seen, F.count(F.lit(1)).alias("rows"))
     # only tables whose first row holds all headers have data cells
     r = t.select("page", F.col("table_no").alias("schedule_table_no"), "labels", F.posexplode("data_cells").alias("pos", "row"))
-    r = r.select("page", "schedule_table_no", "labels", (F.col("pos") + 1).cast("int").alias("row_no"), "row.texts", "row.tds")
+    r = r.select("page", "schedule_table_no", "labels", (F.col("pos") + 1).cast("int").alias("row_no"), "row.texts", "row.cell")
 
     def idx(label: str) -> Column:
         return F.array_position(F.col("labels"), F.lit(label)).cast("int")
 
-    inv = {v: k for k, v in headers.items()}
-    link_idx = idx(inv["results_url"])
-    reached = F.size("tds") >= link_idx
-    link = F.when(reached, first_link(F.try_element_at("tds", link_idx), F.col("page.base"), decode_markup))
+    reached = F.col("cell").isNotNull()
+    link = F.when(reached, first_link(F.col("cell"), F.col("page.base"), decode_markup))
     text = lambda col: F.try_element_at("texts", idx(inv[col]))
     out = r.select(
         F.col("page.url").alias("url"), "schedule_table_no", "row_no",
