@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.shared import Scratch, ascii_lower, free_name
+from podium.llm.shared import Scratch, ascii_lower, free_name, with_keys
 
 BLOCK_BYTES = 8192
 
@@ -111,4 +111,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     last = F.max(F.struct(F.col("id").isNotNull().alias("known"), "id", "row")).alias("last")
     repeated = groups.where("group_size > 1").join(ids, "row").groupBy("group").agg(last).select(F.col("last.row").alias(key))
     kept = tmp.write(groups.where("group_size = 1").select(F.col("row").alias(key)).unionByName(repeated))
-    return rows.join(kept, key, "left_semi").select(*docs.columns)
+    return with_keys(rows, key, kept).select(*docs.columns)

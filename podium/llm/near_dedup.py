@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from podium.llm.shared import LOWER, UPPER, Scratch, free_name, ship
+from podium.llm.shared import LOWER, UPPER, Scratch, free_name, ship, with_keys
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 TO_LOWER = str.maketrans(UPPER, LOWER)
@@ -335,4 +335,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", words: int = 5, percent: i
     ids = rows.select(F.col(key).alias("row"), F.col(id_col).alias("id"))
     first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "row")).alias("first")
     kept = tmp.write(groups.join(ids, "row").groupBy("component").agg(first).select(F.col("first.row").alias(key)))
-    return rows.join(kept, key, "left_semi").select(*docs.columns)
+    return with_keys(rows, key, kept).select(*docs.columns)

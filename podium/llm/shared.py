@@ -36,6 +36,17 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def with_keys(rows: DataFrame, key: str, keys: DataFrame, kept: bool = True) -> DataFrame:
+    """The rows whose ``key`` (0 or more, as ``monotonically_increasing_id`` gives it) is among ``keys``, a table with that
+    column; without ``kept`` the others.  The rows stay where they are: the keys meet them as words of 64 bits, one bit a
+    row, so texts are not shuffled for a list of row numbers."""
+    word, bit = F.shiftright(key, 6), F.col(key).bitwiseAND(63).cast("int")
+    marks = keys.groupBy(word.alias("podium_word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(`{key}` & 63 as int))")).alias("podium_bits"))
+    met = rows.join(F.broadcast(marks), word == F.col("podium_word"), "left")
+    marked = F.coalesce(F.getbit("podium_bits", bit) == 1, F.lit(False))
+    return met.where(marked if kept else ~marked).select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names.  Where it is unset a local session gets one of its own;
     on a cluster a driver-local folder would be wrong, so that is an error."""
