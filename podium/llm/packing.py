@@ -28,6 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ from podium.llm.shared import Scratch, ship
 
 WINDOW = 2048
 END_ID = 1
-CACHED = 800_000  # words and other runs without white space whose ids a Python worker remembers
+CACHED = 800_000  # words and other runs without white space whose ids a task remembers
 ROWS_PER_SALT = 100_000
 #: Texts of these characters are encoded word by word: there Python's and the tokenizer's character tables agree.
 PLAIN = re.compile("[\t\n\r\x20-\x7e\u00a1-\u017f\u2010-\u2027\u20ac]*")
@@ -110,7 +111,7 @@ class Encoder:
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
-    """One for all tasks that a Python worker runs."""
+    """One for all tasks that a Python worker runs; what it remembers goes with each task."""
     return Encoder(path)
 
 
@@ -124,20 +125,25 @@ def summarise(docs: DataFrame, id_col: str, text_col: str, path: str, window: in
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(path)
-        for rows in batches:
-            out = []
-            for row, i, text in zip(rows["row"], rows["id"], rows["text"]):
-                ids = encode(text) + end
-                n = len(ids) // 4
-                cut = n // window * window
-                view, rest = memoryview(ids), n - cut
-                full = [zlib.crc32(view[4 * a:4 * (a + window)]) for a in range(0, cut, window)]
-                bits, at = [], cut
-                for size in powers(rest):
-                    bits.append(zlib.crc32(view[4 * at:4 * (at + size)]))
-                    at += size
-                out.append((row, i, n, full, rest, zlib.crc32(view[4 * cut:]), bits))
-            yield pd.DataFrame(out, columns=["row", "id", "n", "full", "rest", "rest_crc", "bits"]).astype({"id": rows["id"].dtype})
+        try:
+            for rows in batches:
+                out = []
+                for row, i, text in zip(rows["row"], rows["id"], rows["text"]):
+                    ids = encode(text) + end
+                    n = len(ids) // 4
+                    cut = n // window * window
+                    view, rest = memoryview(ids), n - cut
+                    full = [zlib.crc32(view[4 * a:4 * (a + window)]) for a in range(0, cut, window)]
+                    bits, at = [], cut
+                    for size in powers(rest):
+                        bits.append(zlib.crc32(view[4 * at:4 * (at + size)]))
+                        at += size
+                    out.append((row, i, n, full, rest, zlib.crc32(view[4 * cut:]), bits))
+                yield pd.DataFrame(out, columns=["row", "id", "n", "full", "rest", "rest_crc", "bits"]).astype({"id": rows["id"].dtype})
+        finally:  # the worker goes on to tasks of other steps, which need the memory
+            encode.runs.clear()
+            rows = out = None
+            pa.default_memory_pool().release_unused()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),

@@ -4,7 +4,7 @@ import random
 
 import corpus_pipeline
 import __spark_entry__ as entry
-from podium.llm import quality, queries
+from podium.llm import packing, quality, queries
 
 from test_llm_operators import contaminated_expected, exact_expected, near_expected
 
@@ -100,3 +100,19 @@ def test_a_stage_leaves_only_its_result(spark, tmp_path, monkeypatch):
     assert sorted(r.doc_id for r in out.collect()) == [6, 7, 8]
     new = [p for p in root.glob("*") if p.name not in before and any(p.iterdir())]
     assert [p.name.split("-")[0] for p in new] == ["pipeline"] and len(list(new[0].iterdir())) == 1
+
+
+def test_packing_leaves_nothing_in_the_workers(spark):
+    """A Python worker goes on to other stages: what a packing task remembered must be gone."""
+    import pandas as pd
+
+    path = packing.vocabulary()
+    docs = spark.createDataFrame([(i, f"word{i} and some others") for i in range(200)], "doc_id long, text string")
+    assert packing.pack(docs).count() >= 200
+
+    def remembered(batches):
+        for rows in batches:
+            yield pd.DataFrame({"n": [len(packing.encoder(path).runs)] * len(rows)})
+
+    left = spark.range(0, 64, 1, 16).mapInPandas(remembered, "n long").collect()
+    assert {r.n for r in left} == {0}
