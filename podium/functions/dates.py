@@ -27,6 +27,11 @@ _DAY_RANGE = r"(?U)(?<![.\-/])\b(\d{1,2})\s*[-–]\s*(\d{1,2})[.\-/](\d{1,2})[.\
 _CROSS = r"(?U)\b(\d{1,2})[.\-/](\d{1,2})\s*[-–]\s*(\d{1,2})[.\-/](\d{1,2})[.\-/](\d{4})\b"  # d1 m1 d2 m2 y
 _SINGLE = r"(?U)\b(\d{1,2})[.\-/](\d{1,2})[.\-/](\d{4})\b"  # d m y
 
+# Whole texts of the usual shapes: an ISO date; a single date, a day range or a cross-month range.  In a range the pattern
+# (d) finds the second day again, so its ends are all there is.
+_WHOLE_ISO = r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
+_WHOLE = r"\A(?:[0-9]{1,2}(?:[.\-/][0-9]{1,2})? ?[-–] ?)?[0-9]{1,2}[.\-/][0-9]{1,2}[.\-/][0-9]{4}\z"
+
 _MIN_DATE = "0001-01-01"
 
 
@@ -43,11 +48,33 @@ def _found(text: Column, pattern: str) -> Column:
 def parse_event_dates(c) -> Column:
     """Free text -> ARRAY<DATE>, ordered, distinct, impossible dates dropped.
 
-    The text is cleaned once: a one-element array hands it to the four patterns."""
+    The text is cleaned once: a one-element array hands it to the patterns.  A text that is a date or a range and nothing
+    else gives its numbers in one scan; any other goes through the four patterns."""
     return F.element_at(F.transform(F.array(clean_text(c)), _dates_of), 1)
 
 
 def _dates_of(text: Column) -> Column:
+    numbers = F.array(F.regexp_extract_all(text, F.lit("([0-9]+)"), F.lit(1)))
+    whole = F.when(text.rlike(_WHOLE_ISO), F.flatten(F.transform(numbers, _iso_date))) \
+        .when(text.rlike(_WHOLE), F.flatten(F.transform(numbers, _range_dates)))
+    found = F.coalesce(whole, _searched_dates(text))
+    valid = F.filter(found, lambda x: x.isNotNull() & (x >= F.lit(_MIN_DATE).cast("date")))
+    return F.coalesce(F.array_distinct(valid), F.array().cast("array<date>"))
+
+
+def _iso_date(x: Column) -> Column:
+    return F.array(_mk(*[F.get(x, F.lit(i)) for i in range(3)]))
+
+
+def _range_dates(x: Column) -> Column:
+    """``x``: d m y, d d m y or d m d m y."""
+    n, g = F.size(x), lambda i: F.get(x, i if isinstance(i, Column) else F.lit(i))
+    last = _mk(g(n - 1), g(n - 2), g(n - 3))
+    first = _mk(g(n - 1), F.when(n == 4, g(2)).otherwise(g(1)), g(0))
+    return F.when(n == 3, F.array(last)).otherwise(F.array(first, last))
+
+
+def _searched_dates(text: Column) -> Column:
     g = lambda x, i: F.get(x, F.lit(i))
     iso = F.transform(_found(text, _ISO), lambda x: F.array(_mk(g(x, 0), g(x, 1), g(x, 2))))
     day_range = F.transform(_found(text, _DAY_RANGE), lambda x: F.array(
@@ -55,9 +82,7 @@ def _dates_of(text: Column) -> Column:
     cross = F.transform(_found(text, _CROSS), lambda x: F.array(
         _mk(g(x, 4), g(x, 1), g(x, 0)), _mk(g(x, 4), g(x, 3), g(x, 2))))
     single = F.transform(_found(text, _SINGLE), lambda x: F.array(_mk(g(x, 2), g(x, 1), g(x, 0))))
-    everything = F.flatten(F.concat(iso, day_range, cross, single))
-    valid = F.filter(everything, lambda x: x.isNotNull() & (x >= F.lit(_MIN_DATE).cast("date")))
-    return F.coalesce(F.array_distinct(valid), F.array().cast("array<date>"))
+    return F.flatten(F.concat(iso, day_range, cross, single))
 
 
 def dates_to_iso(dates) -> Column:

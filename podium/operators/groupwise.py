@@ -7,7 +7,7 @@ tie-break for results to be deterministic; callers append one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,12 +70,19 @@ def chunked_list(df: DataFrame, keys: Sequence[str], item: Column, number: str,
 
 
 def chunked_concat(df: DataFrame, keys: Sequence[str], value: str, number: str, name: str, sep: str = K.NAME_SEPARATOR,
-                   size: int = CHUNK) -> DataFrame:
+                   size: int = CHUNK, rows_as: str | None = None, first: Mapping[str, Column] | None = None) -> DataFrame:
     """``ordered_concat`` for groups of any size: per group ``value`` joined with ``sep`` in the order of ``number``, each
-    chunk joined by itself first.  Nulls are left out."""
+    chunk joined by itself first.  Nulls are left out.
+
+    In the same pass: ``rows_as`` names the number of rows of the group, ``first`` aggregates over rows numbered up to
+    ``size`` (they see those rows only)."""
+    first = first or {}
     rows = df.withColumn("__chunk", F.floor((F.col(number) - 1) / size).cast("bigint"))
-    chunks = rows.groupBy(*keys, "__chunk").agg(ordered_concat(value, number, sep=sep).alias("__text"))
-    return chunks.groupBy(*keys).agg(ordered_concat("__text", "__chunk", sep=sep).alias(name))
+    chunks = rows.groupBy(*keys, "__chunk").agg(ordered_concat(value, number, sep=sep).alias("__text"), F.count(F.lit(1)).alias("__rows"),
+                                                *[c.alias(n) for n, c in first.items()])
+    counted = [F.sum("__rows").alias(rows_as)] if rows_as else []
+    return chunks.groupBy(*keys).agg(ordered_concat("__text", "__chunk", sep=sep).alias(name), *counted,
+                                     *[F.max(F.when(F.col("__chunk") == 0, F.col(n))).alias(n) for n in first])
 
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, n: int, rn: str = "rn") -> DataFrame:
@@ -111,14 +118,24 @@ def ordered_concat(value: str, rn: str, upto: int | None = None, sep: str = K.NA
     return F.expr(f"listagg({v}, {lit}) WITHIN GROUP (ORDER BY `{rn}`)")
 
 
-def leaderboards(df: DataFrame, specs: Sequence[tuple], partitions: int | None = None) -> DataFrame:
+def leaderboards(df: DataFrame, specs: Sequence[tuple], partitions: int | None = None, by: Sequence[str] | None = None) -> DataFrame:
     """Several independent places over one frame: ``specs`` = [(place, order, rank_if)].
 
-    Each place is one range-partitioned, written copy (see ``leaderboard``); the next place starts from that copy."""
-    out = df
+    Each place is one range-partitioned, written copy (see ``leaderboard``); the next place starts from that copy.  ``by``:
+    the columns that the orders use.  Then ``df`` is evaluated once (a range partitioning evaluates its input twice), only
+    these columns go through the copies, and the places meet the other columns in one join on the row's number."""
+    rows = df
+    if by is not None:
+        path = scratch_path(df.sparkSession, "unplaced")
+        df.withColumn("__row", F.monotonically_increasing_id()).write.mode("errorifexists").parquet(path)
+        rows = df.sparkSession.read.parquet(path)
+    out = rows if by is None else rows.select("__row", *by)
     for place, order, rank_if in specs:
         out = leaderboard(out, order, place=place, partitions=partitions, rank_if=rank_if)
-    return out.select(*[p for p, _, _ in reversed(specs)], *[F.col(f"`{c}`") for c in df.columns])
+    places = [p for p, _, _ in reversed(specs)]
+    if by is not None:
+        out = rows.join(out.select("__row", *places), "__row")
+    return out.select(*places, *[F.col(f"`{c}`") for c in df.columns])
 
 
 def leaderboard(df: DataFrame, order: Sequence, place: str = "place", partitions: int | None = None,

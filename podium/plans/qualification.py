@@ -2,9 +2,10 @@
 percent of the event best, best-N per window, places, and the merged board.
 
 Plan shape: D6 (one row per player x district x event) -> window flags as
-columns, written once -> per window the top rows (cut in the map tasks), and the
-joined list of all starts by segmented numbers and chunks, so that no task sorts
-all starts of one player -> one groupBy over the union -> two range-partitioned places.
+columns, written once -> the first window by segmented numbers and chunks (its best
+rows and the joined list of all starts in one pass), so that no task sorts all starts
+of one player, the second by its top rows (cut in the map tasks) -> one groupBy over the
+union, written once -> two range-partitioned places over the sort columns, joined back.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from podium.functions.dates import parse_event_dates
 from podium.functions.text import half_even
-from podium.operators.groupwise import (best_per_group, chunked_concat, leaderboard, leaderboards, nth_largest, ordered_concat,
+from podium.operators.groupwise import (CHUNK, best_per_group, chunked_concat, leaderboard, leaderboards, nth_largest, ordered_concat,
                                        running_number, segmented_number, top_n_per_group)
 from podium.operators.partitioning import evaluate_once
 from podium.operators.windows import window_flags
@@ -75,26 +76,24 @@ def qualification_board(results: DataFrame, windows: Mapping[str, tuple], distri
     s = results.sparkSession.read.parquet(path)
     keys = ["player", "district"]
     in1, in2 = s.filter(f1), s.filter(f2)
-    # ranks up to ``top`` are cut in the map tasks; only the list of all starts needs a number for every row
-    best1 = top_n_per_group(in1, keys, order, top).groupBy(*keys).agg(
-        F.sum(F.when(F.col("rn") <= 3, F.col("score"))).alias("sum_top3"),
-        F.sum("score").alias("__sum_top_first"),
-        F.count(F.lit(1)).alias("__n1"),
-        *[nth_largest("score", "rn", k).alias(f"best_{k}") for k in range(1, 6)],
-        ordered_concat(event_key, "rn", 3).alias("events_top3"))
-    all1 = chunked_concat(segmented_number(in1.select(*keys, "score", "date_text", event_key), keys, order), keys, event_key, "rn", "all_starts")
+    # the list of all starts needs a number for every row; the best of the first window are read off the same numbers
+    numbered = segmented_number(in1.select(*keys, "score", "date_text", event_key), keys, order)
+    best = lambda n: F.when(F.col("rn") <= n, F.col("score"))
+    part1 = chunked_concat(numbered, keys, event_key, "rn", "all_starts", size=max(CHUNK, top), rows_as="__starts", first={
+        "sum_top3": F.sum(best(min(top, 3))),
+        "__sum_top_first": F.sum(best(top)),
+        "__n1": F.count(F.when(F.col("rn") <= top, F.lit(1))),
+        **{f"best_{k}": F.max(F.when(F.col("rn") == k, best(top))) for k in range(1, 6)},
+        "events_top3": ordered_concat(event_key, "rn", min(top, 3))})
+    # ranks up to ``top`` are cut in the map tasks
     best2 = top_n_per_group(in2, keys, order, top).groupBy(*keys).agg(
         F.sum("score").alias("champ_sum_top5"),
         F.count(F.lit(1)).alias("__n2"),
         F.max("score").alias("__champ_best"),
         *[nth_largest("score", "rn", k).alias(f"champ_best_{k}") for k in range(1, 6)],
         ordered_concat(event_key, "rn").alias("champ_events"))
-    counts = s.groupBy(*keys).agg(F.count(F.when(F.col(f1), F.lit(1))).alias("__starts"))
-    # each part has one row per key: their union grouped once is the full outer join of all, null keys included
-    parts = [counts, best1, all1, best2]
-    g = parts[0]
-    for part in parts[1:]:
-        g = g.unionByName(part, allowMissingColumns=True)
+    # each part has one row per key: their union grouped once is the full outer join of both, null keys included
+    g = part1.unionByName(best2, allowMissingColumns=True)
     g = g.groupBy(*keys).agg(*[F.max(c).alias(c) for c in g.columns if c not in keys])
     g = g.withColumn("__n1", F.coalesce("__n1", F.lit(0))).withColumn("__n2", F.coalesce("__n2", F.lit(0)))
     has1, has2 = F.col("__n1") > 0, F.col("__n2") > 0
@@ -118,7 +117,8 @@ def qualification_board(results: DataFrame, windows: Mapping[str, tuple], distri
         ("champ_place", [F.col("__has2").desc(), desc("champ_sum_top5"), desc("__champ_best"), desc("champ_counted"),
                          asc("player"), asc("district")], F.col("__has2")),
         ("place", [F.col("__has1").desc(), desc("sum_top3"), desc("best_1"), desc("starts"),
-                   asc("player"), asc("district")], F.col("__has1"))])
+                   asc("player"), asc("district")], F.col("__has1"))],
+        by=["player", "district", "sum_top3", "best_1", "starts", "champ_sum_top5", "__champ_best", "champ_counted", "__has1", "__has2"])
     return g.select(
         "place", "player", "district", "sum_top3", "mean_top3", "mean_top5_first", "counted", "starts",
         *[f"best_{k}" for k in range(1, 6)],

@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from podium.functions import dates
 from podium.functions.dates import parse_event_dates
 
 WORDS = ["Puchar", "w dniu", "oraz", "godz. 9:00", "(sobota)", "runda II", "hala 3", "tel. 123"]
@@ -79,3 +80,28 @@ def test_each_pattern_stands_once_in_the_plan(spark):
     df = spark.createDataFrame([("1.1.2026",)], "t string").select(parse_event_dates("t").alias("d")).where(F.size("d") > 0)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("(?U)\\b(\\d{4})-(\\d{1,2})-(\\d{1,2})\\b") <= 2  # the projection, and the filter pushed below it
+
+
+def test_whole_texts_are_read_without_the_four_searches(spark):
+    """A text that is one date or range gives what the searches give, and the searches are not run for it."""
+    rng = random.Random(5)
+    rows = []
+    for _ in range(2500):
+        n = rng.choice([2, 3, 3, 4, 4, 5, 5, 6])
+        pieces = [str(rng.choice([rng.randint(0, 32), rng.randint(0, 32), rng.randint(0, 12), 2026, 1, 123])) for _ in range(n)]
+        if rng.random() < 0.7:
+            pieces[0 if rng.random() < 0.2 else -1] = rng.choice(["2024", "2026", "0000", "0001", "9999"])
+        rows.append(("".join(p + rng.choice([".", ".", ".", "-", "/", "–", " - ", " – ", "- ", " "]) for p in pieces[:-1]) + pieces[-1],))
+    for _ in range(1200):  # the shapes themselves, with days and months that may not exist
+        day = lambda: f"{rng.randint(0, 32)}{rng.choice('./-')}{_pad(rng, rng.randint(0, 13))}"
+        front = rng.choice(["", _pad(rng, rng.randint(0, 32)), day()])
+        rows.append((front + (rng.choice(["-", "–", " - ", " –"]) if front else "") + day() + rng.choice("./-") + rng.choice(["2026", "0000", "2024"]),))
+    rows += [("٢-٣.٠٥.2026",), ("16.05.2026\n",), ("1 -  2.05.2026",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    cleaned = dates.clean_text("t")
+    known = F.element_at(F.transform(F.array(cleaned), dates._searched_dates), 1)
+    valid = F.array_distinct(F.filter(known, lambda x: x.isNotNull() & (x >= F.lit("0001-01-01").cast("date"))))
+    both = df.select("t", parse_event_dates("t").alias("got"), F.coalesce(valid, F.array().cast("array<date>")).alias("want")).collect()
+    assert [(r.t, r.got) for r in both] == [(r.t, r.want) for r in both]
+    whole = df.where(cleaned.rlike(dates._WHOLE) | cleaned.rlike(dates._WHOLE_ISO)).count()
+    assert 300 < whole < len(rows)

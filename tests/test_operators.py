@@ -82,3 +82,32 @@ def test_pivot_unpivot_nest(spark):
     assert sorted((r["code"], r["value"]) for r in long.collect() if r["value"] is not None) == [("m_skeet", 1.0)]
     nested = nest_rows(df, ["d"], ["n", "p"], "items", sort_key=["n"]).filter("d = 'T'").first()["items"]
     assert [x["p"] for x in nested] == ["a", "b"]
+
+
+def test_leaderboards_evaluate_their_input_once(spark):
+    """With ``by`` each row is made once, however many places there are; the result is the same."""
+    made = spark.sparkContext.accumulator(0)
+
+    def see(batches):
+        for rows in batches:
+            made.add(len(rows))
+            yield rows
+
+    rows = [(i, i * 7 % 5, None if i % 4 == 0 else f"x{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, v long, text string")
+    specs = [("pb", [F.col("v").asc(), F.col("id").desc()], None), ("pa", [F.col("v").desc(), F.col("id").asc()], F.col("v") > 1)]
+    want = sorted(map(tuple, leaderboards(df, specs).collect()), key=lambda r: r[2])
+    got = leaderboards(df.mapInPandas(see, df.schema), specs, partitions=3, by=["id", "v"])
+    assert got.columns == ["pa", "pb", "id", "v", "text"]
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[2]) == want
+    assert made.value == len(rows)
+
+
+def test_chunked_concat_with_counts_and_firsts(spark):
+    from podium.operators.groupwise import chunked_concat
+
+    rows = [(k, n, None if n == 3 else f"{k}{n}", float(n)) for k in ("a", None) for n in range(1, 8 if k else 3)]
+    df = spark.createDataFrame(rows, "k string, n long, text string, v double")
+    got = {r.k: (r.t, r.c, r.s, r.b) for r in chunked_concat(df, ["k"], "text", "n", "t", sep=" ", size=2, rows_as="c", first={
+        "s": F.sum("v"), "b": F.max(F.when(F.col("n") == 2, F.col("v")))}).collect()}
+    assert got == {"a": ("a1 a2 a4 a5 a6 a7", 7, 3.0, 2.0), None: ("None1 None2", 2, 3.0, 2.0)}
